@@ -44,7 +44,7 @@ def snapshot(history: DataFrame | None, current: DataFrame, key: str, run_ts: dt
     if strategy == "timestamp":
         changed = F.col(f"new.{updated_at}") > F.col(f"old.{updated_at}")
     else:
-        changed = ~F.lit(True)
+        changed = F.lit(False)
         for c in payload:
             changed = changed | ~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
     changed = F.coalesce(changed, F.lit(False))
