@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 
 AS_OF = "DATE '1998-06-15'"
-HABIT_DAY = "DATE '2024-01-15'"
-TZ_HOURS = "INTERVAL 7 HOUR"  # the zone of the models is UTC+7 all year
+# The zone of the models is UTC+7 all year: instants become local times by adding 7 hours.
+HABIT_DAY = "DATE '2024-01-30'"
 
 
 def key(*fields: str) -> str:

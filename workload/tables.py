@@ -19,7 +19,7 @@ from tasklens.sources import delta_columns
 
 AS_OF = dt.date(1998, 6, 15)
 AS_OF_TS = dt.datetime(1998, 6, 15, 9, 30)
-HABIT_DAY = dt.date(2024, 1, 15)
+HABIT_DAY = dt.date(2024, 1, 30)
 CFG = Settings(timezone="Asia/Ho_Chi_Minh", categorise=True, deep_tags=("A",), scope_word="7")
 
 

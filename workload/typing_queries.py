@@ -181,7 +181,7 @@ def folder_label_extract(t: Tables):
 
 
 @query("date_parts", f"""
-    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS due_date_day, {sunday("o_orderdate")} AS due_date_week,
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS due_date_day, {sunday("CAST(o_orderdate AS DATE)")} AS due_date_week,
         strftime(o_orderdate, '%A') AS due_date_day_of_week_name, CAST(month(o_orderdate) AS BIGINT) AS due_date_month_num,
         CAST(day(o_orderdate) AS BIGINT) AS due_date_day_of_month_num FROM orders""")
 def date_parts(t: Tables):
