@@ -34,15 +34,15 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, spread: str, how: str
                 salts: int = SALTS) -> DataFrame:
     """Join many fact rows to at most a few dimension rows per key; both sides call the key the same.
 
-    A dimension within the broadcast threshold is left to a broadcast join. A larger one is joined on (key, salt): the
-    salt of a fact row comes from the column `spread`, and each dimension row is repeated once per salt, so the rows of
-    a hot key are divided among `salts` tasks.
+    A dimension within the broadcast threshold is broadcast. A larger one is joined on (key, salt): the salt of a fact
+    row comes from the column `spread`, and each dimension row is repeated once per salt, so the rows of a hot key are
+    divided among `salts` tasks. That join is a sort-merge join by hint, because size estimates do not see the copies.
     """
     if fits_broadcast(dim):
         return fact.join(F.broadcast(dim), key, how)
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def existing_keys(child: DataFrame, parent_keys: DataFrame, key: str, spread: str, found: bool) -> DataFrame:

@@ -114,25 +114,25 @@ def any_of(*conditions: Column) -> Column:
     return out
 
 
+PROJECT_COLUMNS = ("project_name", "group_id", "closed")
+
+
 def explore_join(model: Model, joins: Sequence[str], params: Params = Params(), match: str = "exact",
-                 rows: DataFrame | None = None) -> DataFrame:
+                 rows: DataFrame | None = None, project_columns: Sequence[str] = PROJECT_COLUMNS) -> DataFrame:
     """Tasks joined to the named tables: projects, folders and tags (inner), then the spine (every day is kept).
 
-    Parameters restrict the dimension before it is joined.
+    Parameters restrict the dimension before it is joined. Projects bring the named columns only, so that what a
+    question does not read, such as the last pulse, is not computed for it.
     """
     rows = model.tasks if rows is None else rows
     if "projects" in joins or "folders" in joins:
-        dim = param_multi_select(model.projects, "project_name", params.projects).select(
-            "project_id", "project_name", "group_id", "closed", "last_pulse"
-        )
+        projects = param_multi_select(model.projects, "project_name", params.projects)
+        rows = lookup_join(rows, projects.select("project_id", *project_columns), "project_id", spread="task_id",
+                           how="inner")
         if "folders" in joins:
-            folders = param_multi_select(model.folders, "folder_name", params.folders).select(
-                "folder_id", "folder_name"
-            )
-            dim = lookup_join(
-                dim.withColumn("folder_id", F.col("group_id")), folders, "folder_id", spread="project_id", how="inner"
-            )
-        rows = lookup_join(rows, dim, "project_id", spread="task_id", how="inner")
+            folders = param_multi_select(model.folders, "folder_name", params.folders)
+            rows = lookup_join(rows.withColumn("folder_id", F.col("group_id")),
+                               folders.select("folder_id", "folder_name"), "folder_id", spread="task_id", how="inner")
     if "tags" in joins:
         tags = param_multi_select(model.tags, "tag", params.tags).select("tag_id", "tag")
         named = lookup_join(model.bridge, tags, "tag_id", spread="task_id", how="inner")
@@ -167,7 +167,8 @@ def explore_query(model: Model, by: dict[str, Column] | Sequence[str] = (), metr
                   joins: Sequence[str] = (), params: Params = Params(), where: Column | None = None,
                   calc: dict[str, Column] | None = None, having: Column | None = None,
                   order: Sequence[Column] = (), limit: int | None = None, match: str = "exact",
-                  fact_where: Column | None = None) -> DataFrame:
+                  fact_where: Column | None = None,
+                  project_columns: Sequence[str] = PROJECT_COLUMNS) -> DataFrame:
     """One question as one plan: join what is asked for, filter, group, add calculated columns, filter again, sort.
 
     `where` sees all joined columns. `fact_where` is applied to the tasks before any join; use it for conditions that
@@ -181,12 +182,12 @@ def explore_query(model: Model, by: dict[str, Column] | Sequence[str] = (), metr
     metrics = metrics or {}
     spine_only = "spine" in joins and where is None and dims and set(dims) <= {"date_day"}
     if spine_only:
-        inner = explore_join(model, [j for j in joins if j != "spine"], params, match, rows)
+        inner = explore_join(model, [j for j in joins if j != "spine"], params, match, rows, project_columns)
         counted = on_spine(inner, model.spine, match).groupBy("date_day").agg(*[m.alias(n) for n, m in metrics.items()])
         out = model.spine.select("date_day").join(F.broadcast(counted), "date_day", "left")
         out = out.na.fill(0, subset=[name for name, kind in counted.dtypes if kind == "bigint"])
     else:
-        joined = explore_join(model, joins, params, match, rows)
+        joined = explore_join(model, joins, params, match, rows, project_columns)
         if where is not None:
             joined = joined.filter(where)
         columns = [c.alias(n) for n, c in dims.items()]

@@ -70,15 +70,12 @@ def dim_folders_v3(raw_groups: DataFrame, cfg: Settings) -> DataFrame:
 
 
 def join_task_project_folder(tasks: DataFrame, projects: DataFrame, folders: DataFrame) -> DataFrame:
-    """Tasks with project and folder; tasks of unknown projects stay.
-
-    Folders are joined to the projects first, on the smaller side, so the tasks take part in one join only.
-    """
+    """Tasks with project and folder; tasks of unknown projects stay."""
     named = projects.select(
         "project_id", F.col("project_name").alias("_project_name"), folder_key("group_id").alias("folder_id")
     )
-    dim = lookup_join(named, folders.select("folder_id", "folder_name"), "folder_id", spread="project_id")
-    joined = lookup_join(tasks, dim, "project_id", spread="task_id")
+    joined = lookup_join(tasks, named, "project_id", spread="task_id")
+    joined = lookup_join(joined, folders.select("folder_id", "folder_name"), "folder_id", spread="task_id")
     return joined.withColumn(
         "project_name", F.coalesce("_project_name", "project_id", F.lit("unknown_project"))
     ).drop("_project_name")

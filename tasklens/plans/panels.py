@@ -13,10 +13,11 @@ from tasklens.functions.dates import as_date, due_day_parts, iso_weekday, monday
 from tasklens.functions.rules import DONE, OPEN, SENTINEL_TASK
 from tasklens.functions.text import slash_label, stable_label, streak_count
 from tasklens.operators.keyed import lookup_join
-from tasklens.operators.metrics import metric
-from tasklens.operators.series import ceil_avg, week_dense_rank
+from tasklens.operators.metrics import metric, open_task_counts
+from tasklens.operators.series import calendar_cross, ceil_avg, week_dense_rank
 from tasklens.operators.shapes import pivot_series, topn_sorted
 from tasklens.plans.explore import (
+    PROJECT_COLUMNS,
     Model,
     Params,
     all_of,
@@ -64,13 +65,45 @@ def lookahead_5w(workload: DataFrame, as_of: dt.date | str, scope: str = "all",
                  folders: Sequence[str] | str | None = None, projects: Sequence[str] | str | None = None) -> DataFrame:
     """Open tasks per day of the coming five weeks, one column per week, with rounded-up week and overall averages.
 
-    After the aggregation at most 35 rows are left, so ranks and averages are windows over those.
+    Reads the stored workload mart. lookahead_of_tasks answers the same from the tasks.
     """
-    day = F.col("due_date_day")
-    window = (day >= F.lit(as_date(as_of))) & (day < F.lit(lookahead_end(as_of)))
-    daily = workload.filter(window & panel_filter(scope, folders, projects)).groupBy("due_date_day").agg(
-        F.sum("open_task_count").alias("daily_tasks")
+    rows = workload.filter(_five_weeks(as_of) & panel_filter(scope, folders, projects))
+    return lookahead_rows(rows.groupBy("due_date_day").agg(F.sum("open_task_count").alias("daily_tasks")))
+
+
+def daily_open_tasks(tasks: DataFrame, catalog: DataFrame, as_of: dt.date | str, scope: str = "all",
+                     folders: Sequence[str] | str | None = None,
+                     projects: Sequence[str] | str | None = None) -> DataFrame:
+    """Open tasks per day of the coming five weeks over the chosen catalog projects, zeros included.
+
+    Tasks shrink to one row per day and project before they meet the catalog. Days without tasks come from the calendar
+    of any one chosen project, so the calendar of all projects is not built.
+    """
+    chosen = catalog.filter(panel_filter(scope, folders, projects))
+    due = F.col("due_date").cast("date")
+    counts = open_task_counts(tasks.filter((due >= F.lit(as_date(as_of))) & (due < F.lit(lookahead_end(as_of)))))
+    found = counts.join(chosen.select("project_id"), "project_id").select("due_date_day", "open_task_count")
+    zeros = calendar_cross(chosen.select("project_id").limit(1), as_of, until=lookahead_end(as_of)).select(
+        "due_date_day", F.lit(0).cast("bigint").alias("open_task_count")
     )
+    return found.unionByName(zeros).groupBy("due_date_day").agg(F.sum("open_task_count").alias("daily_tasks"))
+
+
+def lookahead_of_tasks(tasks: DataFrame, catalog: DataFrame, as_of: dt.date | str, scope: str = "all",
+                       folders: Sequence[str] | str | None = None,
+                       projects: Sequence[str] | str | None = None) -> DataFrame:
+    """The five-week lookahead without a stored workload mart."""
+    return lookahead_rows(daily_open_tasks(tasks, catalog, as_of, scope, folders, projects))
+
+
+def _five_weeks(as_of: dt.date | str) -> Column:
+    day = F.col("due_date_day")
+    return (day >= F.lit(as_date(as_of))) & (day < F.lit(lookahead_end(as_of)))
+
+
+def lookahead_rows(daily: DataFrame) -> DataFrame:
+    """Lookahead layout of daily sums. They are at most 35 rows, so ranks and averages are windows over those."""
+    day = F.col("due_date_day")
     ranked = week_dense_rank(daily).filter(F.col("week_num") <= WEEKS)
     in_week = F.col("week_num")
     rows = ranked.withColumns({
@@ -282,7 +315,7 @@ def project_pulse(model: Model, as_of: dt.date | str, kind: str, skip_folders: S
         model, by={"folder_name": F.col("folder_name"), "project_name": F.col("project_name"),
                    "last_pulse_day": F.col("last_pulse").cast("date"), "project_id": F.col("project_id")},
         metrics={"total_tasks": metric("total_tasks")},
-        joins=["projects", "folders"] + (["tags"] if tags else []),
+        joins=["projects", "folders"] + (["tags"] if tags else []), project_columns=(*PROJECT_COLUMNS, "last_pulse"),
         where=all_of(*where), calc={"date_human_readable": age}, having=F.col("date_human_readable") > older_than,
         order=[F.desc("date_human_readable"), F.asc("folder_name"), F.asc("total_tasks"), F.asc("project_id")],
         limit=limit,

@@ -18,6 +18,12 @@ def connect(sf_dir: str):
     return con
 
 
+_FAMILY = {
+    "VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DATE": "date", "TIMESTAMP": "timestamp_ntz",
+    "BOOLEAN": "boolean", "DOUBLE": "double",
+}
+
+
 def _plain(value):
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
@@ -34,6 +40,10 @@ def difference(spark_df, con, sql: str) -> str | None:
     got_names = spark_df.columns
     if sorted(names) != sorted(got_names):
         return f"columns {sorted(got_names)} != {sorted(names)}"
+    kinds = {d[0]: _FAMILY.get(str(d[1]).split("(")[0], str(d[1])) for d in cursor.description}
+    got_kinds = {n: _FAMILY.get(k.split("(")[0], k) for n, k in spark_df.dtypes}
+    if kinds != got_kinds:
+        return f"types {[(n, kinds[n], got_kinds[n]) for n in names if kinds[n] != got_kinds[n]]}"
     order = sorted(names)
     want = Counter(tuple(_plain(r[names.index(n)]) for n in order) for r in want_rows)
     got_rows = spark_df.collect()

@@ -207,13 +207,17 @@ def _lookahead_sql(where: str = "TRUE") -> str:
 
 @query("lookahead_5w", _lookahead_sql())
 def lookahead_5w(t: Tables):
+    return panels.lookahead_of_tasks(t.due_tasks, t.catalog, AS_OF)
+
+
+@query("lookahead_5w_of_mart", _lookahead_sql())
+def lookahead_5w_of_mart(t: Tables):
     return panels.lookahead_5w(t.workload(panels.lookahead_end(AS_OF)), AS_OF)
 
 
 @query("lookahead_5w_filtered", _lookahead_sql("scope_bucket = 'rest' AND folder_name IN ('NATION_3', 'NATION_4')"))
 def lookahead_5w_filtered(t: Tables):
-    return panels.lookahead_5w(t.workload(panels.lookahead_end(AS_OF)), AS_OF, scope="rest",
-                               folders=["NATION_3", "NATION_4"])
+    return panels.lookahead_of_tasks(t.due_tasks, t.catalog, AS_OF, scope="rest", folders=["NATION_3", "NATION_4"])
 
 
 def _drill_sql(grain: str, grain_label: str) -> str:
@@ -395,7 +399,7 @@ _OPEN_CATALOG = "FROM catalog c JOIN projects p ON c.project_id = p.project_id W
     UNION ALL SELECT 'project', name FROM (SELECT DISTINCT c.project_name AS name {_OPEN_CATALOG}
         AND c.folder_name IN ('NATION_3', 'default'))""")
 def filter_option_lists(t: Tables):
-    catalog = marts.project_catalog(t.projects, t.folders, CFG)
+    catalog = t.catalog
     folders = panels.filter_option_lists(catalog, t.projects)
     projects = panels.filter_option_lists(catalog, t.projects, "project_name", folders=["NATION_3", "default"])
     return folders.select(F.lit("folder").alias("kind"), F.col("folder_name").alias("name")).unionByName(

@@ -124,6 +124,10 @@ class Tables:
     def rollup(self) -> DataFrame:
         return marts.grain_rollup(self.due_semantic)
 
+    @cached_property
+    def catalog(self) -> DataFrame:
+        return marts.project_catalog(self.projects, self.folders, CFG)
+
     def workload(self, until: dt.date | None = None) -> DataFrame:
         return marts.due_workload_daily(self.due_tasks, self.projects, self.folders, AS_OF, CFG, until)
 
