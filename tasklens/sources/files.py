@@ -25,20 +25,29 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 def read_replica(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """Current replica rows of one entity: tasks, projects or groups."""
-    return spark.read.schema(schemas.REPLICA[entity]).parquet(f"{path}/{entity}")
+    rows = spark.read.schema(schemas.REPLICA[entity]).parquet(f"{path}/{entity}")
+    return rows.filter(F.col(schemas.REPLICA_KEY[entity]).isNotNull())
 
 
 def write_replica(df: DataFrame, path: str, entity: str, account_id: str | None = None,
-                  files_per_account: int | None = None) -> None:
-    """Replica snapshot, one folder per account.
+                  accounts: DataFrame | None = None, files_per_account: int | None = None) -> None:
+    """Replica snapshot, one folder per account; only the folders of the accounts written are replaced.
 
-    Only the accounts present in the rows (or the one named) are overwritten. Rows of one account may be most of the
-    table, so nothing is gathered per account: each task writes its own file for each account it holds. Give
-    files_per_account to spread every account over that many tasks first, which bounds the number of files.
+    account_id writes one account. `accounts` names all accounts to replace: each gets one extra row without a key, which
+    reading drops, so that the folder of an account that lost its last row is replaced as well.
+
+    Rows of one account may be most of the table, so nothing is gathered per account: each task writes its own file for
+    each account it holds. Give files_per_account to spread every account over that many tasks first, which bounds the
+    number of files.
     """
     schema = schemas.REPLICA[entity]
-    rows = df if account_id is None else df.filter(F.col("account_id") == account_id)
+    rows = df
+    if account_id is not None:
+        rows = df.filter(F.col("account_id") == account_id)
+        accounts = df.sparkSession.range(1).select(F.lit(account_id).alias("account_id"))
     rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    if accounts is not None:
+        rows = rows.unionByName(accounts.select("account_id"), allowMissingColumns=True)
     if files_per_account:
         slot = F.pmod(F.xxhash64(schemas.REPLICA_KEY[entity]), F.lit(files_per_account))
         rows = rows.repartition("account_id", slot)

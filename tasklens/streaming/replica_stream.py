@@ -78,7 +78,8 @@ def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str) -> None:
         return
     for entity, key in schemas.REPLICA_KEY.items():
         rows = current_replica(spark, replica_dir, entity)
-        write_replica(lookup_join(rows, accounts, "account_id", spread=key, how="left_semi"), emit_dir, entity)
+        changed = lookup_join(rows, accounts, "account_id", spread=key, how="left_semi")
+        write_replica(changed, emit_dir, entity, accounts=accounts)
 
 
 def current_replica(spark: SparkSession, replica_dir: str, entity: str,
