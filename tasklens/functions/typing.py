@@ -32,9 +32,15 @@ def safe_timestamp(c: Column | str) -> Column:
 
 
 def to_local_datetime(ts: Column | str, tz: str) -> Column:
-    """Wall-clock time (no zone) of an instant in the given zone, whatever the session zone is."""
-    wall = _col(ts).cast("timestamp").cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit(tz), wall)
+    """Wall-clock time (no zone) of an instant in the given zone, whatever the session zone is.
+
+    In a UTC session a shift of the instant says the same and is faster, as it looks the zone up once and not per row.
+    The session zone is a constant to Catalyst, so only one branch is left in the plan.
+    """
+    instant = _col(ts).cast("timestamp")
+    general = F.convert_timezone(F.current_timezone(), F.lit(tz), instant.cast("timestamp_ntz"))
+    shifted = F.from_utc_timestamp(instant, tz).cast("timestamp_ntz")
+    return F.when(F.current_timezone().isin("UTC", "Etc/UTC"), shifted).otherwise(general)
 
 
 def utc_to_local_datetime(ts: Column | str, tz: str) -> Column:

@@ -64,13 +64,14 @@ def latest_version(history: DataFrame, key: str) -> DataFrame:
     return latest_by(history, [key], [F.desc(UPDATED_AT), F.desc(SCD_ID)])
 
 
-def closed_latest(history: DataFrame, key: str) -> DataFrame:
-    """Keys whose newest version has ended."""
-    return latest_version(history, key).filter(F.col(VALID_TO).isNotNull())
+def closed_latest(history: DataFrame, key: str, only_latest: bool = False) -> DataFrame:
+    """Keys whose newest version has ended. only_latest says that the history holds newest versions already."""
+    latest = history if only_latest else latest_version(history, key)
+    return latest.filter(F.col(VALID_TO).isNotNull())
 
 
 def infer_completion(open_rows: DataFrame, history: DataFrame, key: str = "task_id",
-                     sentinel: str = SENTINEL_TASK) -> DataFrame:
+                     sentinel: str = SENTINEL_TASK, only_latest: bool = False) -> DataFrame:
     """Tasks with a status: open ones from the extract, done ones from versions that ended. The sentinel row is left out
     of the open ones; it is added by the load banner."""
     shared = [c for c in open_rows.columns if c not in {"title", "_completed_time", "status"}]
@@ -79,20 +80,21 @@ def infer_completion(open_rows: DataFrame, history: DataFrame, key: str = "task_
         *shared, "title", none.alias("completed_time"), none.alias("updated_time"),
         F.lit(OPEN).cast("bigint").alias("status"),
     )
-    done = closed_latest(history, key).select(
+    done = closed_latest(history, key, only_latest).select(
         *shared, "title", F.col(VALID_TO).alias("completed_time"), F.col(UPDATED_AT).alias("updated_time"),
         F.lit(DONE).cast("bigint").alias("status"),
     )
     return still_open.unionByName(done)
 
 
-def infer_project_completion(open_rows: DataFrame, history: DataFrame, key: str = "project_id") -> DataFrame:
+def infer_project_completion(open_rows: DataFrame, history: DataFrame, key: str = "project_id",
+                             only_latest: bool = False) -> DataFrame:
     """Projects: closed is false for extracted ones and true for those whose newest version has ended."""
     shared = [c for c in open_rows.columns if c != "closed"]
     present = open_rows.select(
         *shared, F.lit(None).cast("timestamp_ntz").alias("completed_time"), F.lit(False).alias("closed")
     )
-    ended = closed_latest(history, key).select(
+    ended = closed_latest(history, key, only_latest).select(
         *shared, F.col(VALID_TO).alias("completed_time"), F.lit(True).alias("closed")
     )
     return present.unionByName(ended)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tasklens.functions.json import JsonDoc
+from tasklens.functions.json import JsonDoc, with_json
 from tasklens.functions.typing import (
     blank_to_null,
     clean_string_array,
@@ -87,12 +87,13 @@ def _task_columns(tz: str) -> list[Column]:
 
 def base_v3_tasks(raw: DataFrame, tz: str) -> DataFrame:
     """Replica tasks: the typed column first, the payload text where it is NULL."""
-    doc = JsonDoc(
-        "raw_json",
+    parsed = with_json(
+        raw, "raw_json",
         scalars=["sortOrder", "timeZone", "isAllDay", "isFloating", "reminder", "priority", "progress", "repeatFlag",
                  "startDate", "dueDate", "repeatFirstDate", "completedTime", "parentId"],
         arrays=["tags", "childIds", "reminders"],
     )
+    doc = JsonDoc()
 
     def text(column: str, key: str | None = None) -> Column:
         value = blank_to_null(column)
@@ -125,12 +126,13 @@ def base_v3_tasks(raw: DataFrame, tz: str) -> DataFrame:
         "_completed_time": time("completed_time", "completedTime"), "created_time": time("created_time"),
         "modified_time": time("modified_time"), "updated_at": time("updated_at"),
     }
-    return raw.select(*[c.alias(name) for name, c in columns.items()])
+    return parsed.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def base_v3_projects(raw: DataFrame, tz: str) -> DataFrame:
-    doc = JsonDoc("raw_json", scalars=["sortOrder", "color", "permission", "closed"])
-    return raw.select(
+    parsed = with_json(raw, "raw_json", scalars=["sortOrder", "color", "permission", "closed"])
+    doc = JsonDoc()
+    return parsed.select(
         *_texts({"project_id": "project_id", "account_id": "account_id", "name": "project_name",
                  "group_id": "group_id", "kind": "kind", "view_mode": "view_mode", "etag": "etag"}),
         F.coalesce(safe_long("sort_order"), safe_long(doc.scalar("sortOrder"))).alias("sort_order"),
@@ -144,8 +146,9 @@ def base_v3_projects(raw: DataFrame, tz: str) -> DataFrame:
 
 
 def base_v3_groups(raw: DataFrame, tz: str) -> DataFrame:
-    doc = JsonDoc("raw_json", scalars=["deleted", "sortOrder", "viewMode"])
-    return raw.select(
+    parsed = with_json(raw, "raw_json", scalars=["deleted", "sortOrder", "viewMode"])
+    doc = JsonDoc()
+    return parsed.select(
         *_texts({"group_id": "group_id", "account_id": "account_id", "name": "group_name",
                  "sort_type": "sort_type", "etag": "etag"}),
         flag_from_int_or_json("deleted", doc.scalar("deleted")).alias("deleted"),

@@ -8,29 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasklens.config import Settings
-from tasklens.functions.dates import due_day_parts, weekday_name
+from tasklens.functions.dates import as_date, due_day_parts, weekday_name
 from tasklens.functions.links import link_columns
 from tasklens.functions.rules import DEFAULT_FOLDER, folder_key, normalize_folder, scope_bucket
 from tasklens.functions.text import clean_content, stable_label, streak_text, surrogate_key
+from tasklens.functions.typing import blank_to_null
 from tasklens.operators import metrics
-from tasklens.operators.keyed import lookup_join
-from tasklens.operators.series import calendar_cross, calendar_fill, date_spine
+from tasklens.operators.history import SCD_ID, UPDATED_AT
+from tasklens.operators.keyed import latest_by, lookup_join
+from tasklens.operators.series import calendar_cross, date_spine, spine_days
 from tasklens.operators.shapes import union_relations, unnest_tags_with_default
 from tasklens.plans import base, staging
 
 
 # First generation: full extracts and row versions.
 
+def latest_raw_version(raw_history: DataFrame) -> DataFrame:
+    """Newest version per id, picked before typing, so that dates and arrays are parsed for the kept rows only."""
+    keyed = raw_history.withColumn("_key", blank_to_null("id"))
+    return latest_by(keyed, ["_key"], [F.desc(UPDATED_AT), F.desc(SCD_ID)]).drop("_key")
+
+
 def fct_tasks(raw_tasks: DataFrame, raw_history: DataFrame, as_of_ts: dt.datetime | str, cfg: Settings) -> DataFrame:
     tasks = base.base_tasks(raw_tasks, cfg.timezone)
-    history = base.base_tasks_snapshot(raw_history, cfg.timezone)
-    return staging.staged_tasks(tasks, history, as_of_ts, cfg)
+    latest = base.base_tasks_snapshot(latest_raw_version(raw_history), cfg.timezone)
+    return staging.staged_tasks(tasks, latest, as_of_ts, cfg, only_latest=True)
 
 
 def dim_projects(raw_projects: DataFrame, raw_history: DataFrame, tasks: DataFrame, cfg: Settings) -> DataFrame:
     projects = base.base_projects(raw_projects)
-    history = base.base_projects_snapshot(raw_history, cfg.timezone)
-    return staging.staged_projects(projects, history, tasks)
+    latest = base.base_projects_snapshot(latest_raw_version(raw_history), cfg.timezone)
+    return staging.staged_projects(projects, latest, tasks, only_latest=True)
 
 
 def dim_folders(projects: DataFrame) -> DataFrame:
@@ -118,12 +126,24 @@ def due_workload_daily(tasks: DataFrame, projects: DataFrame, folders: DataFrame
                        cfg: Settings, until: dt.date | str | None = None) -> DataFrame:
     """Open tasks per calendar day and project, zeros included.
 
-    Counts need no project columns, so tasks are reduced to one row per day and project before they meet the catalog.
+    Tasks are counted per day and project, then packed into one map per project, which has at most one entry per calendar
+    day. The join is between projects and maps, row by row, and the calendar unfolds after it: the shuffle carries
+    projects, not projects times days. Since every project row becomes some ninety rows, projects are dealt over all
+    shuffle partitions, which adaptive execution would otherwise merge by their small size.
     `until` (excluded) is for readers of the first days only.
     """
-    calendar = calendar_cross(project_catalog(projects, folders, cfg), as_of, until=until)
-    counts = metrics.open_task_counts(tasks)
-    filled = calendar_fill(calendar, counts, ["due_date_day", "project_id"], "open_task_count")
+    due = F.col("due_date").cast("date")
+    last = F.element_at(spine_days(as_of), -1) if until is None else F.date_sub(F.lit(as_date(until)), 1)
+    counts = metrics.open_task_counts(tasks.filter(due.between(F.lit(as_date(as_of)), last)))
+    entry = F.struct("due_date_day", "open_task_count")
+    packed = counts.groupBy("project_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_counts"))
+    spark = projects.sparkSession
+    catalog = project_catalog(projects, folders, cfg).repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "project_id"
+    )
+    calendar = calendar_cross(catalog.join(packed, "project_id", "left"), as_of, until=until)
+    found = F.coalesce(F.col("_counts")[F.col("due_date_day")], F.lit(0)).cast("bigint")
+    filled = calendar.withColumn("open_task_count", found)
     return filled.select(
         surrogate_key("due_date_day", "project_id").alias("due_workload_daily_id"),
         "due_date_day", "due_date_week", "due_date_day_of_week_name", "due_date_month_num",

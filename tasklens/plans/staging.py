@@ -20,15 +20,16 @@ def with_work_type(tasks: DataFrame, cfg: Settings) -> DataFrame:
     return tasks.withColumn("gtd_work_type", work_type("tags", cfg.deep_tags, cfg.shallow_tags, cfg.categorise))
 
 
-def staged_tasks(tasks: DataFrame, history: DataFrame, as_of_ts: dt.datetime | str, cfg: Settings) -> DataFrame:
+def staged_tasks(tasks: DataFrame, history: DataFrame, as_of_ts: dt.datetime | str, cfg: Settings,
+                 only_latest: bool = False) -> DataFrame:
     """Tasks of the full extract with inferred completion, the load banner and the work type."""
-    inferred = infer_completion(tasks, history)
+    inferred = infer_completion(tasks, history, only_latest=only_latest)
     banner = next_load_banner(tasks, as_of_ts, cfg.load_interval)
     return with_work_type(inferred.unionByName(banner), cfg)
 
 
-def staged_projects(projects: DataFrame, history: DataFrame, tasks: DataFrame) -> DataFrame:
-    inferred = infer_project_completion(projects, history)
+def staged_projects(projects: DataFrame, history: DataFrame, tasks: DataFrame, only_latest: bool = False) -> DataFrame:
+    inferred = infer_project_completion(projects, history, only_latest=only_latest)
     return join_pulse(default_group(inferred), tasks)
 
 

@@ -230,7 +230,7 @@ class Tables:
             F.col("o_orderkey").alias("sortOrder"), F.lit("UTC").alias("timeZone"),
             (status == "O").alias("isAllDay"),
             F.substring(prio, 1, 1).cast("bigint").alias("priority"),
-            F.struct(F.lit(1).alias("nested")).alias("reminder"),
+            F.when(prio == "1-URGENT", F.struct(F.lit(1).alias("nested"))).alias("reminder"),
             F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss'.000+0000'").alias("dueDate"),
             F.transform("flags", lambda t: F.when(t == "N", F.lit(" ")).otherwise(t)).alias("tags"),
         ))
