@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tasklens import schemas
 
@@ -11,12 +12,21 @@ from tasklens import schemas
 ACCOUNT_IN_FILE_NAME = r"^(.*)__cp_-?\d+__"
 
 
-def read_deltas(spark: SparkSession, path: str, stream: bool = False, files_per_trigger: int | None = None) -> DataFrame:
-    """Polls with their account, in the columns of delta_columns."""
+def read_deltas(spark: SparkSession, path: str, stream: bool = False, files_per_trigger: int | None = None,
+                lines: bool = False) -> DataFrame:
+    """Polls with their account, in the columns of delta_columns.
+
+    By default a file is one JSON document and its name tells the account. With `lines`, files hold many polls, one per
+    line, each with an account_id: that is the form for archives of millions of polls, which Spark can also split.
+    """
     reader = spark.readStream if stream else spark.read
     if stream and files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    files = reader.schema(schemas.DELTA).option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
+    reader = reader.option("pathGlobFilter", "*.json")
+    if lines:
+        schema = StructType([*schemas.DELTA.fields, StructField("account_id", StringType())])
+        return delta_columns(reader.schema(schema).json(path))
+    files = reader.schema(schemas.DELTA).option("multiLine", True).json(path)
     name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     return delta_columns(files.withColumn("account_id", F.regexp_extract(name, ACCOUNT_IN_FILE_NAME, 1)))
 

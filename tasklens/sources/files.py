@@ -30,15 +30,14 @@ def read_replica(spark: SparkSession, path: str, entity: str) -> DataFrame:
 
 
 def write_replica(df: DataFrame, path: str, entity: str, account_id: str | None = None,
-                  accounts: DataFrame | None = None, files_per_account: int | None = None) -> None:
+                  accounts: DataFrame | None = None) -> None:
     """Replica snapshot, one folder per account; only the folders of the accounts written are replaced.
 
     account_id writes one account. `accounts` names all accounts to replace: each gets one extra row without a key, which
     reading drops, so that the folder of an account that lost its last row is replaced as well.
 
-    Rows of one account may be most of the table, so nothing is gathered per account: each task writes its own file for
-    each account it holds. Give files_per_account to spread every account over that many tasks first, which bounds the
-    number of files.
+    Rows are rebalanced by account, which keeps the number of files low; adaptive execution splits an account that is
+    too large for one task.
     """
     schema = schemas.REPLICA[entity]
     rows = df
@@ -48,9 +47,7 @@ def write_replica(df: DataFrame, path: str, entity: str, account_id: str | None
     rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     if accounts is not None:
         rows = rows.unionByName(accounts.select("account_id"), allowMissingColumns=True)
-    if files_per_account:
-        slot = F.pmod(F.xxhash64(schemas.REPLICA_KEY[entity]), F.lit(files_per_account))
-        rows = rows.repartition("account_id", slot)
+    rows = rows.hint("rebalance", F.col("account_id"))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

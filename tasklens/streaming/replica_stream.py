@@ -36,10 +36,10 @@ LIST_ENTITIES = ("projects", "groups")
 
 def start_merge(spark: SparkSession, in_dir: str, replica_dir: str, checkpoint_dir: str,
                 trigger: str = "availableNow", files_per_trigger: int | None = None,
-                emit_dir: str | None = None) -> StreamingQuery:
-    """Merge payload files into the replica. With emit_dir, accounts whose state changed are also written there as a
+                emit_dir: str | None = None, lines: bool = False) -> StreamingQuery:
+    """Merge payload files into the replica; `lines` is as in read_deltas. With emit_dir, accounts whose state changed are also written there as a
     Parquet snapshot. trigger is 'availableNow' or a processing interval such as '30 seconds'."""
-    polls = read_deltas(spark, in_dir, stream=True, files_per_trigger=files_per_trigger)
+    polls = read_deltas(spark, in_dir, stream=True, files_per_trigger=files_per_trigger, lines=lines)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         store_batch(batch, replica_dir, batch_id)

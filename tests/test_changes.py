@@ -154,7 +154,7 @@ def test_replica_overwrites_one_account_only(spark, tmp_path):
 
     path = str(tmp_path)
     write_replica(groups(("g", "a", "old"), ("h", "b", "stays")), path, "groups")
-    write_replica(groups(("g", "a", "new"), ("h", "b", "unseen")), path, "groups", account_id="a", files_per_account=2)
+    write_replica(groups(("g", "a", "new"), ("h", "b", "unseen")), path, "groups", account_id="a")
     assert as_dict(read_replica(spark, path, "groups"), "group_id", "name") == {("a", "g"): "new", ("b", "h"): "stays"}
 
 

@@ -60,7 +60,7 @@ def read_replica_parquet(t: Tables):
 @query("write_replica_parquet", _REPLICA_SQL)
 def write_replica_parquet(t: Tables):
     path = scratch_dir(t.spark)
-    write_replica(t.raw_tasks_v3, path, "tasks", files_per_account=4)
+    write_replica(t.raw_tasks_v3, path, "tasks")
     write_replica(t.raw_tasks_v3, path, "tasks", account_id="acc1")  # one account again, the others stay
     return _replica_columns(read_replica(t.spark, path, "tasks"))
 
@@ -97,10 +97,10 @@ def shape_habit_projects(t: Tables):
     return slim(t.raw_habit_projects, ["access"]).select("id", "name")
 
 
-def _write_polls(t: Tables) -> str:
-    """Polls as JSON lines, a few polls per file, called like the archive's files. One folder per account."""
+def _write_polls(t: Tables, files: int) -> str:
+    """Polls as JSON lines in a few files."""
     path = scratch_dir(t.spark)
-    t.polls.drop("account_id").write.json(path)
+    t.polls.repartitionByRange(files, "checkPoint").write.json(path)
     return path
 
 
@@ -108,13 +108,14 @@ def _write_polls(t: Tables) -> str:
     SELECT check_point, CAST(CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS BIGINT) AS updates,
         CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS BIGINT) AS deletes, changed AS state_changed FROM polls""")
 def stream_delta_source(t: Tables):
-    from tasklens.sources.deltas import delta_columns
-
-    path = _write_polls(t)
-    polls = t.spark.read.schema(schemas.DELTA).json(path).withColumn("account_id", F.lit("all"))
-    return delta_columns(polls).select(
-        "check_point", F.size("updates").cast("bigint").alias("updates"), F.size("deletes").cast("bigint").alias("deletes"),
-        "state_changed")
+    """A stream of the polls, written to a table as it comes."""
+    path = _write_polls(t, 4)
+    polls = read_deltas(t.spark, path, stream=True, files_per_trigger=2, lines=True)
+    rows = polls.select("check_point", F.size("updates").cast("bigint").alias("updates"),
+                        F.size("deletes").cast("bigint").alias("deletes"), "state_changed")
+    writer = rows.writeStream.format("parquet").option("path", f"{path}-out").option("checkpointLocation", f"{path}-state")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{path}-out")
 
 
 _MERGED_TASKS = """
@@ -289,38 +290,27 @@ def next_load_banner(t: Tables):
     return with_interval.unionByName(without).select("task_id", "title", "updated_time", "status")
 
 
-def _streamed(t: Tables, files: int) -> str:
-    """Run the stream over the polls written as files and return the replica folder."""
+def _streamed(t: Tables, emit: bool = False) -> str:
+    """Merge a stream of the polls, two files at a time, and return its folder."""
     root = scratch_dir(t.spark)
-    # One JSON document per file would mean a file per event; here each file is one account's poll list as JSON lines,
-    # read as a stream by the same columns.
-    t.polls.repartitionByRange(files, "checkPoint").write.json(f"{root}/in")
-    schema = "account_id string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.DELTA.fields)
-    from tasklens.sources.deltas import delta_columns
-    from tasklens.streaming.replica_stream import store_batch
-
-    polls = delta_columns(t.spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, files // 2)).json(f"{root}/in"))
-    writer = polls.writeStream.foreachBatch(lambda df, batch_id: store_batch(df, f"{root}/replica", batch_id))
-    q = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return f"{root}/replica"
+    polls = _write_polls(t, 4)
+    start_merge(t.spark, polls, f"{root}/replica", f"{root}/checkpoint", files_per_trigger=4 if emit else 2, lines=True,
+                emit_dir=f"{root}/emitted" if emit else None).awaitTermination()
+    return root
 
 
 @query("stream_replica_merge", """
     SELECT account_id, task_id, project_id, event_type AS title, k AS sort_order,
         CAST(CASE WHEN event_type = 'click' THEN 2 END AS BIGINT) AS status FROM last_ops WHERE event_type <> 'error'""")
 def stream_replica_merge(t: Tables):
-    return current_replica(t.spark, _streamed(t, 4), "tasks").select(*_TASK_COLUMNS[:-1])
+    return current_replica(t.spark, f"{_streamed(t)}/replica", "tasks").select(*_TASK_COLUMNS[:-1])
 
 
 @query("stream_emit_on_change", """
     SELECT account_id, task_id, event_type AS title FROM last_ops WHERE event_type <> 'error'""")
 def stream_emit_on_change(t: Tables):
-    from tasklens.streaming.replica_stream import emit_changed
-
-    path = _streamed(t, 4)
-    emit_changed(t.deltas, path, f"{path}/emitted")
-    return read_replica(t.spark, f"{path}/emitted", "tasks").select("account_id", "task_id", "title")
+    emitted = read_replica(t.spark, f"{_streamed(t, emit=True)}/emitted", "tasks")
+    return emitted.select("account_id", "task_id", "title")
 
 
 @query("stream_batch_stats", """
@@ -328,5 +318,5 @@ def stream_emit_on_change(t: Tables):
             AS updates_count,
         CAST(CASE WHEN event_type = 'purchase' THEN 2 END AS BIGINT) AS projects_count, changed AS state_updated FROM polls""")
 def stream_batch_stats(t: Tables):
-    return stream_stats(t.spark, _streamed(t, 4)).select(
+    return stream_stats(t.spark, f"{_streamed(t)}/replica").select(
         "account_id", "check_point", "updates_count", "projects_count", "state_updated")
