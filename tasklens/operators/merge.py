@@ -43,7 +43,9 @@ def replica_rows(rows: DataFrame, entity: str, merged_at: dt.datetime | str | No
     fields = schemas.PAYLOAD[entity]
     text_types = {"string", "timestamp", "flag"}
     ddl = ", ".join(f"{name} {'string' if kind in text_types else kind}" for name, kind in fields.values())
-    doc = F.from_json("raw_json", ddl)
+    # Its own step, so that the text is parsed once per row and not once per column.
+    parsed = rows.withColumn("_doc", F.from_json("raw_json", ddl))
+    doc = F.col("_doc")
 
     def typed(name: str, kind: str) -> Column:
         value = doc[name]
@@ -61,7 +63,7 @@ def replica_rows(rows: DataFrame, entity: str, merged_at: dt.datetime | str | No
         "raw_json": F.col("raw_json"),
         "updated_at": F.lit(merged_at).cast("timestamp"),
     }
-    return rows.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in schemas.REPLICA[entity].fields])
+    return parsed.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in schemas.REPLICA[entity].fields])
 
 
 def latest_lists(deltas: DataFrame, entity: str) -> DataFrame:

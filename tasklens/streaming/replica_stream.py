@@ -76,24 +76,29 @@ def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str) -> None:
     accounts = batch.filter("state_changed").select("account_id").distinct()
     if accounts.isEmpty():
         return
-    for entity, key in schemas.REPLICA_KEY.items():
-        rows = current_replica(spark, replica_dir, entity)
-        changed = lookup_join(rows, accounts, "account_id", spread=key, how="left_semi")
+    for entity in schemas.REPLICA_KEY:
+        changed = current_replica(spark, replica_dir, entity, accounts=accounts)
         write_replica(changed, emit_dir, entity, accounts=accounts)
 
 
 def current_replica(spark: SparkSession, replica_dir: str, entity: str,
-                    merged_at: dt.datetime | str | None = None) -> DataFrame:
-    """Rows of one entity as of the newest stored change."""
+                    merged_at: dt.datetime | str | None = None, accounts: DataFrame | None = None) -> DataFrame:
+    """Rows of one entity as of the newest stored change; with `accounts`, only theirs are read on after the scan."""
     if entity == "tasks":
-        newest = latest_task_ops(_stored(spark, replica_dir, "task_changes", TASK_CHANGES))
-        rows = newest.filter(F.col("phase") == UPSERT)
+        changes = _of_accounts(_stored(spark, replica_dir, "task_changes", TASK_CHANGES), accounts, "task_id")
+        rows = latest_task_ops(changes).filter(F.col("phase") == UPSERT)
     else:
-        lists = _stored(spark, replica_dir, f"{entity}_lists", LIST_CHANGES)
+        lists = _of_accounts(_stored(spark, replica_dir, f"{entity}_lists", LIST_CHANGES), accounts, "check_point")
         rows = list_rows(latest_by(lists, ["account_id"], [F.desc("check_point")]), entity)
     return replica_rows(rows, entity, merged_at)
 
 
+def _of_accounts(changes: DataFrame, accounts: DataFrame | None, spread: str) -> DataFrame:
+    if accounts is None:
+        return changes
+    return lookup_join(changes, accounts.select("account_id").distinct(), "account_id", spread, "left_semi")
+
+
 def stream_stats(spark: SparkSession, replica_dir: str) -> DataFrame:
     """Statistics of every poll, by batch."""
     return spark.read.parquet(f"{replica_dir}/stats")

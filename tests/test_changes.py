@@ -80,6 +80,47 @@ def test_batch_merge(spark, tmp_path):
     assert states == {"a": (checkpoint["a"], "idle"), "b": (checkpoint["b"], "success")}
 
 
+def test_account_names_survive_file_names(spark, tmp_path):
+    accounts = ["a b", "c+d", "e%41", "é", "x__cp_1__y"]
+    archive(tmp_path / "in", [(a, poll(5)) for a in accounts])
+    got = read_deltas(spark, str(tmp_path / "in")).select("account_id").collect()
+    assert sorted(r[0] for r in got) == sorted(accounts)
+
+
+def test_json_lines_archive(spark, tmp_path):
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(p | {"account_id": a}) for a, p in POLLS))
+    deltas = read_deltas(spark, str(tmp_path), lines=True)
+    merged = merge.merge_deltas(empty(spark, "tasks"), deltas, "tasks")
+    assert as_dict(merged, "task_id", "title") == replay(POLLS)[0]
+
+
+def test_hot_account(spark, tmp_path):
+    """One account sends most polls; few slices and no broadcast give the same answer."""
+    rng = random.Random(7)
+    polls = []
+    for checkpoint in range(1, 301):
+        account = "hot" if rng.random() < 0.8 else f"a{rng.randrange(3)}"
+        item = {"id": str(rng.randrange(4)), "title": str(checkpoint)}
+        polls.append((account, poll(checkpoint, [item], [{"taskId": str(rng.randrange(4))}] if rng.random() < 0.4 else [])))
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(p | {"account_id": a}) for a, p in polls))
+    deltas = read_deltas(spark, str(tmp_path), lines=True)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        merged = as_dict(merge.merge_deltas(empty(spark, "tasks"), deltas, "tasks"), "task_id", "title")
+        deleted = {s: merge.batch_stats(deltas, span=s).agg({"deletes_count": "sum"}).first()[0] for s in (7, 1000)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    live, removed = {}, 0
+    for account, p in polls:
+        for item in p["syncTaskBean"]["update"]:
+            live[account, item["id"]] = item["title"]
+        for item in p["syncTaskBean"]["delete"]:
+            removed += live.pop((account, item["taskId"]), None) is not None
+    assert merged == live
+    assert deleted == {7: removed, 1000: removed}
+
+
 def test_null_list_keeps_rows_and_empty_list_clears_them(spark, tmp_path):
     archive(tmp_path / "in", [("a", poll(7, projects=[], groups=None))])
     deltas = read_deltas(spark, str(tmp_path / "in"))

@@ -221,16 +221,15 @@ def account_purge(t: Tables):
     FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
     UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderstatus = 'O' THEN 'changed' ELSE o_orderstatus END,
         TIMESTAMP '1998-06-15 09:30:00', NULL, md5(CAST(o_orderkey AS VARCHAR) || '|1998-06-15 09:30:00')
-    FROM orders WHERE o_orderdate < TIMESTAMP '1998-06-15' AND o_orderstatus <> 'F'
-        AND (o_orderstatus <> 'P' OR o_orderdate >= TIMESTAMP '1998-01-01')""")
+    FROM orders WHERE o_orderstatus <> 'F' AND (o_orderstatus <> 'P' OR o_orderdate >= TIMESTAMP '1998-01-01')""")
 def scd2_snapshot(t: Tables):
-    """Two extracts: orders before 1998, then orders up to the day, without done ones and with changed open ones."""
+    """Two extracts: orders before 1998, then all orders but done ones, which are gone, with status O changed."""
     o = t.read("orders")
     row = [F.col("o_orderkey").cast("string").alias("task_id")]
     first = o.filter("o_orderdate < timestamp'1998-01-01'").select(*row, F.col("o_orderstatus").alias("state"))
     status = F.col("o_orderstatus")
     state = F.when(status == "O", F.lit("changed")).otherwise(status)
-    second = o.filter("o_orderdate < timestamp'1998-06-15' and o_orderstatus <> 'F'").select(*row, state.alias("state"))
+    second = o.filter("o_orderstatus <> 'F'").select(*row, state.alias("state"))
     versions = history.snapshot(None, first, "task_id", "1998-01-01 00:00:00")
     versions = history.snapshot(versions, second, "task_id", "1998-06-15 09:30:00")
     return versions.select("task_id", "state", "dbt_valid_from", "dbt_valid_to", "dbt_scd_id")
