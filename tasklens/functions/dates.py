@@ -14,6 +14,11 @@ def as_date(value: dt.date | str) -> dt.date:
     return dt.date.fromisoformat(value) if isinstance(value, str) else value
 
 
+def wall_time(value: dt.datetime | str) -> Column:
+    """Literal of a wall-clock time. It goes by its text, so no zone can shift it."""
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def sunday_week(day: Column) -> Column:
     return F.date_sub(day, F.dayofweek(day) - 1)
 

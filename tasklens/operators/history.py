@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tasklens.functions.dates import wall_time
 from tasklens.functions.rules import DONE, OPEN, SENTINEL_TASK
 from tasklens.operators.keyed import latest_by
 
@@ -22,7 +23,7 @@ def snapshot(history: DataFrame | None, current: DataFrame, key: str, run_ts: dt
     A new key opens a version, a changed row closes its open version and opens another, a missing key closes its version.
     'check' compares all columns; 'timestamp' compares the column updated_at, which then also dates the versions.
     """
-    now = F.lit(run_ts).cast("timestamp_ntz")
+    now = wall_time(run_ts)
     stamp = F.col(f"new.{updated_at}").cast("timestamp_ntz") if strategy == "timestamp" else now
     payload = [c for c in current.columns if c != key]
 
@@ -112,7 +113,7 @@ def next_load_banner(open_rows: DataFrame, as_of_ts: dt.datetime | str, load_int
     title = F.col("title")
     if load_interval:
         due = F.date_trunc("minute", F.col("_completed_time")) + F.make_interval(mins=F.lit(int(load_interval)))
-        now = F.date_trunc("minute", F.lit(as_of_ts).cast("timestamp_ntz"))
+        now = F.date_trunc("minute", wall_time(as_of_ts))
         minutes = F.timestamp_diff("MINUTE", now.cast("timestamp_ntz"), due.cast("timestamp_ntz"))
         # The two banner texts.
         soon = F.concat(F.lit("🏗️ in "), minutes.cast("string"), F.lit(" minutes"))

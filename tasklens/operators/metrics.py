@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tasklens.functions.dates import due_day_parts
+from tasklens.functions.dates import due_day_parts, wall_time
 from tasklens.functions.links import NATIVE, WEB, folder_path, project_path, task_path
 from tasklens.functions.rules import DONE, is_open
 from tasklens.functions.text import surrogate_key
@@ -26,7 +26,7 @@ def metric(name: str, grain: str = "task", as_of: dt.datetime | str | None = Non
     if name == "count":
         return F.count_distinct(GRAIN_ID[grain])
     if name == "overdue_tasks":
-        late = (F.col("due_date") < F.lit(as_of).cast("timestamp_ntz")) & is_open()
+        late = (F.col("due_date") < wall_time(as_of)) & is_open()
         return F.count_distinct(F.when(late, F.col("task_id")))
     if name == "completion_rate":
         return F.try_divide(F.count_distinct(done), F.count("task_id"))

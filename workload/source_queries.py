@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tasklens import schemas
+from tasklens.functions.typing import to_local_datetime
 from tasklens.operators import history, merge
 from tasklens.sources import add_inbox, drop_meta, read_deltas, read_jsonl, read_replica, slim, write_jsonl, write_replica
 from tasklens.streaming import current_replica, start_merge, stream_stats
@@ -22,7 +23,7 @@ def read_jsonl_source(t: Tables):
     write_jsonl(t.raw_tasks, path)
     tasks = read_jsonl(t.spark, path, schemas.TASKS)
     tags = F.concat_ws(",", F.transform("tags", lambda x: F.when(x == " ", F.lit("N")).otherwise(x)))
-    return tasks.select("id", "title", "sortOrder", "isAllDay", F.col("dueDate").cast("timestamp_ntz").alias("dueDate"),
+    return tasks.select("id", "title", "sortOrder", "isAllDay", to_local_datetime("dueDate", "UTC").alias("dueDate"),
                         F.when(F.col("tags").isNotNull(), tags).alias("tags"))
 
 
@@ -47,7 +48,7 @@ _REPLICA_SQL = """
 
 
 def _replica_columns(df):
-    return df.select("account_id", "task_id", "title", "status", F.col("due_date").cast("timestamp_ntz").alias("due_date"))
+    return df.select("account_id", "task_id", "title", "status", to_local_datetime("due_date", "UTC").alias("due_date"))
 
 
 @query("read_replica_parquet", _REPLICA_SQL)

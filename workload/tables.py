@@ -23,6 +23,13 @@ HABIT_DAY = dt.date(2024, 1, 30)
 CFG = Settings(timezone="Asia/Ho_Chi_Minh", categorise=True, deep_tags=("A",), scope_word="7")
 
 
+def utc(c: Column | str) -> Column:
+    """Instant of a wall-clock column that holds UTC, as all times of the test tables do, in any session zone."""
+    wall = F.col(c) if isinstance(c, str) else c
+    moved = F.convert_timezone(F.lit("UTC"), F.current_timezone(), wall)
+    return F.when(F.current_timezone() == "UTC", wall.cast("timestamp")).otherwise(moved.cast("timestamp"))
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -159,9 +166,9 @@ class Tables:
             F.substring("o_orderpriority", 1, 1).cast("bigint").alias("priority"),
             F.lit(0).cast("bigint").alias("status"),
             (F.col("o_orderstatus") == "P").alias("isAllDay"),
-            F.date_sub(F.col("o_orderdate").cast("date"), 1).cast("timestamp").alias("startDate"),
-            F.col("o_orderdate").cast("timestamp").alias("dueDate"),
-            F.col("ship").cast("timestamp").alias("completedTime"),
+            utc(F.col("o_orderdate") - F.expr("interval 1 day")).alias("startDate"),
+            utc("o_orderdate").alias("dueDate"),
+            utc("ship").alias("completedTime"),
         ]
 
     @cached_property
@@ -169,8 +176,8 @@ class Tables:
         """A task version per line item; versions of lines with status F have ended."""
         lines = self.read("lineitem").withColumnRenamed("l_orderkey", "o_orderkey").withColumn("ship", F.col("l_shipdate"))
         rows = lines.join(self.read("orders"), "o_orderkey")
-        since = F.col("l_shipdate").cast("timestamp")
-        ended = (F.col("l_shipdate") + F.expr("interval 1 day")).cast("string")
+        since = utc("l_shipdate")
+        ended = F.concat((F.col("l_shipdate") + F.expr("interval 1 day")).cast("string"), F.lit("Z"))
         version = F.concat_ws("-", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
         return rows.select(
             *self._raw_task_columns(),
@@ -203,8 +210,8 @@ class Tables:
     def raw_projects_history(self) -> DataFrame:
         """A project version per order; versions of orders with status F have ended."""
         rows = self.read("orders").join(self.read("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        since = F.col("o_orderdate").cast("timestamp")
-        ended = (F.col("o_orderdate") + F.expr("interval 30 days")).cast("string")
+        since = utc("o_orderdate")
+        ended = F.concat((F.col("o_orderdate") + F.expr("interval 30 days")).cast("string"), F.lit("Z"))
         return rows.select(
             *self._raw_project_columns(),
             F.col("o_orderkey").cast("string").alias("dbt_scd_id"),
@@ -235,7 +242,7 @@ class Tables:
             F.transform("flags", lambda t: F.when(t == "N", F.lit(" ")).otherwise(t)).alias("tags"),
         ))
         none = F.lit(None)
-        ship = F.col("ship").cast("timestamp")
+        ship = utc("ship")
         return o.select(
             F.col("o_orderkey").cast("string").alias("task_id"),
             F.concat(F.lit("acc"), F.substring("o_orderpriority", 1, 1)).alias("account_id"),
@@ -251,11 +258,11 @@ class Tables:
             F.when(prio == "4-NOT SPECIFIED", F.lit(1)).when(prio != "5-LOW", F.lit(0)).cast("bigint").alias("deleted"),
             none.cast("bigint").alias("progress"),
             none.cast("timestamp").alias("start_date"),
-            F.when(status != "P", F.col("o_orderdate").cast("timestamp")).alias("due_date"),
+            F.when(status != "P", utc("o_orderdate")).alias("due_date"),
             F.lit("").alias("repeat_flag"), none.cast("timestamp").alias("repeat_first_date"),
             ship.alias("completed_time"), none.cast("string").alias("completed_user_id"),
             F.col("o_custkey").alias("creator"), F.lit("").alias("parent_id"),
-            F.col("o_orderdate").cast("timestamp").alias("created_time"),
+            utc("o_orderdate").alias("created_time"),
             (ship + F.expr("interval 1 hour")).alias("modified_time"),
             F.lit("TEXT").alias("kind"), F.lit("").alias("column_id"), F.lit("e").alias("etag"),
             payload.alias("raw_json"), none.cast("timestamp").alias("updated_at"),
@@ -272,7 +279,7 @@ class Tables:
             F.when(~in_debt, machinery.cast("bigint")).alias("closed"),
             F.lit(None).cast("bigint").alias("sort_order"),
             F.lit("TASK").alias("kind"), F.lit("list").alias("view_mode"),
-            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("modified_time"), F.lit("e").alias("etag"),
+            F.lit("2024-01-01 00:00:00Z").cast("timestamp").alias("modified_time"), F.lit("e").alias("etag"),
             F.to_json(F.struct(F.col("c_custkey").alias("sortOrder"), F.col("c_mktsegment").alias("color"),
                                F.lit("").alias("permission"), machinery.alias("closed"))).alias("raw_json"),
             F.lit(None).cast("timestamp").alias("updated_at"),
@@ -352,7 +359,7 @@ class Tables:
         due = F.struct(
             F.lit(True).alias("is_recurring"), F.lit("en").alias("lang"), none.cast("string").alias("timezone"),
             F.lit("every day").alias("string"),
-            F.date_format("last", "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
+            F.date_format("last", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
         )
         described = F.concat(F.lit("**Current streak:** "), F.col("n").cast("string"), F.lit(" days"))
         return users.select(
@@ -364,8 +371,8 @@ class Tables:
             F.lit(0).cast("bigint").alias("note_count"), F.lit(1).cast("bigint").alias("day_order"),
             F.lit(1).cast("bigint").alias("child_order"), F.lit(False).alias("checked"),
             F.lit(False).alias("is_collapsed"), F.lit(False).alias("is_deleted"),
-            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("added_at"),
-            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("updated_at"),
+            F.lit("2024-01-01 00:00:00Z").cast("timestamp").alias("added_at"),
+            F.lit("2024-01-01 00:00:00Z").cast("timestamp").alias("updated_at"),
             F.array(F.lit("daily")).alias("labels"), due.alias("due"),
         )
 
@@ -379,7 +386,7 @@ class Tables:
             F.col("user_id").cast("string").alias("task_id"), (F.col("user_id") % 30).cast("string").alias("project_id"),
             none.cast("string").alias("section_id"), F.concat(F.lit("done @"), F.col("props")).alias("content"),
             none.cast("string").alias("meta_data"), none.cast("string").alias("item_object"),
-            F.date_trunc("second", "ts").cast("timestamp").alias("completed_at"),
+            utc(F.date_trunc("second", "ts").cast("timestamp_ntz")).alias("completed_at"),
             F.array().cast("array<string>").alias("notes"),
         )
 
@@ -390,7 +397,7 @@ class Tables:
         made = {
             "id": F.col("n_nationkey").cast("string"), "name": F.col("n_name"),
             "default_order": F.col("n_regionkey").cast("bigint"), "color": F.lit("red"),
-            "created_at": F.lit("2024-01-01 00:00:00").cast("timestamp"),
+            "created_at": F.lit("2024-01-01 00:00:00Z").cast("timestamp"),
         }
         kinds = {"creator_uid": "bigint", "child_order": "bigint", "updated_at": "timestamp"}
         flags = {"is_collapsed", "inbox_project", "is_shared", "is_deleted", "public_access", "is_archived", "is_frozen",

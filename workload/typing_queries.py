@@ -10,7 +10,7 @@ from tasklens.operators import shapes
 from tasklens.plans import base, marts, staging
 from workload.ctes import label, sunday
 from workload.registry import query
-from workload.tables import CFG, Tables
+from workload.tables import CFG, Tables, utc
 
 TZ = CFG.timezone
 
@@ -95,7 +95,7 @@ def base_habit_archived(t: Tables):
     SELECT event_id, ts + INTERVAL 7 HOUR AS local_ts, ts - INTERVAL 5 HOUR AS new_york FROM events""")
 def to_local_datetime(t: Tables):
     return t.read("events").select(
-        "event_id", typing.to_local_datetime(F.col("ts").cast("timestamp"), TZ).alias("local_ts"),
+        "event_id", typing.to_local_datetime(utc("ts"), TZ).alias("local_ts"),
         typing.utc_to_local_datetime("ts", "America/New_York").alias("new_york"))
 
 
