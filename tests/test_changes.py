@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import random
 
@@ -246,6 +247,11 @@ def test_completion_inference(spark):
     def title(now, interval):
         return history.next_load_banner(open_rows, now, interval).first()["title"]
 
+    try:  # a clock time is not moved by the session zone
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert title(dt.datetime(2024, 1, 1, 10, 5, 59), 15) == "🏗️ in 10 minutes"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert title("2024-01-01 10:05:59", 15) == "🏗️ in 10 minutes"
     assert title("2024-01-01 10:15:00", 15) == "🟢 now"
     assert title("2024-01-01 10:05:59", None) == "load"

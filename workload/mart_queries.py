@@ -9,10 +9,10 @@ from tasklens.operators.metrics import metric
 from tasklens.plans import explore, marts, panels
 from workload.ctes import AS_OF as DAY
 from workload.ctes import HABIT_DAY as HDAY
-from workload.ctes import key, label, sunday
-from workload.operator_queries import _RANKED_SQL, _WEEKS, model
+from workload.ctes import label
+from workload.operator_queries import _WEEKS, model
 from workload.registry import query
-from workload.tables import AS_OF, AS_OF_TS, CFG, HABIT_DAY, Tables
+from workload.tables import AS_OF, CFG, HABIT_DAY, Tables
 
 _V1_ARRAYS = "array_to_string(tags, ',') AS tags, array_to_string(reminders, ',') AS reminders"
 

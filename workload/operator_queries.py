@@ -7,10 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tasklens.operators import keyed, metrics, series, shapes
-from tasklens.plans import base, explore, marts, panels, staging
+from tasklens.plans import base, explore, marts, panels
 from workload.ctes import AS_OF as DAY
-from workload.ctes import HABIT_DAY as HDAY
-from workload.ctes import key
 from workload.registry import query
 from workload.tables import AS_OF, AS_OF_TS, CFG, HABIT_DAY, Tables
 
