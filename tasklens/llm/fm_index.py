@@ -12,11 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasklens.llm.hashing import WordHashes
+from tasklens.llm.hashing import word_hashes
 
 # Lower-case A-Z; keep a-z, 0-9 and every byte above 127; the rest separates words.
 _WORD_BYTES = bytes(
@@ -49,7 +48,7 @@ class WaveletMatrix:
     def __init__(self, symbols: np.ndarray, largest: int):
         self.levels = []
         for bit in range(max(1, int(largest).bit_length()) - 1, -1, -1):
-            ones = (symbols >> bit) & 1 == 1
+            ones = (symbols & np.int32(1 << bit)) != 0
             vector = BitVector(ones)
             zeros = len(symbols) - int(vector.before[-1])
             self.levels.append((bit, vector, zeros))
@@ -122,7 +121,7 @@ class FMIndex:
         symbols = np.where(is_word, text - len(docs) + 1, 0)  # for the index, all separators are symbol 0
         self.before = np.cumsum(np.bincount(symbols, minlength=len(self.vocabulary) + 1))
         self.before = np.concatenate([[0], self.before])  # symbols smaller than the symbol
-        self.wavelet = WaveletMatrix(symbols[order - 1], len(self.vocabulary))
+        self.wavelet = WaveletMatrix(symbols.astype(np.int32)[order - 1], len(self.vocabulary))
         sampled = np.zeros(self.size, bool)
         sampled[::sample] = True
         sampled[self.starts] = True  # so a walk never crosses a separator
@@ -169,7 +168,7 @@ class Windows:
         pairs: set[tuple[int, int]] = set()
         self.names: list[str] = []
         for name, text in items:
-            coded = [xxhash.xxh3_64_intdigest(w) for w in words_of(text)]
+            coded = word_hashes(words_of(text)).tolist()
             if not coded:
                 continue
             self.names.append(name)
@@ -230,7 +229,7 @@ _COLUMNS = "doc_id long, text string, n_words long, items array<string>, spans a
 
 def _search(windows, shard_words: int, sample: int, keep_text: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, search = WordHashes(), windows.value
+        search = windows.value
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
         def flush(rows):
@@ -250,7 +249,7 @@ def _search(windows, shard_words: int, sample: int, keep_text: bool):
                        batch.column("items").to_pylist(), batch.column("spans").to_pylist()]
             for doc_id, text, items, spans in zip(*columns, strict=True):
                 words = words_of(text)
-                rows.append((doc_id, text, memo.of(words), items, [[s["start"], s["end"]] for s in spans]))
+                rows.append((doc_id, text, word_hashes(words), items, [[s["start"], s["end"]] for s in spans]))
                 size += len(words)
                 if size >= shard_words:
                     yield flush(rows)

@@ -8,21 +8,9 @@ import xxhash
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    """64-bit hash per word, remembered; forgets everything when full, so memory stays bounded."""
-
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hash of each word."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasklens.llm.hashing import WordHashes, run_hashes
+from tasklens.llm.hashing import run_hashes, word_hashes
 from tasklens.llm.staging import materialize
 
 
@@ -32,13 +32,12 @@ def _window_anchors(hashes: np.ndarray, length: int, seed: int) -> tuple[np.ndar
 
 def _find_anchors(length: int, seed: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         for batch in batches:
             rows, places, anchors = [], [], []
             for row, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
                 words = text.split() if text else []
                 if len(words) >= length:
-                    at, seeds = _window_anchors(memo.of(words), length, seed)
+                    at, seeds = _window_anchors(word_hashes(words), length, seed)
                     at = at[np.concatenate([[True], at[1:] != at[:-1]])]
                     rows.append(np.full(len(at), row))
                     places.append(at)
@@ -77,7 +76,6 @@ def _extend(length: int, seed: int, digest: bool):
     """Documents without a shared anchor are done. The others give all windows around their shared anchors."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         window = pa.struct([("start", pa.int32()), ("hash", pa.int64())])
         for batch in batches:
             n_words, kept, texts, counts, starts, hashes = [], [], [], [0], [], []
@@ -90,7 +88,7 @@ def _extend(length: int, seed: int, digest: bool):
                     texts.append(None)
                     counts.append(counts[-1])
                     continue
-                coded = memo.of(words)
+                coded = word_hashes(words)
                 at, _ = _window_anchors(coded, length, seed)
                 shared = np.zeros(len(words), bool)
                 shared[places.values.to_numpy()] = True
