@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasklens.llm.fm_index import find_contamination
+from tasklens.llm.near_dedup import near_duplicates
 from tasklens.llm.staging import table
 from tasklens.llm.substring_dedup import remove_repeats
 
@@ -39,3 +40,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), digest=True)
     return cut.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+@query("op3_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
