@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tasklens.llm.fm_index import find_contamination
 from tasklens.llm.near_dedup import near_duplicates
+from tasklens.llm.rules import quality_scores
 from tasklens.llm.staging import table
 from tasklens.llm.substring_dedup import remove_repeats
 
@@ -45,3 +46,17 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def bucket_of(doc_id: str, buckets: int):
+    """crc32 of the id as text, modulo the number of buckets: the stated folds."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % buckets
+
+
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").filter(bucket_of("doc_id", 5) != 0)
+    scored = quality_scores(table(spark, sf_dir, "documents", "doc_id", "text"), labels)
+    return scored.select(
+        "doc_id", F.coalesce(bucket_of("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
