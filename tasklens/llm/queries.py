@@ -11,6 +11,7 @@ from tasklens.llm.fm_index import find_contamination
 from tasklens.llm.near_dedup import near_duplicates
 from tasklens.llm.rules import quality_scores
 from tasklens.llm.staging import table
+from tasklens.llm.string_kernel import toxicity_scores
 from tasklens.llm.substring_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +61,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", F.coalesce(bucket_of("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").filter(bucket_of("doc_id", 5) != 0)
+    scored = toxicity_scores(table(spark, sf_dir, "documents", "doc_id", "text"), labels)
+    return scored.select(
+        "doc_id", F.coalesce(bucket_of("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
