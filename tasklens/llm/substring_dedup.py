@@ -3,7 +3,8 @@
 A window is `length` consecutive words. Each has one anchor, the smallest hash among its runs of `seed` words, so two
 equal windows have equal anchors at equal places. Only anchors found more than once are extended: every window around
 such an anchor, from the one that ends with it to the one that starts with it, is matched against the windows of the
-other places with that anchor. A maximal repeat is a union of overlapping repeated windows.
+other places with that anchor. Those that are found once only are struck out; that costs one shuffle, as a group of one
+says where it stands. A maximal repeat is a union of overlapping repeated windows.
 """
 
 from __future__ import annotations
@@ -119,10 +120,13 @@ def _finish(length: int, digest: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, removed, kept, repeats = [], [], [], []
-            columns = zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("starts"), strict=True)
-            for text, starts in columns:
+            columns = zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("start"),
+                          batch.column("alone"), strict=True)
+            for text, starts, alone in columns:
                 words = text.split()
-                at = starts.values.to_numpy() if starts.is_valid else np.empty(0, np.int32)
+                at = starts.values.to_numpy()
+                if alone.is_valid:
+                    at = at[~np.isin(at, alone.values.to_numpy())]
                 rest, spans = _remove(words, at, length)
                 n_words.append(len(words))
                 removed.append(len(words) - len(rest))
@@ -162,11 +166,12 @@ def remove_repeats(docs: DataFrame, length: int = 35, seed: int = 8, id_col: str
         .mapInArrow(_extend(length, seed, digest), _EXTENDED))
     windows = extended.filter("text is not null").select("doc_id", "text_hash", F.explode("windows").alias("w")).select(
         "doc_id", "text_hash", "w.start", "w.hash")
-    repeated = windows.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    starts = windows.join(repeated, "hash", "left_semi").groupBy("doc_id", "text_hash").agg(
-        F.collect_set("start").alias("starts"))
-    open_docs = _by_document(extended.filter("text is not null").select("doc_id", "text_hash", "text"), starts)
-    finished = open_docs.select("doc_id", "text", "starts").mapInArrow(_finish(length, digest), _RESULT)
+    single = windows.groupBy("hash").agg(
+        F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("doc_id", "text_hash", "start"))).filter("n = 1")
+    alone = single.groupBy("doc_id", "text_hash").agg(F.collect_list("start").alias("alone"))
+    found = extended.filter("text is not null").select("doc_id", "text_hash", "text", "windows.start")
+    finished = _by_document(found, alone).select("doc_id", "text", "start", "alone").mapInArrow(
+        _finish(length, digest), _RESULT)
     done = extended.filter("text is null").select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept",
         F.array().cast("array<struct<start:int,end:int>>").alias("repeats"))
