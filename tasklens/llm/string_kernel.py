@@ -79,19 +79,26 @@ class Landmarks:
     def kernel(self, words: list[str]) -> np.ndarray:
         """Kernel of each word with each landmark; that of a long word is the largest of its pieces'."""
         result = np.zeros((len(words), self.table.shape[1]), np.float32)
-        by_length: dict[int, list[tuple[int, str]]] = {}
+        whole: dict[int, list[tuple[int, str]]] = {}
+        split: dict[int, list[tuple[int, str]]] = {}
         for row, word in enumerate(words):
-            for piece in pieces(word):
+            parts = pieces(word)
+            by_length = whole if len(parts) == 1 else split
+            for piece in parts:
                 if len(piece) >= 3:
                     by_length.setdefault(len(piece), []).append((row, piece))
-        for length, found in by_length.items():
-            for i in range(0, len(found), 2048):
-                rows, part = zip(*found[i: i + 2048], strict=True)
+        for length, found in [*whole.items(), *split.items()]:
+            for i in range(0, len(found), 512):
+                rows, part = zip(*found[i: i + 512], strict=True)
                 codes, weight, norm = subsequences(list(part), length, self.decay)
                 value = np.zeros((len(part), self.table.shape[1]), np.float32)
                 for t in range(codes.shape[1]):
                     value += weight[t] * self.table[codes[:, t]]
-                np.maximum.at(result, np.array(rows), value / norm[:, None])
+                value /= norm[:, None]
+                if found is whole.get(length):
+                    result[list(rows)] = value
+                else:
+                    np.maximum.at(result, np.array(rows), value)
         return result**self.power
 
 
