@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasklens.llm.fm_index import find_contamination
+from tasklens.llm.merkle import fingerprints
 from tasklens.llm.near_dedup import near_duplicates
 from tasklens.llm.rules import quality_scores
+from tasklens.llm.secret_scan import KINDS, scan_secrets
+from tasklens.llm.secret_scan import written as spans_as_text
 from tasklens.llm.staging import table
 from tasklens.llm.string_kernel import toxicity_scores
 from tasklens.llm.substring_dedup import remove_repeats
@@ -70,3 +73,20 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", F.coalesce(bucket_of("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op5_merkle_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return made.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query("op10_secret_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    count = [(F.size("base") - F.size(F.array_remove(kinds, F.lit(k)))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    return found.select("doc_id", *count, F.sha2(spans_as_text(F.col("base")), 256).alias("base_sha256"),
+                        spans_as_text(F.col("spans")).alias("spans"))
