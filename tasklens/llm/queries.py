@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasklens.llm.fm_index import find_contamination
+from tasklens.llm.language import identify_languages
+from tasklens.llm.lm_score import cross_entropy_difference
 from tasklens.llm.merkle import fingerprints
 from tasklens.llm.near_dedup import near_duplicates
+from tasklens.llm.packing import pack
 from tasklens.llm.rules import quality_scores
 from tasklens.llm.secret_scan import KINDS, scan_secrets
 from tasklens.llm.secret_scan import written as spans_as_text
@@ -90,3 +93,25 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = [(F.size("base") - F.size(F.array_remove(kinds, F.lit(k)))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
     return found.select("doc_id", *count, F.sha2(spans_as_text(F.col("base")), 256).alias("base_sha256"),
                         spans_as_text(F.col("spans")).alias("spans"))
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = identify_languages(docs, docs.filter(bucket_of("doc_id", 4) != 2))
+    return found.select("doc_id", F.coalesce(bucket_of("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score")
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op1_lm_scoring")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled as good are the target."""
+    good = table(spark, sf_dir, "labels", "doc_id", "quality").filter("quality = 1").select("doc_id").distinct()
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").join(
+        good.withColumn("target", F.lit(True)), "doc_id", "left")
+    return cross_entropy_difference(docs, "target")
