@@ -1,9 +1,90 @@
-"""Pipeline over documents (stages follow)."""
-from tasklens.llm.staging import table
+"""From raw documents to packed training batches, in five stages.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and all that the one before has kept. All but the last return the columns that
+they were given. Rows that share an id and a text stand or fall together; rows with a null id are never near-duplicates.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tasklens.llm.fm_index import cut_words, find_contamination
+from tasklens.llm.near_dedup import near_duplicates
+from tasklens.llm.packing import pack
+from tasklens.llm.queries import bucket_of
+from tasklens.llm.rules import accepted
+from tasklens.llm.secret_scan import masked, scan_secrets
+from tasklens.llm.staging import materialize, table
+
+_KEY, _FOUND = "__row_key", "__found"
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble, fitted to the labels of these documents, scores at 0.3 or more."""
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").filter(bucket_of("doc_id", 5) != 0)
+    return accepted(docs, labels, least=0.3)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    gone = near_duplicates(docs).filter("doc_id is not null and not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words that lie in a window of a benchmark item. A text of which no word is left goes."""
+    items = table(spark, sf_dir, "benchmark", "item_id", "text")
+    keyed = docs.withColumn(_KEY, F.xxhash64("doc_id", "text"))
+    hits = find_contamination(keyed, items, id_col=_KEY).filter(F.size("spans") > 0)
+    cut = _with_found(keyed, hits.select(F.col("doc_id").alias(_KEY), F.col("spans").alias(_FOUND)))
+    text = F.when(F.col(_FOUND).isNull(), F.col("text")).otherwise(cut_words(F.col("text"), F.col(_FOUND)))
+    return _retexted(cut, text, docs.columns).filter(F.col("text").isNull() | (F.col("text") != "") | (F.col("n_chars") > 0))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with every secret replaced by a mark."""
+    keyed = docs.withColumn(_KEY, F.xxhash64("doc_id", "text"))
+    hits = scan_secrets(keyed, id_col=_KEY).filter(F.size("spans") > 0)
+    found = _with_found(keyed, hits.select(F.col("doc_id").alias(_KEY), F.col("spans").alias(_FOUND)))
+    text = F.when(F.col(_FOUND).isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col(_FOUND)))
+    return _retexted(found, text, docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bucket and batch of every document."""
+    return pack(docs)
+
+
+def _with_found(keyed: DataFrame, found: DataFrame) -> DataFrame:
+    return keyed.join(found.dropDuplicates([_KEY]), _KEY, "left")
+
+
+def _retexted(rows: DataFrame, text, columns: list[str]) -> DataFrame:
+    """The given columns, with the new text; n_chars follows where the text changes."""
+    new = rows.withColumn("__text", text)
+    if "n_chars" in columns:
+        same = F.col("__text").eqNullSafe(F.col("text"))
+        new = new.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("__text").cast("long")))
+    return new.withColumn("text", F.col("__text")).select(columns)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mask_secrets", mask_secrets),
+    ("packing", packing),
+]
+
+# The rule ensemble is fitted, and packing needs dynamic programming: SQL can't say either. The tests hold the stages
+# against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return table(spark, sf_dir, "documents")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written to the shared folder before the next."""
+    docs = table(spark, sf_dir, "documents", "*")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

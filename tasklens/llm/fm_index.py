@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasklens.llm.hashing import word_hashes
@@ -299,3 +299,15 @@ def find_contamination(docs: DataFrame, items: DataFrame, length: int = 10, id_c
         rows = rows.select("doc_id", "text", "items", "spans").mapInArrow(
             _search(block, shard_words, sample, block is not blocks[-1]), _COLUMNS)
     return rows.select("doc_id", "n_words", "items", "spans")
+
+
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+
+
+def cut_words(text: Column, spans: Column) -> Column:
+    """The text without the words in the spans and without what stands before each of them; empty if no word is left."""
+    pieces = F.regexp_extract_all(text, F.lit(_GAP + "*+" + _WORD), F.lit(0))
+    kept = F.filter(pieces, lambda piece, i: ~F.exists(spans, lambda s: (s["start"] <= i) & (i < s["end"])))
+    tail = F.regexp_extract(text, _GAP + "*$", 0)
+    return F.when(F.size(kept) == 0, F.lit("")).otherwise(F.concat(F.array_join(kept, ""), tail))

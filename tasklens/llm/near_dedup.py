@@ -123,6 +123,20 @@ def _likely(coordinates: int, agree: int):
     return task
 
 
+def _near_hub(agree: int):
+    """Pairs of a hub and a set with enough equal tokens."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+                    for c in ("tokens", "hub_tokens"))
+            near = (a == b).sum(axis=1) >= agree
+            ids = np.stack([batch.column("hub").to_numpy()[near], batch.column("doc_id").to_numpy()[near]], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(list(ids), pa.list_(pa.int64()))], ["members"])
+
+    return task
+
+
 def linked_parts(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Smallest member of each part of the sets, where pairs of at least this similarity are linked. Exact."""
     label, sizes = np.arange(len(sets)), np.array([len(s) for s in sets])
@@ -174,7 +188,7 @@ def _confirm(words: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, trees: int = 4, branches: int = 2,
-                    coordinates: int = 64, node_docs: int = 1024, node_shingles: int = 4_000_000,
+                    coordinates: int = 64, node_docs: int = 4096, node_shingles: int = 4_000_000,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups of documents tied by links of at least `percent` Jaccard similarity of their word shingles.
 
@@ -190,7 +204,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, trees: i
     a million in a node split once, and about once in a million in one split many times. Equal tokens of at least
     `coordinates` times `percent`, less five standard deviations, make a pair worth its full comparison. A node has at
     most `node_docs` sets and `node_shingles` shingles, or two sets. In a larger one all sets are compared with one of
-    them; a node whose sets are all tied to it is done, and any other is split again.
+    them, first by tokens; a node whose sets are all tied to it is done, and any other is split again.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = materialize(rows.mapInArrow(_sign(words, coordinates), _SIGNED))
@@ -216,8 +230,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, trees: i
         large = sized.filter(~small)
         if large.isEmpty():
             break
-        stars = large.filter("doc_id <> hub").select(F.array("hub", "doc_id").alias("members")).distinct()
-        tied = materialize(_links(rows, stars, words, percent))
+        stars = large.filter("doc_id <> hub").select("hub", "doc_id").distinct()
+        close = stars.join(sets.select("doc_id", "tokens"), "doc_id").join(
+            sets.select(F.col("doc_id").alias("hub"), F.col("tokens").alias("hub_tokens")), "hub")
+        tied = materialize(_links(rows, close.mapInArrow(_near_hub(agree), "members array<long>"), words, percent))
         links.append(tied)
         loose = large.filter("doc_id <> hub").join(
             tied.select(F.col("a").alias("doc_id"), F.col("b").alias("hub")), ["doc_id", "hub"], "left_anti")

@@ -171,3 +171,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
     model = fit_rules(sample, names, "label", **fit)
     rows, _ = with_statistics(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text")
     return rows.select("doc_id", model.score().alias("score"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, least: float, label_col: str = "quality", max_rows: int = 20_000,
+             id_col: str = "doc_id", text_col: str = "text", **fit) -> DataFrame:
+    """Rows of docs whose score, as in `quality_scores`, is at least `least`, with all their columns."""
+    sample, names = with_statistics(labelled_sample(docs, labels, label_col, max_rows, id_col, text_col), "text")
+    model = fit_rules(sample, names, "label", **fit)
+    rows, _ = with_statistics(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("_row_text")), "_row_text")
+    return rows.filter(model.score() >= least).select("row.*")

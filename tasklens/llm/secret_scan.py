@@ -118,3 +118,17 @@ def written(spans: Column) -> Column:
     name = F.array(*map(F.lit, KINDS))
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", F.element_at(name, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def masked(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with every span replaced by a mark; spans that touch or overlap share one."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(state, span):
+        free = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
+        new = F.concat(state["out"], free, F.lit(mark))
+        joined = (span["start"] <= state["at"]) & (state["at"] > 0)
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"),
+                        F.when(joined, state["out"]).otherwise(new).alias("out"))
+
+    return F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
