@@ -18,25 +18,33 @@ def _share(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, "")) / F.greatest(F.length(text), F.lit(1))
 
 
-def with_statistics(rows: DataFrame, text_col: str) -> tuple[DataFrame, list[str]]:
-    """Rows with one double column per statistic of the text; a null text counts as empty."""
-    text, pieces = F.col("_text"), F.col("_pieces")
-    size = F.greatest(F.size(pieces), F.lit(1))
-    named = {
-        "pieces": F.size(pieces),
-        "chars_a_piece": F.length(text) / size,
-        "distinct_pieces": F.size(F.array_distinct(pieces)) / size,
-        "capitals": _share(text, r"[^\p{Lu}]+"),
-        "digits": _share(text, r"[^0-9]+"),
-        "stops": _share(text, r"[^.,]+"),
-        "marks": _share(text, r"[\p{L}0-9.,\s]+"),
-        "bars": _share(text, r"[^|]+"),
-        "lines": _share(text, r"[^\n]+"),
-    }
-    split = rows.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn(
-        "_pieces", F.split("_text", r"[ \t-\r]+"))
-    return (split.select(*rows.columns, *(c.cast("double").alias(f"stat_{n}") for n, c in named.items())),
-            [f"stat_{n}" for n in named])
+STATISTICS = ["pieces", "chars_a_piece", "distinct_pieces", "capitals", "digits", "stops", "marks", "bars", "lines"]
+
+
+def _let(value: Column, use) -> Column:
+    """An expression that uses a value many times and has it computed once, whatever the optimiser moves."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def statistics(text: Column) -> Column:
+    """Struct of the statistics of a text; a null text counts as empty."""
+
+    def of(t: Column, pieces: Column) -> Column:
+        size = F.greatest(F.size(pieces), F.lit(1))
+        values = [
+            F.size(pieces),
+            F.length(t) / size,
+            F.size(F.array_distinct(pieces)) / size,
+            _share(t, r"[^\p{Lu}]+"),
+            _share(t, r"[^0-9]+"),
+            _share(t, r"[^.,]+"),
+            _share(t, r"[\p{L}0-9.,\s]+"),
+            _share(t, r"[^|]+"),
+            _share(t, r"[^\n]+"),
+        ]
+        return F.struct(*(v.cast("double").alias(n) for v, n in zip(values, STATISTICS, strict=True)))
+
+    return _let(F.coalesce(text, F.lit("")), lambda t: _let(F.split(t, r"[ \t-\r]+"), lambda p: of(t, p)))
 
 
 @dataclass(frozen=True)
@@ -51,10 +59,11 @@ class Rule:
             result &= (x[:, at] > limit) == greater
         return result
 
-    def column(self, names: list[str]) -> Column:
+    def column(self, row: Column) -> Column:
         result = F.lit(True)
         for at, greater, limit in self.conditions:
-            result = result & (F.col(names[at]) > limit if greater else F.col(names[at]) <= limit)
+            value = row[STATISTICS[at]]
+            result = result & (value > limit if greater else value <= limit)
         return result
 
 
@@ -120,30 +129,33 @@ def lasso_logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 4
 
 @dataclass(frozen=True)
 class RuleModel:
-    names: list[str]
     bias: float
     weighted: list[tuple[Rule, float]]
 
-    def score(self) -> Column:
-        total = F.lit(float(self.bias))
-        for rule, weight in self.weighted:
-            total = total + F.when(rule.column(self.names), F.lit(float(weight))).otherwise(F.lit(0.0))
-        return 1 / (1 + F.exp(-total))
+    def score(self, text: Column) -> Column:
+        def of(row: Column) -> Column:
+            total = F.lit(float(self.bias))
+            for rule, weight in self.weighted:
+                total = total + F.when(rule.column(row), F.lit(float(weight))).otherwise(F.lit(0.0))
+            return 1 / (1 + F.exp(-total))
+
+        return _let(statistics(text), of)
 
 
-def fit_rules(sample: DataFrame, names: list[str], label_col: str, trees: int = 60, depth: int = 3, rate: float = 0.3,
-              least: int = 10, penalty: float = 0.001, seed: int = 5) -> RuleModel:
-    """Fit on the driver. The sample must be bounded: only its statistics and labels come here."""
-    data = np.array([tuple(r) for r in sample.select(*names, label_col).collect()], float).reshape(-1, len(names) + 1)
+def fit_rules(sample: DataFrame, trees: int = 40, depth: int = 3, rate: float = 0.3, least: int = 10,
+              penalty: float = 0.002, seed: int = 5) -> RuleModel:
+    """Fit to columns text and label, on the driver. The sample must be bounded: its statistics and labels come here."""
+    rows = sample.select(statistics(F.col("text")).alias("s"), "label").collect()
+    data = np.array(sorted((*r["s"], r["label"]) for r in rows), float).reshape(-1, len(STATISTICS) + 1)
     x, y = data[:, :-1], data[:, -1]
     if len(np.unique(y)) < 2:
         share = float(y.mean()) if len(y) else 0.5
         share = min(max(share, 1e-3), 1 - 1e-3)
-        return RuleModel(names, math.log(share / (1 - share)), [])
+        return RuleModel(math.log(share / (1 - share)), [])
     rules = tree_rules(x, y, trees, depth, rate, least, seed)
     matrix = np.stack([r.holds(x) for r in rules], axis=1).astype(float) if rules else np.zeros((len(y), 0))
     bias, weights = lasso_logistic(matrix, y, penalty)
-    return RuleModel(names, bias, [(r, w) for r, w in zip(rules, weights, strict=True) if abs(w) > 1e-6])
+    return RuleModel(bias, [(r, w) for r, w in zip(rules, weights, strict=True) if abs(w) > 1e-6])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int, id_col: str = "doc_id",
@@ -167,16 +179,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
     share of label 1, kept off 0 and 1, or 0.5 without any. Labels that are null or have a null id are left out; labels
     repeated for one id all count. Repeated rows and null ids are scored like others; other columns are ignored.
     """
-    sample, names = with_statistics(labelled_sample(docs, labels, label_col, max_rows, id_col, text_col), "text")
-    model = fit_rules(sample, names, "label", **fit)
-    rows, _ = with_statistics(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text")
-    return rows.select("doc_id", model.score().alias("score"))
+    model = fit_rules(labelled_sample(docs, labels, label_col, max_rows, id_col, text_col), **fit)
+    return docs.select(F.col(id_col).alias("doc_id"), model.score(F.col(text_col)).alias("score"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, least: float, label_col: str = "quality", max_rows: int = 20_000,
              id_col: str = "doc_id", text_col: str = "text", **fit) -> DataFrame:
     """Rows of docs whose score, as in `quality_scores`, is at least `least`, with all their columns."""
-    sample, names = with_statistics(labelled_sample(docs, labels, label_col, max_rows, id_col, text_col), "text")
-    model = fit_rules(sample, names, "label", **fit)
-    rows, _ = with_statistics(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("_row_text")), "_row_text")
-    return rows.filter(model.score() >= least).select("row.*")
+    model = fit_rules(labelled_sample(docs, labels, label_col, max_rows, id_col, text_col), **fit)
+    return docs.filter(model.score(F.col(text_col)) >= least)
