@@ -233,7 +233,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, trees: i
         stars = large.filter("doc_id <> hub").select("hub", "doc_id").distinct()
         close = stars.join(sets.select("doc_id", "tokens"), "doc_id").join(
             sets.select(F.col("doc_id").alias("hub"), F.col("tokens").alias("hub_tokens")), "hub")
-        tied = materialize(_links(rows, close.mapInArrow(_near_hub(agree), "members array<long>"), words, percent))
+        close = materialize(close.mapInArrow(_near_hub(agree), "members array<long>"))
+        tied = materialize(_links(rows, close, words, percent))
         links.append(tied)
         loose = large.filter("doc_id <> hub").join(
             tied.select(F.col("a").alias("doc_id"), F.col("b").alias("hub")), ["doc_id", "hub"], "left_anti")
@@ -244,7 +245,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, trees: i
     everything = parts[0]
     for more in parts[1:]:
         everything = everything.unionByName(more)
-    confirmed = _links(rows, everything.distinct(), words, percent)
+    # These parts grow with the documents, so their texts are shuffled at every size.
+    confirmed = _links(rows, materialize(everything.distinct()).hint("merge"), words, percent)
     for more in links:
         confirmed = confirmed.unionByName(more)
     components = connected_components(confirmed)
