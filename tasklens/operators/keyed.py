@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SALTS = 32
-
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in the given order.
@@ -31,18 +29,21 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, spread: str, how: str = "left",
-                salts: int = SALTS) -> DataFrame:
+                salts: int | None = None) -> DataFrame:
     """Join many fact rows to at most a few dimension rows per key; both sides call the key the same.
 
-    A dimension within the broadcast threshold is broadcast. A larger one is joined on (key, salt): the salt of a fact
-    row comes from the column `spread`, and each dimension row is repeated once per salt, so the rows of a hot key are
-    divided among `salts` tasks. That join is a sort-merge join by hint, because size estimates do not see the copies.
+    A dimension within the broadcast threshold is broadcast. Otherwise Spark plans the join: adaptive execution
+    broadcasts a side that turns out small and splits the partitions of hot keys. With `salts`, for sessions without
+    adaptive execution, the join is on (key, salt): a fact row's salt comes from the column `spread`, and each dimension
+    row is repeated once per salt, so the rows of a hot key are divided among that many tasks.
     """
     if fits_broadcast(dim):
         return fact.join(F.broadcast(dim), key, how)
+    if salts is None:
+        return fact.join(dim, key, how)
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
 def existing_keys(child: DataFrame, parent_keys: DataFrame, key: str, spread: str, found: bool) -> DataFrame:

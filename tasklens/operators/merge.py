@@ -33,7 +33,7 @@ def task_ops(deltas: DataFrame) -> DataFrame:
 
 def latest_task_ops(ops: DataFrame) -> DataFrame:
     """The change that decides each task. Payloads stay text until here, so only the survivors are parsed."""
-    order = [F.desc("check_point"), F.desc("phase"), F.desc("position")]
+    order = [F.desc("check_point"), F.desc("phase"), F.desc("position"), F.desc("raw_json")]
     return latest_by(ops, ["account_id", "task_id"], order)
 
 
@@ -69,7 +69,12 @@ def replica_rows(rows: DataFrame, entity: str, merged_at: dt.datetime | str | No
 def latest_lists(deltas: DataFrame, entity: str) -> DataFrame:
     """The newest list each account sent for an entity."""
     sent = deltas.filter(F.col(entity).isNotNull()).select("account_id", "check_point", F.col(entity).alias("items"))
-    return latest_by(sent, ["account_id"], [F.desc("check_point")])
+    return newest_lists(sent)
+
+
+def newest_lists(lists: DataFrame) -> DataFrame:
+    """The newest list per account; of two with one checkpoint the one that sorts last, so runs agree."""
+    return latest_by(lists, ["account_id"], [F.desc("check_point"), F.desc("items")])
 
 
 def list_rows(lists: DataFrame, entity: str) -> DataFrame:
@@ -113,21 +118,33 @@ def batch_stats(deltas: DataFrame, replica: DataFrame | None = None, span: int =
     The previous change is looked up in two steps: inside slices of `span` checkpoints, then across the slices of a
     task, so a task with very many changes is spread over its slices.
     """
-    ops = task_ops(deltas).select("account_id", "task_id", "check_point", "phase", "position")
+    ops = task_ops(deltas).select(*OP_COLUMNS)
     if replica is not None:
         before = replica.select("account_id", "task_id", F.lit(None).cast("bigint").alias("check_point"),
                                 F.lit(UPSERT).alias("phase"), F.lit(-1).alias("position"))
         ops = ops.unionByName(before)
-    deletes = _previous_phase(ops, span).filter(
-        (F.col("phase") == DELETE) & (F.col("previous_phase") == UPSERT)
-    )
-    found = deletes.groupBy("account_id", "check_point").agg(F.count("*").alias("deletes_count"))
-    polls = deltas.groupBy("account_id", "check_point").agg(
+    return with_deletes(poll_counts(deltas), ops, span)
+
+
+OP_COLUMNS = ("account_id", "task_id", "check_point", "phase", "position")
+
+
+def poll_counts(deltas: DataFrame) -> DataFrame:
+    """Per poll: what can be counted from the poll alone."""
+    return deltas.groupBy("account_id", "check_point").agg(
         F.sum(F.size("updates")).cast("bigint").alias("updates_count"),
         F.sum(F.when(F.col("projects").isNotNull(), F.size("projects"))).cast("bigint").alias("projects_count"),
         F.sum(F.when(F.col("groups").isNotNull(), F.size("groups"))).cast("bigint").alias("groups_count"),
         F.max("state_changed").alias("state_updated"),
     )
+
+
+def with_deletes(polls: DataFrame, ops: DataFrame, span: int = 86_400_000) -> DataFrame:
+    """Statistics of polls, with the deletes among all changes so far that found a row."""
+    deletes = _previous_phase(ops, span).filter(
+        (F.col("phase") == DELETE) & (F.col("previous_phase") == UPSERT)
+    )
+    found = deletes.groupBy("account_id", "check_point").agg(F.count("*").alias("deletes_count"))
     joined = polls.join(found, ["account_id", "check_point"], "left")
     return joined.select(
         "account_id", "check_point", "updates_count",

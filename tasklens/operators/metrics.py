@@ -38,10 +38,6 @@ def metric(name: str, grain: str = "task", as_of: dt.datetime | str | None = Non
     raise ValueError(f"unknown metric: {name}")
 
 
-COUNT_METRICS = {"total_tasks", "completed_tasks", "count", "overdue_tasks", "project_count", "tag_count",
-                 "folder_count", "habit_total"}
-
-
 def open_task_counts(tasks: DataFrame) -> DataFrame:
     """Distinct open tasks per due day and project. Duplicates of a task collapse before they are counted."""
     open_rows = tasks.filter(is_open() & F.col("due_date").isNotNull())

@@ -28,16 +28,10 @@ def date_spine(spark: SparkSession, as_of: dt.date | str, months: int = 3) -> Da
     return spark.range(1).select(F.explode(spine_days(as_of, months)).alias("date_day"))
 
 
-def calendar_cross(entities: DataFrame, as_of: dt.date | str, months: int = 3, until: dt.date | str | None = None,
+def calendar_cross(entities: DataFrame, as_of: dt.date | str, months: int = 3,
                    day: str = "due_date_day") -> DataFrame:
-    """Every entity on every day of the calendar. Each row expands in place: no join and no shuffle.
-
-    `until` (excluded) ends the calendar earlier, for callers that read only its beginning.
-    """
-    days = spine_days(as_of, months)
-    if until is not None:
-        days = F.filter(days, lambda d: d < F.lit(as_date(until)))
-    return entities.withColumn(day, F.explode(days)).select("*", *due_day_parts(day))
+    """Every entity on every day of the calendar. Each row expands in place: no join and no shuffle."""
+    return entities.withColumn(day, F.explode(spine_days(as_of, months))).select("*", *due_day_parts(day))
 
 
 def calendar_fill(calendar: DataFrame, counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -31,8 +31,11 @@ def union_relations(parts: dict[str, DataFrame], source_column: str = "_dbt_sour
 
 def unnest_tags_with_default(tasks: DataFrame) -> DataFrame:
     """One row per task and tag; an empty list gives the stand-in tag. A NULL list gives no row."""
-    tags = F.when(F.size("tags") == 0, F.array(F.lit(NO_TAG))).otherwise(F.col("tags"))
-    return tasks.select("task_id", F.explode(tags).alias("tag"))
+    return tasks.select("task_id", F.explode(tags_with_default()).alias("tag"))
+
+
+def tags_with_default() -> Column:
+    return F.when(F.size("tags") == 0, F.array(F.lit(NO_TAG))).otherwise(F.col("tags"))
 
 
 def array_overlap_count(tags: Column | str, wanted: Sequence[str]) -> Column:

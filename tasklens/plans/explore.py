@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from tasklens.functions.dates import as_date
 from tasklens.functions.links import PARENT_GRAIN, grain_url, parent_grain_url
-from tasklens.functions.text import stable_label
+from tasklens.functions.text import stable_label, surrogate_key
 from tasklens.operators.keyed import lookup_join
+from tasklens.operators.shapes import tags_with_default
 
 # Fixed value: a list parameter holding this word selects everything.
 ALL = "default_ld_param_value"
@@ -30,7 +31,7 @@ class Params:
 
 @dataclass(frozen=True)
 class Model:
-    """Tables of an explore. Tables left out cannot be joined."""
+    """Tables of an explore. Tables left out cannot be joined, except tags: without a bridge, a task's own list is read."""
 
     tasks: DataFrame
     projects: DataFrame | None = None
@@ -134,9 +135,13 @@ def explore_join(model: Model, joins: Sequence[str], params: Params = Params(),
             rows = lookup_join(rows.withColumn("folder_id", F.col("group_id")),
                                folders.select("folder_id", "folder_name"), "folder_id", spread="task_id", how="inner")
     if "tags" in joins:
-        tags = param_multi_select(model.tags, "tag", params.tags).select("tag_id", "tag")
-        named = lookup_join(model.bridge, tags, "tag_id", spread="task_id", how="inner")
-        rows = rows.join(named, "task_id")
+        if model.bridge is None:  # each task unfolds its own tags: nothing to join
+            rows = param_multi_select(rows.withColumn("tag", F.explode(tags_with_default())), "tag", params.tags)
+            rows = rows.withColumn("tag_id", surrogate_key("tag"))
+        else:
+            tags = param_multi_select(model.tags, "tag", params.tags).select("tag_id", "tag")
+            named = lookup_join(model.bridge, tags, "tag_id", spread="task_id", how="inner")
+            rows = rows.join(named, "task_id")
     if "spine" in joins:
         rows = spine_right_join(rows, model.spine, match)
     return rows
@@ -174,14 +179,14 @@ def explore_query(model: Model, by: dict[str, Column] | Sequence[str] = (), metr
     `where` sees all joined columns. `fact_where` is applied to the tasks before any join; use it for conditions that
     drop tasks without dropping empty spine days. Without metrics the distinct dimension rows are returned.
 
-    When every dimension comes from the spine, tasks are aggregated per day first and the days are filled in after,
-    which replaces the right join by a join of two calendars.
+    When the only dimension is the spine's day itself, tasks are aggregated per day first and the days are filled in
+    after, which replaces the right join by a join of two calendars.
     """
     rows = model.tasks if fact_where is None else model.tasks.filter(fact_where)
     dims = by if isinstance(by, dict) else {name: F.col(name) for name in by}
     metrics = metrics or {}
-    spine_only = "spine" in joins and where is None and dims and set(dims) <= {"date_day"}
-    if spine_only:
+    by_day = not isinstance(by, dict) and list(by) == ["date_day"]  # the bare column, not an expression of that name
+    if "spine" in joins and where is None and by_day and metrics:
         inner = explore_join(model, [j for j in joins if j != "spine"], params, match, rows, project_columns)
         counted = on_spine(inner, model.spine, match).groupBy("date_day").agg(*[m.alias(n) for n, m in metrics.items()])
         out = model.spine.select("date_day").join(F.broadcast(counted), "date_day", "left")

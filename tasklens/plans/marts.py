@@ -50,9 +50,12 @@ def dim_tags(tasks: DataFrame) -> DataFrame:
     return tags.select(surrogate_key("tag").alias("tag_id"), "tag")
 
 
-def fct_task_tags_bridge(tasks: DataFrame, tags: DataFrame) -> DataFrame:
-    """Task and tag pairs. Tag ids come from the tag table by an inner join on the tag."""
+def fct_task_tags_bridge(tasks: DataFrame, tags: DataFrame | None = None) -> DataFrame:
+    """Task and tag pairs. The id of a tag is computed from it, as in dim_tags of the same tasks; with a tag table from
+    elsewhere it comes from there, by an inner join on the tag."""
     pairs = unnest_tags_with_default(tasks)
+    if tags is None:
+        return pairs.select("task_id", surrogate_key("tag").alias("tag_id"))
     return lookup_join(pairs, tags.select("tag", "tag_id"), "tag", spread="task_id", how="inner").select(
         "task_id", "tag_id"
     )
@@ -123,17 +126,16 @@ def project_catalog(projects: DataFrame, folders: DataFrame, cfg: Settings) -> D
 
 
 def due_workload_daily(tasks: DataFrame, projects: DataFrame, folders: DataFrame, as_of: dt.date | str,
-                       cfg: Settings, until: dt.date | str | None = None) -> DataFrame:
+                       cfg: Settings) -> DataFrame:
     """Open tasks per calendar day and project, zeros included.
 
     Tasks are counted per day and project, then packed into one map per project, which has at most one entry per calendar
     day. The join is between projects and maps, row by row, and the calendar unfolds after it: the shuffle carries
     projects, not projects times days. Since every project row becomes some ninety rows, projects are dealt over all
     shuffle partitions, which adaptive execution would otherwise merge by their small size.
-    `until` (excluded) is for readers of the first days only.
     """
     due = F.col("due_date").cast("date")
-    last = F.element_at(spine_days(as_of), -1) if until is None else F.date_sub(F.lit(as_date(until)), 1)
+    last = F.element_at(spine_days(as_of), -1)
     counts = metrics.open_task_counts(tasks.filter(due.between(F.lit(as_date(as_of)), last)))
     entry = F.struct("due_date_day", "open_task_count")
     packed = counts.groupBy("project_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_counts"))
@@ -141,7 +143,7 @@ def due_workload_daily(tasks: DataFrame, projects: DataFrame, folders: DataFrame
     catalog = project_catalog(projects, folders, cfg).repartition(
         int(spark.conf.get("spark.sql.shuffle.partitions")), "project_id"
     )
-    calendar = calendar_cross(catalog.join(packed, "project_id", "left"), as_of, until=until)
+    calendar = calendar_cross(catalog.join(packed, "project_id", "left"), as_of)
     found = F.coalesce(F.col("_counts")[F.col("due_date_day")], F.lit(0)).cast("bigint")
     filled = calendar.withColumn("open_task_count", found)
     return filled.select(

@@ -32,8 +32,8 @@ WEEKS = 5
 
 
 def regex_name_filter(column: str, names: Sequence[str] | None = None, pattern: str | None = None) -> Column:
-    """Name in a list, or matching a pattern as a whole. Neither given selects everything."""
-    if names is not None:
+    """Name in a list, or matching a pattern as a whole. Neither given, or an empty list, selects everything."""
+    if names:
         return F.col(column).isin(*names)
     if pattern is not None:
         return F.col(column).rlike(f"^(?:{pattern})$")
@@ -83,7 +83,7 @@ def daily_open_tasks(tasks: DataFrame, catalog: DataFrame, as_of: dt.date | str,
     due = F.col("due_date").cast("date")
     counts = open_task_counts(tasks.filter((due >= F.lit(as_date(as_of))) & (due < F.lit(lookahead_end(as_of)))))
     found = counts.join(chosen.select("project_id"), "project_id").select("due_date_day", "open_task_count")
-    zeros = calendar_cross(chosen.select("project_id").limit(1), as_of, until=lookahead_end(as_of)).select(
+    zeros = calendar_cross(chosen.select("project_id").limit(1), as_of).filter(_five_weeks(as_of)).select(
         "due_date_day", F.lit(0).cast("bigint").alias("open_task_count")
     )
     return found.unionByName(zeros).groupBy("due_date_day").agg(F.sum("open_task_count").alias("daily_tasks"))
@@ -263,12 +263,12 @@ def _inbox_where(kind: str, skip_folders: Sequence[str], skip_projects: Sequence
 
 
 def inbox_count(model: Model, kind: str, skip_folders: Sequence[str] = (), skip_projects: Sequence[str] = (),
-                tag: str | None = None) -> DataFrame:
+                tag: str | None = None, limit: int | None = 500) -> DataFrame:
     """Open tasks of one kind in open projects; with a tag, counted for that tag."""
     return explore_query(
         model, by=["tag"] if tag else [], metrics={"total_tasks": metric("total_tasks")},
         joins=["projects", "folders"] + (["tags"] if tag else []),
-        where=_inbox_where(kind, skip_folders, skip_projects, tag), order=[F.desc("total_tasks")], limit=500,
+        where=_inbox_where(kind, skip_folders, skip_projects, tag), order=[F.desc("total_tasks")], limit=limit,
     )
 
 

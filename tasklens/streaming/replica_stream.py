@@ -17,19 +17,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tasklens import schemas
-from tasklens.operators.keyed import latest_by, lookup_join
+from tasklens.operators.keyed import lookup_join
 from tasklens.operators.merge import (
+    OP_COLUMNS,
     UPSERT,
-    batch_stats,
     checkpoints,
     latest_task_ops,
     list_rows,
+    newest_lists,
+    poll_counts,
     replica_rows,
     task_ops,
+    with_deletes,
 )
 from tasklens.sources import read_deltas, write_replica
 
 TASK_CHANGES = "account_id string, task_id string, check_point bigint, phase int, position int, raw_json string"
+TASK_OPS = "account_id string, task_id string, check_point bigint, phase int, position int"
 LIST_CHANGES = "account_id string, check_point bigint, items array<string>"
 LIST_ENTITIES = ("projects", "groups")
 
@@ -57,14 +61,15 @@ def store_batch(batch: DataFrame, replica_dir: str, batch_id: int) -> None:
     def put(df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").parquet(f"{replica_dir}/{name}/batch_id={batch_id}")
 
-    batch.persist()
+    batch.persist()  # until the last part is written
     try:
         put(latest_task_ops(task_ops(batch)), "task_changes")
+        put(task_ops(batch).select(*OP_COLUMNS), "task_ops")
         for entity in LIST_ENTITIES:
             sent = batch.filter(F.col(entity).isNotNull())
             lists = sent.select("account_id", "check_point", F.col(entity).alias("items"))
-            put(latest_by(lists, ["account_id"], [F.desc("check_point")]), f"{entity}_lists")
-        put(batch_stats(batch), "stats")
+            put(newest_lists(lists), f"{entity}_lists")
+        put(poll_counts(batch), "stats")
         put(batch.select("account_id", "check_point", "state_changed"), "polls")
     finally:
         batch.unpersist()
@@ -89,7 +94,7 @@ def current_replica(spark: SparkSession, replica_dir: str, entity: str,
         rows = latest_task_ops(changes).filter(F.col("phase") == UPSERT)
     else:
         lists = _of_accounts(_stored(spark, replica_dir, f"{entity}_lists", LIST_CHANGES), accounts, "check_point")
-        rows = list_rows(latest_by(lists, ["account_id"], [F.desc("check_point")]), entity)
+        rows = list_rows(newest_lists(lists), entity)
     return replica_rows(rows, entity, merged_at)
 
 
@@ -99,9 +104,10 @@ def _of_accounts(changes: DataFrame, accounts: DataFrame | None, spread: str) ->
     return lookup_join(changes, accounts.select("account_id").distinct(), "account_id", spread, "left_semi")
 
 
-def stream_stats(spark: SparkSession, replica_dir: str) -> DataFrame:
-    """Statistics of every poll, by batch."""
-    return spark.read.parquet(f"{replica_dir}/stats")
+def stream_stats(spark: SparkSession, replica_dir: str, span: int = 86_400_000) -> DataFrame:
+    """Statistics of every poll. Whether a delete found a row follows from all stored changes, which are kept without
+    their payloads, so batches and late files make no difference. `span` is as in batch_stats."""
+    return with_deletes(spark.read.parquet(f"{replica_dir}/stats"), _stored(spark, replica_dir, "task_ops", TASK_OPS), span)
 
 
 def stream_checkpoints(spark: SparkSession, replica_dir: str) -> DataFrame:
@@ -116,9 +122,9 @@ def compact(spark: SparkSession, replica_dir: str, target_dir: str) -> None:
     tasks.write.mode("overwrite").parquet(f"{target_dir}/task_changes/batch_id=-1")
     for entity in LIST_ENTITIES:
         lists = _stored(spark, replica_dir, f"{entity}_lists", LIST_CHANGES)
-        newest = latest_by(lists, ["account_id"], [F.desc("check_point")])
+        newest = newest_lists(lists)
         newest.write.mode("overwrite").parquet(f"{target_dir}/{entity}_lists/batch_id=-1")
-    for name in ("stats", "polls"):
+    for name in ("stats", "polls", "task_ops"):
         spark.read.parquet(f"{replica_dir}/{name}").drop("batch_id").write.mode("overwrite").parquet(
             f"{target_dir}/{name}/batch_id=-1")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tasklens.operators import quality
@@ -10,7 +12,7 @@ from tasklens.plans import explore, marts, panels
 from workload.ctes import AS_OF as DAY
 from workload.ctes import HABIT_DAY as HDAY
 from workload.ctes import label
-from workload.operator_queries import _WEEKS, model
+from workload.operator_queries import model
 from workload.registry import query
 from workload.tables import AS_OF, CFG, HABIT_DAY, Tables
 
@@ -81,7 +83,7 @@ def semantic_base(t: Tables):
 
 @query("due_workload_daily", "SELECT * FROM workload")
 def due_workload_daily(t: Tables):
-    return t.workload()
+    return t.workload
 
 
 @query("grain_rollup", "SELECT * FROM rollup")
@@ -151,7 +153,7 @@ def filter_relative_date(t: Tables):
     rules = {"next_quarter": ("inTheNext", 1, "quarters"), "next_5_weeks": ("inTheNext", 5, "weeks"),
              "past_2_days": ("inThePast", 2, "days"), "past_month": ("inThePast", 1, "months"),
              "today": ("inTheCurrent", 1, "days")}
-    return t.due_tasks.select(
+    return t.tasks.select(
         "task_id", *[explore.filter_relative_date("due_date", *r, AS_OF).alias(n) for n, r in rules.items()])
 
 
@@ -207,17 +209,17 @@ def _lookahead_sql(where: str = "TRUE") -> str:
 
 @query("lookahead_5w", _lookahead_sql())
 def lookahead_5w(t: Tables):
-    return panels.lookahead_of_tasks(t.due_tasks, t.catalog, AS_OF)
+    return panels.lookahead_of_tasks(t.tasks, t.catalog, AS_OF)
 
 
 @query("lookahead_5w_of_mart", _lookahead_sql())
 def lookahead_5w_of_mart(t: Tables):
-    return panels.lookahead_5w(t.workload(panels.lookahead_end(AS_OF)), AS_OF)
+    return panels.lookahead_5w(t.workload, AS_OF)
 
 
 @query("lookahead_5w_filtered", _lookahead_sql("scope_bucket = 'rest' AND folder_name IN ('NATION_3', 'NATION_4')"))
 def lookahead_5w_filtered(t: Tables):
-    return panels.lookahead_of_tasks(t.due_tasks, t.catalog, AS_OF, scope="rest", folders=["NATION_3", "NATION_4"])
+    return panels.lookahead_of_tasks(t.tasks, t.catalog, AS_OF, scope="rest", folders=["NATION_3", "NATION_4"])
 
 
 def _drill_sql(grain: str, grain_label: str) -> str:
@@ -264,12 +266,30 @@ def lookahead_by_spine(t: Tables):
     return panels.lookahead_by_spine(model(t))
 
 
+# Every Monday week of the three months from AS_OF.
+_SPINE_WEEKS = [AS_OF + dt.timedelta(weeks=n) for n in range(14)]
+
+
 @query("lookahead_pivot", "SELECT date_day, day_of_week_name, " + ", ".join(
-    f"max(CASE WHEN date_week = DATE '{w}' THEN \"count\" END) AS \"{w}\"" for w in _WEEKS
+    f"max(CASE WHEN date_week = DATE '{w}' THEN \"count\" END) AS \"{w}\"" for w in _SPINE_WEEKS
 ) + f" FROM ({_LOOKAHEAD_SPINE}) GROUP BY 1, 2")
 def lookahead_pivot(t: Tables):
     rows = panels.lookahead_by_spine(model(t)).withColumn("date_week", F.col("date_week").cast("string"))
-    return panels.lookahead_pivot(rows, [str(w) for w in _WEEKS])
+    return panels.lookahead_pivot(rows, [str(w) for w in _SPINE_WEEKS])
+
+
+@query("explore_by_spine_month", """
+    SELECT date_trunc('month', date_day)::DATE AS date_day, count(DISTINCT task_id) AS "count" FROM explored_spine GROUP BY 1""")
+def explore_by_spine_month(t: Tables):
+    """The dimension has the name of the spine's day, but is an expression of it."""
+    return explore.explore_query(model(t), by={"date_day": F.trunc("date_day", "month")}, metrics={"count": metric("count")},
+                                 joins=["projects", "folders", "spine"])
+
+
+@query("explore_spine_days", "SELECT DISTINCT date_day FROM explored_spine")
+def explore_spine_days(t: Tables):
+    """No metrics: the distinct days."""
+    return explore.explore_query(model(t), by=["date_day"], joins=["projects", "folders", "spine"])
 
 
 @query("spine_distribution", """
@@ -314,15 +334,20 @@ def inbox_distribution(t: Tables):
 
 
 @query("empty_projects", """
-    SELECT folder_name, project_name, project_id, CAST(0 AS BIGINT) AS total_tasks FROM dim_projects p
+    SELECT folder_name, project_name, project_id, CAST(0 AS BIGINT) AS total_tasks
+    FROM (SELECT project_id, project_name, group_id, closed FROM dim_projects
+          UNION ALL SELECT 's' || CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR), false FROM supplier) p
     JOIN dim_folders f ON p.group_id = f.folder_id
     WHERE NOT closed AND folder_name NOT IN ('default', 'NATION_1')
-        AND NOT EXISTS (SELECT 1 FROM tasks t WHERE t.project_id = p.project_id AND t.due_date >= TIMESTAMP '1998-06-15')
+        AND NOT EXISTS (SELECT 1 FROM tasks t WHERE t.project_id = p.project_id)
     ORDER BY folder_name, project_id LIMIT 500""")
 def empty_projects(t: Tables):
-    """Projects without coming tasks: every project of the test tables has tasks."""
-    coming = t.due_tasks.filter(F.col("due_date") >= F.lit(AS_OF))
-    return panels.empty_projects(t.dim_projects, t.dim_folders, coming, ["default", "NATION_1"])
+    """Suppliers are projects nobody has put a task into."""
+    suppliers = t.read("supplier").select(
+        F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("project_id"), F.col("s_name").alias("project_name"),
+        F.col("s_nationkey").cast("string").alias("group_id"), F.lit(False).alias("closed"))
+    projects = t.dim_projects.select(suppliers.columns).unionByName(suppliers)
+    return panels.empty_projects(projects, t.dim_folders, t.tasks, ["default", "NATION_1"])
 
 
 @query("project_pulse", f"""
@@ -429,10 +454,11 @@ def dq_not_null(t: Tables):
 
 
 @query("dq_relationships", """
-    SELECT task_id, project_id FROM tasks WHERE project_id NOT IN (SELECT project_id FROM projects WHERE NOT closed)""")
+    SELECT task_id, 'gone' || project_id AS project_id FROM tasks WHERE title = '2-HIGH'""")
 def dq_relationships(t: Tables):
-    return quality.relationships(t.due_tasks.select("task_id", "project_id"), "project_id",
-                                 t.projects.filter("not closed"), spread="task_id").select("task_id", "project_id")
+    gone = F.when(F.col("title") == "2-HIGH", F.concat(F.lit("gone"), "project_id")).otherwise(F.col("project_id"))
+    return quality.relationships(t.tasks.select("task_id", gone.alias("project_id")), "project_id", t.projects,
+                                 spread="task_id").select("task_id", "project_id")
 
 
 @query("dq_accepted_values", "SELECT project_id FROM catalog WHERE scope_bucket NOT IN ('rest')")
@@ -442,23 +468,26 @@ def dq_accepted_values(t: Tables):
 
 
 @query("dq_workload_reconciles", """
-    SELECT w.due_date_day, w.project_id, coalesce(c.n, 0) AS expected_open_task_count, w.open_task_count FROM workload w
-    LEFT JOIN (SELECT CAST(due_date AS DATE) AS d, project_id AS p, count(DISTINCT task_id) AS n FROM tasks
-               WHERE status <> 2 AND priority > 1 GROUP BY 1, 2) c ON c.d = due_date_day AND c.p = w.project_id
-    WHERE w.open_task_count <> coalesce(c.n, 0)""")
+    SELECT due_date_day, project_id, open_task_count AS expected_open_task_count, open_task_count + 1 AS open_task_count
+    FROM workload WHERE project_name LIKE '%7'""")
 def dq_workload_reconciles(t: Tables):
-    """Checked against tasks without the urgent ones, so that there are differences to report."""
-    return quality.workload_reconciles(t.workload(), t.due_tasks.filter("priority > 1"))
+    """The counts of some projects are broken on purpose; a sound mart gives no rows."""
+    wrong = F.col("open_task_count") + F.when(F.col("project_name").endswith("7"), 1).otherwise(0)
+    return quality.workload_reconciles(t.workload.withColumn("open_task_count", wrong.cast("bigint")), t.tasks)
 
 
 @query("dq_rollup_conserves", """
     SELECT due_date_day, scope_bucket, grain_level, coalesce(n, 0) AS expected_open_task_count,
         actual AS actual_open_task_count
-    FROM (SELECT due_date_day, scope_bucket, grain_level, sum(task_count)::BIGINT AS actual FROM rollup GROUP BY 1, 2, 3) a
-    LEFT JOIN (SELECT due_date_day, scope_bucket, count(DISTINCT task_id) AS n FROM open_semantic WHERE title <> '1-URGENT'
+    FROM (SELECT due_date_day, scope_bucket, grain_level, sum(task_count + CASE WHEN grain_level = 'folder'
+              AND folder_name = 'default' THEN 1 ELSE 0 END)::BIGINT AS actual FROM rollup GROUP BY 1, 2, 3) a
+    LEFT JOIN (SELECT due_date_day, scope_bucket, count(DISTINCT task_id) AS n FROM open_semantic
                GROUP BY 1, 2) e USING (due_date_day, scope_bucket) WHERE actual <> coalesce(n, 0)""")
 def dq_rollup_conserves(t: Tables):
-    return quality.rollup_conserves(t.rollup, t.due_semantic.filter("title <> '1-URGENT'"))
+    """The counts of a folder are broken on purpose; a sound mart gives no rows."""
+    broken = (F.col("grain_level") == "folder") & (F.col("folder_name") == "default")
+    wrong = F.col("task_count") + F.when(broken, 1).otherwise(0)
+    return quality.rollup_conserves(t.rollup.withColumn("task_count", wrong.cast("bigint")), t.semantic)
 
 
 @query("dq_url_patterns", """
@@ -466,7 +495,7 @@ def dq_rollup_conserves(t: Tables):
 def dq_url_patterns(t: Tables):
     """Links of some projects are broken on purpose; sound marts give no rows."""
     broken = F.col("project_name").endswith("9")
-    rows = t.due_semantic.withColumn("task_url_web", F.when(broken, F.lit("x")).otherwise(F.col("task_url_web")))
+    rows = t.semantic.withColumn("task_url_web", F.when(broken, F.lit("x")).otherwise(F.col("task_url_web")))
     return quality.url_patterns(rows).select("task_id")
 
 
@@ -479,13 +508,14 @@ def dq_url_patterns_rollup(t: Tables):
 
 
 @query("dq_orphans_warn", """
-    SELECT project_id, count(*) AS row_count, min(due_date_day) AS earliest_due_date_day,
-        max(due_date_day) AS latest_due_date_day FROM semantic
-    WHERE project_id NOT IN (SELECT project_id FROM projects WHERE group_id IS NOT NULL) GROUP BY 1""")
+    SELECT 'lost' || project_id AS project_id, count(*) AS row_count, min(due_date_day) AS earliest_due_date_day,
+        max(due_date_day) AS latest_due_date_day FROM semantic WHERE folder_name = 'default' GROUP BY 1""")
 def dq_orphans_warn(t: Tables):
+    """Tasks of the default folder name projects that aren't there."""
     from tasklens.operators.metrics import orphan_keys
 
-    return orphan_keys(t.due_semantic, t.projects.filter("group_id is not null"), "project_id", "due_date_day")
+    lost = F.when(F.col("folder_name") == "default", F.concat(F.lit("lost"), "project_id")).otherwise(F.col("project_id"))
+    return orphan_keys(t.semantic.withColumn("project_id", lost), t.projects, "project_id", "due_date_day")
 
 
 _PARITY = f"""SELECT count(*) AS total_rows, count(CASE WHEN status = 0 THEN 1 END) AS open_rows,

@@ -14,7 +14,7 @@ from workload.tables import AS_OF, AS_OF_TS, CFG, HABIT_DAY, Tables
 
 
 def model(t: Tables) -> explore.Model:
-    return explore.Model(t.tasks, t.dim_projects, t.dim_folders, t.bridge, t.tags, t.spine)
+    return explore.Model(t.tasks, t.dim_projects, t.dim_folders, tags=t.tags, spine=t.spine)
 
 
 # Joins.
@@ -22,7 +22,7 @@ def model(t: Tables) -> explore.Model:
 @query("join_task_project_folder", """
     SELECT task_id, project_id, project_name, fid AS folder_id, fname AS folder_name FROM joined""")
 def join_task_project_folder(t: Tables):
-    tasks = t.due_tasks.select("task_id", "project_id")
+    tasks = t.tasks.select("task_id", "project_id")
     return marts.join_task_project_folder(tasks, t.projects, t.folders)
 
 
@@ -71,7 +71,7 @@ def calendar_cross(t: Tables):
 @query("calendar_fill", "SELECT due_date_day, project_id, open_task_count FROM workload")
 def calendar_fill(t: Tables):
     calendar = series.calendar_cross(t.projects.select("project_id"), AS_OF)
-    filled = series.calendar_fill(calendar, metrics.open_task_counts(t.due_tasks), ["due_date_day", "project_id"],
+    filled = series.calendar_fill(calendar, metrics.open_task_counts(t.tasks), ["due_date_day", "project_id"],
                                   "open_task_count")
     return filled.select("due_date_day", "project_id", "open_task_count")
 
@@ -101,41 +101,39 @@ def scalar_cross(t: Tables):
     """Bounds of the lookahead are literals in the plan, so no one-row table is joined."""
     day, start = F.col("due_date").cast("date"), F.lit(AS_OF)
     inside = (day >= start) & (day < F.lit(panels.lookahead_end(AS_OF)))
-    return t.due_tasks.filter(inside).select(
+    return t.tasks.filter(inside).select(
         "task_id", F.date_diff(day, start).cast("bigint").alias("days_ahead"), inside.alias("in_bounds"))
 
 
-_OPEN_PROJECTS = "SELECT * FROM projects WHERE NOT closed"
-
-
-@query("orphan_keys", f"""
-    SELECT project_id, count(*) AS row_count, min(due_date_day) AS earliest_due_date_day,
-        max(due_date_day) AS latest_due_date_day FROM semantic
-    WHERE project_id NOT IN (SELECT project_id FROM ({_OPEN_PROJECTS})) GROUP BY 1""")
+@query("orphan_keys", """
+    SELECT 'gone' || project_id AS project_id, count(*) AS row_count, min(due_date_day) AS earliest_due_date_day,
+        max(due_date_day) AS latest_due_date_day FROM semantic WHERE title = '1-URGENT' GROUP BY 1""")
 def orphan_keys(t: Tables):
-    return metrics.orphan_keys(t.due_semantic, t.projects.filter("not closed"), "project_id", "due_date_day")
+    """Urgent tasks name projects that aren't there."""
+    gone = F.when(F.col("title") == "1-URGENT", F.concat(F.lit("gone"), "project_id")).otherwise(F.col("project_id"))
+    return metrics.orphan_keys(t.semantic.withColumn("project_id", gone), t.projects, "project_id", "due_date_day")
 
 
 # Aggregations and metrics.
 
 @query("open_task_counts", "SELECT * FROM open_counts")
 def open_task_counts(t: Tables):
-    return metrics.open_task_counts(t.due_tasks)
+    return metrics.open_task_counts(t.tasks)
 
 
 @query("grain_rollup_task", "SELECT * FROM rollup WHERE grain_level = 'task'")
 def grain_rollup_task(t: Tables):
-    return metrics.grain_rollup(t.due_semantic, ["task"])
+    return metrics.grain_rollup(t.semantic, ["task"])
 
 
 @query("grain_rollup_project", "SELECT * FROM rollup WHERE grain_level = 'project'")
 def grain_rollup_project(t: Tables):
-    return metrics.grain_rollup(t.due_semantic, ["project"])
+    return metrics.grain_rollup(t.semantic, ["project"])
 
 
 @query("grain_rollup_folder", "SELECT * FROM rollup WHERE grain_level = 'folder'")
 def grain_rollup_folder(t: Tables):
-    return metrics.grain_rollup(t.due_semantic, ["folder"])
+    return metrics.grain_rollup(t.semantic, ["folder"])
 
 
 @query("project_last_pulse", """
@@ -203,8 +201,8 @@ _RANKED_SQL = f"""SELECT *, dense_rank() OVER (ORDER BY date_trunc('week', due_d
 
 
 def _daily(t: Tables):
-    until = panels.lookahead_end(AS_OF)
-    return t.workload(until).groupBy("due_date_day").agg(F.sum("open_task_count").alias("daily_tasks"))
+    coming = F.col("due_date_day").between(F.lit(AS_OF), F.lit(panels.lookahead_end(AS_OF) - dt.timedelta(days=1)))
+    return t.workload.filter(coming).groupBy("due_date_day").agg(F.sum("open_task_count").alias("daily_tasks"))
 
 
 @query("ceil_avg", f"SELECT week_num, CAST(ceil(avg(daily_tasks)) AS BIGINT) AS week_avg FROM ({_RANKED_SQL}) GROUP BY 1")
@@ -215,7 +213,7 @@ def ceil_avg(t: Tables):
 @query("having_filter", """
     SELECT project_id, count(task_id) AS total_tasks FROM tasks GROUP BY 1 HAVING count(task_id) > 12""")
 def having_filter(t: Tables):
-    return metrics.having_filter(t.due_tasks, ["project_id"], {"total_tasks": metrics.metric("total_tasks")},
+    return metrics.having_filter(t.tasks, ["project_id"], {"total_tasks": metrics.metric("total_tasks")},
                                  F.col("total_tasks") > 12)
 
 
@@ -228,7 +226,7 @@ def freshness_max(t: Tables):
     SELECT due_date_day, parent_grain_label, sum(task_count)::BIGINT AS open_tasks FROM rollup
     WHERE grain_level = 'project' GROUP BY 1, 2""")
 def sum_by_parent(t: Tables):
-    return metrics.sum_by_parent(metrics.grain_rollup(t.due_semantic, ["project"]))
+    return metrics.sum_by_parent(metrics.grain_rollup(t.semantic, ["project"]))
 
 
 @query("distinct_rows", "SELECT DISTINCT tag FROM task_tags")
@@ -304,7 +302,7 @@ def habit_streaks(t: Tables):
     SELECT task_id, due_date, priority FROM tasks ORDER BY due_date DESC, priority, task_id LIMIT 100""")
 def topn_sorted(t: Tables):
     order = [F.desc("due_date"), F.asc("priority"), F.asc("task_id")]
-    return shapes.topn_sorted(t.due_tasks.select("task_id", "due_date", "priority"), order, 100)
+    return shapes.topn_sorted(t.tasks.select("task_id", "due_date", "priority"), order, 100)
 
 
 @query("union_all_by_name", """

@@ -9,7 +9,10 @@ from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder path under spark.checkpoint.dir, or a local one when that is not set, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="run-")
+    """A new folder path under spark.checkpoint.dir. Only a local session may do without that setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"

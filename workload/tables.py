@@ -48,17 +48,10 @@ class Tables:
         )
 
     @cached_property
-    def order_ships(self) -> DataFrame:
-        return self.read("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-            F.max("l_shipdate").alias("ship")
-        )
-
-    def _tasks(self, orders: DataFrame, lines: tuple[str, ...]) -> DataFrame:
-        done = F.col("o_orderstatus") == "F"
-        ship = F.col("ship") if "ship" in lines else F.lit(None).cast("timestamp_ntz")
-        flags = F.col("flags") if "flags" in lines else F.array().cast("array<string>")
-        tags = F.filter(F.coalesce(flags, F.array().cast("array<string>")), lambda t: t != "N")
-        return orders.select(
+    def tasks(self) -> DataFrame:
+        done, ship = F.col("o_orderstatus") == "F", F.col("ship")
+        tags = F.filter(F.coalesce("flags", F.array().cast("array<string>")), lambda t: t != "N")
+        return self.read("orders").join(self.order_lines, "o_orderkey", "left").select(
             F.col("o_orderkey").cast("string").alias("task_id"),
             F.col("o_custkey").cast("string").alias("project_id"),
             F.col("o_orderpriority").alias("title"),
@@ -72,15 +65,6 @@ class Tables:
             work_type(tags, CFG.deep_tags, CFG.shallow_tags, CFG.categorise).alias("gtd_work_type"),
         )
 
-    @cached_property
-    def tasks(self) -> DataFrame:
-        return self._tasks(self.read("orders").join(self.order_lines, "o_orderkey", "left"), ("ship", "flags"))
-
-    @cached_property
-    def due_tasks(self) -> DataFrame:
-        """Tasks for questions about due dates only: no completion times, tags or work types."""
-        return self._tasks(self.read("orders"), ())
-
     @cached_property
     def projects(self) -> DataFrame:
         c = self.read("customer")
@@ -113,7 +97,7 @@ class Tables:
 
     @cached_property
     def bridge(self) -> DataFrame:
-        return marts.fct_task_tags_bridge(self.tasks, self.tags)
+        return marts.fct_task_tags_bridge(self.tasks)
 
     @cached_property
     def spine(self) -> DataFrame:
@@ -123,20 +107,17 @@ class Tables:
     def semantic(self) -> DataFrame:
         return marts.semantic_base(self.tasks, self.projects, self.folders, CFG)
 
-    @cached_property
-    def due_semantic(self) -> DataFrame:
-        return marts.semantic_base(self.due_tasks, self.projects, self.folders, CFG)
-
     @cached_property
     def rollup(self) -> DataFrame:
-        return marts.grain_rollup(self.due_semantic)
+        return marts.grain_rollup(self.semantic)
 
     @cached_property
     def catalog(self) -> DataFrame:
         return marts.project_catalog(self.projects, self.folders, CFG)
 
-    def workload(self, until: dt.date | None = None) -> DataFrame:
-        return marts.due_workload_daily(self.due_tasks, self.projects, self.folders, AS_OF, CFG, until)
+    @cached_property
+    def workload(self) -> DataFrame:
+        return marts.due_workload_daily(self.tasks, self.projects, self.folders, AS_OF, CFG)
 
     # First-generation raw tables.
 
