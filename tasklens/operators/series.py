@@ -18,9 +18,9 @@ MISSED = -1
 RULE_DAYS = ["SU", "MO", "TU", "WE", "TH", "FR", "SA"]
 
 
-def spine_days(as_of: dt.date | str, months: int = 3) -> Column:
+def spine_days(as_of: dt.date | str | Column, months: int = 3) -> Column:
     """Array of the days from as_of for some months, last day excluded."""
-    start = F.lit(as_date(as_of))
+    start = as_of if isinstance(as_of, Column) else F.lit(as_date(as_of))
     return F.sequence(start, F.date_sub(F.add_months(start, months), 1))
 
 
@@ -28,6 +28,12 @@ def date_spine(spark: SparkSession, as_of: dt.date | str, months: int = 3) -> Da
     return spark.range(1).select(F.explode(spine_days(as_of, months)).alias("date_day"))
 
 
+def date_spine_after(rows: DataFrame, column: str, months: int = 3) -> DataFrame:
+    """The spine that starts on the newest day of a column."""
+    newest = rows.agg(F.max(F.col(column).cast("date")).alias("_start"))
+    return newest.select(F.explode(spine_days(F.col("_start"), months)).alias("date_day"))
+
+
 def calendar_cross(entities: DataFrame, as_of: dt.date | str, months: int = 3,
                    day: str = "due_date_day") -> DataFrame:
     """Every entity on every day of the calendar. Each row expands in place: no join and no shuffle."""

@@ -52,9 +52,12 @@ def fct_task_tags_bridge(t: Tables):
     return t.bridge
 
 
-@query("dim_date_spine", "SELECT date_day FROM spine")
+@query("dim_date_spine", """
+    SELECT date_day, count(task_id) AS due_tasks FROM spine LEFT JOIN tasks ON CAST(due_date AS DATE) = date_day GROUP BY 1""")
 def dim_date_spine(t: Tables):
-    return t.spine
+    """The days of the spine, each with the tasks due on it."""
+    due = explore.on_spine(t.tasks, t.spine, "day").groupBy("date_day").agg(F.count("task_id").alias("due_tasks"))
+    return t.spine.join(due, "date_day", "left").na.fill(0, ["due_tasks"])
 
 
 @query("fct_tasks_v3", "SELECT * EXCLUDE (tags), array_to_string(tags, ',') AS tags FROM v3_tasks")

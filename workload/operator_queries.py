@@ -247,9 +247,11 @@ def pivot_series(t: Tables):
 
 # Windows and series.
 
-@query("date_spine", "SELECT date_day FROM spine")
+@query("date_spine", """
+    SELECT CAST(unnest(range(m, m + INTERVAL 3 MONTH, INTERVAL 1 DAY)) AS DATE) AS date_day
+    FROM (SELECT date_trunc('day', max(o_orderdate))::TIMESTAMP AS m FROM orders)""")
 def date_spine(t: Tables):
-    return t.spine
+    return series.date_spine_after(t.read("orders"), "o_orderdate")
 
 
 @query("week_dense_rank", _RANKED_SQL)
