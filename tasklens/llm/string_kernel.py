@@ -170,13 +170,14 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 
 
 def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset that make a margin a probability."""
+    """Slope and offset that make a margin a probability, with both labels of equal weight in all."""
     x = np.stack([margin, np.ones(len(margin))], axis=1)
+    weight = len(y) / 2 / np.where(y > 0, max(1, (y > 0).sum()), max(1, (y <= 0).sum()))
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + 0.01 * w
-        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(2), gradient)
+        gradient = x.T @ (weight * (p - y)) + 0.01 * w
+        w -= np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(2), gradient)
     return float(w[0]), float(w[1])
 
 
@@ -236,7 +237,7 @@ def _choose(found: Sentences, labels: np.ndarray, count: int, decay: float) -> l
     return [found.vocabulary[i] for i in chosen + common[: count - len(chosen)]]
 
 
-def fit_toxicity(rows: list[tuple[str | None, int]], landmarks: int = 96, decay: float = 0.6, power: int = 4,
+def fit_toxicity(rows: list[tuple[str | None, int]], landmarks: int = 96, decay: float = 0.75, power: int = 3,
                  ridge: float = 1.0, rounds: int = 4, sentences_a_text: int = 20) -> ToxicityModel:
     """Fit on labelled texts. A text of label 0 gives up to `sentences_a_text` evenly spaced sentences to the fit."""
     labels = np.array([label for _, label in rows], np.int64)
@@ -268,12 +269,14 @@ def fit_toxicity(rows: list[tuple[str | None, int]], landmarks: int = 96, decay:
         y = np.where(toxic[rows_in], 1.0, -1.0)
         weight = np.where(y > 0, min(10.0, (y < 0).sum() / (y > 0).sum()), 1.0)
         direction, bias = squared_hinge(z[rows_in], y, weight, ridge)
+    del values, x, z
     model = ToxicityModel(marks, root @ direction, float(bias), 1.0, 0.0)
-    slope, offset = _platt(model.margins([t for t, _ in rows]), labels)
+    margins = [model.margins([t for t, _ in rows[i: i + 500]]) for i in range(0, len(rows), 500)]
+    slope, offset = _platt(np.concatenate(margins), labels)
     return ToxicityModel(marks, model.weights, model.bias, slope, offset)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows: int = 6_000,
+def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows: int = 3_000,
                     id_col: str = "doc_id", text_col: str = "text", **fit) -> DataFrame:
     """Score of every text by a string-kernel machine fitted to the labelled rows in `labels`.
 
