@@ -64,20 +64,26 @@ class PairModel:
     keys: np.ndarray  # of pairs, in order
     pairs: np.ndarray  # a row of counts for each model
     singles: np.ndarray
+    total: np.ndarray  # of the singles of each model
     weight: float
 
-    def losses(self, text: bytes | None) -> tuple[int, float, float]:
-        """Number of words, and mean loss of a word under the target and the background model, in nats."""
+    def losses(self, text: bytes | None, target: bool) -> tuple[int, float, float]:
+        """Number of words, and mean loss of a word under the target and the background model, in nats. The text's own
+        counts are taken out of the model that it was counted for, so no text is judged by itself."""
         numbers = self.vocabulary.numbers(text)
         if not len(numbers):
             return 0, 0.0, 0.0
-        total = self.singles.sum(axis=1, keepdims=True)
-        chance = (self.singles[:, numbers] + 0.5) / (total + 0.5 * self.singles.shape[1])
+        own = np.array([[1], [0]] if target else [[0], [1]])
+        _, code, times = np.unique(numbers, return_inverse=True, return_counts=True)
+        singles = self.singles[:, numbers] - own * times[code]
+        total = self.total - own * len(numbers)
+        chance = (singles + 0.5) / (total + 0.5 * self.singles.shape[1])
         if len(numbers) > 1 and len(self.keys):
             key = self.vocabulary.pairs(numbers)
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            pair = np.where(self.keys[at] == key, self.pairs[:, at], 0)
-            first = self.singles[:, numbers[:-1]]
+            _, code, times = np.unique(key, return_inverse=True, return_counts=True)
+            pair = np.where(self.keys[at] == key, self.pairs[:, at] - own * times[code], 0)
+            first = singles[:, :-1]
             follows = np.where(first > 0, pair / np.maximum(first, 1), chance[:, 1:])
             chance[:, 1:] = self.weight * follows + (1 - self.weight) * chance[:, 1:]
         loss = -np.log(chance).mean(axis=1)
@@ -108,7 +114,8 @@ def fit_pair_models(docs: DataFrame, target_col: str, text_col: str = "text", ma
         singles[:, -1 - r["key"]] = r["n_target"], r["n"] - r["n_target"]
     frequent = most_frequent(counts.filter("key >= 0"), max_pairs).orderBy("key").toArrow()
     n, inside = frequent["n"].to_numpy(), frequent["n_target"].to_numpy()
-    return PairModel(vocabulary.value, frequent["key"].to_numpy(), np.stack([inside, n - inside]).astype(np.int32), singles, weight)
+    return PairModel(vocabulary.value, frequent["key"].to_numpy(), np.stack([inside, n - inside]).astype(np.int32), singles,
+                     singles.sum(axis=1, keepdims=True), weight)
 
 
 def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "doc_id", text_col: str = "text",
@@ -116,7 +123,7 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
     """Loss of every text under the target and the background model, and their difference.
 
     Returns one row per input row: doc_id, n_tokens, target_loss, background_loss (nats a word) and score, the second
-    less the first: higher is more like the target. Words are runs of anything but ASCII whitespace, with A-Z
+    less the first: higher is more like the target. Each text is left out of the counts it is judged by. Words are runs of anything but ASCII whitespace, with A-Z
     lower-cased. A null, empty or wordless text has no words and losses and score 0. A null mark is no target. Without
     target documents the target model is even over the vocabulary, and so is the background model without others.
     Repeated rows count each time; null ids are scored like others; other columns are ignored; no rows give no rows.
@@ -125,12 +132,15 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.value.losses(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            rows = zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("target").to_pylist(), strict=True)
+            found = [model.value.losses(text, target) for text, target in rows]
             n, target, background = (np.array(c) for c in zip(*found, strict=True)) if found else (np.empty(0),) * 3
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(target.astype(float)),
                  pa.array(background.astype(float)), pa.array((background - target).astype(float))],
                 ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.coalesce(F.col(target_col), F.lit(False)).alias("target"))
+    return rows.mapInArrow(
         task, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

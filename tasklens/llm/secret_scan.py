@@ -62,16 +62,19 @@ def pair_counts(tokens: DataFrame) -> list[int]:
     return counts
 
 
+def _chances(counts: list[int], prior: float = 5.0) -> list[list[float]]:
+    """P(next | character), drawn to P(next) where a character was seen rarely."""
+    rows = [counts[i * _BASE: (i + 1) * _BASE] for i in range(_BASE)]
+    total = sum(counts) + 0.5 * _BASE
+    single = [(sum(column) + 0.5) / total for column in zip(*rows, strict=True)]
+    return [[(n + prior * p) / (sum(row) + prior) for n, p in zip(row, single, strict=True)] for row in rows]
+
+
 def log_ratios(random: list[int], ordinary: list[int], even: float = 0.5) -> list[float]:
     """log P(next | character) under random strings over that under identifiers. Random strings are mixed with evenly
     distributed ones by the share `even`, as the samples need not use the whole alphabet."""
-    ratios = []
-    for first in range(_BASE):
-        a, b = (c[first * _BASE: (first + 1) * _BASE] for c in (random, ordinary))
-        for x, y in zip(a, b, strict=True):
-            p = even / _BASE + (1 - even) * (x + 0.5) / (sum(a) + 0.5 * _BASE)
-            ratios.append(math.log(p) - math.log((y + 0.5) / (sum(b) + 0.5 * _BASE)))
-    return ratios
+    return [math.log(even / _BASE + (1 - even) * p) - math.log(q)
+            for a, b in zip(_chances(random), _chances(ordinary), strict=True) for p, q in zip(a, b, strict=True)]
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_token: int = 20,

@@ -157,7 +157,8 @@ def remove_repeats(docs: DataFrame, length: int = 35, seed: int = 8, id_col: str
                        F.hash(text_col).alias("text_hash"))
     anchors = materialize(rows.mapInArrow(_find_anchors(length, seed),
                                           "doc_id long, text_hash int, place int, anchor long"))
-    shared = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # Written first, so both sides of the join come from a shuffle and adaptive execution can split a hot anchor.
+    shared = materialize(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
     places = anchors.join(shared, "anchor", "left_semi").groupBy("doc_id", "text_hash").agg(
         F.collect_set("place").alias("places"))
 
