@@ -99,7 +99,7 @@ class Landmarks:
                     result[list(rows)] = value
                 else:
                     np.maximum.at(result, np.array(rows), value)
-        return result**self.power
+        return np.power(result, self.power, out=result)
 
 
 _EDGES = ".,!?;:\"'()[]{}*#$%&|"
@@ -223,7 +223,7 @@ def _choose(found: Sentences, labels: np.ndarray, count: int, decay: float) -> l
     size = np.maximum(1, [(labels == 0).sum(), (labels == 1).sum()])
     tie = in_toxic * np.log(((in_toxic + 0.5) / size[1]) / ((in_clean + 0.5) / size[0]))
     usable = np.array([3 <= len(w) <= 12 for w in found.vocabulary], bool)
-    pool = [i for i in np.lexsort([found.vocabulary, -tie]) if usable[i] and tie[i] > 0][:600]
+    pool = [i for i in np.lexsort([found.vocabulary, -tie]) if usable[i] and tie[i] > 0][:200]
     chosen: list[int] = []
     if pool:
         words = [found.vocabulary[i] for i in pool]
