@@ -26,6 +26,7 @@ from tasklens.operators.merge import (
     list_rows,
     newest_lists,
     poll_counts,
+    purge,
     replica_rows,
     task_ops,
     with_deletes,
@@ -115,17 +116,22 @@ def stream_checkpoints(spark: SparkSession, replica_dir: str) -> DataFrame:
     return checkpoints(spark.read.parquet(f"{replica_dir}/polls"))
 
 
-def compact(spark: SparkSession, replica_dir: str, target_dir: str) -> None:
+def compact(spark: SparkSession, replica_dir: str, target_dir: str, without: str | None = None) -> None:
     """Write the folded changes to a new folder as its first batch, deletions kept. Readers and the stream then move there;
-    the old folder stays until nobody reads it."""
-    tasks = latest_task_ops(_stored(spark, replica_dir, "task_changes", TASK_CHANGES))
+    the old folder stays until nobody reads it. With `without`, everything stored for that account is left out, which
+    purges it once the old folder is gone."""
+
+    def kept(df: DataFrame) -> DataFrame:
+        return df if without is None else purge(df, without)
+
+    tasks = latest_task_ops(kept(_stored(spark, replica_dir, "task_changes", TASK_CHANGES)))
     tasks.write.mode("overwrite").parquet(f"{target_dir}/task_changes/batch_id=-1")
     for entity in LIST_ENTITIES:
-        lists = _stored(spark, replica_dir, f"{entity}_lists", LIST_CHANGES)
+        lists = kept(_stored(spark, replica_dir, f"{entity}_lists", LIST_CHANGES))
         newest = newest_lists(lists)
         newest.write.mode("overwrite").parquet(f"{target_dir}/{entity}_lists/batch_id=-1")
     for name in ("stats", "polls", "task_ops"):
-        spark.read.parquet(f"{replica_dir}/{name}").drop("batch_id").write.mode("overwrite").parquet(
+        kept(spark.read.parquet(f"{replica_dir}/{name}")).drop("batch_id").write.mode("overwrite").parquet(
             f"{target_dir}/{name}/batch_id=-1")
 
 

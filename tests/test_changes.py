@@ -3,6 +3,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tasklens import schemas
 from tasklens.operators import history, merge
@@ -178,6 +179,13 @@ def test_stream_equals_batch(spark, tmp_path, mode):
     compact(spark, folders[1], str(tmp_path / "compacted"))
     assert as_dict(current_replica(spark, str(tmp_path / "compacted"), "tasks"), "task_id", "title") == tasks
     assert stream_stats(spark, str(tmp_path / "compacted")).count() == len(POLLS)
+    gone = min(a for a, _ in tasks)
+    compact(spark, folders[1], str(tmp_path / "purged"), without=gone)
+    assert as_dict(current_replica(spark, str(tmp_path / "purged"), "tasks"), "task_id", "title") == {
+        k: v for k, v in tasks.items() if k[0] != gone}
+    for part in ("task_changes", "task_ops", "projects_lists", "groups_lists", "stats", "polls"):
+        stored = spark.read.parquet(str(tmp_path / "purged" / part))
+        assert stored.filter(F.col("account_id") == gone).isEmpty()
 
 
 def test_jsonl_round_trip_and_broken_lines(spark, tmp_path):

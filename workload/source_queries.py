@@ -8,7 +8,7 @@ from tasklens import schemas
 from tasklens.functions.typing import to_local_datetime
 from tasklens.operators import history, merge
 from tasklens.sources import add_inbox, drop_meta, read_deltas, read_jsonl, read_replica, slim, write_jsonl, write_replica
-from tasklens.streaming import current_replica, start_merge, stream_stats
+from tasklens.streaming import compact, current_replica, start_merge, stream_stats
 from workload.registry import query
 from workload.scratch import scratch_dir
 from workload.tables import AS_OF_TS, Tables
@@ -210,9 +210,16 @@ def replica_counts(t: Tables):
     return merge.replica_counts(t.raw_tasks_v3, t.raw_projects_v3, t.raw_groups_v3)
 
 
-@query("account_purge", "SELECT task_id, account_id FROM v3_base WHERE account_id <> 'acc2'")
+@query("account_purge", """
+    SELECT 'extract' AS origin, task_id, account_id FROM v3_base WHERE account_id <> 'acc2'
+    UNION ALL SELECT 'stream', task_id, account_id FROM last_ops WHERE event_type <> 'error' AND account_id <> '8'""")
 def account_purge(t: Tables):
-    return merge.purge(t.raw_tasks_v3, "acc2").select("task_id", "account_id")
+    """An account leaves a table, and the folders of a stream."""
+    root = _streamed(t)
+    compact(t.spark, f"{root}/replica", f"{root}/purged", without="8")
+    streamed = current_replica(t.spark, f"{root}/purged", "tasks").select(F.lit("stream").alias("origin"), "task_id", "account_id")
+    extract = merge.purge(t.raw_tasks_v3, "acc2").select(F.lit("extract").alias("origin"), "task_id", "account_id")
+    return extract.unionByName(streamed)
 
 
 @query("scd2_snapshot", """
