@@ -128,6 +128,8 @@ def _near_hub(agree: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, -1)
                     for c in ("tokens", "hub_tokens"))
             near = (a == b).sum(axis=1) >= agree
