@@ -47,9 +47,13 @@ def start_merge(spark: SparkSession, in_dir: str, replica_dir: str, checkpoint_d
     polls = read_deltas(spark, in_dir, stream=True, files_per_trigger=files_per_trigger, lines=lines)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        store_batch(batch, replica_dir, batch_id)
-        if emit_dir:
-            emit_changed(batch, replica_dir, emit_dir)
+        batch.persist()  # parsed once for all parts and the emit
+        try:
+            store_batch(batch, replica_dir, batch_id)
+            if emit_dir:
+                emit_changed(batch, replica_dir, emit_dir)
+        finally:
+            batch.unpersist()
 
     writer = polls.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_dir)
     if trigger == "availableNow":
@@ -62,18 +66,14 @@ def store_batch(batch: DataFrame, replica_dir: str, batch_id: int) -> None:
     def put(df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").parquet(f"{replica_dir}/{name}/batch_id={batch_id}")
 
-    batch.persist()  # until the last part is written
-    try:
-        put(latest_task_ops(task_ops(batch)), "task_changes")
-        put(task_ops(batch).select(*OP_COLUMNS), "task_ops")
-        for entity in LIST_ENTITIES:
-            sent = batch.filter(F.col(entity).isNotNull())
-            lists = sent.select("account_id", "check_point", F.col(entity).alias("items"))
-            put(newest_lists(lists), f"{entity}_lists")
-        put(poll_counts(batch), "stats")
-        put(batch.select("account_id", "check_point", "state_changed"), "polls")
-    finally:
-        batch.unpersist()
+    put(latest_task_ops(task_ops(batch)), "task_changes")
+    put(task_ops(batch).select(*OP_COLUMNS), "task_ops")
+    for entity in LIST_ENTITIES:
+        sent = batch.filter(F.col(entity).isNotNull())
+        lists = sent.select("account_id", "check_point", F.col(entity).alias("items"))
+        put(newest_lists(lists), f"{entity}_lists")
+    put(poll_counts(batch), "stats")
+    put(batch.select("account_id", "check_point", "state_changed"), "polls")
 
 
 def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str) -> None:
