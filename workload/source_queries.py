@@ -27,6 +27,48 @@ def read_jsonl_source(t: Tables):
                         F.when(F.col("tags").isNotNull(), tags).alias("tags"))
 
 
+@query("read_jsonl_declared", """
+    SELECT 'tasks' AS origin, CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS detail FROM orders WHERE o_orderstatus <> 'F'
+    UNION ALL SELECT 'tasks_snapshot', concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey),
+        concat('[', chr(39), l_returnflag, chr(39), ',', chr(39), 'b', chr(39), ']') FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    UNION ALL SELECT 'projects', CASE WHEN c_mktsegment = 'BUILDING' THEN 'inbox' ELSE '' END || CAST(c_custkey AS VARCHAR),
+        CASE WHEN c_acctbal < 0 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END FROM customer
+    UNION ALL SELECT 'projects_snapshot', CAST(o_orderkey AS VARCHAR),
+        CASE WHEN c_mktsegment = 'MACHINERY' THEN 'true' ELSE 'false' END FROM orders JOIN customer ON o_custkey = c_custkey
+    UNION ALL SELECT 'active_tasks', CAST(user_id AS VARCHAR),
+        'every day|' || strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') FROM events GROUP BY user_id
+    UNION ALL SELECT 'completed_tasks', CAST(event_id AS VARCHAR), 'done @' || props || '|n1,n2'
+        FROM events WHERE event_type = 'purchase'
+    UNION ALL SELECT 'active_projects', CAST(n_nationkey AS VARCHAR), n_name || '|' || n_regionkey FROM nation
+    UNION ALL SELECT 'archived_projects', CAST(n_nationkey AS VARCHAR), n_name FROM nation""")
+def read_jsonl_declared(t: Tables):
+    """All declared tables written as JSON lines and read back with their schemas, nested columns included."""
+    root = scratch_dir(t.spark)
+    text = F.concat_ws
+    archived = F.to_json(F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name")))
+    due = text("|", "due.string", "due.date")
+    tables = {
+        "tasks": (t.raw_tasks, schemas.TASKS, "id", F.col("title")),
+        "tasks_snapshot": (t.raw_history, schemas.TASKS_SNAPSHOT, "dbt_scd_id", F.col("reminders")),
+        "projects": (t.raw_projects, schemas.PROJECTS, "id", F.col("groupId")),
+        "projects_snapshot": (t.raw_projects_history, schemas.PROJECTS_SNAPSHOT, "dbt_scd_id", F.col("closed").cast("string")),
+        "active_tasks": (t.raw_habit_active, schemas.HABIT_ACTIVE, "id", due),
+        "completed_tasks": (t.raw_habit_completed.withColumn("notes", F.array(F.lit("n1"), F.lit("n2"))),
+                            schemas.HABIT_COMPLETED, "id", text("|", "content", text(",", "notes"))),
+        "active_projects": (t.raw_habit_projects, schemas.HABIT_PROJECTS, "id", text("|", "name", "default_order")),
+        "archived_projects": (t.read("nation").select(archived.alias("json")), schemas.HABIT_ARCHIVED,
+                              F.get_json_object("json", "$.id"), F.get_json_object("json", "$.name")),
+    }
+    rows = None
+    for name, (df, schema, key, detail) in tables.items():
+        write_jsonl(df, f"{root}/{name}")
+        key = F.col(key) if isinstance(key, str) else key
+        part = read_jsonl(t.spark, f"{root}/{name}", schema).select(
+            F.lit(name).alias("origin"), key.cast("string").alias("id"), detail.alias("detail"))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 @query("write_jsonl_sink", """
     SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(NULL AS VARCHAR) AS color, c_custkey AS "sortOrder"
     FROM customer""")
