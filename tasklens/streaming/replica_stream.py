@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,9 +33,12 @@ from tasklens.operators.merge import (
 )
 from tasklens.sources import read_deltas, write_replica
 
-TASK_CHANGES = "account_id string, task_id string, check_point bigint, phase int, position int, raw_json string"
+TASK_CHANGES = ("account_id string, task_id string, check_point bigint, phase int, position int, raw_json string, "
+                "account_bucket int")
 TASK_OPS = "account_id string, task_id string, check_point bigint, phase int, position int"
-LIST_CHANGES = "account_id string, check_point bigint, items array<string>"
+LIST_CHANGES = "account_id string, check_point bigint, items array<string>, account_bucket int"
+# Stored changes lie in this many folders by a hash of the account, so an emit reads the folders of its accounts only.
+ACCOUNT_BUCKETS = 16
 LIST_ENTITIES = ("projects", "groups")
 
 
@@ -66,16 +69,26 @@ def store_batch(batch: DataFrame, replica_dir: str, batch_id: int) -> None:
     def put(df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").parquet(f"{replica_dir}/{name}/batch_id={batch_id}")
 
-    put(latest_task_ops(task_ops(batch)), "task_changes")
+    _write_changes(latest_task_ops(task_ops(batch)), f"{replica_dir}/task_changes/batch_id={batch_id}")
     put(task_ops(batch).select(*OP_COLUMNS), "task_ops")
     for entity in LIST_ENTITIES:
         sent = batch.filter(F.col(entity).isNotNull())
         lists = sent.select("account_id", "check_point", F.col(entity).alias("items"))
-        put(newest_lists(lists), f"{entity}_lists")
+        _write_changes(newest_lists(lists), f"{replica_dir}/{entity}_lists/batch_id={batch_id}")
     put(poll_counts(batch), "stats")
     put(batch.select("account_id", "check_point", "state_changed"), "polls")
 
 
+def _account_bucket() -> Column:
+    return F.pmod(F.hash("account_id"), F.lit(ACCOUNT_BUCKETS)).cast("int")
+
+
+def _write_changes(changes: DataFrame, path: str) -> None:
+    """By account bucket; adaptive execution splits a bucket that is too large for one task."""
+    placed = changes.drop("batch_id").withColumn("account_bucket", _account_bucket()).hint("rebalance", "account_bucket")
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("account_bucket").parquet(path)
+
+
 def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str) -> None:
     """Snapshot of the accounts whose state the batch changed; an idle batch writes nothing."""
     spark = batch.sparkSession
@@ -89,7 +102,7 @@ def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str) -> None:
 
 def current_replica(spark: SparkSession, replica_dir: str, entity: str,
                     merged_at: dt.datetime | str | None = None, accounts: DataFrame | None = None) -> DataFrame:
-    """Rows of one entity as of the newest stored change; with `accounts`, only theirs are read on after the scan."""
+    """Rows of one entity as of the newest stored change; with `accounts`, only their buckets are read."""
     if entity == "tasks":
         changes = _of_accounts(_stored(spark, replica_dir, "task_changes", TASK_CHANGES), accounts, "task_id")
         rows = latest_task_ops(changes).filter(F.col("phase") == UPSERT)
@@ -102,6 +115,8 @@ def current_replica(spark: SparkSession, replica_dir: str, entity: str,
 def _of_accounts(changes: DataFrame, accounts: DataFrame | None, spread: str) -> DataFrame:
     if accounts is None:
         return changes
+    buckets = [r[0] for r in accounts.select(_account_bucket()).distinct().collect()]  # ACCOUNT_BUCKETS at most
+    changes = changes.filter(F.col("account_bucket").isin(buckets))
     return lookup_join(changes, accounts.select("account_id").distinct(), "account_id", spread, "left_semi")
 
 
@@ -125,11 +140,11 @@ def compact(spark: SparkSession, replica_dir: str, target_dir: str, without: str
         return df if without is None else purge(df, without)
 
     tasks = latest_task_ops(kept(_stored(spark, replica_dir, "task_changes", TASK_CHANGES)))
-    tasks.write.mode("overwrite").parquet(f"{target_dir}/task_changes/batch_id=-1")
+    _write_changes(tasks, f"{target_dir}/task_changes/batch_id=-1")
     for entity in LIST_ENTITIES:
         lists = kept(_stored(spark, replica_dir, f"{entity}_lists", LIST_CHANGES))
         newest = newest_lists(lists)
-        newest.write.mode("overwrite").parquet(f"{target_dir}/{entity}_lists/batch_id=-1")
+        _write_changes(newest, f"{target_dir}/{entity}_lists/batch_id=-1")
     for name in ("stats", "polls", "task_ops"):
         kept(spark.read.parquet(f"{replica_dir}/{name}")).drop("batch_id").write.mode("overwrite").parquet(
             f"{target_dir}/{name}/batch_id=-1")

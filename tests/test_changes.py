@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,6 +180,9 @@ def test_stream_equals_batch(spark, tmp_path, mode):
     compact(spark, folders[1], str(tmp_path / "compacted"))
     assert as_dict(current_replica(spark, str(tmp_path / "compacted"), "tasks"), "task_id", "title") == tasks
     assert stream_stats(spark, str(tmp_path / "compacted")).count() == len(POLLS)
+    some = spark.createDataFrame([(min(a for a, _ in tasks),)], "account_id string")
+    plan = current_replica(spark, folders[1], "tasks", accounts=some)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*account_bucket", plan)
     gone = min(a for a, _ in tasks)
     compact(spark, folders[1], str(tmp_path / "purged"), without=gone)
     assert as_dict(current_replica(spark, str(tmp_path / "purged"), "tasks"), "task_id", "title") == {

@@ -356,10 +356,21 @@ def stream_replica_merge(t: Tables):
 
 
 @query("stream_emit_on_change", """
-    SELECT account_id, task_id, event_type AS title FROM last_ops WHERE event_type <> 'error'""")
+    SELECT 'tasks' AS entity, account_id, task_id AS id, event_type AS name FROM last_ops WHERE event_type <> 'error'
+    UNION ALL SELECT 'projects', account_id, 'p' || CAST(k AS VARCHAR), 'purchase'
+    FROM (SELECT * FROM polls WHERE event_type = 'purchase'
+          QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY check_point DESC) = 1)
+    UNION ALL SELECT DISTINCT 'projects', account_id, 'inbox', 'inbox' FROM polls WHERE event_type = 'purchase'
+    UNION ALL SELECT 'groups', account_id, 'g', CAST(k AS VARCHAR)
+    FROM (SELECT * FROM polls WHERE event_type = 'purchase' AND k > 50
+          QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY check_point DESC) = 1)""")
 def stream_emit_on_change(t: Tables):
-    emitted = read_replica(t.spark, f"{_streamed(t, emit=True)}/emitted", "tasks")
-    return emitted.select("account_id", "task_id", "title")
+    root, parts = _streamed(t, emit=True), []
+    for entity, name in (("tasks", "title"), ("projects", "name"), ("groups", "name")):
+        emitted = read_replica(t.spark, f"{root}/emitted", entity)
+        parts.append(emitted.select(F.lit(entity).alias("entity"), "account_id",
+                                    F.col(schemas.REPLICA_KEY[entity]).alias("id"), F.col(name).alias("name")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("stream_batch_stats", _STATS.replace("task_id = 't0'", "false"))
