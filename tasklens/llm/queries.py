@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tasklens.llm import oracles
 from tasklens.llm.fm_index import find_contamination
 from tasklens.llm.language import identify_languages
 from tasklens.llm.lm_score import cross_entropy_difference
@@ -34,7 +35,7 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-@query("op8_benchmark_decontamination")
+@query("op8_benchmark_decontamination", oracles.CONTAMINATION)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
                                table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -44,13 +45,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-@query("op9_substring_dedup")
+@query("op9_substring_dedup", oracles.SUBSTRINGS)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), digest=True)
     return cut.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
-@query("op3_near_dedup")
+@query("op3_near_dedup", oracles.NEAR_DEDUP)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 

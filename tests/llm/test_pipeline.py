@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from tasklens.llm.queries import ORACLES, QUERIES
+from tests.compare import connect, difference
 from tests.llm import brute
 
 SMALL = "/root/testdata/sf0.001"
@@ -61,3 +62,8 @@ def test_stages_keep_columns_and_take_effect(spark, documents):
             assert set(after) == set(before) and not any(brute.base_secrets(r.text) for r in after.values())
         if k < 4:
             assert all(r.n_chars == len(r.text) for i, r in after.items() if r.text != before[i].text)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    assert difference(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) is None
