@@ -206,7 +206,7 @@ def time_intervals(t: Tables):
         folder_url_path, folder_url_web, folder_url_native FROM semantic""")
 def deep_links(t: Tables):
     kinds = [f"{g}_url_{k}" for g in ("task", "project", "folder") for k in ("path", "web", "native")]
-    return t.due_semantic.select("task_id", *kinds)
+    return t.semantic.select("task_id", *kinds)
 
 
 @query("url_metadata", """
@@ -216,7 +216,7 @@ def deep_links(t: Tables):
         'ticktick.com/webapp/#p/' || project_id || '/tasks' AS project_url,
         'ticktick.com/webapp/#g/' || folder_id AS parent_of_project_url FROM semantic""")
 def url_metadata(t: Tables):
-    return t.due_semantic.select(
+    return t.semantic.select(
         "task_id", links.url_metadata().alias("url_metadata"), links.grain_url("project").alias("project_url"),
         links.parent_grain_url("project").alias("parent_of_project_url"))
 
