@@ -10,7 +10,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tasklens.llm.hashing import MULTIPLIER, mix
 from tasklens.llm.staging import materialize
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -63,29 +65,64 @@ def _grams(longest: int) -> Column:
     return F.concat(*map(of, range(1, longest + 1)))
 
 
+def _gram_hashes(points: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k code points from each place."""
+    count = max(0, len(points) - k + 1)
+    total = np.full(count, k, np.uint64)
+    for j in range(k):
+        total = total * MULTIPLIER + points[j: j + count]
+    return mix(total)
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
+    """Known words and n-grams, each with a row of log frequencies by language."""
+
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: list[str]
+    word_values: np.ndarray
+    grams: list[str]
+    gram_values: np.ndarray
     longest: int
-    known: dict[str, np.ndarray] = field(default_factory=dict, compare=False)
-
-    def word(self, word: str) -> np.ndarray:
-        """Log likelihood of a word in each language."""
-        seen = self.words.get(word)
-        return self._spelt(f"^{word}$") if seen is None else seen
-
-    def _spelt(self, marked: str) -> np.ndarray:
-        total, count = np.zeros(len(self.langs)), 0
-        for i in range(len(marked)):
-            for k in range(min(self.longest, len(marked) - i), 0, -1):
-                gram = self.grams.get(marked[i: i + k])
-                if gram is not None:
-                    total = total + gram
-                    count += 1
-                    break
-        return total / max(1, count)
+
+    @cached_property
+    def _word_index(self) -> pd.Index:
+        return pd.Index(np.array(self.words, object))
+
+    @cached_property
+    def _gram_index(self) -> pd.Index:
+        return pd.Index(np.array([_gram_hashes(_points(g), len(g))[0] for g in self.grams], np.uint64))
+
+    def likelihoods(self, words: list[str]) -> np.ndarray:
+        """Log likelihood of each word in each language."""
+        at = self._word_index.get_indexer(np.array(words, object)) if self.words else np.full(len(words), -1)
+        result = np.zeros((len(words), len(self.langs)))
+        result[at >= 0] = self.word_values[at[at >= 0]]
+        unseen = np.flatnonzero(at < 0)
+        if len(unseen) and self.grams:
+            result[unseen] = self._spelt([words[i] for i in unseen])
+        return result
+
+    def _spelt(self, words: list[str]) -> np.ndarray:
+        """Mean over the places of each word of the longest known n-gram there, all words at once."""
+        points = _points("".join(f"^{w}$\0" for w in words))
+        word = np.repeat(np.arange(len(words)), [len(w) + 3 for w in words])
+        ends = np.cumsum(points == 0)
+        found = np.full(len(points), -1)
+        for k in range(self.longest, 0, -1):
+            n = max(0, len(points) - k + 1)
+            inside = (points[:n] != 0) & (ends[:n] == ends[k - 1: k - 1 + n]) & (found[:n] < 0)
+            place = np.flatnonzero(inside)
+            found[place] = self._gram_index.get_indexer(_gram_hashes(points, k)[place])
+        hit = np.flatnonzero(found >= 0)
+        times = np.maximum(1, np.bincount(word[hit], minlength=len(words)))
+        values = self.gram_values[found[hit]]
+        sums = [np.bincount(word[hit], values[:, j], minlength=len(words)) for j in range(len(self.langs))]
+        return np.stack(sums, axis=1) / times[:, None]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         found = [words_of(t) for t in texts]
@@ -94,14 +131,8 @@ class LanguageModel:
         if not len(flat) or not self.langs:
             return names, scores
         code, vocabulary = pd.factorize(flat)
-        if len(self.known) + len(vocabulary) > 500_000:
-            self.known.clear()
-        for w in vocabulary:
-            if w not in self.known:
-                self.known[w] = self.word(w) if any(map(str.isalpha, w)) else None
-        letters = np.array([self.known[w] is not None for w in vocabulary])
-        blank = np.zeros(len(self.langs))
-        value = np.stack([blank if self.known[w] is None else self.known[w] for w in vocabulary])
+        letters = np.array([any(map(str.isalpha, w)) for w in vocabulary])
+        value = self.likelihoods(list(vocabulary)) * letters[:, None]
         begin = 0
         for i, words in enumerate(found):
             part = code[begin: begin + len(words)]
@@ -113,14 +144,14 @@ class LanguageModel:
         return names, scores
 
 
-def _vectors(rows, key: str, langs: list[str], total: dict) -> dict[str, np.ndarray]:
-    """Smoothed log frequency of each key in each language."""
-    at, floor = {lang: i for i, lang in enumerate(langs)}, [np.log(0.1 / max(total[g], 1)) for g in langs]
-    table: dict[str, np.ndarray] = {}
+def _vectors(rows, key: str, langs: list[str], total: dict) -> tuple[list[str], np.ndarray]:
+    """Keys and their smoothed log frequencies in each language."""
+    at = {lang: i for i, lang in enumerate(langs)}
+    keys = {k: i for i, k in enumerate(sorted({r[key] for r in rows}))}
+    values = np.tile([np.log(0.1 / max(total[g], 1)) for g in langs], (len(keys), 1))
     for row in rows:
-        vector = table.setdefault(row[key], np.array(floor))
-        vector[at[row["lang"]]] = np.log(row["n"] / total[row["lang"]])
-    return table
+        values[keys[row[key]], at[row["lang"]]] = np.log(row["n"] / total[row["lang"]])
+    return list(keys), values
 
 
 def fit_languages(training: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = 4,
@@ -139,8 +170,9 @@ def fit_languages(training: DataFrame, lang_col: str = "lang", text_col: str = "
         return counts.join(keys, key).collect()
 
     in_grams = {r["lang"]: r["n"] for r in grams.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    return LanguageModel(langs, _vectors(chosen(words, "word", max_words // max(1, len(langs))), "word", langs, total),
-                         _vectors(chosen(grams, "gram", max_grams // max(1, len(langs))), "gram", langs, in_grams), longest)
+    share = max(1, len(langs))
+    return LanguageModel(langs, *_vectors(chosen(words, "word", max_words // share), "word", langs, total),
+                         *_vectors(chosen(grams, "gram", max_grams // share), "gram", langs, in_grams), longest)
 
 
 def identify_languages(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -133,9 +133,16 @@ def test_languages_of_unseen_words_and_odd_rows(spark, frame):
 def test_unseen_words_fall_back_to_shorter_grams(spark):
     model = fit_languages(spark.createDataFrame([("abcd abce", "x"), ("zzzz zzzy", "y")], "text string, lang string"))
     assert model.langs == ["x", "y"]
-    assert (model.word("abcd") == model.words["abcd"]).all()
+    assert (model.likelihoods(["abcd"])[0] == model.word_values[model.words.index("abcd")]).all()
     for word, best in (("abcf", 0), ("zq", 1), ("qqa", 0)):
-        assert word not in model.words and model.word(word).argmax() == best
+        assert word not in model.words and model.likelihoods([word])[0].argmax() == best
+    table, words = dict(zip(model.grams, model.gram_values, strict=True)), ["abcf", "zqzz", "é", "bcdabcdzz"]
+    for word, got in zip(words, model.likelihoods(words), strict=True):
+        marked, rows = f"^{word}$", []
+        for i in range(len(marked)):
+            known = [marked[i: i + k] for k in (4, 3, 2, 1) if i + k <= len(marked) and marked[i: i + k] in table]
+            rows += [table[known[0]]] if known else []
+        assert got == pytest.approx(sum(rows) / len(rows))
 
 
 def test_cross_entropy_difference_equals_plain_models(spark, frame):
