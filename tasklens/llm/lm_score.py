@@ -2,6 +2,9 @@
 
 The target model is counted over the documents marked as target, the background model over all others. Both know the
 same words, interpolate pairs with single words by the same weight, and differ only in their counts.
+
+Counts of all words and pairs stay in Spark. The most frequent are sent to the tasks as well; what a text needs of the
+rest is joined to it by key. Both give the same loss.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasklens.llm.hashing import word_hashes
+from tasklens.llm.hashing import run_hashes, word_hashes
 from tasklens.llm.language import most_frequent
 from tasklens.llm.staging import materialize
 
@@ -23,103 +26,127 @@ def _coded(text: bytes | None) -> np.ndarray:
     return word_hashes(text.lower().split()).view(np.int64) if text else np.empty(0, np.int64)
 
 
-def _counts(keys: list[np.ndarray], target: np.ndarray | None) -> pa.RecordBatch:
-    """Distinct keys of a batch with their counts, in target documents and in all."""
+def _counts(keys: list[np.ndarray], target: np.ndarray) -> pa.RecordBatch:
+    """Distinct keys of a batch with their counts, in all documents and in target documents."""
     sizes = [len(k) for k in keys]
     distinct, code = np.unique(np.concatenate([np.empty(0, np.int64), *keys]), return_inverse=True)
     everywhere = np.bincount(code, minlength=len(distinct))
-    arrays, names = [pa.array(distinct), pa.array(everywhere.astype(np.int64))], ["key", "n"]
-    if target is not None:
-        inside = np.bincount(code, np.repeat(target, sizes), minlength=len(distinct))
-        arrays, names = [*arrays, pa.array(inside.astype(np.int64))], [*names, "n_target"]
-    return pa.RecordBatch.from_arrays(arrays, names)
+    inside = np.bincount(code, np.repeat(target, sizes), minlength=len(distinct))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(distinct), pa.array(everywhere.astype(np.int64)), pa.array(inside.astype(np.int64))], ["key", "n", "n_target"])
+
+
+def _pairs(words: np.ndarray) -> np.ndarray:
+    return run_hashes(words.view(np.uint64), 2).view(np.int64)
+
 
+def _count(of):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [of(_coded(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield _counts(keys, batch.column("target").to_numpy(zero_copy_only=False))
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield _counts([_coded(t) for t in batch.column("text").cast(pa.binary()).to_pylist()], None)
+    return task
 
 
 @dataclass(frozen=True)
-class Vocabulary:
-    """Word hashes in order; a word's number is its place from 1, and 0 stands for all others."""
+class Counts:
+    """Keys in order, each with its counts in the target and in the background model."""
 
-    hashes: np.ndarray
+    keys: np.ndarray
+    values: np.ndarray
 
-    def numbers(self, text: bytes | None) -> np.ndarray:
-        words = _coded(text)
-        if not len(self.hashes):
-            return np.zeros(len(words), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, at + 1, 0)
+    @classmethod
+    def of(cls, keys: np.ndarray, n: np.ndarray, n_target: np.ndarray) -> Counts:
+        order = np.argsort(keys)
+        return cls(keys[order], np.stack([n_target, n - n_target])[:, order])
 
-    def pairs(self, numbers: np.ndarray) -> np.ndarray:
-        """Keys of word pairs; keys of single words are their numbers, negative less one."""
-        return (numbers[:-1] << 32) | numbers[1:]
+    @classmethod
+    def most_frequent(cls, counts: DataFrame, most: int) -> Counts:
+        found = most_frequent(counts, most).select("key", "n", "n_target").toArrow()
+        return cls.of(*(found[c].to_numpy() for c in ("key", "n", "n_target")))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the keys, 0 for others, and which keys are here."""
+        if not len(self.keys):
+            return np.zeros((2, len(keys))), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        here = self.keys[at] == keys
+        return np.where(here, self.values[:, at], 0).astype(float), here
 
 
 @dataclass(frozen=True)
 class PairModel:
-    vocabulary: Vocabulary
-    keys: np.ndarray  # of pairs, in order
-    pairs: np.ndarray  # a row of counts for each model
-    singles: np.ndarray
-    total: np.ndarray  # of the singles of each model
+    """The frequent words and pairs, and what is said of all words."""
+
+    words: Counts
+    pairs: Counts
+    distinct: int  # words, one more for those never seen
+    total: np.ndarray  # of the words of each model
     weight: float
 
-    def losses(self, text: bytes | None, target: bool) -> tuple[int, float, float]:
-        """Number of words, and mean loss of a word under the target and the background model, in nats. The text's own
-        counts are taken out of the model that it was counted for, so no text is judged by itself."""
-        numbers = self.vocabulary.numbers(text)
-        if not len(numbers):
-            return 0, 0.0, 0.0
+    def losses(self, text: bytes | None, target: bool, rare: Counts) -> tuple[int, np.ndarray, tuple]:
+        """Number of words, the sum of their losses under each model, in nats, and the pairs that are not in memory: their
+        keys, their times here, and for each model the factor of their count. Such a pair counts as never seen in
+        the sums. `rare` has the text's words that are not in memory. The text's own counts are taken out of the model
+        that it was counted for, so no text is judged by itself."""
+        words = _coded(text)
+        if not len(words):
+            return 0, np.zeros(2), (np.empty(0, np.int64), np.empty(0, np.int64), np.empty((2, 0)))
         own = np.array([[1], [0]] if target else [[0], [1]])
-        _, code, times = np.unique(numbers, return_inverse=True, return_counts=True)
-        singles = self.singles[:, numbers] - own * times[code]
-        total = self.total - own * len(numbers)
-        chance = (singles + 0.5) / (total + 0.5 * self.singles.shape[1])
-        if len(numbers) > 1 and len(self.keys):
-            key = self.vocabulary.pairs(numbers)
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            _, code, times = np.unique(key, return_inverse=True, return_counts=True)
-            pair = np.where(self.keys[at] == key, self.pairs[:, at] - own * times[code], 0)
-            first = singles[:, :-1]
-            follows = np.where(first > 0, pair / np.maximum(first, 1), chance[:, 1:])
-            chance[:, 1:] = self.weight * follows + (1 - self.weight) * chance[:, 1:]
-        loss = -np.log(chance).mean(axis=1)
-        return len(numbers), float(loss[0]), float(loss[1])
-
-
-def fit_pair_models(docs: DataFrame, target_col: str, text_col: str = "text", max_words: int = 65_535,
-                    max_pairs: int = 2_000_000, weight: float = 0.7) -> PairModel:
-    """Count words and pairs of all documents. The model has at most `max_words` words, and of the pairs counted at
-    most `max_pairs`, the most frequent of both; rarer words share number 0, rarer pairs score by their second word."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(target_col), F.lit(False)).alias("target"))
-    counted = rows.select("text").mapInArrow(_count_words, "key long, n long")
-    words = materialize(counted.groupBy("key").agg(F.sum("n").alias("n")))
-    hashes = np.sort(np.array([r["key"] for r in most_frequent(words, max_words).select("key").collect()], np.int64))
-    vocabulary = spark.sparkContext.broadcast(Vocabulary(hashes))
+        distinct, code, times = np.unique(words, return_inverse=True, return_counts=True)
+        singles, here = self.words.find(distinct)
+        singles = (np.where(here, singles, rare.find(distinct)[0]) - own * times)[:, code]
+        chance = (singles + 0.5) / (self.total - own * len(words) + 0.5 * self.distinct)
+        first = singles[:, :-1]
+        chance[:, 1:] *= np.where(first > 0, 1 - self.weight, 1)
+        loss = -np.log(chance).sum(axis=1)
+        # A known pair adds weight * pair / first to the chance of its second word.
+        factor = np.where(first > 0, self.weight / np.maximum(first, 1) / chance[:, 1:], 0)
+        keys, at, code, times = np.unique(_pairs(words), return_index=True, return_inverse=True, return_counts=True)
+        pairs, here = self.pairs.find(keys)
+        gain = np.log1p(factor * np.where(here, pairs - own * times, 0)[:, code])
+        far = ~here & (factor[:, at] > 0).any(axis=0)
+        return len(words), loss - gain.sum(axis=1), (keys[far], times[far], factor[:, at[far]])
+
+
+_SCORED = ("row long, doc_id long, n_tokens long, loss_target double, loss_background double, key long, times long, "
+           "own_target boolean, factor_target double, factor_background double")
+
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _score(model):
+    """A row for every text, without a key, and one for each of its pairs that is not in memory."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            numbers = [vocabulary.value.numbers(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            keys = [np.concatenate([vocabulary.value.pairs(n), -1 - n]) for n in numbers]
-            yield _counts(keys, batch.column("target").to_numpy(zero_copy_only=False))
+            rare = batch.column("rare")
+            begin, fields = rare.offsets.to_numpy(), [rare.values.field(c).to_numpy() for c in ("key", "n", "n_target")]
+            texts, targets = batch.column("text").cast(pa.binary()).to_pylist(), batch.column("target").to_pylist()
+            found = [model.value.losses(text, target, Counts.of(*(f[begin[i]: begin[i + 1]] for f in fields)))
+                     for i, (text, target) in enumerate(zip(texts, targets, strict=True))]
+            if not found:
+                continue
+            n, loss, far = zip(*found, strict=True)
+            keys, times, factors = (np.concatenate(c, axis=-1) for c in zip(*far, strict=True))
+            loss, from_row = np.stack(loss, axis=1), np.repeat(np.arange(len(n)), [len(f[0]) for f in far])
+            row, none = batch.column("row"), pa.nulls
+            k, m = len(n), len(keys)
+            yield pa.RecordBatch.from_arrays(
+                [row, batch.column("doc_id"), pa.array(np.array(n, np.int64)), pa.array(loss[0]), pa.array(loss[1]),
+                 *(none(k, t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.float64()))], _NAMES)
+            yield pa.RecordBatch.from_arrays(
+                [row.take(pa.array(from_row)), *(none(m, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())),
+                 pa.array(keys), pa.array(times.astype(np.int64)), pa.array(np.array(targets, bool)[from_row]),
+                 pa.array(factors[0]), pa.array(factors[1])], _NAMES)
+
+    return task
 
-    counted = rows.mapInArrow(count_pairs, "key long, n long, n_target long")
-    counts = materialize(counted.groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")))
-    singles = np.zeros((2, len(hashes) + 1))
-    for r in counts.filter("key < 0").collect():
-        singles[:, -1 - r["key"]] = r["n_target"], r["n"] - r["n_target"]
-    frequent = most_frequent(counts.filter("key >= 0"), max_pairs).orderBy("key").toArrow()
-    n, inside = frequent["n"].to_numpy(), frequent["n_target"].to_numpy()
-    return PairModel(vocabulary.value, frequent["key"].to_numpy(), np.stack([inside, n - inside]).astype(np.int32), singles,
-                     singles.sum(axis=1, keepdims=True), weight)
+
+_NAMES = [c.split()[0] for c in _SCORED.split(", ")]
 
 
 def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "doc_id", text_col: str = "text",
-                             **fit) -> DataFrame:
+                             max_words: int = 65_535, max_pairs: int = 2_000_000, weight: float = 0.7) -> DataFrame:
     """Loss of every text under the target and the background model, and their difference.
 
     Returns one row per input row: doc_id, n_tokens, target_loss, background_loss (nats a word) and score, the second
@@ -127,20 +154,52 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
     lower-cased. A null, empty or wordless text has no words and losses and score 0. A null mark is no target. Without
     target documents the target model is even over the vocabulary, and so is the background model without others.
     Repeated rows count each time; null ids are scored like others; other columns are ignored; no rows give no rows.
-    """
-    model = docs.sparkSession.sparkContext.broadcast(fit_pair_models(docs, target_col, text_col, **fit))
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("target").to_pylist(), strict=True)
-            found = [model.value.losses(text, target) for text, target in rows]
-            n, target, background = (np.array(c) for c in zip(*found, strict=True)) if found else (np.empty(0),) * 3
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(target.astype(float)),
-                 pa.array(background.astype(float)), pa.array((background - target).astype(float))],
-                ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
+    All words and pairs are counted and used. At most `max_words` words and `max_pairs` pairs, the most frequent of each,
+    are held in memory; they decide where a count is looked up, not what it is. Words and pairs are told apart by 64-bit
+    hashes. `weight`, of the pairs, is below 1.
+    """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(target_col), F.lit(False)).alias("target"))
-    return rows.mapInArrow(
-        task, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    counted = "key long, n long, n_target long"
+    sums = F.sum("n").alias("n"), F.sum("n_target").alias("n_target")
+    both = rows.select("text", "target")
+    words = materialize(both.mapInArrow(_count(lambda w: w), counted).groupBy("key").agg(*sums))
+    # A pair seen once is only in the text that is left out.
+    pairs = materialize(both.mapInArrow(_count(_pairs), counted).groupBy("key").agg(*sums).filter("n > 1"))
+    said = words.agg(F.count("*").alias("distinct"), *sums).first()
+    inside, everywhere = said["n_target"] or 0, said["n"] or 0
+    frequent = Counts.most_frequent(words, max_words)
+    known = spark.sparkContext.broadcast(frequent)
+    model = spark.sparkContext.broadcast(PairModel(
+        frequent, Counts.most_frequent(pairs, max_pairs), said["distinct"] + 1,
+        np.array([[inside], [everywhere - inside]], float), weight))
+
+    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(_coded(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            found = [f[~known.value.find(f)[1]] for f in found]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            keys = np.concatenate([np.empty(0, np.int64), *found])
+            yield pa.RecordBatch.from_arrays([batch.column("text_id").take(at), pa.array(keys)], ["text_id", "key"])
+
+    named = rows.withColumn("text_id", F.xxhash64("text"))
+    needed = named.select("text_id", "text").mapInArrow(rare_words, "text_id long, key long").distinct()
+    rare = needed.join(words, "key").groupBy("text_id").agg(F.collect_list(F.struct("key", "n", "n_target")).alias("rare"))
+    whole = named.join(rare, "text_id", "left").select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "text", "target",
+        F.coalesce("rare", F.array().cast("array<struct<key:long,n:long,n_target:long>>")).alias("rare"))
+    scored = materialize(whole.mapInArrow(_score(model), _SCORED))
+
+    of_target, of_others = F.col("n_target"), F.col("n") - F.col("n_target")
+    left = (of_target - F.when(F.col("own_target"), F.col("times")).otherwise(0),
+            of_others - F.when(F.col("own_target"), 0).otherwise(F.col("times")))
+    gains = scored.filter("key is not null").join(pairs, "key").groupBy("row").agg(
+        *(F.sum(F.col("times") * F.log1p(F.col(f"factor_{m}") * n)).alias(f"gain_{m}")
+          for m, n in zip(("target", "background"), left, strict=True)))
+    mean = [(F.col(f"loss_{m}") - F.coalesce(F.col(f"gain_{m}"), F.lit(0.0))) / F.greatest("n_tokens", F.lit(1))
+            for m in ("target", "background")]
+    return scored.filter("key is null").join(gains, "row", "left").select(
+        "doc_id", "n_tokens", mean[0].alias("target_loss"), mean[1].alias("background_loss"),
+        (mean[1] - mean[0]).alias("score"))

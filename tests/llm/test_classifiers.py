@@ -175,3 +175,15 @@ def test_cross_entropy_difference_equals_plain_models(spark, frame):
     assert got[1].score > 0 > got[3].score
     empty = frame([]).withColumn("target", F.lit(True))
     assert cross_entropy_difference(empty, "target").count() == 0
+
+
+def test_losses_do_not_depend_on_what_is_in_memory(frame):
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choice("abcdefgh") * r.randrange(1, 4) for _ in range(r.randrange(1, 40)))) for i in range(60)]
+    docs = frame([*rows, rows[0], (None, rows[1][1]), (70, None), (71, "once only")]).withColumn("target", F.col("doc_id") % 3 == 0)
+    want = sorted(map(tuple, cross_entropy_difference(docs, "target").collect()), key=str)
+    assert len(want) == 64
+    for words, pairs in ((0, 0), (5, 20), (1000, 0), (0, 1000)):
+        found = cross_entropy_difference(docs, "target", max_words=words, max_pairs=pairs).collect()
+        for a, b in zip(sorted(map(tuple, found), key=str), want, strict=True):
+            assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:])
