@@ -1,8 +1,8 @@
 """Language identification by words first, then by ever shorter character n-grams.
 
 A word that training has seen often scores by its log frequency in each language. Any other word is read from left to
-right: at each place the longest known n-gram scores. Words and n-grams are counted over all training documents; the
-model keeps the most frequent of them.
+right: at each place the longest known n-gram scores. Words and n-grams are counted over all training documents. The
+counts stay in Spark; tasks hold the most frequent words, and any other word of a text is joined to the counts.
 """
 
 from __future__ import annotations
@@ -97,9 +97,13 @@ class LanguageModel:
     def _gram_index(self) -> pd.Index:
         return pd.Index(np.array([_gram_hashes(_points(g), len(g))[0] for g in self.grams], np.uint64))
 
+    def places(self, words: list[str]) -> np.ndarray:
+        """Place of each word among the known ones, or -1."""
+        return self._word_index.get_indexer(np.array(words, object)) if self.words else np.full(len(words), -1)
+
     def likelihoods(self, words: list[str]) -> np.ndarray:
         """Log likelihood of each word in each language."""
-        at = self._word_index.get_indexer(np.array(words, object)) if self.words else np.full(len(words), -1)
+        at = self.places(words)
         result = np.zeros((len(words), len(self.langs)))
         result[at >= 0] = self.word_values[at[at >= 0]]
         unseen = np.flatnonzero(at < 0)
@@ -124,25 +128,6 @@ class LanguageModel:
         sums = [np.bincount(word[hit], values[:, j], minlength=len(words)) for j in range(len(self.langs))]
         return np.stack(sums, axis=1) / times[:, None]
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        found = [words_of(t) for t in texts]
-        flat = np.array([w for words in found for w in words], object)
-        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        if not len(flat) or not self.langs:
-            return names, scores
-        code, vocabulary = pd.factorize(flat)
-        letters = np.array([any(map(str.isalpha, w)) for w in vocabulary])
-        value = self.likelihoods(list(vocabulary)) * letters[:, None]
-        begin = 0
-        for i, words in enumerate(found):
-            part = code[begin: begin + len(words)]
-            begin += len(words)
-            if len(part) and letters[part].any():
-                total = value[part].sum(axis=0)
-                best = int(total.argmax())
-                names[i], scores[i] = self.langs[best], 1 / np.exp(total - total[best]).sum()
-        return names, scores
-
 
 def _vectors(rows, key: str, langs: list[str], total: dict) -> tuple[list[str], np.ndarray]:
     """Keys and their smoothed log frequencies in each language."""
@@ -154,46 +139,125 @@ def _vectors(rows, key: str, langs: list[str], total: dict) -> tuple[list[str],
     return list(keys), values
 
 
-def fit_languages(training: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = 4,
-                  max_words: int = 200_000, max_grams: int = 100_000) -> LanguageModel:
-    """Count over all training rows; at most `max_words` words and `max_grams` n-grams come to the driver."""
+@dataclass(frozen=True)
+class LanguageCounts:
+    """Counts of all words and n-grams of the training texts, in columns lang, n, and word or gram."""
+
+    words: DataFrame
+    grams: DataFrame
+    in_words: dict[str, int]  # sums by language
+    in_grams: dict[str, int]
+
+    @property
+    def langs(self) -> list[str]:
+        return sorted(self.in_words)
+
+    def values(self, key: str) -> DataFrame:
+        """Every word or n-gram with its smoothed log frequency in each language, in order, as column `values`."""
+        counts, total = (self.words, self.in_words) if key == "word" else (self.grams, self.in_grams)
+        found = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
+        value = [F.log(F.coalesce(F.try_element_at("found", F.lit(g)).cast("double"), F.lit(0.1)) / max(total[g], 1))
+                 for g in self.langs]
+        return counts.groupBy(key).agg(found.alias("found")).select(key, F.array(*value).alias("values"))
+
+    def frequent(self, key: str, most: int) -> tuple[list[str], np.ndarray]:
+        """The most frequent words or n-grams, of `most` numbers in all, and their values."""
+        counts, total = (self.words, self.in_words) if key == "word" else (self.grams, self.in_grams)
+        keys = most_frequent(counts.groupBy(key).agg(F.sum("n").alias("n")), most // max(1, len(total))).select(key)
+        return _vectors(counts.join(keys, key).collect(), key, self.langs, total)  # its counts in all languages
+
+
+def count_languages(training: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = 4) -> LanguageCounts:
+    """Count the words and n-grams of all training rows."""
     rows = training.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
     counted = rows.mapInArrow(_count_words, "lang string, word string, n long")
     words = materialize(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     grams = materialize(words.select("lang", "n", F.explode(_grams(longest)).alias("gram")).groupBy("lang", "gram").agg(
         F.sum("n").alias("n")))
-    total = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    langs = sorted(total)
+    totals = [{r["lang"]: r["n"] for r in c.groupBy("lang").agg(F.sum("n").alias("n")).collect()} for c in (words, grams)]
+    return LanguageCounts(words, grams, *totals)
+
 
-    def chosen(counts: DataFrame, key: str, most: int):  # whoever is in needs its counts in all languages
-        keys = most_frequent(counts.groupBy(key).agg(F.sum("n").alias("n")), most).select(key)
-        return counts.join(keys, key).collect()
+def fit_languages(training: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = 4,
+                  max_words: int = 200_000, max_grams: int = 100_000) -> LanguageModel:
+    """A model in memory, of at most `max_words` words and `max_grams` n-grams, each divided by the number of languages."""
+    counts = count_languages(training, lang_col, text_col, longest)
+    return LanguageModel(counts.langs, *counts.frequent("word", max_words), *counts.frequent("gram", max_grams), longest)
+
+
+def _spelt_values(words: DataFrame, grams: DataFrame, langs: int, longest: int) -> DataFrame:
+    """Mean over the places of each word, of column `word`, of the longest known n-gram there."""
+    marked = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
+    at = F.sequence(F.lit(1), F.length(marked))
+
+    def of(k: int) -> Column:
+        return F.transform(at, lambda i: F.struct(i.alias("at"), F.lit(k).alias("k"), F.substring(marked, i, F.lit(k)).alias("gram")))
 
-    in_grams = {r["lang"]: r["n"] for r in grams.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    share = max(1, len(langs))
-    return LanguageModel(langs, *_vectors(chosen(words, "word", max_words // share), "word", langs, total),
-                         *_vectors(chosen(grams, "gram", max_grams // share), "gram", langs, in_grams), longest)
+    cuts = map(of, range(1, longest + 1))
+    places = words.select("word", F.explode(F.concat(*cuts)).alias("c")).select("word", "c.*").filter(F.length("gram") == F.col("k"))
+    best = places.join(grams, "gram").groupBy("word", "at").agg(F.max_by("values", "k").alias("values"))
+    return best.groupBy("word").agg(F.array(*(F.avg(F.col("values")[j]) for j in range(langs))).alias("values"))
+
+
+def _sum_known(model):
+    """A row for every text, without a word, with the sums over the words in memory, and one for each other word."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [[w for w in words_of(t) if any(map(str.isalpha, w))] for t in batch.column("text").to_pylist()]
+            code, vocabulary = pd.factorize(np.array([w for words in texts for w in words], object))
+            owner = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
+            place = model.value.places(list(vocabulary))[code] if len(code) else np.empty(0, np.int64)
+            known = place >= 0
+            sums = np.stack([np.bincount(owner[known], model.value.word_values[place[known], j], minlength=len(texts))
+                             for j in range(len(model.value.langs))], axis=1)
+            row = batch.column("row")
+            yield pa.RecordBatch.from_arrays(
+                [row, batch.column("doc_id"), pa.nulls(len(texts), pa.string()),
+                 pa.array(np.bincount(owner, minlength=len(texts)).astype(np.int64)), pa.array(list(sums), pa.list_(pa.float64()))],
+                ["row", "doc_id", "word", "n", "sums"])
+            keys, times = np.unique(owner[~known] * max(1, len(vocabulary)) + code[~known], return_counts=True)
+            owners, codes = np.divmod(keys, max(1, len(vocabulary)))
+            yield pa.RecordBatch.from_arrays(
+                [row.take(pa.array(owners)), pa.nulls(len(keys), pa.int64()), pa.array(vocabulary[codes], pa.string()),
+                 pa.array(times.astype(np.int64)), pa.nulls(len(keys), pa.list_(pa.float64()))],
+                ["row", "doc_id", "word", "n", "sums"])
+
+    return task
 
 
 def identify_languages(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       lang_col: str = "lang", **fit) -> DataFrame:
+                       lang_col: str = "lang", longest: int = 4, max_words: int = 200_000) -> DataFrame:
     """Language of every text, learnt from the texts and languages of `training`.
 
     Returns one row per input row: doc_id, lang_pred and score, the share of the likelihood that the language has. A
     text that is null or has no letter is `und` with score 0, and so is every text if nothing can be learnt. Training
     rows with a null text or language are left out. Ties go to the first language by name. Repeated rows and null ids
     are treated like others; other columns are ignored; no rows give no rows.
-    """
-    model = docs.sparkSession.sparkContext.broadcast(fit_languages(training, lang_col, text_col, **fit))
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 2000):
-                part = batch.slice(i, 2000)
-                names, scores = model.value.predict(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(names, pa.string()), pa.array(scores)],
-                    ["doc_id", "lang_pred", "score"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        task, "doc_id long, lang_pred string, score double")
+    All words and n-grams of the training texts are used. `max_words` divided by the number of languages is how many
+    words, the most frequent, the tasks hold; it decides where a word is looked up, not its value.
+    """
+    counts = count_languages(training, lang_col, text_col, longest)
+    langs = counts.langs
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).alias("text"))
+    if not langs:
+        return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    model = docs.sparkSession.sparkContext.broadcast(
+        LanguageModel(langs, *counts.frequent("word", max_words), [], np.empty((0, len(langs))), longest))
+    found = materialize(rows.mapInArrow(_sum_known(model), "row long, doc_id long, word string, n long, sums array<double>"))
+    other = found.filter("word is not null").select("row", "word", "n")
+    needed = other.select("word").distinct()
+    seen = counts.values("word").join(needed, "word", "left_semi")
+    unseen = needed.join(counts.words.select("word").distinct(), "word", "left_anti")
+    values = materialize(seen.unionByName(_spelt_values(unseen, counts.values("gram"), len(langs), longest)))
+    more = other.join(values, "word").groupBy("row").agg(
+        F.array(*(F.sum(F.col("n") * F.col("values")[j]) for j in range(len(langs)))).alias("more"))
+    total = F.when(F.col("more").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "more", lambda a, b: a + b))
+    scored = found.filter("word is null").join(more, "row", "left").withColumn("total", total)
+    best = F.array_max("total")
+    name = F.element_at(F.array(*map(F.lit, langs)), F.array_position("total", best).cast("int"))
+    share = 1 / F.aggregate("total", F.lit(0.0), lambda s, x: s + F.exp(x - best))
+    return scored.select("doc_id", F.when(F.col("n") > 0, name).otherwise(F.lit(UNKNOWN)).alias("lang_pred"),
+                         F.when(F.col("n") > 0, share).otherwise(0.0).alias("score"))

@@ -187,3 +187,19 @@ def test_losses_do_not_depend_on_what_is_in_memory(frame):
         found = cross_entropy_difference(docs, "target", max_words=words, max_pairs=pairs).collect()
         for a, b in zip(sorted(map(tuple, found), key=str), want, strict=True):
             assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:])
+
+
+def test_languages_do_not_depend_on_what_is_in_memory(spark, frame):
+    r = random.Random(9)
+    word = lambda a: "".join(r.choice(a) for _ in range(r.randrange(2, 7)))
+    rows = [(i, " ".join(word("abcdef" if i % 9 else "defghi") for _ in range(6))) for i in range(90)] + [(None, "😀 é ²")]
+    training = spark.createDataFrame([(t, "x" if i % 9 else "y") for i, t in rows[:45]], "text string, lang string")
+    model = fit_languages(training)
+    totals = {t: model.likelihoods(t.split()).sum(axis=0) for _, t in rows[:90]}
+    for most in (0, 20, 200_000):
+        found = {x.doc_id: x for x in identify_languages(frame(rows), training, max_words=most).collect()}
+        assert len(found) == 91
+        for i, t in rows[:90]:
+            best = totals[t].argmax()
+            assert found[i].lang_pred == "xy"[best]
+            assert found[i].score == pytest.approx(1 / np.exp(totals[t] - totals[t][best]).sum())
