@@ -2,7 +2,7 @@
 
 Patterns find the base spans. Two models of character pairs, of random strings and of ordinary identifiers, then judge
 long tokens outside them by the mean log-likelihood ratio of their pairs. The pattern matches of all documents are the
-labelled random strings; words of a bounded sample of documents are the labelled identifiers.
+labelled random strings; words of all documents are the identifiers.
 """
 
 from __future__ import annotations
@@ -78,14 +78,13 @@ def log_ratios(random: list[int], ordinary: list[int], even: float = 0.5) -> lis
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_token: int = 20,
-                 min_ratio: float = 0.8, sample_docs: int = 2_000) -> DataFrame:
+                 min_ratio: float = 0.8) -> DataFrame:
     """Spans that look like secrets, in code points with the end exclusive.
 
     Returns one row per input row: doc_id, base (spans of the patterns) and spans (those and the ones the models add),
     both sorted by start and kind; a span is a struct of start, kind (a number in KINDS), end and text. A token of at
     least `min_token` characters that touches no base span, and has a letter and a digit, is added if the mean log ratio
-    of its pairs is at least `min_ratio`. Identifiers are learnt from words of the `sample_docs` documents whose ids have
-    the smallest hashes.
+    of its pairs is at least `min_ratio`. Identifiers are learnt from the words of all documents.
 
     A null text counts as empty and has no spans. Without base matches the random model is even; without words so is the
     other. Repeated rows and null ids are scanned like others; other columns are ignored; no rows give no rows.
@@ -100,11 +99,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     secret = F.when(F.col("s.kind") == 0, F.regexp_extract("s.text", ASSIGN, 2)).otherwise(F.col("s.text"))
     random = pair_counts(found.select(F.explode("base").alias("s")).select(secret.alias("token")))
-    picked = rows.filter("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     plain = text
     for pattern in (ASSIGN, ACCESS, HEX):
         plain = F.regexp_replace(plain, pattern, " ")
-    ordinary = pair_counts(rows.join(F.broadcast(picked.distinct()), "doc_id").select(
+    ordinary = pair_counts(rows.select(
         F.explode(F.regexp_extract_all(plain, F.lit("[A-Za-z_]{4,}"), F.lit(0))).alias("token")))
 
     table = F.split(F.lit(",".join(f"{r:.6f}" for r in log_ratios(random, ordinary))), ",").cast("array<double>")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tasklens.llm import merkle
+from tasklens.llm import merkle, secret_scan
 from tasklens.llm.packing import best_boundaries, pack
 from tasklens.llm.secret_scan import KINDS, masked, scan_secrets, written
 from tests.llm import brute
@@ -134,3 +134,10 @@ def test_packing_fills_batches(frame):
     steps = [n if n <= 256 else -(-n // 2 ** (n.bit_length() - 8)) * 2 ** (n.bit_length() - 8) for n in lengths]
     assert sum(x.padded_to for x in got if x.n_tokens) == brute.least_padding(steps, 3)
     assert pack(frame([])).count() == 0 and pack(frame([(1, None)])).count() == 1
+
+
+def test_identifiers_are_learnt_from_all_documents(frame, monkeypatch):
+    seen, plain = [], secret_scan.pair_counts
+    monkeypatch.setattr(secret_scan, "pair_counts", lambda tokens: seen.append(plain(tokens)) or seen[-1])
+    scan_secrets(frame([(i, "word abc") for i in range(2500)] + [(None, "word")]))
+    assert [sum(s) for s in seen] == [0, 3 * 2501]
