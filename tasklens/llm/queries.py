@@ -53,7 +53,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_near_dedup", oracles.NEAR_DEDUP)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
 
 
 def bucket_of(doc_id: str, buckets: int):
