@@ -23,7 +23,7 @@ def _node(children: Column) -> Column:
 def tree(text: Column) -> Column:
     """Sections of paragraphs of leaf hashes."""
     leaves = lambda p: F.transform(F.regexp_extract_all(p, F.lit(_LEAVES), F.lit(0)),
-                                   lambda leaf: F.substring(F.sha2(leaf, 256), 1, 8))
+                                   lambda leaf: F.sha2(leaf, 256))
     paragraphs = lambda s: F.transform(F.split(s, r"(?<=\n)"), leaves)
     cut = F.transform(F.split(text, r"(?<=\n\n)(?!\n)"), paragraphs)
     return F.when(text == "", F.array().cast("array<array<array<string>>>")).otherwise(cut)
@@ -40,9 +40,10 @@ def root(sections: Column) -> Column:
 
 
 def written(sections: Column) -> Column:
-    """The fingerprint as text: root, then for each section its leaves, by paragraph."""
+    """The fingerprint as text: root, then for each section its leaves, by paragraph. Only here leaves are shortened, to
+    8 digits; the root is made of whole ones."""
     body = F.array_join(F.transform(sections, lambda s: F.array_join(
-        F.transform(s, lambda p: F.array_join(p, "")), ",")), ";")
+        F.transform(s, lambda p: F.array_join(F.transform(p, lambda leaf: F.left(leaf, F.lit(8))), "")), ",")), ";")
     return F.concat(root(sections), F.lit(":"), body)
 
 

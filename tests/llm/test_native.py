@@ -141,3 +141,13 @@ def test_identifiers_are_learnt_from_all_documents(frame, monkeypatch):
     monkeypatch.setattr(secret_scan, "pair_counts", lambda tokens: seen.append(plain(tokens)) or seen[-1])
     scan_secrets(frame([(i, "word abc") for i in range(2500)] + [(None, "word")]))
     assert [sum(s) for s in seen] == [0, 3 * 2501]
+
+
+def test_leaves_alike_in_eight_digits_have_different_roots(spark):
+    seen, i = {}, 0
+    while (head := brute.sha(f"leaf {i}")[:8]) not in seen:
+        seen[head], i = i, i + 1
+    df = spark.createDataFrame([(f"leaf {seen[head]}", f"leaf {i}")], "a string, b string")
+    a, b = merkle.tree(F.col("a")), merkle.tree(F.col("b"))
+    row = df.select(merkle.written(a), merkle.written(b), merkle.likeness(a, b)).first()
+    assert row[0] != row[1] and row[0].split(":")[1] == row[1].split(":")[1] == head and row[2] == 0.0
