@@ -67,14 +67,3 @@ def test_stages_keep_columns_and_take_effect(spark, documents):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, name):
     assert difference(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) is None
-
-
-def test_near_dedup_stage_drops_copies_from_four_fifths(spark):
-    words = [f"w{i}" for i in range(64)]
-    rows = [(1, " ".join(words)), (2, " ".join([*words[:-6], *"uvwxyz"])), (3, " ".join([*words[:-7], *"tuvwxyz"]))]
-    likeness = [54 / 66, 53 / 67]  # of 60 windows of five words, with the first
-    docs = spark.createDataFrame([rows[0], rows[1], (4, "no copy of any of these")], "doc_id long, text string")
-    assert 0.8 < likeness[0] < 0.85 and likeness[1] < 0.8
-    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SMALL).collect()) == [1, 4]
-    docs = spark.createDataFrame([rows[0], rows[2]], "doc_id long, text string")
-    assert corpus_pipeline.near_dedup(spark, docs, SMALL).count() == 2
