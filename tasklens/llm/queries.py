@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasklens.llm import oracles
+from tasklens.llm.chunk_recipes import exact_duplicates
 from tasklens.llm.fm_index import find_contamination
 from tasklens.llm.language import identify_languages
 from tasklens.llm.lm_score import cross_entropy_difference
 from tasklens.llm.merkle import fingerprints
 from tasklens.llm.near_dedup import near_duplicates
 from tasklens.llm.packing import pack
+from tasklens.llm.phrase_trie import collocations
 from tasklens.llm.rules import quality_scores
 from tasklens.llm.secret_scan import KINDS, scan_secrets
 from tasklens.llm.secret_scan import written as spans_as_text
+from tasklens.llm.sharded_kmeans import cluster
 from tasklens.llm.staging import table
 from tasklens.llm.string_kernel import toxicity_scores
 from tasklens.llm.substring_dedup import remove_repeats
@@ -116,3 +119,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text").join(
         good.withColumn("target", F.lit(True)), "doc_id", "left")
     return cross_entropy_difference(docs, "target")
+
+
+@query("op11_exact_dedup", oracles.EXACT_DUPLICATES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op12_collocations", oracles.COLLOCATIONS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
+@query("op13_centroid_clusters", oracles.CLUSTERS)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))

@@ -92,3 +92,75 @@ def least_padding(lengths: list[int], buckets: int) -> int:
                 step[j] = min(step.get(j, new), new)
         best = step
     return best[len(edges)]
+
+
+def exact_groups(rows) -> list:
+    """(doc_id, keep_id, group_size, kept, text_sha256) of every row."""
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", text or "")].append(i)
+    out = []
+    for text, ids in groups.items():
+        keep = min((i for i in ids if i is not None), default=None)
+        out += [(i, keep, len(ids), i == keep, sha(text)) for i in ids]
+    return out
+
+
+def phrase_counts(rows, longest: int = 5) -> tuple[Counter, Counter]:
+    """Occurrences of (lang, words) up to `longest` words, and words by lang, of rows of (lang, text)."""
+    found, totals = Counter(), Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for i in range(len(words)):
+                for m in range(1, min(longest, len(words) - i) + 1):
+                    found[lang, tuple(words[i: i + m])] += 1
+    return found, totals
+
+
+def collocations(rows, least: int, top: int) -> list:
+    """(lang, rank, phrase, a, l, r, n, score)."""
+    found, totals = phrase_counts(rows)
+    candidates = {k: a for k, a in found.items() if a >= least and len(k[1]) > 1}
+    outer = Counter()
+    for (lang, words), a in candidates.items():
+        for m in range(2, len(words)):
+            for i in range(len(words) - m + 1):
+                outer[lang, words[i: i + m]] = max(outer[lang, words[i: i + m]], a)
+    by_lang = defaultdict(list)
+    for (lang, words), a in candidates.items():
+        if outer[lang, words] >= a:
+            continue
+        cuts = [(1000 * a * totals[lang] // (found[lang, words[:k]] * found[lang, words[k:]]), k) for k in range(1, len(words))]
+        score, k = min(cuts)
+        by_lang[lang].append((-score, -a, " ".join(words).encode(), found[lang, words[:k]], found[lang, words[k:]]))
+    return [(lang, rank, phrase.decode(), -a, left, right, totals[lang], -score)
+            for lang, scored in by_lang.items()
+            for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:top], start=1)]
+
+
+def lloyd(rows, clusters: int, rounds: int, dims: int, scale: int = 1024, seed: int = 3) -> list:
+    """(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256) of every usable row."""
+    import math
+
+    used = [(i, [math.floor(scale * x) for x in v]) for i, v in rows
+            if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)]
+    place = lambda row: (row[0] is None, sha(f"{seed}:{row[0]}"), row[1])
+    centroids = [v for _, v in sorted(used, key=place)[:clusters]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), j) for j, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        own = defaultdict(list)
+        for _, v in used:
+            own[nearest(v)[1]].append(v)
+        centroids = [[sum(column) // len(own[j]) for column in zip(*own[j], strict=True)] if own[j] else c
+                     for j, c in enumerate(centroids)]
+    last = [(i, *reversed(nearest(v))) for i, v in used]
+    inertia = Counter()
+    for _, j, d in last:
+        inertia[j] += d
+    return [(i, j, d, inertia[j], sum(inertia.values()), sha(",".join(map(str, centroids[j])))) for i, j, d in last]
