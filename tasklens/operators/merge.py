@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,10 +13,13 @@ from tasklens import schemas
 from tasklens.operators.keyed import latest_by, lookup_join
 
 UPSERT, DELETE = 0, 1
+# Order of the changes of a task. Polls with one checkpoint follow each other by id.
+ORDER = ("check_point", "poll_id", "phase", "position")
+OP_COLUMNS = ("account_id", "task_id", *ORDER)
 
 
 def task_ops(deltas: DataFrame) -> DataFrame:
-    """One row per task change: account, task, checkpoint, phase (updates before deletes of a poll), position, payload."""
+    """One row per task change: account, task, checkpoint, poll, phase (updates before deletes of a poll), position, payload."""
 
     def tagged(items: str, phase: int) -> Column:
         return F.transform(
@@ -24,8 +28,8 @@ def task_ops(deltas: DataFrame) -> DataFrame:
         )
 
     changes = F.concat(tagged("updates", UPSERT), tagged("deletes", DELETE))
-    rows = deltas.select("account_id", "check_point", F.explode(changes).alias("change"))
-    rows = rows.select("account_id", "check_point", "change.*")
+    rows = deltas.select("account_id", "check_point", "poll_id", F.explode(changes).alias("change"))
+    rows = rows.select("account_id", "check_point", "poll_id", "change.*")
     own_id, alias_id = (F.nullif(F.get_json_object("raw_json", f"$.{k}"), F.lit("")) for k in ("id", "taskId"))
     key = F.when(F.col("phase") == DELETE, F.coalesce(alias_id, own_id)).otherwise(own_id)
     return rows.withColumn("task_id", key).filter("task_id is not null")
@@ -33,8 +37,7 @@ def task_ops(deltas: DataFrame) -> DataFrame:
 
 def latest_task_ops(ops: DataFrame) -> DataFrame:
     """The change that decides each task. Payloads stay text until here, so only the survivors are parsed."""
-    order = [F.desc("check_point"), F.desc("phase"), F.desc("position"), F.desc("raw_json")]
-    return latest_by(ops, ["account_id", "task_id"], order)
+    return latest_by(ops, ["account_id", "task_id"], [F.desc(c) for c in ORDER])
 
 
 def replica_rows(rows: DataFrame, entity: str, merged_at: dt.datetime | str | None = None) -> DataFrame:
@@ -68,13 +71,13 @@ def replica_rows(rows: DataFrame, entity: str, merged_at: dt.datetime | str | No
 
 def latest_lists(deltas: DataFrame, entity: str) -> DataFrame:
     """The newest list each account sent for an entity."""
-    sent = deltas.filter(F.col(entity).isNotNull()).select("account_id", "check_point", F.col(entity).alias("items"))
-    return newest_lists(sent)
+    sent = deltas.filter(F.col(entity).isNotNull())
+    return newest_lists(sent.select("account_id", "check_point", "poll_id", F.col(entity).alias("items")))
 
 
 def newest_lists(lists: DataFrame) -> DataFrame:
-    """The newest list per account; of two with one checkpoint the one that sorts last, so runs agree."""
-    return latest_by(lists, ["account_id"], [F.desc("check_point"), F.desc("items")])
+    """The newest list per account, by checkpoint and poll."""
+    return latest_by(lists, ["account_id"], [F.desc("check_point"), F.desc("poll_id")])
 
 
 def list_rows(lists: DataFrame, entity: str) -> DataFrame:
@@ -102,76 +105,116 @@ def merge_deltas(replica: DataFrame, deltas: DataFrame, entity: str,
     return kept.unionByName(replica_rows(incoming, entity, merged_at))
 
 
-def checkpoints(deltas: DataFrame) -> DataFrame:
-    """Per account: newest checkpoint that changed state (0 when none did) and whether the last poll was idle."""
+def account_states(deltas: DataFrame) -> DataFrame:
+    """Per account: newest checkpoint that changed state (0 when none did), and the newest poll's place and effect."""
+    newest = F.struct("check_point", "poll_id", "state_changed")
     return deltas.groupBy("account_id").agg(
         F.coalesce(F.max(F.when(F.col("state_changed"), F.col("check_point"))), F.lit(0)).alias("checkpoint"),
-        F.when(F.max_by("state_changed", F.struct("check_point", "state_changed")), F.lit("success"))
-        .otherwise(F.lit("idle")).alias("last_status"),
-    )
+        F.max(newest).alias("newest"))
 
 
-def batch_stats(deltas: DataFrame, replica: DataFrame | None = None, span: int = 86_400_000) -> DataFrame:
-    """Per poll: updates, deletes that found a row, listed projects and groups (NULL when not sent).
+def checkpoints(deltas: DataFrame) -> DataFrame:
+    """Per account: newest checkpoint that changed state (0 when none did) and whether the last poll was idle."""
+    return checkpoint_status(account_states(deltas))
+
+
+def checkpoint_status(states: DataFrame) -> DataFrame:
+    status = F.when(F.col("newest.state_changed"), F.lit("success")).otherwise(F.lit("idle"))
+    return states.select("account_id", "checkpoint", status.alias("last_status"))
+
+
+def batch_stats(deltas: DataFrame, replica: DataFrame | None = None) -> DataFrame:
+    """One row per poll, idle ones included: updates, deletes that found a row, listed projects and groups (NULL when not
+    sent).
 
     A delete finds a row when the task's previous change is an upsert, or when there is none and the replica had it.
-    The previous change is looked up in two steps: inside slices of `span` checkpoints, then across the slices of a
-    task, so a task with very many changes is spread over its slices.
     """
     ops = task_ops(deltas).select(*OP_COLUMNS)
     if replica is not None:
         before = replica.select("account_id", "task_id", F.lit(None).cast("bigint").alias("check_point"),
-                                F.lit(UPSERT).alias("phase"), F.lit(-1).alias("position"))
+                                F.lit(None).cast("string").alias("poll_id"), F.lit(UPSERT).alias("phase"),
+                                F.lit(-1).alias("position"))
         ops = ops.unionByName(before)
-    return with_deletes(poll_counts(deltas), ops, span)
+    return with_deletes(poll_counts(deltas), found_deletes(ops))
 
 
-OP_COLUMNS = ("account_id", "task_id", "check_point", "phase", "position")
+STATS_COLUMNS = ("account_id", "check_point", "updates_count", "deletes_count", "projects_count", "groups_count", "state_updated")
 
 
 def poll_counts(deltas: DataFrame) -> DataFrame:
     """Per poll: what can be counted from the poll alone."""
-    return deltas.groupBy("account_id", "check_point").agg(
-        F.sum(F.size("updates")).cast("bigint").alias("updates_count"),
-        F.sum(F.when(F.col("projects").isNotNull(), F.size("projects"))).cast("bigint").alias("projects_count"),
-        F.sum(F.when(F.col("groups").isNotNull(), F.size("groups"))).cast("bigint").alias("groups_count"),
-        F.max("state_changed").alias("state_updated"),
+    return deltas.select(
+        "account_id", "check_point", "poll_id", F.size("updates").cast("bigint").alias("updates_count"),
+        F.when(F.col("projects").isNotNull(), F.size("projects")).cast("bigint").alias("projects_count"),
+        F.when(F.col("groups").isNotNull(), F.size("groups")).cast("bigint").alias("groups_count"),
+        F.col("state_changed").alias("state_updated"),
     )
 
 
-def with_deletes(polls: DataFrame, ops: DataFrame, span: int = 86_400_000) -> DataFrame:
-    """Statistics of polls, with the deletes among all changes so far that found a row."""
-    deletes = _previous_phase(ops, span).filter(
-        (F.col("phase") == DELETE) & (F.col("previous_phase") == UPSERT)
-    )
-    found = deletes.groupBy("account_id", "check_point").agg(F.count("*").alias("deletes_count"))
-    joined = polls.join(found, ["account_id", "check_point"], "left")
-    return joined.select(
-        "account_id", "check_point", "updates_count",
-        F.coalesce("deletes_count", F.lit(0).cast("bigint")).alias("deletes_count"),
-        "projects_count", "groups_count", "state_updated",
-    )
+def with_deletes(polls: DataFrame, found: DataFrame) -> DataFrame:
+    """Statistics of polls. A poll's id is its key, so polls of one account and checkpoint stay apart and spread."""
+    joined = polls.join(found, ["account_id", "poll_id"], "left")
+    deletes = F.coalesce("deletes_count", F.lit(0).cast("bigint"))
+    return joined.withColumn("deletes_count", deletes).select(*STATS_COLUMNS, "poll_id")
+
+
+def found_deletes(ops: DataFrame) -> DataFrame:
+    """Per poll: how many of its deletes follow an upsert of their task: account_id, poll_id, deletes_count."""
+    found = _previous_phase(ops).filter((F.col("phase") == DELETE) & (F.col("previous_phase") == UPSERT))
+    return found.groupBy("account_id", "poll_id").agg(F.count("*").alias("deletes_count"))
+
+
+def _sliced(rows: DataFrame) -> DataFrame:
+    """Add _slice: the range of checkpoints a row lies in. Ranges hold about equally many rows, one per shuffle partition,
+    so the rows of one key within a range are never more than a task's share, whatever part of all rows the key has.
+    Rows without a checkpoint come before all others."""
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = rows.agg(F.percentile_approx("check_point", [i / ranges for i in range(1, ranges)] or [0.5], 10_000)).first()[0]
+    splits = [float("-inf"), *sorted({float(c) for c in cuts or ()}), float("inf")]
+    placed = rows.withColumn("_point", F.col("check_point").cast("double"))
+    if len(splits) > 2:
+        placed = Bucketizer(splits=splits, inputCol="_point", outputCol="_slice", handleInvalid="keep").transform(placed)
+    else:
+        placed = placed.withColumn("_slice", F.lit(0.0))
+    return placed.withColumn("_slice", F.when(F.col("check_point").isNull(), F.lit(-1.0)).otherwise(F.col("_slice"))).drop("_point")
 
 
-def _previous_phase(ops: DataFrame, span: int) -> DataFrame:
-    sliced = ops.withColumn("_slice", F.coalesce(F.floor(F.col("check_point") / span), F.lit(-(2**62))))
-    order = [F.asc_nulls_first("check_point"), F.asc("phase"), F.asc("position")]
+def _previous_phase(ops: DataFrame) -> DataFrame:
+    """The phase of the change before each change of a task: within ranges of checkpoints, then over their edges."""
+    sliced = _sliced(ops)
+    order = [F.asc_nulls_first(c) for c in ORDER]
     inside = W.partitionBy("account_id", "task_id", "_slice").orderBy(*order)
     marked = sliced.withColumn("_inside", F.lag("phase").over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
-    # Last change of every slice, carried to the next slice of the same task.
-    last = sliced.groupBy("account_id", "task_id", "_slice").agg(
-        F.max_by("phase", F.struct(F.coalesce("check_point", F.lit(-(2**62))), "phase", "position")).alias("_last")
-    )
+    # Last change of every range, carried to the next range of the same task.
+    last = sliced.groupBy("account_id", "task_id", "_slice").agg(F.max_by("phase", F.struct(*ORDER)).alias("_last"))
     across = W.partitionBy("account_id", "task_id").orderBy("_slice")
     carried = last.withColumn("_carried", F.lag("_last").over(across)).drop("_last")
     joined = marked.join(carried, ["account_id", "task_id", "_slice"])
     return joined.withColumn("previous_phase", F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside")))
 
 
+def cycle_log(polls: DataFrame) -> DataFrame:
+    """Polls with statistics and times as cycles: id, account_id, started_at, finished_at, status, source_checkpoint (of
+    the last poll before it that changed state, 0 without one), response_checkpoint and the counts."""
+    sliced = _sliced(polls)
+    changed = F.when(F.col("state_updated"), F.col("check_point"))
+    earlier = W.partitionBy("account_id", "_slice").orderBy("check_point", "poll_id").rowsBetween(W.unboundedPreceding, -1)
+    marked = sliced.withColumn("_inside", F.max(changed).over(earlier))
+    most = sliced.groupBy("account_id", "_slice").agg(F.max(changed).alias("_most"))
+    across = W.partitionBy("account_id").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    carried = most.select("account_id", "_slice", F.max("_most").over(across).alias("_carried"))
+    joined = marked.join(carried, ["account_id", "_slice"])
+    return joined.select(
+        F.col("poll_id").alias("id"), "account_id", F.col("polled_at").alias("started_at"), "finished_at",
+        F.lit("success").alias("status"),
+        F.coalesce(F.greatest("_inside", "_carried"), F.lit(0).cast("bigint")).alias("source_checkpoint"),
+        F.col("check_point").alias("response_checkpoint"), "updates_count", "deletes_count", "projects_count", "groups_count")
+
+
 def cycle_history(cycles: DataFrame, account_id: str, limit: int = 50) -> DataFrame:
-    """Newest cycles of one account."""
+    """Newest cycles of one account, of equal start the last ones by checkpoint and id."""
     own = cycles.filter(F.col("account_id") == account_id)
-    return own.orderBy(F.desc("started_at"), F.desc("id")).limit(limit)
+    return own.orderBy(F.desc("started_at"), F.desc("response_checkpoint"), F.desc("id")).limit(limit)
 
 
 def replica_counts(tasks: DataFrame, projects: DataFrame, groups: DataFrame) -> DataFrame:

@@ -1,27 +1,38 @@
 """Replica kept up to date by a stream of change payloads.
 
-Every micro-batch appends the changes that survive inside it as one folder per batch. The current replica is the newest
-change per key over those folders. A poll therefore costs what it contains, not the replica's size,
-and compact() folds many folders into one from time to time.
+A micro-batch writes what it adds to every table as new folders, and then one version file that names them (see
+commits.py). Until then readers see the version before, all tables of it; a batch that dies half-way leaves folders that
+no version names, and its repetition writes its own.
 
-A batch folder is overwritten when Spark repeats the batch, so a restart changes nothing. Order is by checkpoint, not
-by arrival: a late file loses against newer changes, deletions included, because deletions are stored as well.
+Tables are kept in levels. The newest state per key (`task_changes`, the lists, `accounts`) is a folded folder per bucket
+of accounts and a few newer ones; after `FANOUT` of those a bucket is folded again. Logs (`task_ops`, `polls`, `found`)
+only grow, and equally old folders are joined to larger ones. So a batch reads the state of the accounts it touches, and
+what it reads and writes doesn't grow with the number of batches before it.
+
+Order is by checkpoint and poll, not by arrival: a late file loses against newer changes, deletions included, because
+deletions are stored as well. A file that comes again changes nothing, as a poll is known by its file and line.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterable
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tasklens import schemas
-from tasklens.operators.keyed import lookup_join
+from tasklens.operators.keyed import latest_by, lookup_join
 from tasklens.operators.merge import (
     OP_COLUMNS,
+    ORDER,
     UPSERT,
-    checkpoints,
+    account_states,
+    checkpoint_status,
+    cycle_log,
+    found_deletes,
     latest_task_ops,
     list_rows,
     newest_lists,
@@ -31,30 +42,51 @@ from tasklens.operators.merge import (
     task_ops,
     with_deletes,
 )
-from tasklens.sources import read_deltas, write_replica
-
-TASK_CHANGES = ("account_id string, task_id string, check_point bigint, phase int, position int, raw_json string, "
-                "account_bucket int")
-TASK_OPS = "account_id string, task_id string, check_point bigint, phase int, position int"
-LIST_CHANGES = "account_id string, check_point bigint, items array<string>, account_bucket int"
-# Stored changes lie in this many folders by a hash of the account, so an emit reads the folders of its accounts only.
-ACCOUNT_BUCKETS = 16
+from tasklens.sources import number_polls, read_deltas, write_replica
+from tasklens.streaming.commits import Part, Store, Version, bucket_of
+
 LIST_ENTITIES = ("projects", "groups")
+_OPS = "account_id string, task_id string, check_point bigint, poll_id string, phase int, position int"
+_LIST = "account_id string, check_point bigint, poll_id string, items array<string>"
+TABLES = {
+    "task_changes": f"{_OPS}, raw_json string",
+    "projects_lists": _LIST,
+    "groups_lists": _LIST,
+    "accounts": "account_id string, checkpoint bigint, newest struct<check_point bigint, poll_id string, state_changed boolean>",
+    "task_ops": _OPS,
+    "polls": "account_id string, check_point bigint, poll_id string, updates_count bigint, projects_count bigint, "
+             "groups_count bigint, state_updated boolean, polled_at timestamp, finished_at timestamp",
+    "found": "account_id string, poll_id string, deletes_count bigint",
+}
+
+
+def _newest_states(states: DataFrame) -> DataFrame:
+    return states.groupBy("account_id").agg(F.max("checkpoint").alias("checkpoint"), F.max("newest").alias("newest"))
+
+
+# What is left of the rows of a table when folders are folded; tables without an entry keep all.
+FOLDS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "task_changes": latest_task_ops, "projects_lists": newest_lists, "groups_lists": newest_lists, "accounts": _newest_states,
+}
+FANOUT = 8
+BUCKET_BYTES = 256 << 20
 
 
 def start_merge(spark: SparkSession, in_dir: str, replica_dir: str, checkpoint_dir: str,
                 trigger: str = "availableNow", files_per_trigger: int | None = None,
-                emit_dir: str | None = None, lines: bool = False) -> StreamingQuery:
-    """Merge payload files into the replica; `lines` is as in read_deltas. With emit_dir, accounts whose state changed are also written there as a
-    Parquet snapshot. trigger is 'availableNow' or a processing interval such as '30 seconds'."""
+                emit_dir: str | None = None, lines: bool = False,
+                clock: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.UTC)) -> StreamingQuery:
+    """Merge payload files into the replica; `lines` is as in read_deltas. With emit_dir, accounts whose state changed
+    are also written there as a Parquet snapshot. trigger is 'availableNow' or a processing interval such as
+    '30 seconds'; `clock` tells when a batch was merged, for the cycle log."""
     polls = read_deltas(spark, in_dir, stream=True, files_per_trigger=files_per_trigger, lines=lines)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # parsed once for all parts and the emit
         try:
-            store_batch(batch, replica_dir, batch_id)
+            version = merge_batch(Store(batch.sparkSession, replica_dir), number_polls(batch), clock())
             if emit_dir:
-                emit_changed(batch, replica_dir, emit_dir)
+                emit_changed(batch, replica_dir, emit_dir, version)
         finally:
             batch.unpersist()
 
@@ -64,91 +96,199 @@ def start_merge(spark: SparkSession, in_dir: str, replica_dir: str, checkpoint_d
     return writer.trigger(processingTime=trigger).start()
 
 
-def store_batch(batch: DataFrame, replica_dir: str, batch_id: int) -> None:
-    """Changes, statistics and checkpoints of one micro-batch. The checkpoint part is written last."""
-    def put(df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(f"{replica_dir}/{name}/batch_id={batch_id}")
-
-    _write_changes(latest_task_ops(task_ops(batch)), f"{replica_dir}/task_changes/batch_id={batch_id}")
-    put(task_ops(batch).select(*OP_COLUMNS), "task_ops")
-    for entity in LIST_ENTITIES:
-        sent = batch.filter(F.col(entity).isNotNull())
-        lists = sent.select("account_id", "check_point", F.col(entity).alias("items"))
-        _write_changes(newest_lists(lists), f"{replica_dir}/{entity}_lists/batch_id={batch_id}")
-    put(poll_counts(batch), "stats")
-    put(batch.select("account_id", "check_point", "state_changed"), "polls")
-
-
-def _account_bucket() -> Column:
-    return F.pmod(F.hash("account_id"), F.lit(ACCOUNT_BUCKETS)).cast("int")
-
-
-def _write_changes(changes: DataFrame, path: str) -> None:
-    """By account bucket; adaptive execution splits a bucket that is too large for one task."""
-    placed = changes.drop("batch_id").withColumn("account_bucket", _account_bucket()).hint("rebalance", "account_bucket")
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("account_bucket").parquet(path)
-
-
-def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str) -> None:
+def merge_batch(store: Store, polls: DataFrame, merged_at: dt.datetime, fanout: int = FANOUT,
+                bucket_bytes: int = BUCKET_BYTES) -> Version:
+    """Everything a batch of numbered polls adds, as one new version."""
+    version = store.latest()
+    polls = _not_purged(polls, version.purged).persist()
+    try:
+        new: list[Part] = []
+
+        def put(df: DataFrame, table: str) -> None:
+            new.extend(store.write(df, table, version.buckets))
+
+        ops = task_ops(polls)
+        put(latest_task_ops(ops), "task_changes")
+        keys = ops.select(*OP_COLUMNS)
+        put(_found_changes(store, version, keys, {p.bucket for p in new}), "found")
+        put(keys, "task_ops")
+        for entity in LIST_ENTITIES:
+            sent = polls.filter(F.col(entity).isNotNull())
+            put(newest_lists(sent.select("account_id", "check_point", "poll_id", F.col(entity).alias("items"))), f"{entity}_lists")
+        put(account_states(polls), "accounts")
+        times = polls.select("account_id", "poll_id", "polled_at", F.lit(merged_at).cast("timestamp").alias("finished_at"))
+        put(poll_counts(polls).join(times, ["account_id", "poll_id"]), "polls")
+    finally:
+        polls.unpersist()
+    merged = _folded(store, version.swapped((), new), fanout)
+    return store.commit(_with_buckets(store, merged, bucket_bytes))
+
+
+def _not_purged(polls: DataFrame, purged: dict[str, int]) -> DataFrame:
+    """Polls but those that a purge has covered. One row per account ever purged, as a version lists them."""
+    if not purged:
+        return polls
+    gone = polls.sparkSession.createDataFrame(list(purged.items()), "account_id string, purged_to bigint")
+    kept = polls.join(F.broadcast(gone), "account_id", "left")
+    return kept.filter(F.col("purged_to").isNull() | (F.col("check_point") > F.col("purged_to"))).drop("purged_to")
+
+
+def _found_changes(store: Store, version: Version, ops: DataFrame, buckets: set[int]) -> DataFrame:
+    """What the changes add to the deletes that found a row, per poll.
+
+    A task whose changes all come after its stored ones needs its last stored change only. Late changes can make or undo
+    finds of polls before, so the history of such tasks is counted again, and the difference is kept.
+    """
+    task = ["account_id", "task_id"]
+    touched = ops.select(*task).distinct()
+    stored = store.read(version.of("task_changes", buckets), TABLES["task_changes"]).select(*OP_COLUMNS)
+    last = latest_task_ops(stored.join(touched, task, "left_semi"))
+    first = ops.groupBy(*task).agg(F.min(F.struct(*ORDER)).alias("first"))
+    late = first.join(last, task).filter(F.col("first") <= F.struct(*ORDER)).select(*task)
+    if late.isEmpty():
+        return found_deletes(ops.unionByName(last))
+    history = store.read(version.of("task_ops", buckets), TABLES["task_ops"]).join(late, task, "left_semi").distinct()
+    again = history.unionByName(ops.join(late, task, "left_semi")).distinct()
+    in_order = ops.unionByName(last).join(late, task, "left_anti")
+    before = found_deletes(history).withColumn("deletes_count", -F.col("deletes_count"))
+    total = found_deletes(in_order).unionByName(found_deletes(again)).unionByName(before)
+    total = total.groupBy("account_id", "poll_id").agg(F.sum("deletes_count").alias("deletes_count"))
+    return total.filter("deletes_count <> 0")
+
+
+def _fold(store: Store, version: Version, parts: list[Part], buckets: int, level: int) -> list[Part]:
+    """The rows of parts of one table as new parts."""
+    table = parts[0].table
+    rows = store.read(parts, TABLES[table])
+    return store.write(FOLDS.get(table, lambda df: df)(rows), table, buckets, level)
+
+
+def _folded(store: Store, version: Version, fanout: int) -> Version:
+    """Buckets with `fanout` newer folders of a state are folded to one; as many folders of a log of one level are joined."""
+    for table in TABLES:
+        for level in range(1 + max((p.level for p in version.of(table)), default=0)):
+            by_bucket: dict[int, list[Part]] = {}
+            for part in version.of(table):
+                if part.level == level:
+                    by_bucket.setdefault(part.bucket, []).append(part)
+            full = {b for b, parts in by_bucket.items() if len(parts) >= fanout}
+            if not full or (table in FOLDS and level):
+                continue
+            old = [p for p in version.of(table, full) if table in FOLDS or p.level == level]
+            version = version.swapped(old, _fold(store, version, old, version.buckets, level + 1))
+    return version
+
+
+def _with_buckets(store: Store, version: Version, bucket_bytes: int) -> Version:
+    """Twice as many buckets as often as the state has outgrown them; all rows then move once."""
+    wanted = version.buckets
+    while wanted * bucket_bytes < sum(p.size for p in version.of("task_changes")):
+        wanted *= 2
+    if wanted == version.buckets:
+        return version
+    for table in TABLES:
+        if old := version.of(table):
+            version = version.swapped(old, _fold(store, version, old, wanted, 1))
+    return Version(version.number, wanted, version.parts, version.purged)
+
+
+def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str, version: Version | None = None) -> None:
     """Snapshot of the accounts whose state the batch changed; an idle batch writes nothing."""
     spark = batch.sparkSession
     accounts = batch.filter("state_changed").select("account_id").distinct()
     if accounts.isEmpty():
         return
     for entity in schemas.REPLICA_KEY:
-        changed = current_replica(spark, replica_dir, entity, accounts=accounts)
+        changed = current_replica(spark, replica_dir, entity, accounts=accounts, version=version)
         write_replica(changed, emit_dir, entity, accounts=accounts)
 
 
-def current_replica(spark: SparkSession, replica_dir: str, entity: str,
-                    merged_at: dt.datetime | str | None = None, accounts: DataFrame | None = None) -> DataFrame:
-    """Rows of one entity as of the newest stored change; with `accounts`, only their buckets are read."""
+def current_replica(spark: SparkSession, replica_dir: str, entity: str, merged_at: dt.datetime | str | None = None,
+                    accounts: DataFrame | None = None, version: Version | None = None) -> DataFrame:
+    """Rows of one entity as of a version, the newest if none is named; with `accounts`, only their buckets are read."""
+    table = "task_changes" if entity == "tasks" else f"{entity}_lists"
+    rows = _read(spark, replica_dir, table, version, accounts)
     if entity == "tasks":
-        changes = _of_accounts(_stored(spark, replica_dir, "task_changes", TASK_CHANGES), accounts, "task_id")
-        rows = latest_task_ops(changes).filter(F.col("phase") == UPSERT)
+        rows = latest_task_ops(rows).filter(F.col("phase") == UPSERT)
     else:
-        lists = _of_accounts(_stored(spark, replica_dir, f"{entity}_lists", LIST_CHANGES), accounts, "check_point")
-        rows = list_rows(newest_lists(lists), entity)
+        rows = list_rows(newest_lists(rows), entity)
     return replica_rows(rows, entity, merged_at)
 
 
-def _of_accounts(changes: DataFrame, accounts: DataFrame | None, spread: str) -> DataFrame:
+def _read(spark: SparkSession, replica_dir: str, table: str, version: Version | None = None,
+          accounts: DataFrame | None = None) -> DataFrame:
+    store = Store(spark, replica_dir)
+    version = version or store.latest()
     if accounts is None:
-        return changes
-    buckets = [r[0] for r in accounts.select(_account_bucket()).distinct().collect()]  # ACCOUNT_BUCKETS at most
-    changes = changes.filter(F.col("account_bucket").isin(buckets))
-    return lookup_join(changes, accounts.select("account_id").distinct(), "account_id", spread, "left_semi")
+        return store.read(version.of(table), TABLES[table])
+    buckets = [r[0] for r in accounts.select(bucket_of(version.buckets)).distinct().collect()]  # a number per bucket
+    spread = "task_id" if table == "task_changes" else "check_point"
+    rows = store.read(version.of(table, buckets), TABLES[table])
+    return lookup_join(rows, accounts.select("account_id").distinct(), "account_id", spread, "left_semi")
 
 
-def stream_stats(spark: SparkSession, replica_dir: str, span: int = 86_400_000) -> DataFrame:
-    """Statistics of every poll. Whether a delete found a row follows from all stored changes, which are kept without
-    their payloads, so batches and late files make no difference. `span` is as in batch_stats."""
-    return with_deletes(spark.read.parquet(f"{replica_dir}/stats"), _stored(spark, replica_dir, "task_ops", TASK_OPS), span)
+def _polls(spark: SparkSession, replica_dir: str, version: Version | None, accounts: DataFrame | None = None) -> DataFrame:
+    """Every poll once, as it was first merged, with its counts."""
+    polls = _read(spark, replica_dir, "polls", version, accounts)
+    polls = latest_by(polls, ["account_id", "poll_id"], [F.asc("finished_at")])
+    found = _read(spark, replica_dir, "found", version, accounts)
+    found = found.groupBy("account_id", "poll_id").agg(F.sum("deletes_count").alias("deletes_count"))
+    times = polls.select("account_id", "poll_id", "polled_at", "finished_at")
+    return with_deletes(polls.drop("polled_at", "finished_at"), found).join(times, ["account_id", "poll_id"])
 
 
-def stream_checkpoints(spark: SparkSession, replica_dir: str) -> DataFrame:
-    """Newest checkpoint that changed state, per account, and the status of the last poll."""
-    return checkpoints(spark.read.parquet(f"{replica_dir}/polls"))
-
+def stream_stats(spark: SparkSession, replica_dir: str, version: Version | None = None) -> DataFrame:
+    """Statistics of every poll, as they were counted batch by batch."""
+    return _polls(spark, replica_dir, version).drop("polled_at", "finished_at")
 
-def compact(spark: SparkSession, replica_dir: str, target_dir: str, without: str | None = None) -> None:
-    """Write the folded changes to a new folder as its first batch, deletions kept. Readers and the stream then move there;
-    the old folder stays until nobody reads it. With `without`, everything stored for that account is left out, which
-    purges it once the old folder is gone."""
 
-    def kept(df: DataFrame) -> DataFrame:
-        return df if without is None else purge(df, without)
+def stream_cycles(spark: SparkSession, replica_dir: str, accounts: Iterable[str] | None = None,
+                  version: Version | None = None) -> DataFrame:
+    """The cycle log; with `accounts`, theirs alone, out of their buckets."""
+    named = None if accounts is None else spark.createDataFrame([(a,) for a in accounts], "account_id string")
+    return cycle_log(_polls(spark, replica_dir, version, named))
 
-    tasks = latest_task_ops(kept(_stored(spark, replica_dir, "task_changes", TASK_CHANGES)))
-    _write_changes(tasks, f"{target_dir}/task_changes/batch_id=-1")
-    for entity in LIST_ENTITIES:
-        lists = kept(_stored(spark, replica_dir, f"{entity}_lists", LIST_CHANGES))
-        newest = newest_lists(lists)
-        _write_changes(newest, f"{target_dir}/{entity}_lists/batch_id=-1")
-    for name in ("stats", "polls", "task_ops"):
-        kept(spark.read.parquet(f"{replica_dir}/{name}")).drop("batch_id").write.mode("overwrite").parquet(
-            f"{target_dir}/{name}/batch_id=-1")
 
-
-def _stored(spark: SparkSession, replica_dir: str, name: str, ddl: str) -> DataFrame:
-    return spark.read.schema(ddl).parquet(f"{replica_dir}/{name}")
+def stream_checkpoints(spark: SparkSession, replica_dir: str, version: Version | None = None) -> DataFrame:
+    """Newest checkpoint that changed state, per account, and the status of the last poll."""
+    return checkpoint_status(_newest_states(_read(spark, replica_dir, "accounts", version)))
+
+
+def compact(spark: SparkSession, replica_dir: str) -> Version:
+    """Fold every bucket that has several folders. Older versions keep theirs until Store.vacuum."""
+    store = Store(spark, replica_dir)
+    version = store.latest()
+    for table in TABLES:
+        parts = version.of(table)
+        several = {p.bucket for p in parts if sum(q.bucket == p.bucket for q in parts) > 1}
+        if old := version.of(table, several):
+            version = version.swapped(old, _fold(store, version, old, version.buckets, max(p.level for p in old) + (table not in FOLDS) or 1))
+    return store.commit(version)
+
+
+def purge_account(spark: SparkSession, replica_dir: str, account_id: str, emit_dir: str | None = None) -> Version:
+    """Remove an account from every table, and from the emitted snapshot.
+
+    Only the bucket of the account is written anew; the folders of other buckets stay. The version notes the account's
+    last checkpoint, and polls up to it are ignored when they come again. Store.vacuum then deletes the old folders.
+    """
+    store = Store(spark, replica_dir)
+    version = store.latest()
+    own = spark.createDataFrame([(account_id,)], "account_id string")
+    bucket = own.select(bucket_of(version.buckets)).first()[0]
+    known = store.read(version.of("accounts", [bucket]), TABLES["accounts"]).filter(F.col("account_id") == account_id)
+    last = known.agg(F.max("newest.check_point")).first()[0]
+    if last is None:
+        return version
+    for table in TABLES:
+        if old := version.of(table, [bucket]):
+            rows = purge(store.read(old, TABLES[table]), account_id)
+            level = max(p.level for p in old) or 1
+            version = version.swapped(old, store.write(FOLDS.get(table, lambda df: df)(rows), table, version.buckets, level))
+    purged = version.purged | {account_id: max(last, version.purged.get(account_id, last))}
+    version = store.commit(Version(version.number, version.buckets, version.parts, purged))
+    if emit_dir:
+        emitted = Store(spark, emit_dir)
+        for entity in schemas.REPLICA_KEY:
+            emitted.drop(entity, lambda name: unquote(name) == f"account_id={account_id}")
+    return version

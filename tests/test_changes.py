@@ -1,16 +1,15 @@
 import datetime as dt
 import json
 import random
-import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from tasklens import schemas
 from tasklens.operators import history, merge
 from tasklens.sources import read_deltas, read_jsonl, read_replica, write_jsonl, write_replica
-from tasklens.streaming import compact, current_replica, start_merge, stream_stats
-from tasklens.streaming.replica_stream import stream_checkpoints
+from tasklens.streaming import Store, compact, current_replica, purge_account, start_merge, stream_cycles, stream_stats
+from tasklens.streaming.commits import VersionTaken
+from tasklens.streaming.replica_stream import TABLES, merge_batch, stream_checkpoints
 
 
 def poll(checkpoint, update=(), delete=(), empty=False, bean=True, projects=None, groups=None):
@@ -27,15 +26,17 @@ POLLS = [
     ("a", poll(3, empty=True)),
     ("a", poll(4, [{"id": "2", "title": "zwei"}, {"id": "2", "title": "due"}], projects=[])),
     ("b", poll(1, [{"id": "1", "title": "other", "sortOrder": 5}], groups=[])),
+    ("a", poll(4, bean=False)),
+    ("a", poll(4, empty=True)),
     ("a", poll(5, bean=False)),
     ("b", poll(2, [], [{"taskId": "1"}, {"taskId": "1"}], projects=[{"id": "p1", "name": "B"}, {"id": "p1", "name": "B2"}])),
 ]
 
 
-def archive(path, polls):
+def archive(path, polls, first=0):
     path.mkdir(parents=True, exist_ok=True)
-    for account, body in polls:
-        name = f"{account}__cp_{body['checkPoint']}__20240101T000000Z.json"
+    for second, (account, body) in enumerate(polls, start=first):
+        name = f"{account}__cp_{body['checkPoint']}__20240101T0000{second:02d}Z.json"
         (path / name).write_text(json.dumps(body, ensure_ascii=False, indent=1), encoding="utf-8")
 
 
@@ -111,7 +112,7 @@ def test_hot_account(spark, tmp_path):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         merged = as_dict(merge.merge_deltas(empty(spark, "tasks"), deltas, "tasks"), "task_id", "title")
-        deleted = {s: merge.batch_stats(deltas, span=s).agg({"deletes_count": "sum"}).first()[0] for s in (7, 1000)}
+        deleted = merge.batch_stats(deltas).agg({"deletes_count": "sum"}).first()[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     live, removed = {}, 0
@@ -121,7 +122,7 @@ def test_hot_account(spark, tmp_path):
         for item in p["syncTaskBean"]["delete"]:
             removed += live.pop((account, item["taskId"]), None) is not None
     assert merged == live
-    assert deleted == {7: removed, 1000: removed}
+    assert deleted == removed
 
 
 def test_null_list_keeps_rows_and_empty_list_clears_them(spark, tmp_path):
@@ -137,59 +138,234 @@ def test_null_list_keeps_rows_and_empty_list_clears_them(spark, tmp_path):
     assert groups.count() == 0
 
 
-@pytest.mark.parametrize("span", [1, 2, 1000])
-def test_statistics_do_not_depend_on_the_slices(spark, tmp_path, span):
+def stats_of(polls):
+    """Plain-Python statistics, in the order of checkpoints and then of the archive."""
+    tasks, out = set(), []
+    for account, p in sorted(polls, key=lambda x: x[1]["checkPoint"]):
+        bean = p["syncTaskBean"]
+        live = bean is not None and not bean["empty"]
+        updates, deletes = (bean["update"], bean["delete"]) if live else ([], [])
+        tasks |= {(account, i["id"]) for i in updates}
+        found = 0
+        for item in deletes:
+            key = account, item.get("taskId") or item.get("id")
+            found += key in tasks
+            tasks.discard(key)
+        sizes = [None if p[k] is None else len(p[k]) for k in ("projectProfiles", "projectGroups")]
+        changed = live or any(n is not None for n in sizes)
+        out.append((account, p["checkPoint"], len(updates), found, *sizes, changed))
+    return sorted(out, key=str)
+
+
+def rows_of(stats):
+    return sorted(map(tuple, stats.drop("poll_id").collect()), key=str)
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "50"])
+def test_statistics_have_a_row_for_every_poll(spark, tmp_path, partitions):
     archive(tmp_path / "in", POLLS)
-    stats = merge.batch_stats(read_deltas(spark, str(tmp_path / "in")), span=span)
-    got = {(r["account_id"], r["check_point"]): tuple(r)[2:] for r in stats.collect()}
-    assert got[("a", 1)] == (2, 0, 2, 1, True)
-    assert got[("a", 2)] == (2, 1, None, None, True)
-    assert got[("a", 3)] == (0, 0, None, None, False)
-    assert got[("b", 2)] == (0, 1, 2, None, True)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        assert rows_of(merge.batch_stats(read_deltas(spark, str(tmp_path / "in")))) == stats_of(POLLS)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_polls_are_known_by_file_and_line(spark, tmp_path):
+    lines = [json.dumps(p | {"account_id": a}) for a, p in POLLS * 40]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    (tmp_path / "b.json").write_text("\n".join(lines[:7]) + "\n\n" + lines[7])
+    ids = {}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1000", "128m"):  # many splits of a file, and none
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            polls = read_deltas(spark, str(tmp_path), lines=True)
+            ids[size] = {(r.poll_id, r.account_id, r.check_point) for r in polls.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {(f"a.json#{i:012d}", a, p["checkPoint"]) for i, (a, p) in enumerate(POLLS * 40)}
+    want |= {(f"b.json#{i:012d}", a, p["checkPoint"]) for i, (a, p) in enumerate(POLLS[:8])}
+    assert ids["1000"] == ids["128m"] == want
+
+
+def test_a_hot_task_is_spread(spark):
+    """A third of all changes are of one task: no range of checkpoints has more of them than a task's share."""
+    rows = spark.range(30_000).selectExpr(
+        "'a' as account_id", "if(id % 3 = 0, 'hot', cast(id as string)) as task_id", "id * id as check_point",
+        "lpad(id, 9, '0') as poll_id", "cast(id % 2 as int) as phase", "0 as position")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    largest = merge._sliced(rows).groupBy("task_id", "_slice").count().agg({"count": "max"}).first()[0]
+    assert largest <= 1.1 * 30_000 / 3 / parts
+    assert merge.found_deletes(rows).agg({"deletes_count": "sum"}).first()[0] == 5_000
 
 
 @pytest.mark.parametrize("mode", ["at_once", "one_by_one", "shuffled"])
-def test_stream_equals_batch(spark, tmp_path, mode):
+def test_stream_equals_batch(spark, one_task, tmp_path, mode):
     folders = [str(tmp_path / d) for d in ("in", "replica", "checkpoint", "emit")]
+    numbered = list(enumerate(POLLS))
 
-    def run():
-        start_merge(spark, *folders[:3], emit_dir=folders[3], files_per_trigger=2).awaitTermination()
+    def run(checkpoint=folders[2]):
+        start_merge(spark, folders[0], folders[1], checkpoint, emit_dir=folders[3], files_per_trigger=3).awaitTermination()
 
     if mode == "at_once":
         archive(tmp_path / "in", POLLS)
         run()
     else:
-        order = list(POLLS)
         if mode == "shuffled":
-            random.Random(5).shuffle(order)
-        for p in (order[:3], order[3:5], order[5:]):
-            archive(tmp_path / "in", p)
+            random.Random(5).shuffle(numbered)
+        for some in (numbered[:4], numbered[4:7], numbered[7:]):
+            for i, p in some:
+                archive(tmp_path / "in", [p], first=i)
             run()
     run()  # nothing new: nothing changes
     tasks, projects, groups, checkpoint = replay(POLLS)
-    assert as_dict(current_replica(spark, folders[1], "tasks"), "task_id", "title") == tasks
-    assert as_dict(current_replica(spark, folders[1], "projects"), "project_id", "name") == projects
-    assert as_dict(current_replica(spark, folders[1], "groups"), "group_id", "name") == groups
-    assert {r["account_id"]: r["checkpoint"] for r in stream_checkpoints(spark, folders[1]).collect()} == checkpoint
-    archive(tmp_path / "all", POLLS)
-    want = merge.batch_stats(read_deltas(spark, str(tmp_path / "all"))).collect()
-    assert sorted(map(tuple, stream_stats(spark, folders[1]).select(want[0].__fields__).collect()), key=str) == sorted(
-        map(tuple, want), key=str)
-    emitted = as_dict(read_replica(spark, folders[3], "tasks"), "task_id", "title")
-    assert emitted == tasks
-    compact(spark, folders[1], str(tmp_path / "compacted"))
-    assert as_dict(current_replica(spark, str(tmp_path / "compacted"), "tasks"), "task_id", "title") == tasks
-    assert stream_stats(spark, str(tmp_path / "compacted")).count() == len(POLLS)
-    some = spark.createDataFrame([(min(a for a, _ in tasks),)], "account_id string")
-    plan = current_replica(spark, folders[1], "tasks", accounts=some)._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^]]*account_bucket", plan)
-    gone = min(a for a, _ in tasks)
-    compact(spark, folders[1], str(tmp_path / "purged"), without=gone)
-    assert as_dict(current_replica(spark, str(tmp_path / "purged"), "tasks"), "task_id", "title") == {
-        k: v for k, v in tasks.items() if k[0] != gone}
-    for part in ("task_changes", "task_ops", "projects_lists", "groups_lists", "stats", "polls"):
-        stored = spark.read.parquet(str(tmp_path / "purged" / part))
-        assert stored.filter(F.col("account_id") == gone).isEmpty()
+
+    def check():
+        assert as_dict(current_replica(spark, folders[1], "tasks"), "task_id", "title") == tasks
+        assert as_dict(current_replica(spark, folders[1], "projects"), "project_id", "name") == projects
+        assert as_dict(current_replica(spark, folders[1], "groups"), "group_id", "name") == groups
+        assert {r["account_id"]: r["checkpoint"] for r in stream_checkpoints(spark, folders[1]).collect()} == checkpoint
+        assert rows_of(stream_stats(spark, folders[1])) == stats_of(POLLS)
+        assert as_dict(read_replica(spark, folders[3], "tasks"), "task_id", "title") == tasks
+
+    check()
+    cycles = stream_cycles(spark, folders[1]).orderBy("account_id", "response_checkpoint", "id").collect()
+    sources = {"a": [0, 1, 2, 2, 4, 4, 4], "b": [0, 1]}
+    assert [(c.account_id, c.source_checkpoint) for c in cycles] == [(a, n) for a in "ab" for n in sources[a]]
+    assert all(c.started_at.year == 2024 and c.finished_at > c.started_at for c in cycles)
+    assert [c.id for c in merge.cycle_history(stream_cycles(spark, folders[1], ["a"]), "a", 2).collect()] == [
+        c.id for c in sorted(cycles, key=lambda c: c.started_at, reverse=True) if c.account_id == "a"][:2]
+    compact(spark, folders[1])
+    check()
+    if mode == "one_by_one":
+        run(str(tmp_path / "another"))  # all files again
+        check()
+
+
+def polls_of(spark, rows):
+    """Rows of (account, checkpoint, task, whether it is a deletion) as numbered polls."""
+    beans = [(a, c, f"f#{c:012d}", [] if gone else [json.dumps({"id": t, "title": str(c)})],
+              [json.dumps({"id": t})] if gone else [], None, None, True, dt.datetime(2024, 1, 1)) for a, c, t, gone in rows]
+    return spark.createDataFrame(beans, "account_id string, check_point bigint, poll_id string, updates array<string>, "
+                                        "deletes array<string>, projects array<string>, groups array<string>, "
+                                        "state_changed boolean, polled_at timestamp")
+
+
+NOW = dt.datetime(2024, 1, 2)
+
+
+@pytest.fixture
+def one_task(spark):
+    """Small batches by the dozen: one shuffle partition each."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_half_a_batch_is_never_seen(spark, one_task, tmp_path, monkeypatch):
+    """The writer dies before some of its writes, before the commit and after it."""
+    store = Store(spark, str(tmp_path))
+    merge_batch(store, polls_of(spark, [("a", 1, "t", False), ("b", 1, "u", False)]), NOW)
+    batch = polls_of(spark, [("a", 2, "t", True), ("b", 2, "v", False)])
+
+    def seen():
+        tables = {t: sorted(map(str, store.read(store.latest().of(t), ddl).collect())) for t, ddl in TABLES.items()}
+        return tables, as_dict(current_replica(spark, str(tmp_path), "tasks"), "task_id", "title")
+
+    before, write, commit = seen(), Store.write, Store.commit
+    for dies_at in (0, 1, 4, len(TABLES) - 1, len(TABLES), len(TABLES) + 1):
+        calls = iter(range(100))
+
+        def failing(*args, real, **kwargs):
+            n = next(calls)
+            if n == dies_at:
+                raise OSError("lost")
+            done = real(*args, **kwargs)
+            if n + 1 == dies_at == len(TABLES) + 1:
+                raise OSError("lost after the commit")
+            return done
+
+        monkeypatch.setattr(Store, "write", lambda *a, **k: failing(*a, real=write, **k))
+        monkeypatch.setattr(Store, "commit", lambda *a, **k: failing(*a, real=commit, **k))
+        with pytest.raises(OSError):
+            merge_batch(store, batch, NOW)
+        if dies_at <= len(TABLES):
+            assert seen() == before
+    monkeypatch.setattr(Store, "write", write)
+    monkeypatch.setattr(Store, "commit", commit)
+    merge_batch(store, batch, NOW)  # the repetition of a batch that is there already
+    assert seen()[1] == {("b", "u"): "1", ("b", "v"): "2"}
+    assert rows_of(stream_stats(spark, str(tmp_path))) == [
+        ("a", 1, 1, 0, None, None, True), ("a", 2, 0, 1, None, None, True),
+        ("b", 1, 1, 0, None, None, True), ("b", 2, 1, 0, None, None, True)]
+    old = store.version(1)
+    assert as_dict(current_replica(spark, str(tmp_path), "tasks", version=old), "task_id", "title") == before[1]
+    with pytest.raises(VersionTaken):
+        store.commit(old)
+    assert store.vacuum() > 0 and store.versions() == [store.latest().number]
+    assert seen()[1] == {("b", "u"): "1", ("b", "v"): "2"}
+
+
+def test_a_batch_reads_no_history(spark, one_task, tmp_path, monkeypatch):
+    """Twenty batches over the same tasks: what one reads stays about the size of the state."""
+    store, read, asked = Store(spark, str(tmp_path)), Store.read, []
+    monkeypatch.setattr(Store, "read", lambda self, parts, ddl: asked.append(sum(p.size for p in parts)) or read(self, parts, ddl))
+    sizes = []
+    for n in range(20):
+        asked.clear()
+        rows = [("ab"[i % 2], 100 * n + i, f"t{i}", n % 3 == 2) for i in range(20)]
+        merge_batch(store, polls_of(spark, rows), NOW, fanout=3)
+        sizes.append(sum(asked))
+    assert max(sizes[14:]) < 1.5 * max(sizes[4:9])
+    assert max(len(store.latest().of(t)) for t in TABLES) < 12
+    assert len(as_dict(current_replica(spark, str(tmp_path), "tasks"), "task_id", "title")) == 20
+    stats = stream_stats(spark, str(tmp_path))
+    assert stats.agg({"deletes_count": "sum"}).first()[0] == 6 * 20 and stats.count() == 400
+
+
+def test_late_changes_move_finds(spark, one_task, tmp_path):
+    store = Store(spark, str(tmp_path))
+    rows = [("a", 1, "t", False), ("a", 2, "t", True), ("a", 3, "t", True), ("a", 4, "t", False), ("a", 5, "t", True)]
+    for i in (1, 4, 2, 0, 3):
+        merge_batch(store, polls_of(spark, [rows[i]]), NOW, fanout=2)
+    found = {r["check_point"]: r["deletes_count"] for r in stream_stats(spark, str(tmp_path)).collect()}
+    assert found == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1}
+    assert current_replica(spark, str(tmp_path), "tasks").isEmpty()
+
+
+def test_buckets_grow_and_purges_leave_others_alone(spark, tmp_path):
+    store, accounts = Store(spark, str(tmp_path / "replica")), [f"acc {i}" for i in range(12)]
+    for n in range(3):
+        merge_batch(store, polls_of(spark, [(a, n, f"t{n}", False) for a in accounts]), NOW, bucket_bytes=3000)
+    version = store.latest()
+    assert version.buckets >= 4
+    want = {(a, f"t{n}"): str(n) for a in accounts for n in range(3)}
+    assert as_dict(current_replica(spark, store.root, "tasks"), "task_id", "title") == want
+    some = spark.createDataFrame([("acc 3",)], "account_id string")
+    emitted = str(tmp_path / "emitted")
+    for entity in schemas.REPLICA_KEY:
+        write_replica(current_replica(spark, store.root, entity), emitted, entity)
+    plan = current_replica(spark, store.root, "tasks", accounts=some)
+    assert 0 < len(plan.inputFiles()) < len(current_replica(spark, store.root, "tasks").inputFiles())
+    purged = purge_account(spark, store.root, "acc 3", emitted)
+    (bucket,) = {p.bucket for p in set(purged.parts) - set(version.parts)}
+    assert {p for p in version.parts if p.bucket != bucket} == {p for p in purged.parts if p.bucket != bucket}
+    assert store.vacuum() > 0
+    for table, ddl in TABLES.items():
+        rows = store.read(store.latest().of(table), ddl)
+        assert rows.filter("account_id = 'acc 3'").isEmpty()
+        files = spark.read.option("recursiveFileLookup", True).schema(ddl).parquet(f"{store.root}/{table}")
+        assert files.count() == rows.count()
+    left = {k: v for k, v in want.items() if k[0] != "acc 3"}
+    assert as_dict(current_replica(spark, store.root, "tasks"), "task_id", "title") == left
+    assert as_dict(read_replica(spark, emitted, "tasks"), "task_id", "title") == left
+    # What the purge covered doesn't come back; what is newer does.
+    merge_batch(store, polls_of(spark, [("acc 3", 2, "t2", False), ("acc 3", 9, "new", False)]), NOW)
+    assert as_dict(current_replica(spark, store.root, "tasks"), "task_id", "title") == left | {("acc 3", "new"): "9"}
+    assert purge_account(spark, store.root, "nobody").number == store.latest().number
 
 
 def test_jsonl_round_trip_and_broken_lines(spark, tmp_path):

@@ -7,7 +7,8 @@ SMALL = "/root/testdata/sf0.001"
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 # These write files or run a stream; their plans are those of the read.
 WRITERS = {"read_jsonl_declared", "read_jsonl_source", "write_jsonl_sink", "read_replica_parquet", "write_replica_parquet", "stream_delta_source",
-           "account_purge", "stream_replica_merge", "stream_emit_on_change", "stream_batch_stats"}
+           "account_purge", "stream_replica_merge", "stream_emit_on_change", "stream_batch_stats", "cycle_history_topn",
+           "cycle_log", "delta_batch_stats_of_idle_polls", "stream_batch_stats_of_idle_polls"}
 
 
 @pytest.fixture(scope="module")

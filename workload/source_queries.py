@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasklens import schemas
 from tasklens.functions.typing import to_local_datetime
 from tasklens.operators import history, merge
 from tasklens.sources import add_inbox, drop_meta, read_deltas, read_jsonl, read_replica, slim, write_jsonl, write_replica
-from tasklens.streaming import compact, current_replica, start_merge, stream_stats
+from tasklens.streaming import Store, current_replica, purge_account, start_merge, stream_cycles, stream_stats
 from workload.registry import query
 from workload.scratch import scratch_dir
 from workload.tables import AS_OF_TS, Tables
@@ -140,10 +141,10 @@ def shape_habit_projects(t: Tables):
     return slim(t.raw_habit_projects, ["access"]).select("id", "name")
 
 
-def _write_polls(t: Tables) -> str:
+def _write_polls(t: Tables, polls: DataFrame | None = None) -> str:
     """Polls as JSON lines, in as many files as there are times so many polls."""
     path = scratch_dir(t.spark)
-    t.polls.write.option("maxRecordsPerFile", 2000).json(path)
+    (t.polls if polls is None else polls).write.option("maxRecordsPerFile", 2000).json(path)
     return path
 
 
@@ -228,18 +229,46 @@ _STATS = """
 
 @query("delta_batch_stats", _STATS)
 def delta_batch_stats(t: Tables):
-    return merge.batch_stats(t.deltas, t.replica("tasks"), span=1000)
+    return merge.batch_stats(t.deltas, t.replica("tasks")).drop("poll_id")
 
 
-@query("cycle_history_topn", """
-    SELECT account_id, check_point AS id, ts AS started_at, CASE WHEN changed THEN 'success' ELSE 'idle' END AS status
-    FROM polls WHERE account_id = '8' ORDER BY ts DESC, check_point DESC LIMIT 50""")
+# An idle poll answers with the checkpoint that the account has already.
+_REPEATED = _STATS.replace("SELECT account_id, check_point,", """SELECT account_id, coalesce(max(CASE WHEN changed THEN check_point END)
+        OVER (PARTITION BY account_id ORDER BY check_point), 0) AS check_point,""")
+
+
+@query("delta_batch_stats_of_idle_polls", _REPEATED)
+def delta_batch_stats_of_idle_polls(t: Tables):
+    """Polls that share a checkpoint are a row each; read from files, they are told apart by file and line."""
+    polls = read_deltas(t.spark, _write_polls(t, t.repeated_polls), lines=True)
+    return merge.batch_stats(polls, t.replica("tasks")).drop("poll_id")
+
+
+_CYCLES = f"""
+    SELECT account_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS started_at, 'success' AS status,
+        coalesce(max(CASE WHEN changed THEN check_point END) OVER (
+            PARTITION BY account_id ORDER BY check_point ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS source_checkpoint,
+        check_point AS response_checkpoint, updates_count, deletes_count, projects_count, groups_count
+    FROM polls JOIN ({_STATS.replace("task_id = 't0'", "false")}) USING (account_id, check_point)"""
+
+
+def _cycle_columns(cycles: DataFrame) -> DataFrame:
+    return cycles.select(
+        "account_id", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started_at"), "status",
+        "source_checkpoint", "response_checkpoint", "updates_count", "deletes_count", "projects_count", "groups_count")
+
+
+@query("cycle_history_topn", f"""
+    SELECT * FROM ({_CYCLES}) WHERE account_id = '8' ORDER BY started_at DESC, response_checkpoint DESC LIMIT 50""")
 def cycle_history_topn(t: Tables):
-    cycles = t.read("events").select(
-        F.col("user_id").cast("string").alias("account_id"), F.col("event_id").alias("id"), F.col("ts").alias("started_at"),
-        F.when(F.col("event_type") == "signup", F.lit("idle")).otherwise(F.lit("success")).alias("status"),
-    )
-    return merge.cycle_history(cycles, "8")
+    """The newest cycles of one account, out of the log that a stream wrote."""
+    return _cycle_columns(merge.cycle_history(stream_cycles(t.spark, f"{_streamed(t)}/replica", ["8"]), "8"))
+
+
+@query("cycle_log", _CYCLES)
+def cycle_log(t: Tables):
+    """All cycles of all accounts."""
+    return _cycle_columns(stream_cycles(t.spark, f"{_streamed(t)}/replica"))
 
 
 @query("replica_counts", """
@@ -254,14 +283,17 @@ def replica_counts(t: Tables):
 
 @query("account_purge", """
     SELECT 'extract' AS origin, task_id, account_id FROM v3_base WHERE account_id <> 'acc2'
-    UNION ALL SELECT 'stream', task_id, account_id FROM last_ops WHERE event_type <> 'error' AND account_id <> '8'""")
+    UNION ALL SELECT 'stream', task_id, account_id FROM last_ops WHERE event_type <> 'error' AND account_id <> '8'
+    UNION ALL SELECT 'emitted', task_id, account_id FROM last_ops WHERE event_type <> 'error' AND account_id <> '8'""")
 def account_purge(t: Tables):
-    """An account leaves a table, and the folders of a stream."""
-    root = _streamed(t)
-    compact(t.spark, f"{root}/replica", f"{root}/purged", without="8")
-    streamed = current_replica(t.spark, f"{root}/purged", "tasks").select(F.lit("stream").alias("origin"), "task_id", "account_id")
+    """An account leaves a table, a stream's replica and its emitted snapshot."""
+    root = _streamed(t, emit=True)
+    purge_account(t.spark, f"{root}/replica", "8", f"{root}/emitted")
+    Store(t.spark, f"{root}/replica").vacuum()
+    streamed = current_replica(t.spark, f"{root}/replica", "tasks").select(F.lit("stream").alias("origin"), "task_id", "account_id")
+    emitted = read_replica(t.spark, f"{root}/emitted", "tasks").select(F.lit("emitted").alias("origin"), "task_id", "account_id")
     extract = merge.purge(t.raw_tasks_v3, "acc2").select(F.lit("extract").alias("origin"), "task_id", "account_id")
-    return extract.unionByName(streamed)
+    return extract.unionByName(streamed).unionByName(emitted)
 
 
 @query("scd2_snapshot", """
@@ -339,10 +371,10 @@ def next_load_banner(t: Tables):
     return with_interval.unionByName(without).select("task_id", "title", "updated_time", "status")
 
 
-def _streamed(t: Tables, emit: bool = False) -> str:
-    """Merge a stream of the polls, two files at a time, and return its folder."""
+def _streamed(t: Tables, emit: bool = False, of: DataFrame | None = None) -> str:
+    """Merge a stream of polls, two files at a time, and return its folder."""
     root = scratch_dir(t.spark)
-    polls = _write_polls(t)
+    polls = _write_polls(t, of)
     start_merge(t.spark, polls, f"{root}/replica", f"{root}/checkpoint", files_per_trigger=2, lines=True,
                 emit_dir=f"{root}/emitted" if emit else None).awaitTermination()
     return root
@@ -376,4 +408,10 @@ def stream_emit_on_change(t: Tables):
 @query("stream_batch_stats", _STATS.replace("task_id = 't0'", "false"))
 def stream_batch_stats(t: Tables):
     """All columns, over a stream that starts without a replica."""
-    return stream_stats(t.spark, f"{_streamed(t)}/replica", span=1000)
+    return stream_stats(t.spark, f"{_streamed(t)}/replica").drop("poll_id")
+
+
+@query("stream_batch_stats_of_idle_polls", _REPEATED.replace("task_id = 't0'", "false"))
+def stream_batch_stats_of_idle_polls(t: Tables):
+    """Polls that share a checkpoint, in a stream."""
+    return stream_stats(t.spark, f"{_streamed(t, of=t.repeated_polls)}/replica").drop("poll_id")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tasklens.config import Settings
@@ -305,12 +305,22 @@ class Tables:
         )
         return e.select(
             F.col("user_id").cast("string").alias("account_id"), F.col("event_id").alias("checkPoint"),
+            F.lpad(F.col("event_id").cast("string"), 12, "0").alias("poll_id"),
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("polledAt"),
             bean.alias("syncTaskBean"),
             F.when(kind == "purchase", F.array(project, inbox)).alias("projectProfiles"),
             F.when((kind == "purchase") & (k > 50), F.array(F.to_json(F.struct(F.lit("g").alias("id"), k.alias("name")))))
             .alias("projectGroups"),
         )
 
+    @cached_property
+    def repeated_polls(self) -> DataFrame:
+        """Polls as a client makes them: an idle poll answers with the checkpoint that the account has already."""
+        idle = F.col("syncTaskBean.empty") & F.col("projectProfiles").isNull()
+        line = Window.partitionBy("account_id").orderBy("poll_id")
+        held = F.last(F.when(~idle, F.col("checkPoint")), ignorenulls=True).over(line)
+        return self.polls.withColumn("checkPoint", F.coalesce(held, F.lit(0).cast("bigint")))
+
     @cached_property
     def deltas(self) -> DataFrame:
         return delta_columns(self.polls)
