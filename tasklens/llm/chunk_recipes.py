@@ -45,9 +45,14 @@ def chunk_store(texts: DataFrame, bits: int = 64, **limits: int) -> DataFrame:
 
 
 def clashing(store: DataFrame) -> DataFrame:
-    """Chunks whose hash belongs to several contents, with the place of each among them: hash, chunk, place."""
-    several = store.groupBy("hash").count().filter("count > 1").select("hash")
+    """Chunks whose hash belongs to several contents, with the place of each among them: hash, chunk, place.
+
+    The hashes are found first; only if there are any, chunks are moved again.
+    """
+    several = materialize(store.groupBy("hash").count().filter("count > 1").select("hash"))
     line = Window.partitionBy("hash").orderBy("chunk")
+    if several.isEmpty():
+        return store.limit(0).withColumn("place", F.lit(0))
     return store.join(several, "hash", "left_semi").withColumn("place", F.row_number().over(line) - 1)
 
 
@@ -59,10 +64,11 @@ def recipes(texts: DataFrame, bits: int = 64, **limits: int) -> DataFrame:
     """
     known = [F.col("doc_id"), F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")]
     no_places = F.array().cast("array<int>").alias("places")
-    clashes = materialize(clashing(chunk_store(texts, bits, **limits)))
+    clashes = clashing(chunk_store(texts, bits, **limits))
     if clashes.isEmpty():
         hashed = F.transform(chunks(F.col("text"), **limits), lambda c: chunk_hash(c, bits))
         return texts.select(*known, hashed.alias("hashes"), no_places)
+    clashes = materialize(clashes)
     cut = texts.select(F.monotonically_increasing_id().alias("row"), *known, chunks(F.col("text"), **limits).alias("cut"))
     each = cut.select("row", "doc_id", "n_chars", "text_sha256", F.posexplode_outer("cut").alias("at", "chunk"))
     each = each.withColumn("hash", chunk_hash(F.col("chunk"), bits)).join(clashes, ["hash", "chunk"], "left")
