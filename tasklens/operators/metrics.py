@@ -79,29 +79,21 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str, day: str) -> Data
 def grain_rollup(base: DataFrame, grains: Sequence[str] = ("task", "project", "folder")) -> DataFrame:
     """Distinct open tasks per due day at each grain, with parent, label and links.
 
-    Open tasks are first made distinct on the few columns that matter, which is the only shuffle that carries them all.
-    A task row then counts itself; project and folder rows are counted from the same distinct rows. Labels of days,
-    keys and links follow from the group columns, so they are added after counting.
+    Open tasks are first made distinct on the few columns that matter. Each then becomes one row per grain, without the
+    columns that a coarser grain doesn't have, and one grouping counts them all: the tasks are read once. Labels of
+    days, keys and links follow from the group columns, so they are added after counting.
     """
     keys = ["due_date_day", "scope_bucket", "folder_id", "folder_name", "project_id", "project_name"]
     open_rows = base.filter(is_open() & F.col("due_date_day").isNotNull())
-    distinct = open_rows.groupBy(*keys, "task_id", "title").agg(F.count("*").alias("_copies"))
-    none = F.lit(None).cast("string")
-    parts = []
-    if "task" in grains:
-        counted = F.when(F.col("task_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-        parts.append(distinct.select(*keys, "task_id", "title", F.lit("task").alias("grain_level"),
-                                     counted.alias("task_count")))
-    coarse = [g for g in grains if g != "task"]
-    if coarse:
-        level = F.explode(F.array(*[F.lit(g) for g in coarse])).alias("grain_level")
-        rows = distinct.select(*keys, "task_id", level)
-        at_project = F.col("grain_level") == "project"
-        rows = rows.withColumns({c: F.when(at_project, F.col(c)) for c in ("project_id", "project_name")})
-        counts = rows.groupBy(*keys, "grain_level").agg(F.count_distinct("task_id").alias("task_count"))
-        parts.append(counts.select(*keys, none.alias("task_id"), none.alias("title"), "grain_level", "task_count"))
-    rollup = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return _rollup_labels(rollup)
+    distinct = open_rows.select(*keys, "task_id", "title").distinct()
+    level = F.explode(F.array(*[F.lit(g) for g in grains])).alias("grain_level")
+    rows = distinct.select("*", F.col("task_id").alias("_task"), level)
+    grain = F.col("grain_level")
+    rows = rows.withColumns(
+        {c: F.when(grain != "folder", F.col(c)) for c in ("project_id", "project_name")}
+        | {c: F.when(grain == "task", F.col(c)) for c in ("task_id", "title")})
+    counts = rows.groupBy(*keys, "task_id", "title", "grain_level").agg(F.count_distinct("_task").alias("task_count"))
+    return _rollup_labels(counts)
 
 
 def _rollup_labels(rollup: DataFrame) -> DataFrame:

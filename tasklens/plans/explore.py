@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tasklens.functions.dates import as_date
@@ -168,29 +169,99 @@ def spine_right_join(rows: DataFrame, spine: DataFrame, match: str = "exact") ->
     return matched.unionByName(empty, allowMissingColumns=True)
 
 
+def needed_joins(model: Model, dims: dict[str, Column], metrics: dict[str, Column], where: Column | None = None,
+                 refers: Sequence[str] = (), project_columns: Sequence[str] = PROJECT_COLUMNS) -> list[str]:
+    """The joins that a question's dimensions, metrics and filter need, and the columns it `refers` to besides.
+
+    A join is needed if the question reads a column that only it brings. Spark says which columns those are, once it has
+    resolved the question over an empty table that has all of them. Folders hang on projects.
+    """
+    own = dict(model.tasks.dtypes)
+    brought = {"tags": {"tag": "string", "tag_id": "string"}}
+    if model.projects is not None:
+        brought["projects"] = {n: k for n, k in model.projects.dtypes if n in project_columns}
+    if model.folders is not None:
+        brought["folders"] = {"folder_id": "string", "folder_name": "string"}
+    if model.spine is not None:
+        brought["spine"] = {"date_day": "date"}
+    extra = {name: {n: k for n, k in fields.items() if n not in own} for name, fields in brought.items()}
+    if not hasattr(model.tasks, "_jdf"):  # a remote session shows no plan
+        return list(brought)
+    every = own | {n: k for fields in extra.values() for n, k in fields.items()}
+    empty = model.tasks.sparkSession.createDataFrame([], ", ".join(f"`{n}` {k}" for n, k in every.items()))
+    rows = empty if where is None else empty.filter(where)
+    counts = [m.alias(n) for n, m in metrics.items()] or [F.count("*")]
+    read = _columns_read(rows.groupBy(*[c.alias(n) for n, c in dims.items()], *refers).agg(*counts))
+    needed = [name for name, fields in extra.items() if fields.keys() & read]
+    return ["projects", *needed] if "folders" in needed and "projects" not in needed else needed
+
+
+def _columns_read(df: DataFrame) -> set[str]:
+    """Names of the columns that a resolved question refers to."""
+    nodes, names = [df._jdf.queryExecution().analyzed()], set()
+    while nodes:
+        node = nodes.pop()
+        references, children = node.references().iterator(), node.children().iterator()
+        while references.hasNext():
+            names.add(references.next().name())
+        while children.hasNext():
+            nodes.append(children.next())
+    return names
+
+
+def _on_every_day(matched: DataFrame, spine: DataFrame, dims: dict[str, Column], metrics: dict[str, Column],
+                  where: Column | None) -> DataFrame:
+    """The question's groups over rows on spine days and the days without rows, in one pass over the rows.
+
+    One marker for each spine day goes into the same grouping, apart from the rows, and so do rows that the filter drops,
+    by day alone. A marker then stays where its day has no row at all.
+    """
+    days = spine.select("date_day", F.lit("marker").alias("_kind"))
+    rows = matched.withColumn("_kind", F.lit("row")).unionByName(days, allowMissingColumns=True)
+    if where is not None:
+        rows = rows.withColumn("_kind", F.when(where, F.col("_kind")).otherwise(
+            F.when(F.col("_kind") == "row", F.lit("dropped")).otherwise(F.lit("dropped marker"))))
+    dropped = F.col("_kind") == "dropped"
+    columns = [F.when(~dropped, c).alias(n) for n, c in dims.items()]
+    groups = rows.groupBy(F.col("date_day").alias("_day"), "_kind", *columns)
+    found = groups.agg(*[m.alias(n) for n, m in metrics.items()]) if metrics else groups.agg(F.lit(1).alias("_any")).drop("_any")
+    by_day = W.partitionBy("_day")  # groups, no longer rows
+    has_rows = F.max(F.col("_kind").isin("row", "dropped")).over(by_day)
+    kept = found.withColumn("_has_rows", has_rows).filter(
+        (F.col("_kind") == "row") | ((F.col("_kind") == "marker") & ~F.col("_has_rows")))
+    return kept.select(*dims, *metrics)
+
+
 def explore_query(model: Model, by: dict[str, Column] | Sequence[str] = (), metrics: dict[str, Column] | None = None,
-                  joins: Sequence[str] = (), params: Params = Params(), where: Column | None = None,
+                  joins: Sequence[str] | None = None, params: Params = Params(), where: Column | None = None,
                   calc: dict[str, Column] | None = None, having: Column | None = None,
                   order: Sequence[Column] = (), limit: int | None = None, match: str = "exact",
-                  fact_where: Column | None = None,
+                  fact_where: Column | None = None, refers: Sequence[str] = (),
                   project_columns: Sequence[str] = PROJECT_COLUMNS) -> DataFrame:
-    """One question as one plan: join what is asked for, filter, group, add calculated columns, filter again, sort.
+    """One question as one plan: join what is needed, filter, group, add calculated columns, filter again, sort.
 
-    `where` sees all joined columns. `fact_where` is applied to the tasks before any join; use it for conditions that
+    The joins follow from what the question refers to, unless they are named. Joins are inner: a name in `refers` asks
+    for its table although no dimension, metric or filter reads it. `where` sees all joined columns. `fact_where` is applied to the tasks before any join; use it for conditions that
     drop tasks without dropping empty spine days. Without metrics the distinct dimension rows are returned.
 
     When the only dimension is the spine's day itself, tasks are aggregated per day first and the days are filled in
-    after, which replaces the right join by a join of two calendars.
+    after, which replaces the right join by a join of two calendars. When it is one of several, days without rows come
+    into the same grouping, so the tasks are read once.
     """
     rows = model.tasks if fact_where is None else model.tasks.filter(fact_where)
     dims = by if isinstance(by, dict) else {name: F.col(name) for name in by}
     metrics = metrics or {}
+    if joins is None:
+        joins = needed_joins(model, dims, metrics, where, refers, project_columns)
     by_day = not isinstance(by, dict) and list(by) == ["date_day"]  # the bare column, not an expression of that name
     if "spine" in joins and where is None and by_day and metrics:
         inner = explore_join(model, [j for j in joins if j != "spine"], params, match, rows, project_columns)
         counted = on_spine(inner, model.spine, match).groupBy("date_day").agg(*[m.alias(n) for n, m in metrics.items()])
         out = model.spine.select("date_day").join(F.broadcast(counted), "date_day", "left")
         out = out.na.fill(0, subset=[name for name, kind in counted.dtypes if kind == "bigint"])
+    elif "spine" in joins and any(repr(c) == repr(F.col("date_day")) for c in dims.values()):  # groups lie within days
+        inner = explore_join(model, [j for j in joins if j != "spine"], params, match, rows, project_columns)
+        out = _on_every_day(on_spine(inner, model.spine, match), model.spine, dims, metrics, where)
     else:
         joined = explore_join(model, joins, params, match, rows, project_columns)
         if where is not None:

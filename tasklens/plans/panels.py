@@ -184,6 +184,10 @@ def filter_option_lists(catalog: DataFrame, projects: DataFrame, what: str = "fo
 
 # Charts over the joined model.
 
+# A choice of grain refers to the names of all grains, whichever is chosen.
+GRAIN_NAMES = ("project_name", "folder_name")
+
+
 def not_done() -> Column:
     """Status other than done; tasks without a status are kept."""
     return field_filter("status", "notEquals", [DONE])
@@ -204,7 +208,7 @@ def lookahead_by_spine(model: Model, params: Params = Params(), match: str = "ex
     """Distinct count by grain for every spine day."""
     rows = explore_query(
         model, by=["date_day"], metrics={"count": metric("count", params.grain)},
-        joins=["projects", "folders", "spine"], params=params, match=match, fact_where=fact_where,
+        refers=GRAIN_NAMES, params=params, match=match, fact_where=fact_where,
     )
     return rows.select("date_day", F.date_format("date_day", "EEEE").alias("day_of_week_name"),
                        monday_week(F.col("date_day")).alias("date_week"), "count")
@@ -220,7 +224,7 @@ def spine_distribution(model: Model, params: Params = Params(), match: str = "ex
     """Task rows per spine day and parent."""
     return explore_query(
         model, by={"date_day": F.col("date_day"), "parent": param_grain(params.grain)["parent_dimension_grain"]},
-        metrics={"total_tasks": metric("total_tasks")}, joins=["projects", "folders", "spine"], params=params,
+        metrics={"total_tasks": metric("total_tasks")}, refers=GRAIN_NAMES, params=params,
         match=match, where=where, order=[F.desc("date_day"), F.asc_nulls_first("parent")], limit=limit,
     )
 
@@ -238,7 +242,7 @@ def dynamic_grain_count(model: Model, as_of: dt.date | str, params: Params = Par
         "dimension_grain", "parent_dimension_grain", "dynamic_grain_url", "dynamic_parent_grain_url")}
     parts = due_day_parts()
     rows = explore_query(
-        model, by=by, metrics={"total_tasks": metric("total_tasks")}, joins=["projects", "folders", "spine"],
+        model, by=by, metrics={"total_tasks": metric("total_tasks")}, refers=GRAIN_NAMES,
         params=params, match=match, where=where,
         order=[F.asc("due_date_day"), F.asc("parent_dimension_grain"), F.asc("dimension_grain"),
                F.asc("dynamic_grain_url")],
@@ -267,7 +271,7 @@ def inbox_count(model: Model, kind: str, skip_folders: Sequence[str] = (), skip_
     """Open tasks of one kind in open projects; with a tag, counted for that tag."""
     return explore_query(
         model, by=["tag"] if tag else [], metrics={"total_tasks": metric("total_tasks")},
-        joins=["projects", "folders"] + (["tags"] if tag else []),
+        refers=GRAIN_NAMES,
         where=_inbox_where(kind, skip_folders, skip_projects, tag), order=[F.desc("total_tasks")], limit=limit,
     )
 
@@ -279,7 +283,6 @@ def inbox_distribution(model: Model, kind: str, skip_folders: Sequence[str] = ()
         model, by={"folder_name": F.col("folder_name"), "project_name": F.col("project_name"),
                    "project_id": F.col("project_id"), "project_name_formatted": stable_label("project_name")},
         metrics={"total_tasks": metric("total_tasks")},
-        joins=["projects", "folders"] + (["tags"] if tag else []),
         where=_inbox_where(kind, skip_folders, skip_projects, tag),
         order=[F.asc("folder_name"), F.desc("total_tasks"), F.asc("project_id")], limit=limit,
     )
@@ -315,7 +318,7 @@ def project_pulse(model: Model, as_of: dt.date | str, kind: str, skip_folders: S
         model, by={"folder_name": F.col("folder_name"), "project_name": F.col("project_name"),
                    "last_pulse_day": F.col("last_pulse").cast("date"), "project_id": F.col("project_id")},
         metrics={"total_tasks": metric("total_tasks")},
-        joins=["projects", "folders"] + (["tags"] if tags else []), project_columns=(*PROJECT_COLUMNS, "last_pulse"),
+        project_columns=(*PROJECT_COLUMNS, "last_pulse"),
         where=all_of(*where), calc={"date_human_readable": age}, having=F.col("date_human_readable") > older_than,
         order=[F.desc("date_human_readable"), F.asc("folder_name"), F.asc("total_tasks"), F.asc("project_id")],
         limit=limit,

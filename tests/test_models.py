@@ -117,6 +117,54 @@ def test_explore_spine_match(world, spark):
     assert got[(7, "Focus work")] == 2 and got[(8, "Rest")] == 2 and got[(9, None)] == 0 and len(got) == 32
 
 
+def scans(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString().count("Scan parquet")
+
+
+def test_a_question_picks_its_joins(world, spark):
+    tasks, projects, folders = world
+    model = explore.Model(tasks, projects, folders, spine=series.date_spine(spark, "2024-01-07", 1))
+    needed = lambda by=(), metrics_=None, where=None, refers=(): explore.needed_joins(
+        model, {str(i): c for i, c in enumerate(by)}, metrics_ or {}, where, refers)
+    assert needed([F.col("task_id")], {"n": metrics.metric("total_tasks")}) == []
+    assert needed([F.upper("project_name")]) == ["projects"]
+    assert needed([F.col("folder_name")]) == ["projects", "folders"]
+    assert needed(where=~F.col("closed")) == ["projects"]
+    assert needed(metrics_={"n": F.count_distinct("tag")}) == ["tags"]
+    assert needed([F.trunc("date_day", "month")]) == ["spine"]
+    assert needed(refers=("folder_name",)) == ["projects", "folders"]
+    assert needed(where=F.col("title") == "date_day") == []  # a value, not a column
+
+
+def test_days_without_rows_in_one_pass(world, spark, tmp_path):
+    """Equal to the right join, with a filter that drops rows, one that drops days, and without metrics."""
+    tasks, projects, folders = world
+    tasks.write.parquet(str(tmp_path / "t"))
+    tasks = spark.read.parquet(str(tmp_path / "t"))
+    dims = projects.withColumn("group_id", F.coalesce(F.nullif("group_id", F.lit("")), F.lit("g1")))
+    model = explore.Model(tasks, dims, folders, spine=series.date_spine(spark, "2024-01-05", 1))
+    by = {"date_day": F.col("date_day"), "name": F.col("project_name")}
+    for where in (None, F.col("project_name") == "Rest", F.col("project_name").isNull(), F.col("date_day") < "2024-01-08",
+                  (F.col("project_name") != "Rest") | F.col("title").isNull()):
+        for metrics_ in ({"n": metrics.metric("total_tasks"), "rows": F.count("*")}, None):
+            got = explore.explore_query(model, by=by, metrics=metrics_, where=where, match="day")
+            joined = explore.explore_join(model, ["projects", "spine"], match="day")
+            joined = joined if where is None else joined.filter(where)
+            cols = [c.alias(n) for n, c in by.items()]
+            want = joined.groupBy(*cols).agg(*[m.alias(n) for n, m in metrics_.items()]) if metrics_ else joined.select(*cols).distinct()
+            assert scans(got) == 1
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_rollup_reads_its_tasks_once(world, spark, tmp_path):
+    tasks, projects, folders = world
+    base = marts.semantic_base(tasks, projects, folders, CFG)
+    base.write.parquet(str(tmp_path / "b"))
+    rollup = marts.grain_rollup(spark.read.parquet(str(tmp_path / "b")))
+    assert scans(rollup) == 1
+    assert sorted(map(str, rollup.collect())) == sorted(map(str, marts.grain_rollup(base).collect()))
+
+
 def test_explore_parameters_and_filters(world):
     tasks, projects, folders = world
     tags = marts.dim_tags(tasks)

@@ -122,7 +122,7 @@ def explore_query(t: Tables):
     return explore.explore_query(
         model(t), by=["folder_name", "kind"],
         metrics={"total_tasks": metric("total_tasks"), "completed_tasks": metric("completed_tasks")},
-        joins=["projects", "folders"], where=explore.all_of(F.col("priority") > 1, ~F.col("closed")),
+        where=explore.all_of(F.col("priority") > 1, ~F.col("closed")),
         having=F.col("total_tasks") > 10, order=[F.desc("total_tasks"), F.asc("folder_name"), F.asc("kind")], limit=20)
 
 
@@ -183,7 +183,7 @@ def table_calculation(t: Tables):
     return explore.explore_query(
         model(t), by=["folder_name"],
         metrics={"total_tasks": metric("total_tasks"), "completed_tasks": metric("completed_tasks")},
-        joins=["projects", "folders"], calc={"remaining": F.col("total_tasks") - F.col("completed_tasks")},
+        calc={"remaining": F.col("total_tasks") - F.col("completed_tasks")},
         having=F.col("remaining") > 300)
 
 
@@ -193,7 +193,7 @@ def table_calculation(t: Tables):
 def dashboard_filter(t: Tables):
     return explore.explore_query(
         model(t), by=["date_day", "folder_name"], metrics={"total_tasks": metric("total_tasks")},
-        joins=["projects", "folders", "spine"], where=panels.dashboard_filter(as_of=AS_OF))
+        refers=panels.GRAIN_NAMES, where=panels.dashboard_filter(as_of=AS_OF))
 
 
 # Panels.
@@ -286,13 +286,13 @@ def lookahead_pivot(t: Tables):
 def explore_by_spine_month(t: Tables):
     """The dimension has the name of the spine's day, but is an expression of it."""
     return explore.explore_query(model(t), by={"date_day": F.trunc("date_day", "month")}, metrics={"count": metric("count")},
-                                 joins=["projects", "folders", "spine"])
+                                 refers=panels.GRAIN_NAMES)
 
 
 @query("explore_spine_days", "SELECT DISTINCT date_day FROM explored_spine")
 def explore_spine_days(t: Tables):
     """No metrics: the distinct days."""
-    return explore.explore_query(model(t), by=["date_day"], joins=["projects", "folders", "spine"])
+    return explore.explore_query(model(t), by=["date_day"], refers=panels.GRAIN_NAMES)
 
 
 @query("spine_distribution", """
