@@ -1,7 +1,9 @@
 """From raw documents to packed training batches, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and all that the one before has kept. All but the last return the columns that
-they were given. Rows that share an id and a text stand or fall together; rows with a null id are never near-duplicates.
+they were given, whatever else they are called. Rows that share an id and a text stand or fall together; rows with a null
+id are never near-duplicates. Null and empty texts pass every stage but the quality classifier, which scores them as it
+does others. No documents give none.
 """
 
 from __future__ import annotations
@@ -17,9 +19,6 @@ from tasklens.llm.rules import accepted
 from tasklens.llm.secret_scan import masked, scan_secrets
 from tasklens.llm.staging import materialize, table
 
-_KEY, _FOUND = "__row_key", "__found"
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble, fitted to the labels of these documents, scores at 0.3 or more."""
     labels = table(spark, sf_dir, "labels", "doc_id", "quality").filter(bucket_of("doc_id", 5) != 0)
@@ -33,22 +32,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words that lie in a window of a benchmark item. A text of which no word is left goes."""
+    """Texts without the words that lie in a window of a benchmark item. A text of which no word is left goes; one that
+    was null or empty before stays."""
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
-    keyed = docs.withColumn(_KEY, F.xxhash64("doc_id", "text"))
-    hits = find_contamination(keyed, items, id_col=_KEY).filter(F.size("spans") > 0)
-    cut = _with_found(keyed, hits.select(F.col("doc_id").alias(_KEY), F.col("spans").alias(_FOUND)))
-    text = F.when(F.col(_FOUND).isNull(), F.col("text")).otherwise(cut_words(F.col("text"), F.col(_FOUND)))
-    return _retexted(cut, text, docs.columns).filter(F.col("text").isNull() | (F.col("text") != "") | (F.col("n_chars") > 0))
+    key, found = _fresh(docs, "key"), _fresh(docs, "found")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    hits = find_contamination(keyed, items, id_col=key).filter(F.size("spans") > 0)
+    cut = _with_found(keyed, hits, key, found)
+    return _retexted(cut, docs, found, cut_words).filter(F.col(found).isNull() | (F.col("text") != "")).select(docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with every secret replaced by a mark."""
-    keyed = docs.withColumn(_KEY, F.xxhash64("doc_id", "text"))
-    hits = scan_secrets(keyed, id_col=_KEY).filter(F.size("spans") > 0)
-    found = _with_found(keyed, hits.select(F.col("doc_id").alias(_KEY), F.col("spans").alias(_FOUND)))
-    text = F.when(F.col(_FOUND).isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col(_FOUND)))
-    return _retexted(found, text, docs.columns)
+    """Texts with every secret replaced by a mark. All documents stay."""
+    key, found = _fresh(docs, "key"), _fresh(docs, "found")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    hits = scan_secrets(keyed, id_col=key).filter(F.size("spans") > 0)
+    return _retexted(_with_found(keyed, hits, key, found), docs, found, masked).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,17 +55,29 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
-def _with_found(keyed: DataFrame, found: DataFrame) -> DataFrame:
-    return keyed.join(found.dropDuplicates([_KEY]), _KEY, "left")
+def _fresh(docs: DataFrame, name: str) -> str:
+    """A column name that the documents don't have, in any case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _with_found(keyed: DataFrame, hits: DataFrame, key: str, found: str) -> DataFrame:
+    """Add the spans found in each row, null without any. Rows with one id and one text have one key."""
+    spans = hits.select(F.col("doc_id").alias(key), F.col("spans").alias(found))
+    return keyed.join(spans.dropDuplicates([key]), key, "left")
 
 
-def _retexted(rows: DataFrame, text, columns: list[str]) -> DataFrame:
-    """The given columns, with the new text; n_chars follows where the text changes."""
-    new = rows.withColumn("__text", text)
-    if "n_chars" in columns:
-        same = F.col("__text").eqNullSafe(F.col("text"))
-        new = new.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("__text").cast("long")))
-    return new.withColumn("text", F.col("__text")).select(columns)
+def _retexted(rows: DataFrame, docs: DataFrame, found: str, changed) -> DataFrame:
+    """Rows with spans get the changed text; n_chars, if there is one, follows where the text changes."""
+    hit = F.col(found).isNotNull()
+    new = _fresh(rows, "new")
+    out = rows.withColumn(new, F.when(hit, changed(F.col("text"), F.col(found))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        same = F.col(new).eqNullSafe(F.col("text"))
+        out = out.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length(new).cast("long")))
+    return out.withColumn("text", F.col(new))
 
 
 STAGES = [
