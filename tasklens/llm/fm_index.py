@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasklens.llm.hashing import word_hashes
+from tasklens.llm.staging import received, send
 
 # Lower-case A-Z; keep a-z, 0-9 and every byte above 127; the rest separates words.
 _WORD_BYTES = bytes(
@@ -229,7 +230,7 @@ _COLUMNS = "doc_id long, text string, n_words long, items array<string>, spans a
 
 def _search(windows, shard_words: int, sample: int, keep_text: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = windows.value
+        search = received(windows)
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
         def flush(rows):
@@ -293,8 +294,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, length: int = 10, id_c
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
         F.array().cast("array<string>").alias("items"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
     tests = items.select(F.col(item_id_col).cast("string").alias("name"), F.col(item_text_col).alias("t")).dropna()
-    blocks = [spark.sparkContext.broadcast(Windows(block, length)) for block in _blocks(tests, block_bytes)]
-    blocks = blocks or [spark.sparkContext.broadcast(Windows([], length))]
+    blocks = [send(spark, Windows(block, length)) for block in _blocks(tests, block_bytes)]
+    blocks = blocks or [send(spark, Windows([], length))]
     for block in blocks:
         rows = rows.select("doc_id", "text", "items", "spans").mapInArrow(
             _search(block, shard_words, sample, block is not blocks[-1]), _COLUMNS)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasklens.llm.hashing import MULTIPLIER, mix
-from tasklens.llm.staging import materialize
+from tasklens.llm.staging import materialize, received, send
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -203,14 +203,15 @@ def _sum_known(model):
     """A row for every text, without a word, with the sums over the words in memory, and one for each other word."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = received(model)
         for batch in batches:
             texts = [[w for w in words_of(t) if any(map(str.isalpha, w))] for t in batch.column("text").to_pylist()]
             code, vocabulary = pd.factorize(np.array([w for words in texts for w in words], object))
             owner = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
-            place = model.value.places(list(vocabulary))[code] if len(code) else np.empty(0, np.int64)
+            place = held.places(list(vocabulary))[code] if len(code) else np.empty(0, np.int64)
             known = place >= 0
-            sums = np.stack([np.bincount(owner[known], model.value.word_values[place[known], j], minlength=len(texts))
-                             for j in range(len(model.value.langs))], axis=1)
+            sums = np.stack([np.bincount(owner[known], held.word_values[place[known], j], minlength=len(texts))
+                             for j in range(len(held.langs))], axis=1)
             row = batch.column("row")
             yield pa.RecordBatch.from_arrays(
                 [row, batch.column("doc_id"), pa.nulls(len(texts), pa.string()),
@@ -244,8 +245,8 @@ def identify_languages(docs: DataFrame, training: DataFrame, id_col: str = "doc_
                        F.col(text_col).alias("text"))
     if not langs:
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    model = docs.sparkSession.sparkContext.broadcast(
-        LanguageModel(langs, *counts.frequent("word", max_words), [], np.empty((0, len(langs))), longest))
+    model = send(
+        docs.sparkSession, LanguageModel(langs, *counts.frequent("word", max_words), [], np.empty((0, len(langs))), longest))
     found = materialize(rows.mapInArrow(_sum_known(model), "row long, doc_id long, word string, n long, sums array<double>"))
     other = found.filter("word is not null").select("row", "word", "n")
     needed = other.select("word").distinct()

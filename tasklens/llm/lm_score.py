@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tasklens.llm.hashing import run_hashes, word_hashes
 from tasklens.llm.language import most_frequent
-from tasklens.llm.staging import materialize
+from tasklens.llm.staging import materialize, received, send
 
 
 def _coded(text: bytes | None) -> np.ndarray:
@@ -118,11 +118,12 @@ def _score(model):
     """A row for every text, without a key, and one for each of its pairs that is not in memory."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = received(model)
         for batch in batches:
             rare = batch.column("rare")
             begin, fields = rare.offsets.to_numpy(), [rare.values.field(c).to_numpy() for c in ("key", "n", "n_target")]
             texts, targets = batch.column("text").cast(pa.binary()).to_pylist(), batch.column("target").to_pylist()
-            found = [model.value.losses(text, target, Counts.of(*(f[begin[i]: begin[i + 1]] for f in fields)))
+            found = [pairs.losses(text, target, Counts.of(*(f[begin[i]: begin[i + 1]] for f in fields)))
                      for i, (text, target) in enumerate(zip(texts, targets, strict=True))]
             if not found:
                 continue
@@ -171,15 +172,16 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
     said = words.agg(F.count("*").alias("distinct"), *sums).first()
     inside, everywhere = said["n_target"] or 0, said["n"] or 0
     frequent = Counts.most_frequent(words, max_words)
-    known = spark.sparkContext.broadcast(frequent)
-    model = spark.sparkContext.broadcast(PairModel(
+    known = send(spark, frequent)
+    model = send(spark, PairModel(
         frequent, Counts.most_frequent(pairs, max_pairs), said["distinct"] + 1,
         np.array([[inside], [everywhere - inside]], float), weight))
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = received(known)
         for batch in batches:
             found = [np.unique(_coded(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            found = [f[~known.value.find(f)[1]] for f in found]
+            found = [f[~held.find(f)[1]] for f in found]
             at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
             keys = np.concatenate([np.empty(0, np.int64), *found])
             yield pa.RecordBatch.from_arrays([batch.column("text_id").take(at), pa.array(keys)], ["text_id", "key"])

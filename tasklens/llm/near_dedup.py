@@ -251,11 +251,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, trees: i
     confirmed = _links(rows, materialize(everything.distinct()).hint("merge"), words, percent)
     for more in links:
         confirmed = confirmed.unionByName(more)
-    components = connected_components(confirmed)
-
     set_of = classes.select("low", "high", "n_shingles", "set_id")
-    out = signed.drop("tokens").join(set_of, ["low", "high", "n_shingles"], "left").join(
-        components, F.col("set_id") == F.col("node"), "left")
+    placed = signed.drop("tokens").join(set_of, ["low", "high", "n_shingles"], "left").withColumn(
+        "set_id", F.coalesce("set_id", "doc_id"))
+    # An id with several texts ties the sets of all of them.
+    twice = materialize(signed.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    if not twice.isEmpty():
+        same = placed.join(twice, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("set_id").alias("b"))
+        confirmed = confirmed.unionByName(same.distinct())
+    components = connected_components(confirmed)
+    out = placed.join(components, F.col("set_id") == F.col("node"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "set_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,8 +25,17 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def send(spark: SparkSession, value) -> Broadcast:
+    """Broadcast an object with its class, so that workers need no copy of this package to open it with received()."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast):
+    return pickle.loads(sent.value)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write rows to the shared folder and read them back: the plan so far runs once, and lost executors lose nothing."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

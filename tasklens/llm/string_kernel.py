@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasklens.llm.rules import labelled_sample
+from tasklens.llm.staging import received, send
 
 SYMBOLS = 40  # 0 filling, 1-26 letters, 27 digits, 28 other ASCII, 29-39 the rest, dealt by code point
 _ASCII = np.full(128, 28, np.int64)
@@ -288,12 +289,13 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     """
     spark = docs.sparkSession
     rows = labelled_sample(docs, labels, label_col, max_rows, id_col, text_col)
-    model = spark.sparkContext.broadcast(
-        fit_toxicity(sorted(((r.text, int(r.label > 0)) for r in rows.collect()), key=lambda r: (r[0] or "", r[1])), **fit))
+    model = send(
+        spark, fit_toxicity(sorted(((r.text, int(r.label > 0)) for r in rows.collect()), key=lambda r: (r[0] or "", r[1])), **fit))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = received(model)
         for batch in batches:
-            scores = [model.value.scores(batch.column("text").slice(i, 4000).to_pylist())
+            scores = [held.scores(batch.column("text").slice(i, 4000).to_pylist())
                       for i in range(0, batch.num_rows, 4000)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.concatenate([np.empty(0), *scores]))], ["doc_id", "score"])

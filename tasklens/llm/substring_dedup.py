@@ -32,24 +32,27 @@ def _window_anchors(hashes: np.ndarray, length: int, seed: int) -> tuple[np.ndar
 
 
 def _find_anchors(length: int, seed: int):
+    """Places and hashes of the anchors of every document that has a window."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places, anchors = [], [], []
+            rows, places, anchors, ends = [], [], [], [0]
             for row, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
                 words = text.split() if text else []
                 if len(words) >= length:
                     at, seeds = _window_anchors(word_hashes(words), length, seed)
                     at = at[np.concatenate([[True], at[1:] != at[:-1]])]
-                    rows.append(np.full(len(at), row))
-                    places.append(at)
-                    anchors.append(seeds[at])
+                    rows.append(row)
+                    places.append(at.astype(np.int32))
+                    anchors.append(seeds[at].view(np.int64))
+                    ends.append(ends[-1] + len(at))
             if rows:
-                of = pa.array(np.concatenate(rows))
+                of, stops = pa.array(rows), pa.array(ends, pa.int32())
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").take(of), batch.column("text_hash").take(of),
-                    pa.array(np.concatenate(places).astype(np.int32)),
-                    pa.array(np.concatenate(anchors).view(np.int64)),
-                ], ["doc_id", "text_hash", "place", "anchor"])
+                    *(batch.column(c).take(of) for c in _KEY),
+                    pa.ListArray.from_arrays(stops, pa.array(np.concatenate(places))),
+                    pa.ListArray.from_arrays(stops, pa.array(np.concatenate(anchors))),
+                ], [*_KEY, "places", "anchors"])
 
     return task
 
@@ -70,7 +73,10 @@ def _final(words: list[bytes], digest: bool) -> str:
     return hashlib.sha256(text).hexdigest() if digest else text.decode()
 
 
-_EXTENDED = "doc_id long, text_hash int, n_words long, kept string, text string, windows array<struct<start:int,hash:long>>"
+# What tells rows with one id, or none, apart: 96 bits of hash of the text.
+_KEY = ("doc_id", "text_hash", "text_check")
+_ANCHORS = "doc_id long, text_hash long, text_check int, places array<int>, anchors array<long>"
+_EXTENDED = "doc_id long, n_words long, kept string, text string, windows array<struct<start:int,hash:long>>"
 
 
 def _extend(length: int, seed: int, digest: bool):
@@ -104,10 +110,10 @@ def _extend(length: int, seed: int, digest: bool):
                 pa.array(np.concatenate([np.empty(0, np.int64), *hashes])),
             ], fields=list(window))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("text_hash"), pa.array(n_words, pa.int64()),
+                batch.column("doc_id"), pa.array(n_words, pa.int64()),
                 pa.array(kept, pa.string()), pa.array(texts, pa.binary()).cast(pa.string()),
                 pa.ListArray.from_arrays(pa.array(counts, pa.int32()), values),
-            ], ["doc_id", "text_hash", "n_words", "kept", "text", "windows"])
+            ], ["doc_id", "n_words", "kept", "text", "windows"])
 
     return task
 
@@ -150,29 +156,33 @@ def remove_repeats(docs: DataFrame, length: int = 35, seed: int = 8, id_col: str
 
     A null or empty text has no words and stays as it is; a text shorter than `length` loses nothing. Repeated rows are
     copies of each other, so all their windows go. An id on rows with different texts, and a null id, are kept apart by
-    a hash of the text. Other columns are ignored. A table without rows gives none. Windows are told apart by 64 bits of
+    96 bits of hash of the text. Other columns are ignored. A table without rows gives none. Windows are told apart by 64 bits of
     hash.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       F.hash(text_col).alias("text_hash"))
-    anchors = materialize(rows.mapInArrow(_find_anchors(length, seed),
-                                          "doc_id long, text_hash int, place int, anchor long"))
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
+                       F.xxhash64(text).alias("text_hash"), F.hash(text).alias("text_check"))
+    # Written once, so the numbers of rows stay as they are.
+    found = materialize(rows.mapInArrow(_find_anchors(length, seed), _ANCHORS).select(
+        F.monotonically_increasing_id().alias("row"), "*"))
+    anchors = found.select("row", F.explode(F.arrays_zip("places", "anchors")).alias("a")).select(
+        "row", F.col("a.places").alias("place"), F.col("a.anchors").alias("anchor"))
     # Written first, so both sides of the join come from a shuffle and adaptive execution can split a hot anchor.
     shared = materialize(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
-    places = anchors.join(shared, "anchor", "left_semi").groupBy("doc_id", "text_hash").agg(
-        F.collect_set("place").alias("places"))
+    places = anchors.join(shared, "anchor", "left_semi").groupBy("row").agg(F.collect_set("place").alias("places"))
+    places = places.join(found.select("row", *_KEY), "row").select(*_KEY, "places").dropDuplicates(_KEY)
 
     extended = materialize(
-        _by_document(rows, places).select("doc_id", "text_hash", "text", "places")
-        .mapInArrow(_extend(length, seed, digest), _EXTENDED))
-    windows = extended.filter("text is not null").select("doc_id", "text_hash", F.explode("windows").alias("w")).select(
-        "doc_id", "text_hash", "w.start", "w.hash")
+        _by_document(rows, places).select("doc_id", "text", "places").mapInArrow(_extend(length, seed, digest), _EXTENDED)
+        .select(F.monotonically_increasing_id().alias("row"), "*"))
+    windows = extended.filter("text is not null").select("row", F.explode("windows").alias("w")).select(
+        "row", "w.start", "w.hash")
+    # Of a window that is found once, the exclusive or over its group is its own row and start.
     single = windows.groupBy("hash").agg(
-        F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("doc_id", "text_hash", "start"))).filter("n = 1")
-    alone = single.groupBy("doc_id", "text_hash").agg(F.collect_list("start").alias("alone"))
-    found = extended.filter("text is not null").select("doc_id", "text_hash", "text", "windows.start")
-    finished = _by_document(found, alone).select("doc_id", "text", "start", "alone").mapInArrow(
-        _finish(length, digest), _RESULT)
+        F.count("*").alias("n"), F.bit_xor("row").alias("row"), F.bit_xor("start").alias("start")).filter("n = 1")
+    alone = single.groupBy("row").agg(F.collect_list("start").alias("alone"))
+    again = extended.filter("text is not null").select("row", "doc_id", "text", "windows.start").join(alone, "row", "left")
+    finished = again.select("doc_id", "text", "start", "alone").mapInArrow(_finish(length, digest), _RESULT)
     done = extended.filter("text is null").select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept",
         F.array().cast("array<struct<start:int,end:int>>").alias("repeats"))
@@ -180,6 +190,8 @@ def remove_repeats(docs: DataFrame, length: int = 35, seed: int = 8, id_col: str
 
 
 def _by_document(rows: DataFrame, found: DataFrame) -> DataFrame:
-    found = found.withColumnsRenamed({"doc_id": "found_id", "text_hash": "found_hash"})
-    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash"))
-    return rows.join(found, same, "left").drop("found_id", "found_hash")
+    found = found.withColumnsRenamed({c: f"found_{c}" for c in _KEY})
+    same = F.lit(True)
+    for c in _KEY:
+        same = same & F.col(c).eqNullSafe(F.col(f"found_{c}"))
+    return rows.join(found, same, "left").drop(*(f"found_{c}" for c in _KEY))

@@ -1,11 +1,16 @@
 """The pipeline stage by stage, and what each registered query returns."""
 
+import subprocess
+import sys
+
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tasklens.llm.queries import ORACLES, QUERIES
 from tests.compare import connect, difference
 from tests.llm import brute
+from tests.llm.conftest import LONG
 
 SMALL = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -66,6 +71,44 @@ def test_stages_keep_columns_and_take_effect(spark, documents):
             assert all(r.n_chars == len(r.text) for i, r in after.items() if r.text != before[i].text)
 
 
+def test_stages_of_odd_documents(spark, documents):
+    """Nulls, empty and very long texts, repeated rows, names that clash with those of the stages, missing columns, no rows."""
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").filter("length(text) > 80").first().text
+    clean = [r.text for r in documents.limit(3).collect()]
+    rows = [(1, ""), (2, None), (None, None), (None, "x y"), (3, clean[0]), (3, clean[0]), (4, LONG), (5, item),
+            (6, f"password = {'a1B2' * 6} and more"), (7, clean[1] + " " + item), (8, clean[2])]
+    odd = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("key", "Found", "new", "spans", "score", "kept", "__found", "__text", "__row_key"):
+        odd = odd.withColumn(name, F.lit("mine"))
+    hit = {5, 7}
+    for docs in (odd, odd.withColumn("n_chars", F.length("text").cast("long"))):
+        for name, stage in corpus_pipeline.STAGES[1:4]:
+            out = stage(spark, docs, SMALL)
+            assert out.columns == docs.columns and stage(spark, docs.limit(0), SMALL).count() == 0
+            got = out.collect()
+            assert all(r.key == r.Found == r["__found"] == "mine" for r in got)
+            if name == "decontaminate":
+                assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows if i != 5)
+                assert {r.doc_id for r in got if (r.doc_id, r.text) not in rows} == hit - {5}
+            else:
+                assert len(got) == len(rows)
+            if "n_chars" in docs.columns:
+                assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
+    assert corpus_pipeline.packing(spark, odd, SMALL).count() == len(rows)
+    assert corpus_pipeline.quality(spark, odd, SMALL).columns == odd.columns
+
+
+def test_broadcast_models_carry_their_classes(spark):
+    """Opened where this package can't be imported."""
+    from tasklens.llm.staging import send
+    from tasklens.llm.fm_index import Windows
+
+    sent = send(spark, Windows([], 10)).value
+    code = "import pickle, sys; x = pickle.loads(sys.stdin.buffer.read()); print(type(x).__name__, 'tasklens' in sys.modules)"
+    done = subprocess.run([sys.executable, "-I", "-c", code], input=sent, capture_output=True, cwd="/", check=False)
+    assert done.stdout.split() == [b"Windows", b"False"], done.stderr
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, name):
     assert difference(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) is None

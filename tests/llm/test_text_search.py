@@ -87,6 +87,25 @@ def test_repeated_windows_equal_brute_force(frame):
     assert digests == {r.doc_id: brute.sha(r.kept) for r in got}
 
 
+def test_an_id_with_several_texts_is_one_node(frame):
+    x, y, z = ("one two three four five six", "tell me more of all that", "nothing like the other ones")
+    rows = [(1, x), (2, x), (2, y), (3, y), (4, z), (4, None), (5, z), (5, y + " x"), (6, None), (6, ""), (7, z)]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(frame(rows)).collect())
+    want = {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6, 7: 4}
+    assert got == sorted((i, want[i], want[i] == i) for i, _ in rows)
+
+
+def test_rows_without_ids_are_told_apart(frame):
+    """Texts without an id whose 32-bit hashes clash."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    df = frame([]).sparkSession.range(400_000).selectExpr("id", "hash(concat('start ', id, ' %s')) as h" % passage)
+    twice = df.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n")).filter("n > 1")
+    clash = twice.first()
+    rows = [(None, f"start {clash.a} {passage}"), (None, f"start {clash.b} {passage}"), (None, f"start {clash.a} {passage} {passage}")]
+    got = sorted((r.n_words, r.n_removed, r.kept) for r in remove_repeats(frame(rows)).collect())
+    assert got == sorted((n, gone, kept) for _, n, gone, kept in brute.substring_dedup(rows))
+
+
 def test_repeated_windows_of_odd_rows(frame):
     text = " ".join(map(str, range(40)))
     rows = [(1, text), (1, text), (2, " ".join(map(str, range(100, 150)))), (None, "a " * 40), (2, "other words")]
