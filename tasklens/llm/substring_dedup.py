@@ -76,16 +76,23 @@ def _final(words: list[bytes], digest: bool) -> str:
 # What tells rows with one id, or none, apart: 96 bits of hash of the text.
 _KEY = ("doc_id", "text_hash", "text_check")
 _ANCHORS = "doc_id long, text_hash long, text_check int, places array<int>, anchors array<long>"
-_EXTENDED = "doc_id long, n_words long, kept string, text string, windows array<struct<start:int,hash:long>>"
+_EXTENDED = "doc_id long, n_words long, kept string, text string, runs array<struct<first:int,last:int>>"
+_RUNS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+
+
+def _starts(runs: pa.Scalar) -> np.ndarray:
+    """Word numbers at which windows start, out of runs of them, last one included."""
+    firsts, lasts = (runs.values.field(c).to_numpy() for c in ("first", "last"))
+    sizes = lasts - firsts + 1
+    return np.repeat(firsts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
 def _extend(length: int, seed: int, digest: bool):
-    """Documents without a shared anchor are done. The others give all windows around their shared anchors."""
+    """Documents without a shared anchor are done. The others give the runs of windows around their shared anchors."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window = pa.struct([("start", pa.int32()), ("hash", pa.int64())])
         for batch in batches:
-            n_words, kept, texts, counts, starts, hashes = [], [], [], [0], [], []
+            n_words, kept, texts, runs = [], [], [], []
             columns = zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("places"), strict=True)
             for text, places in columns:
                 words = text.split() if text else []
@@ -93,27 +100,39 @@ def _extend(length: int, seed: int, digest: bool):
                 if not places.is_valid:
                     kept.append(_final(words, digest))
                     texts.append(None)
-                    counts.append(counts[-1])
+                    runs.append([])
                     continue
-                coded = word_hashes(words)
-                at, _ = _window_anchors(coded, length, seed)
+                at, _ = _window_anchors(word_hashes(words), length, seed)
                 shared = np.zeros(len(words), bool)
                 shared[places.values.to_numpy()] = True
-                start = np.flatnonzero(shared[at])
+                turns = np.flatnonzero(np.diff(np.concatenate([[0], shared[at].view(np.int8), [0]])))
                 kept.append(None)
                 texts.append(text)
-                starts.append(start.astype(np.int32))
-                hashes.append(run_hashes(coded, length)[start].view(np.int64))
-                counts.append(counts[-1] + len(start))
-            values = pa.StructArray.from_arrays([
-                pa.array(np.concatenate([np.empty(0, np.int32), *starts])),
-                pa.array(np.concatenate([np.empty(0, np.int64), *hashes])),
-            ], fields=list(window))
+                runs.append([{"first": int(a), "last": int(b) - 1} for a, b in zip(turns[::2], turns[1::2], strict=True)])
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(n_words, pa.int64()),
-                pa.array(kept, pa.string()), pa.array(texts, pa.binary()).cast(pa.string()),
-                pa.ListArray.from_arrays(pa.array(counts, pa.int32()), values),
-            ], ["doc_id", "n_words", "kept", "text", "windows"])
+                batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(kept, pa.string()),
+                pa.array(texts, pa.binary()).cast(pa.string()), pa.array(runs, _RUNS),
+            ], ["doc_id", "n_words", "kept", "text", "runs"])
+
+    return task
+
+
+def _windows(length: int):
+    """Hash and place of every window in the runs."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, starts, hashes = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            columns = zip(batch.column("row").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(),
+                          batch.column("runs"), strict=True)
+            for row, text, runs in columns:
+                at = _starts(runs)
+                rows.append(np.full(len(at), row))
+                starts.append(at)
+                hashes.append(run_hashes(word_hashes(text.split()), length)[at].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(rows)), pa.array(np.concatenate(starts).astype(np.int32)), pa.array(np.concatenate(hashes))],
+                ["row", "start", "hash"])
 
     return task
 
@@ -126,11 +145,11 @@ def _finish(length: int, digest: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, removed, kept, repeats = [], [], [], []
-            columns = zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("start"),
+            columns = zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("runs"),
                           batch.column("alone"), strict=True)
-            for text, starts, alone in columns:
+            for text, runs, alone in columns:
                 words = text.split()
-                at = starts.values.to_numpy()
+                at = _starts(runs)
                 if alone.is_valid:
                     at = at[~np.isin(at, alone.values.to_numpy())]
                 rest, spans = _remove(words, at, length)
@@ -175,14 +194,14 @@ def remove_repeats(docs: DataFrame, length: int = 35, seed: int = 8, id_col: str
     extended = materialize(
         _by_document(rows, places).select("doc_id", "text", "places").mapInArrow(_extend(length, seed, digest), _EXTENDED)
         .select(F.monotonically_increasing_id().alias("row"), "*"))
-    windows = extended.filter("text is not null").select("row", F.explode("windows").alias("w")).select(
-        "row", "w.start", "w.hash")
+    affected = extended.filter("text is not null").select("row", "doc_id", "text", "runs")
+    # Hashed where they are shuffled: written, they would take more room than the texts.
+    windows = affected.select("row", "text", "runs").mapInArrow(_windows(length), "row long, start int, hash long")
     # Of a window that is found once, the exclusive or over its group is its own row and start.
     single = windows.groupBy("hash").agg(
         F.count("*").alias("n"), F.bit_xor("row").alias("row"), F.bit_xor("start").alias("start")).filter("n = 1")
     alone = single.groupBy("row").agg(F.collect_list("start").alias("alone"))
-    again = extended.filter("text is not null").select("row", "doc_id", "text", "windows.start").join(alone, "row", "left")
-    finished = again.select("doc_id", "text", "start", "alone").mapInArrow(_finish(length, digest), _RESULT)
+    finished = affected.join(alone, "row", "left").select("doc_id", "text", "runs", "alone").mapInArrow(_finish(length, digest), _RESULT)
     done = extended.filter("text is null").select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept",
         F.array().cast("array<struct<start:int,end:int>>").alias("repeats"))
