@@ -2,12 +2,14 @@
 
 Patterns find the base spans. Two models of character pairs, of random strings and of ordinary identifiers, then judge
 long tokens outside them by the mean log-likelihood ratio of their pairs. The pattern matches of all documents are the
-labelled random strings; words of all documents are the identifiers.
+labelled random strings. The labelled identifiers are the tokens of all documents outside those matches that are not of
+the shape that is judged, and samples of that shape: dated paths, versioned names and the like.
 """
 
 from __future__ import annotations
 
 import math
+import random as chance
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,21 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 TOKEN = r"[A-Za-z0-9+/_=-]{%d,}"
 _BASE = len(ALPHABET) + 1
+# A token whose rest without such ids is short is an ordinary name, however random the ids are.
+UUID = r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}"
+# Words that identifiers are often made of.
+NAMES = """access account action address admin agent alert archive article asset audit backup balance batch blog book branch
+    build cache calendar campaign catalog chapter client cloud code column comment company config content contract control
+    country customer data date default delivery design detail device document domain download draft email error event export
+    feature field file filter final finance folder form gallery group guide header history holiday home image import index
+    input invoice item job journal key label language layout legal letter level library license list local log login main
+    manager map market media member menu message meta method mobile model module month name network news note number object
+    office order output owner package page panel part payment person photo plan policy post price print private process
+    product profile project public query quote record region release remote report request result return review role route
+    sale sample scan schema script search section server service session setting share sheet shop site size snapshot source
+    state status stock storage store stream student style summary support survey system table tag task team template term
+    test text theme thread ticket time title topic track trade train transfer travel type update upload user value vendor
+    version video view volume web week widget window work year zone""".split()
 
 
 def _spans(kind: int, matches: Column, gaps: Column, good) -> Column:
@@ -53,6 +70,43 @@ def _pairs(token: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(token) - 1), lambda i: code(i) * _BASE + code(i + 1))
 
 
+def ordinary_names(n: int = 4000, seed: int = 1) -> list[str]:
+    """Labelled identifiers of the judged shape: words put together with dates, versions and numbers."""
+    r = chance.Random(seed)
+
+    def one() -> str:
+        words = [r.choice(NAMES) for _ in range(r.randrange(3, 6))]
+        sep, y, m, d = r.choice("_-/"), r.randrange(1990, 2040), r.randrange(1, 13), r.randrange(1, 29)
+        date = r.choice([f"{y}{sep}{m:02d}{sep}{d:02d}", f"{y}{m:02d}{d:02d}", f"{y}"])
+        clock = f"{r.randrange(24):02d}{r.choice('-_')}{r.randrange(60):02d}{r.choice('-_')}{r.randrange(60):02d}"
+        style = r.choice([str.lower, str.lower, str.lower, str.capitalize, str.upper])
+        styled = [style(w) for w in words]
+        return r.choice([
+            f"/{styled[0]}/{y}/{m:02d}/{d:02d}/" + "-".join(styled[1:]), sep.join([styled[0], date, *styled[1:]]),
+            sep.join([*styled, date]), sep.join([date, *styled]), sep.join(styled) + f"{sep}v{r.randrange(1, 30)}",
+            f"{y}-{m:02d}-{d:02d}T{clock}" + sep + sep.join(styled[:2]), f"{styled[0]}{sep}{y}{m:02d}{d:02d}{sep}{r.randrange(10**6):06d}",
+            words[0] + "".join(map(str.capitalize, words[1:])) + str(r.randrange(100)),
+            "/".join(words) + f"/{r.randrange(100_000)}", f"{words[0]}={styled[1]}-{r.randrange(1000)}-{styled[2]}"])
+
+    return [one() for _ in range(n)]
+
+
+def pair_counts_of(tokens: list[str]) -> list[int]:
+    """pair_counts of a few tokens."""
+    counts = [0] * _BASE**2
+    for token in tokens:
+        codes = [ALPHABET.find(c) + 1 for c in token]
+        for a, b in zip(codes, codes[1:], strict=False):
+            counts[a * _BASE + b] += 1
+    return counts
+
+
+def mixed_counts(found: list[int], sampled: list[int], share: float = 0.5) -> list[float]:
+    """Counts of both, those of the sample enlarged (never made less) to `share` of all."""
+    scale = max(1.0, share / (1 - share) * sum(found) / max(1, sum(sampled)))
+    return [f + scale * s for f, s in zip(found, sampled, strict=True)]
+
+
 def pair_counts(tokens: DataFrame) -> list[int]:
     """How often each character pair stands in the tokens, in column `token`. The table has a fixed size."""
     rows = tokens.select(F.explode(_pairs(F.col("token"))).alias("pair")).groupBy("pair").count().collect()
@@ -62,7 +116,7 @@ def pair_counts(tokens: DataFrame) -> list[int]:
     return counts
 
 
-def _chances(counts: list[int], prior: float = 5.0) -> list[list[float]]:
+def _chances(counts: list[float], prior: float = 5.0) -> list[list[float]]:
     """P(next | character), drawn to P(next) where a character was seen rarely."""
     rows = [counts[i * _BASE: (i + 1) * _BASE] for i in range(_BASE)]
     total = sum(counts) + 0.5 * _BASE
@@ -70,7 +124,7 @@ def _chances(counts: list[int], prior: float = 5.0) -> list[list[float]]:
     return [[(n + prior * p) / (sum(row) + prior) for n, p in zip(row, single, strict=True)] for row in rows]
 
 
-def log_ratios(random: list[int], ordinary: list[int], even: float = 0.5) -> list[float]:
+def log_ratios(random: list[int], ordinary: list[float], even: float = 0.5) -> list[float]:
     """log P(next | character) under random strings over that under identifiers. Random strings are mixed with evenly
     distributed ones by the share `even`, as the samples need not use the whole alphabet."""
     return [math.log(even / _BASE + (1 - even) * p) - math.log(q)
@@ -78,7 +132,7 @@ def log_ratios(random: list[int], ordinary: list[int], even: float = 0.5) -> lis
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_token: int = 20,
-                 min_ratio: float = 0.8) -> DataFrame:
+                 min_ratio: float = 1.5) -> DataFrame:
     """Spans that look like secrets, in code points with the end exclusive.
 
     Returns one row per input row: doc_id, base (spans of the patterns) and spans (those and the ones the models add),
@@ -92,7 +146,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(F.col("_text"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     long_enough = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 12
-    mixed = lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")
+    mixed = lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]") & (
+        F.length(F.regexp_replace(m, UUID, "")) >= min_token)
     base = F.concat(_found(0, text, ASSIGN, long_enough), _found(1, text, ACCESS), _found(2, text, HEX))
     found = materialize(rows.select(
         "doc_id", F.array_sort(base).alias("base"), _found(3, text, TOKEN % min_token, mixed).alias("tokens")))
@@ -102,8 +157,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     plain = text
     for pattern in (ASSIGN, ACCESS, HEX):
         plain = F.regexp_replace(plain, pattern, " ")
-    ordinary = pair_counts(rows.select(
-        F.explode(F.regexp_extract_all(plain, F.lit("[A-Za-z_]{4,}"), F.lit(0))).alias("token")))
+    # Tokens that are judged don't teach what is ordinary: there the samples stand in.
+    words = F.filter(F.regexp_extract_all(plain, F.lit(TOKEN % 4), F.lit(0)),
+                     lambda m: (F.length(m) < min_token) | ~(m.rlike("[0-9]") & m.rlike("[A-Za-z]")))
+    words = pair_counts(rows.select(F.explode(words).alias("token")))
+    ordinary = mixed_counts(words, pair_counts_of(ordinary_names()))
 
     table = F.split(F.lit(",".join(f"{r:.6f}" for r in log_ratios(random, ordinary))), ",").cast("array<double>")
     tokens = found.withColumn("_table", table)

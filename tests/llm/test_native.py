@@ -1,6 +1,7 @@
 """Merkle fingerprints, secret scans and packing."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +152,59 @@ def test_leaves_alike_in_eight_digits_have_different_roots(spark):
     a, b = merkle.tree(F.col("a")), merkle.tree(F.col("b"))
     row = df.select(merkle.written(a), merkle.written(b), merkle.likeness(a, b)).first()
     assert row[0] != row[1] and row[0].split(":")[1] == row[1].split(":")[1] == head and row[2] == 0.0
+
+
+CLEAN = ["/blog/2024/01/15/weekly-release-notes", "invoice_2024_01_15_customer_summary", "customer_account_balance_v2",
+         "release-notes-2024-final-version", "123e4567-e89b-12d3-a456-426614174000", "id=123E4567-E89B-12D3-A456-426614174000",
+         "2024-01-15T10-30-00-backup-file", "node_modules/react-dom-18/index", "Chapter-12-The-Return-of-the-King"]
+
+
+def random_strings(n: int) -> list:
+    r, letters, digits = random.Random(12), "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = (letters + letters.upper() + digits + "+/", letters + letters.upper() + digits, letters.upper() + digits)
+    made = ["".join(r.choice(a) for _ in range(r.randrange(24, 41))) for a in alphabets for _ in range(n)]
+    return [t for t in made if any(c.isdigit() for c in t) and not t.startswith("AKIA")]
+
+
+def test_random_strings_are_secrets_and_names_are_not(frame):
+    """Ordinary prose has hardly a digit; names of the judged shape stay, random strings of three alphabets go."""
+    r = random.Random(3)
+    prose = " ".join(r.choice(["the", "quick", "brown", "fox", "jumped", "over", "mail7", "555-7713"]) for _ in range(3000))
+    odd = random_strings(60)
+    rows = [(0, prose), *((100 + i, f"see {t} there") for i, t in enumerate(CLEAN)), *((1000 + i, f"x {t} y") for i, t in enumerate(odd))]
+    got = {r.doc_id: r.spans for r in scan_secrets(frame(rows)).collect()}
+    assert not any(got[100 + i] for i in range(len(CLEAN))) and not got[0]
+    found = [odd[i] for i in range(len(odd)) if got[1000 + i]]
+    assert len(found) >= 0.98 * len(odd)
+    assert all([s.text for s in got[1000 + i]] == [t] for i, t in enumerate(odd) if t in found and KINDS[got[1000 + i][0].kind] == "markov")
+    unseen = [t for t in secret_scan.ordinary_names(600, seed=7) if len(t) >= 20]
+    held = scan_secrets(frame([(i, f"a {t} b") for i, t in enumerate(unseen)] + [(9999, prose)])).filter(F.size("spans") > 0)
+    assert held.count() <= 0.002 * len(unseen)
+
+
+def test_added_spans_equal_plain_models(frame):
+    """The whole scan against models counted in plain Python."""
+    names = secret_scan.ordinary_names(30, seed=4)
+    rows = [(i, f"{a} said {b} token = {c}") for i, (a, b, c) in enumerate(zip(CLEAN + names, random_strings(20), random_strings(30)[5:], strict=False))]
+    texts = [t for _, t in rows]
+    base = [brute.base_secrets(t) for t in texts]
+    random_tokens, words = [], []
+    for text, spans in zip(texts, base, strict=True):
+        random_tokens += [re.fullmatch(secret_scan.ASSIGN, text[a:b], re.A)[2] if kind == 0 else text[a:b] for a, kind, b in spans]
+        plain = text
+        for pattern in (secret_scan.ASSIGN, secret_scan.ACCESS, secret_scan.HEX):
+            plain = re.sub(pattern, " ", plain, flags=re.A)
+        words += [t for t in re.findall(secret_scan.TOKEN % 4, plain) if len(t) < 20 or not re.search("[0-9]", t) or not re.search("[A-Za-z]", t)]
+    count = secret_scan.pair_counts_of
+    ratios = secret_scan.log_ratios(count(random_tokens), secret_scan.mixed_counts(count(words), count(secret_scan.ordinary_names())))
+    want = {}
+    for (i, text), spans in zip(rows, base, strict=True):
+        want[i] = [("assign access hex".split()[k], a, b) for a, k, b in spans]
+        for m in re.finditer(secret_scan.TOKEN % 20, text):
+            t, free = m[0], not any(a < m.end() and m.start() < b for a, _, b in spans)
+            if free and re.search("[0-9]", t) and re.search("[A-Za-z]", t) and len(re.sub(secret_scan.UUID, "", t)) >= 20:
+                mean = sum(n * ratios[p] for p, n in enumerate(count([t])) if n) / (len(t) - 1)
+                want[i] += [("markov", *m.span())] if mean >= 1.5 else []
+    got = {r.doc_id: sorted((KINDS[s.kind], s.start, s.end) for s in r.spans) for r in scan_secrets(frame(rows)).collect()}
+    assert got == {i: sorted(spans) for i, spans in want.items()}
+    assert sum(s[0] == "markov" for spans in want.values() for s in spans) >= 15
