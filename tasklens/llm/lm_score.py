@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tasklens.llm.hashing import run_hashes, word_hashes
 from tasklens.llm.language import most_frequent
+from tasklens.llm.phrase_trie import slot_filter
 from tasklens.llm.staging import materialize, received, send
 
 
@@ -84,6 +85,14 @@ class PairModel:
     distinct: int  # words, one more for those never seen
     total: np.ndarray  # of the words of each model
     weight: float
+    repeated: np.ndarray | None = None
+
+    def _repeated(self, keys: np.ndarray) -> np.ndarray:
+        """Whether a pair may have been seen twice; false hits are found out when the pairs are looked up."""
+        if self.repeated is None:
+            return np.ones(len(keys), bool)
+        slot = keys.view(np.uint64) & np.uint64(8 * len(self.repeated) - 1)
+        return (self.repeated[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
     def losses(self, text: bytes | None, target: bool, rare: Counts) -> tuple[int, np.ndarray, tuple]:
         """Number of words, the sum of their losses under each model, in nats, and the pairs that are not in memory: their
@@ -106,7 +115,7 @@ class PairModel:
         keys, at, code, times = np.unique(_pairs(words), return_index=True, return_inverse=True, return_counts=True)
         pairs, here = self.pairs.find(keys)
         gain = np.log1p(factor * np.where(here, pairs - own * times, 0)[:, code])
-        far = ~here & (factor[:, at] > 0).any(axis=0)
+        far = ~here & (factor[:, at] > 0).any(axis=0) & self._repeated(keys)
         return len(words), loss - gain.sum(axis=1), (keys[far], times[far], factor[:, at[far]])
 
 
@@ -147,7 +156,8 @@ _NAMES = [c.split()[0] for c in _SCORED.split(", ")]
 
 
 def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "doc_id", text_col: str = "text",
-                             max_words: int = 65_535, max_pairs: int = 2_000_000, weight: float = 0.7) -> DataFrame:
+                             max_words: int = 65_535, max_pairs: int = 2_000_000, weight: float = 0.7,
+                             filter_bits: int = 1 << 26) -> DataFrame:
     """Loss of every text under the target and the background model, and their difference.
 
     Returns one row per input row: doc_id, n_tokens, target_loss, background_loss (nats a word) and score, the second
@@ -157,7 +167,8 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
     Repeated rows count each time; null ids are scored like others; other columns are ignored; no rows give no rows.
 
     All words and pairs are counted and used. At most `max_words` words and `max_pairs` pairs, the most frequent of each,
-    are held in memory; they decide where a count is looked up, not what it is. Words and pairs are told apart by 64-bit
+    are held in memory; they decide where a count is looked up, not what it is. Of the other pairs those are looked up
+    that pass a filter of `filter_bits` (a power of 2) with all pairs seen twice; the others add nothing. Words and pairs are told apart by 64-bit
     hashes. `weight`, of the pairs, is below 1.
     """
     spark = docs.sparkSession
@@ -175,7 +186,8 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
     known = send(spark, frequent)
     model = send(spark, PairModel(
         frequent, Counts.most_frequent(pairs, max_pairs), said["distinct"] + 1,
-        np.array([[inside], [everywhere - inside]], float), weight))
+        np.array([[inside], [everywhere - inside]], float), weight,
+        slot_filter(pairs.select(F.col("key").bitwiseAND(filter_bits - 1).alias("slot")), filter_bits)))
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = received(known)

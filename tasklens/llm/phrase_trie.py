@@ -325,8 +325,8 @@ def count_phrases(docs: DataFrame, dictionary, hashed: bool, shortest: int, long
     return found.groupBy("ids", "slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("ids", "n", "slot")
 
 
-def pair_filter(pairs: DataFrame, bits: int) -> np.ndarray:
-    """The slots of all pairs as one bit each. Its size is fixed by `bits`."""
+def slot_filter(pairs: DataFrame, bits: int) -> np.ndarray:
+    """All numbers in column `slot`, from 0, as one bit each. Its size is fixed by `bits`."""
     slot = F.col("slot") + 1  # Spark's first bucket starts at 1
     found = pairs.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("body")).collect()
@@ -418,7 +418,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, text_col: s
     hot = pairs.filter(F.col("n") > max(part_rows, often // 20_000)).select("ids").collect()
     hot = np.array([r["ids"] for r in hot], np.int64).reshape(-1, 2).view(np.uint64)
     longer = materialize(count_phrases(texts, dictionary, hashed, 3, LONGEST, least, parts(often), budget,
-                                       pair_filter(pairs, filter_bits), _hash(list(hot.T))))
+                                       slot_filter(pairs, filter_bits), _hash(list(hot.T))))
     found = pairs.unionByName(longer).select("ids", "n")
     return best_phrases(_scored(found, known, totals), known, top, salts)
 

@@ -183,8 +183,8 @@ def test_losses_do_not_depend_on_what_is_in_memory(frame):
     docs = frame([*rows, rows[0], (None, rows[1][1]), (70, None), (71, "once only")]).withColumn("target", F.col("doc_id") % 3 == 0)
     want = sorted(map(tuple, cross_entropy_difference(docs, "target").collect()), key=str)
     assert len(want) == 64
-    for words, pairs in ((0, 0), (5, 20), (1000, 0), (0, 1000)):
-        found = cross_entropy_difference(docs, "target", max_words=words, max_pairs=pairs).collect()
+    for words, pairs, bits in ((0, 0, 1 << 26), (5, 20, 1 << 15), (0, 1000, 1 << 15)):
+        found = cross_entropy_difference(docs, "target", max_words=words, max_pairs=pairs, filter_bits=bits).collect()
         for a, b in zip(sorted(map(tuple, found), key=str), want, strict=True):
             assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:])
 
