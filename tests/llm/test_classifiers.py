@@ -196,8 +196,9 @@ def test_languages_do_not_depend_on_what_is_in_memory(spark, frame):
     training = spark.createDataFrame([(t, "x" if i % 9 else "y") for i, t in rows[:45]], "text string, lang string")
     model = fit_languages(training)
     totals = {t: model.likelihoods(t.split()).sum(axis=0) for _, t in rows[:90]}
-    for most in (0, 20, 200_000):
-        found = {x.doc_id: x for x in identify_languages(frame(rows), training, max_words=most).collect()}
+    for most, grams, bits in ((0, 1000, 1 << 26), (20, 1000, 1 << 15), (20, 0, 1 << 15), (200_000, 30, 1 << 15)):
+        found = {x.doc_id: x for x in identify_languages(frame(rows), training, max_words=most, max_grams=grams,
+                                                         filter_bits=bits).collect()}
         assert len(found) == 91
         for i, t in rows[:90]:
             best = totals[t].argmax()
