@@ -16,6 +16,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -305,13 +306,21 @@ def _spell(model):
     return task
 
 
+def _slices(batch: pa.RecordBatch, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about `most` bytes of text, or one longer text, so that a task holds the words of few texts."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    edges = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // most, prepend=-1))
+    for begin, end in zip(edges, [*edges, len(sizes)][1:], strict=True):
+        yield batch.slice(begin, end - begin)
+
+
 def _sum_known(model):
     """A row for every text, without a word, with the sums over its words, and one for each word whose value isn't known
     here, which counts with the base in the sums."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = received(model)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             texts = [[w for w in words_of(t) if any(map(str.isalpha, w))] for t in batch.column("text").to_pylist()]
             code, vocabulary = pd.factorize(np.array([w for words in texts for w in words], object))
             owner = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
