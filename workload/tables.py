@@ -221,6 +221,12 @@ class Tables:
             F.when(prio == "1-URGENT", F.struct(F.lit(1).alias("nested"))).alias("reminder"),
             F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss'.000+0000'").alias("dueDate"),
             F.transform("flags", lambda t: F.when(t == "N", F.lit(" ")).otherwise(t)).alias("tags"),
+            (F.col("o_custkey") % 100).alias("progress"),
+            F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'06:00:00'Z'").alias("startDate"),
+            F.when(status == "P", F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'12:00:00'.000+0000'")).alias("repeatFirstDate"),
+            F.when(status == "P", F.lit("RRULE:FREQ=DAILY")).otherwise(F.lit("")).alias("repeatFlag"),
+            F.col("o_custkey").cast("string").alias("parentId"),
+            F.array(F.col("o_orderkey").cast("string"), F.lit(" "), F.lit("c")).alias("childIds"),
         ))
         none = F.lit(None)
         ship = utc("ship")
@@ -237,16 +243,16 @@ class Tables:
             F.when(prio != "5-LOW", F.lit(9).cast("bigint")).alias("priority"),
             F.when(status == "F", F.lit(2)).otherwise(F.lit(0)).cast("bigint").alias("status"),
             F.when(prio == "4-NOT SPECIFIED", F.lit(1)).when(prio != "5-LOW", F.lit(0)).cast("bigint").alias("deleted"),
-            none.cast("bigint").alias("progress"),
-            none.cast("timestamp").alias("start_date"),
+            F.when(status == "F", F.lit(100)).cast("bigint").alias("progress"),
+            F.when(status == "O", utc("o_orderdate")).alias("start_date"),
             F.when(status != "P", utc("o_orderdate")).alias("due_date"),
             F.lit("").alias("repeat_flag"), none.cast("timestamp").alias("repeat_first_date"),
-            ship.alias("completed_time"), none.cast("string").alias("completed_user_id"),
-            F.col("o_custkey").alias("creator"), F.lit("").alias("parent_id"),
+            ship.alias("completed_time"), F.when(status == "F", F.lit("u1")).alias("completed_user_id"),
+            F.col("o_custkey").alias("creator"), F.when(status == "F", F.lit("p")).otherwise(F.lit("")).alias("parent_id"),
             utc("o_orderdate").alias("created_time"),
             (ship + F.expr("interval 1 hour")).alias("modified_time"),
             F.lit("TEXT").alias("kind"), F.lit("").alias("column_id"), F.lit("e").alias("etag"),
-            payload.alias("raw_json"), none.cast("timestamp").alias("updated_at"),
+            payload.alias("raw_json"), utc("o_orderdate").alias("updated_at"),
         )
 
     @cached_property

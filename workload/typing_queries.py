@@ -46,13 +46,24 @@ def base_tasks_snapshot(t: Tables):
     return _flat(base.base_tasks_snapshot(t.raw_history, TZ))
 
 
-@query("base_v3_tasks", "SELECT * EXCLUDE (tags), array_to_string(tags, ',') AS tags FROM v3_base")
+@query("base_v3_tasks", """
+    SELECT b.* EXCLUDE (tags), array_to_string(tags, ',') AS tags,
+        CAST(CASE WHEN o_orderstatus = 'F' THEN 100 ELSE o_custkey % 100 END AS BIGINT) AS progress,
+        CAST(NULL AS VARCHAR) AS column_id, 'e' AS etag,
+        CASE WHEN o_orderstatus = 'P' THEN 'RRULE:FREQ=DAILY' END AS repeat_flag,
+        CASE WHEN o_orderstatus = 'F' THEN 'u1' END AS completed_user_id,
+        CASE WHEN o_orderstatus = 'F' THEN 'p' ELSE CAST(o_custkey AS VARCHAR) END AS parent_id,
+        CAST(o_orderkey AS VARCHAR) || ',c' AS childids,
+        '' AS reminders,
+        o_orderdate + CASE WHEN o_orderstatus = 'O' THEN INTERVAL 7 HOUR ELSE INTERVAL 13 HOUR END AS start_date,
+        CASE WHEN o_orderstatus = 'P' THEN o_orderdate + INTERVAL 19 HOUR END AS repeat_first_date,
+        o_orderdate + INTERVAL 7 HOUR AS updated_at,
+        TRUE AS payload_kept
+    FROM v3_base b JOIN orders ON b.task_id = CAST(o_orderkey AS VARCHAR)""")
 def base_v3_tasks(t: Tables):
-    rows = base.base_v3_tasks(t.raw_tasks_v3, TZ)
-    names = ["task_id", "account_id", "project_id", "sort_order", "title", "content", "timezone", "is_allday",
-             "is_floating", "reminder", "priority", "status", "deleted", "creator", "due_date", "_completed_time",
-             "created_time", "modified_time", "kind"]
-    return rows.select(*names, F.concat_ws(",", "tags").alias("tags"))
+    rows = _flat(base.base_v3_tasks(t.raw_tasks_v3, TZ))
+    kept = F.get_json_object("raw_json", "$.sortOrder") == F.col("task_id")
+    return rows.withColumn("payload_kept", kept).drop("raw_json")
 
 
 @query("base_v3_projects", "SELECT * FROM v3_base_projects")
@@ -66,24 +77,38 @@ def base_v3_groups(t: Tables):
 
 
 @query("base_habit_active", """
-    SELECT id, project_id, content, description, priority, 'every day' AS due_string, TRUE AS due_is_recurring,
-        due_date + INTERVAL 7 HOUR AS due_date, TIMESTAMP '2024-01-01 07:00:00' AS added_at FROM habit_active""")
+    SELECT id, project_id, content, description, priority, user_id, user_id AS added_by_uid,
+        CAST(0 AS BIGINT) AS note_count, CAST(1 AS BIGINT) AS day_order, CAST(1 AS BIGINT) AS child_order,
+        FALSE AS checked, FALSE AS is_collapsed, FALSE AS is_deleted, 'daily' AS labels,
+        TRUE AS due_is_recurring, 'en' AS due_lang, CAST(NULL AS VARCHAR) AS due_timezone, 'every day' AS due_string,
+        due_date + INTERVAL 7 HOUR AS due_date, TIMESTAMP '2024-01-01 07:00:00' AS added_at,
+        TIMESTAMP '2024-01-01 07:00:00' AS updated_at, CAST(NULL AS TIMESTAMP) AS completed_at,
+        CAST(NULL AS VARCHAR) AS section_id, CAST(NULL AS VARCHAR) AS parent_id, CAST(NULL AS VARCHAR) AS assigned_by_uid,
+        CAST(NULL AS VARCHAR) AS responsible_uid, CAST(NULL AS VARCHAR) AS deadline, CAST(NULL AS VARCHAR) AS duration
+    FROM habit_active""")
 def base_habit_active(t: Tables):
-    return base.base_habit_active(t.raw_habit_active, TZ).select(
-        "id", "project_id", "content", "description", "priority", "due_string", "due_is_recurring", "due_date", "added_at")
+    return _flat(base.base_habit_active(t.raw_habit_active, TZ), ["labels"])
 
 
 @query("base_habit_completed", """
-    SELECT CAST(id AS BIGINT) AS id, task_id, content, completed_at + INTERVAL 7 HOUR AS completed_at FROM habit_completed""")
+    SELECT CAST(id AS BIGINT) AS id, task_id, project_id, user_id, content, completed_at + INTERVAL 7 HOUR AS completed_at,
+        CAST(0 AS BIGINT) AS note_count, CAST(NULL AS VARCHAR) AS section_id, CAST(NULL AS VARCHAR) AS meta_data,
+        CAST(NULL AS VARCHAR) AS item_object, '' AS notes FROM habit_completed""")
 def base_habit_completed(t: Tables):
-    return base.base_habit_completed(t.raw_habit_completed, TZ).select("id", "task_id", "content", "completed_at")
+    return _flat(base.base_habit_completed(t.raw_habit_completed, TZ), ["notes"])
 
 
 @query("base_habit_projects", """
-    SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, 'red' AS color, FALSE AS is_archived,
-        CAST(n_regionkey AS BIGINT) AS default_order FROM nation""")
+    SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, 'red' AS color, CAST(n_regionkey AS BIGINT) AS default_order,
+        FALSE AS is_archived, FALSE AS is_collapsed, FALSE AS inbox_project, FALSE AS is_shared, FALSE AS is_deleted,
+        FALSE AS public_access, FALSE AS is_frozen, FALSE AS can_assign_tasks, FALSE AS is_favorite,
+        CAST(NULL AS BIGINT) AS creator_uid, CAST(NULL AS BIGINT) AS child_order, CAST(NULL AS TIMESTAMP) AS updated_at,
+        TIMESTAMP '2024-01-01 00:00:00' AS created_at, CAST(NULL AS VARCHAR) AS parent_id, CAST(NULL AS VARCHAR) AS role,
+        CAST(NULL AS VARCHAR) AS public_key, CAST(NULL AS VARCHAR) AS view_style, CAST(NULL AS VARCHAR) AS description
+    FROM nation""")
 def base_habit_projects(t: Tables):
-    return base.base_habit_projects(t.raw_habit_projects).select("id", "name", "color", "is_archived", "default_order")
+    rows = base.base_habit_projects(t.raw_habit_projects)
+    return rows.withColumns({c: F.to_timestamp_ntz(F.col(c).cast("string")) for c in ("created_at", "updated_at")})
 
 
 @query("base_habit_archived", """SELECT '{"r_name":"' || r_name || '"}' AS json FROM region""")
