@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasklens.llm.hashing import run_hashes, word_hashes
@@ -27,27 +27,29 @@ def _coded(text: bytes | None) -> np.ndarray:
     return word_hashes(text.lower().split()).view(np.int64) if text else np.empty(0, np.int64)
 
 
-def _counts(keys: list[np.ndarray], target: np.ndarray) -> pa.RecordBatch:
-    """Distinct keys of a batch with their counts, in all documents and in target documents."""
-    sizes = [len(k) for k in keys]
-    distinct, code = np.unique(np.concatenate([np.empty(0, np.int64), *keys]), return_inverse=True)
-    everywhere = np.bincount(code, minlength=len(distinct))
-    inside = np.bincount(code, np.repeat(target, sizes), minlength=len(distinct))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(distinct), pa.array(everywhere.astype(np.int64)), pa.array(inside.astype(np.int64))], ["key", "n", "n_target"])
-
-
 def _pairs(words: np.ndarray) -> np.ndarray:
     return run_hashes(words.view(np.uint64), 2).view(np.int64)
 
 
-def _count(of):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [of(_coded(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            yield _counts(keys, batch.column("target").to_numpy(zero_copy_only=False))
+def _counts(keys: list[np.ndarray], target: np.ndarray, pair: bool) -> pa.RecordBatch:
+    """Distinct keys of a batch with their counts, in all documents and in target documents."""
+    none = np.empty(0, np.int64)
+    distinct, everywhere = np.unique(np.concatenate([none, *keys]), return_counts=True)
+    inside = np.zeros(len(distinct), np.int64)
+    found, times = np.unique(np.concatenate([none, *(k for k, t in zip(keys, target, strict=True) if t)]), return_counts=True)
+    inside[np.searchsorted(distinct, found)] = times
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(distinct), pair)), pa.array(distinct), pa.array(everywhere.astype(np.int64)), pa.array(inside)],
+        ["pair", "key", "n", "n_target"])
 
-    return task
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the words, then of the pairs, of each batch."""
+    for batch in batches:
+        words = [_coded(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        target = batch.column("target").to_numpy(zero_copy_only=False)
+        yield _counts(words, target, False)
+        yield _counts([_pairs(w) for w in words], target, True)
 
 
 @dataclass(frozen=True)
@@ -105,7 +107,9 @@ class PairModel:
         own = np.array([[1], [0]] if target else [[0], [1]])
         distinct, code, times = np.unique(words, return_inverse=True, return_counts=True)
         singles, here = self.words.find(distinct)
-        singles = (np.where(here, singles, rare.find(distinct)[0]) - own * times)[:, code]
+        others, found = rare.find(distinct)
+        # A word that is in neither is in this text alone.
+        singles = np.where(here | found, np.where(here, singles, others) - own * times, 0)[:, code]
         chance = (singles + 0.5) / (self.total - own * len(words) + 0.5 * self.distinct)
         first = singles[:, :-1]
         chance[:, 1:] *= np.where(first > 0, 1 - self.weight, 1)
@@ -119,12 +123,14 @@ class PairModel:
         return len(words), loss - gain.sum(axis=1), (keys[far], times[far], factor[:, at[far]])
 
 
-_SCORED = ("row long, doc_id long, n_tokens long, loss_target double, loss_background double, key long, times long, "
-           "own_target boolean, factor_target double, factor_background double")
+_SCORED = ("doc_id long, row long, key long, n_tokens long, loss_target double, loss_background double, times int, "
+           "factor_target float, factor_background float")
+_NAMES = [c.split()[0] for c in _SCORED.split(", ")]
 
 
 def _score(model):
-    """A row for every text, without a key, and one for each of its pairs that is not in memory."""
+    """A row for every text, under a key of its own, and one for each of its pairs that is not in memory, whose times are
+    positive in a target document and negative in others."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = received(model)
@@ -139,81 +145,92 @@ def _score(model):
             n, loss, far = zip(*found, strict=True)
             keys, times, factors = (np.concatenate(c, axis=-1) for c in zip(*far, strict=True))
             loss, from_row = np.stack(loss, axis=1), np.repeat(np.arange(len(n)), [len(f[0]) for f in far])
-            row, none = batch.column("row"), pa.nulls
+            times = np.where(np.array(targets, bool)[from_row], times, -times).astype(np.int32)
+            doc_id, row, none, at = batch.column("doc_id"), batch.column("row"), pa.nulls, pa.array(from_row)
             k, m = len(n), len(keys)
             yield pa.RecordBatch.from_arrays(
-                [row, batch.column("doc_id"), pa.array(np.array(n, np.int64)), pa.array(loss[0]), pa.array(loss[1]),
-                 *(none(k, t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.float64()))], _NAMES)
+                [doc_id, row, row, pa.array(np.array(n, np.int64)), pa.array(loss[0]), pa.array(loss[1]),
+                 none(k, pa.int32()), none(k, pa.float32()), none(k, pa.float32())], _NAMES)
             yield pa.RecordBatch.from_arrays(
-                [row.take(pa.array(from_row)), *(none(m, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())),
-                 pa.array(keys), pa.array(times.astype(np.int64)), pa.array(np.array(targets, bool)[from_row]),
-                 pa.array(factors[0]), pa.array(factors[1])], _NAMES)
+                [doc_id.take(at), row.take(at), pa.array(keys), none(m, pa.int64()), none(m, pa.float64()), none(m, pa.float64()),
+                 pa.array(times), *(pa.array(f.astype(np.float32)) for f in factors)], _NAMES)
 
     return task
 
 
-_NAMES = [c.split()[0] for c in _SCORED.split(", ")]
+def _with_rare_words(rows: DataFrame, words: DataFrame, held: Counts) -> DataFrame:
+    """Add the counts of the words of each text that are not held in memory and that other texts may have."""
+    known = send(rows.sparkSession, held)
+
+    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = received(known)
+        for batch in batches:
+            found = [np.unique(_coded(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            found = [f[~here.find(f)[1]] for f in found]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            keys = np.concatenate([np.empty(0, np.int64), *found])
+            yield pa.RecordBatch.from_arrays([batch.column("text_id").take(at), pa.array(keys)], ["text_id", "key"])
+
+    named = rows.withColumn("text_id", F.xxhash64("text"))
+    needed = named.select("text_id", "text").mapInArrow(rare_words, "text_id long, key long").distinct()
+    rare = needed.join(words, "key").groupBy("text_id").agg(F.collect_list(F.struct("key", "n", "n_target")).alias("rare"))
+    return named.join(rare, "text_id", "left").withColumn("rare", F.coalesce("rare", _no_words()))
+
+
+def _no_words() -> Column:
+    return F.array().cast("array<struct<key:long,n:long,n_target:long>>")
 
 
 def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "doc_id", text_col: str = "text",
-                             max_words: int = 65_535, max_pairs: int = 2_000_000, weight: float = 0.7,
+                             max_words: int = 2_000_000, max_pairs: int = 2_000_000, weight: float = 0.7,
                              filter_bits: int = 1 << 26) -> DataFrame:
     """Loss of every text under the target and the background model, and their difference.
 
     Returns one row per input row: doc_id, n_tokens, target_loss, background_loss (nats a word) and score, the second
-    less the first: higher is more like the target. Each text is left out of the counts it is judged by. Words are runs of anything but ASCII whitespace, with A-Z
-    lower-cased. A null, empty or wordless text has no words and losses and score 0. A null mark is no target. Without
+    less the first: higher is more like the target. Each text is left out of the counts it is judged by. Words are runs of
+    anything but ASCII whitespace, with A-Z lower-cased. A null, empty or wordless text has no words and losses and score 0. A null mark is no target. Without
     target documents the target model is even over the vocabulary, and so is the background model without others.
     Repeated rows count each time; null ids are scored like others; other columns are ignored; no rows give no rows.
 
     All words and pairs are counted and used. At most `max_words` words and `max_pairs` pairs, the most frequent of each,
     are held in memory; they decide where a count is looked up, not what it is. Of the other pairs those are looked up
-    that pass a filter of `filter_bits` (a power of 2) with all pairs seen twice; the others add nothing. Words and pairs are told apart by 64-bit
-    hashes. `weight`, of the pairs, is below 1.
+    that pass a filter of `filter_bits` (a power of 2) with all pairs seen twice; the others add nothing. Words and pairs
+    are told apart by 64-bit hashes. `weight`, of the pairs, is below 1. A row is known by its id and a hash of its text,
+    so a map task that runs again after a lost executor names its rows as before.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(target_col), F.lit(False)).alias("target"))
-    counted = "key long, n long, n_target long"
     sums = F.sum("n").alias("n"), F.sum("n_target").alias("n_target")
-    both = rows.select("text", "target")
-    words = materialize(both.mapInArrow(_count(lambda w: w), counted).groupBy("key").agg(*sums))
-    # A pair seen once is only in the text that is left out.
-    pairs = materialize(both.mapInArrow(_count(_pairs), counted).groupBy("key").agg(*sums).filter("n > 1"))
-    said = words.agg(F.count("*").alias("distinct"), *sums).first()
+    counts = rows.select("text", "target").mapInArrow(_count, "pair boolean, key long, n long, n_target long")
+    # Batches are counted already, so adding up again before the shuffle would find little to add. A pair seen once is
+    # only in the text that is left out.
+    counts = materialize(counts.repartition("key").groupBy("pair", "key").agg(*sums).filter("n > 1 or not pair"))
+    words, pairs = (counts.filter(F.col("pair") == p).select("key", "n", "n_target") for p in (False, True))
+    said = words.agg(F.count("*").alias("distinct"), F.count_if(F.col("n") > 1).alias("shared"), *sums).first()
     inside, everywhere = said["n_target"] or 0, said["n"] or 0
-    frequent = Counts.most_frequent(words, max_words)
-    known = send(spark, frequent)
+    words = words.filter("n > 1")
+    held = Counts.most_frequent(words, max_words)
+    near = Counts.most_frequent(pairs, max_pairs)
+    least = int(near.values.sum(axis=0).min()) if len(near.keys) else None
+    far = pairs if least is None else pairs.filter(F.col("n") < least)
     model = send(spark, PairModel(
-        frequent, Counts.most_frequent(pairs, max_pairs), said["distinct"] + 1,
-        np.array([[inside], [everywhere - inside]], float), weight,
-        slot_filter(pairs.select(F.col("key").bitwiseAND(filter_bits - 1).alias("slot")), filter_bits)))
-
-    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = received(known)
-        for batch in batches:
-            found = [np.unique(_coded(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            found = [f[~held.find(f)[1]] for f in found]
-            at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-            keys = np.concatenate([np.empty(0, np.int64), *found])
-            yield pa.RecordBatch.from_arrays([batch.column("text_id").take(at), pa.array(keys)], ["text_id", "key"])
-
-    named = rows.withColumn("text_id", F.xxhash64("text"))
-    needed = named.select("text_id", "text").mapInArrow(rare_words, "text_id long, key long").distinct()
-    rare = needed.join(words, "key").groupBy("text_id").agg(F.collect_list(F.struct("key", "n", "n_target")).alias("rare"))
-    whole = named.join(rare, "text_id", "left").select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "text", "target",
-        F.coalesce("rare", F.array().cast("array<struct<key:long,n:long,n_target:long>>")).alias("rare"))
-    scored = materialize(whole.mapInArrow(_score(model), _SCORED))
-
-    of_target, of_others = F.col("n_target"), F.col("n") - F.col("n_target")
-    left = (of_target - F.when(F.col("own_target"), F.col("times")).otherwise(0),
-            of_others - F.when(F.col("own_target"), 0).otherwise(F.col("times")))
-    gains = scored.filter("key is not null").join(pairs, "key").groupBy("row").agg(
-        *(F.sum(F.col("times") * F.log1p(F.col(f"factor_{m}") * n)).alias(f"gain_{m}")
-          for m, n in zip(("target", "background"), left, strict=True)))
-    mean = [(F.col(f"loss_{m}") - F.coalesce(F.col(f"gain_{m}"), F.lit(0.0))) / F.greatest("n_tokens", F.lit(1))
-            for m in ("target", "background")]
-    return scored.filter("key is null").join(gains, "row", "left").select(
-        "doc_id", "n_tokens", mean[0].alias("target_loss"), mean[1].alias("background_loss"),
-        (mean[1] - mean[0]).alias("score"))
+        held, near, said["distinct"] + 1, np.array([[inside], [everywhere - inside]], float), weight,
+        slot_filter(far.select(F.col("key").bitwiseAND(filter_bits - 1).alias("slot")), filter_bits)))
+
+    whole = rows.withColumn("rare", _no_words()) if len(held.keys) == said["shared"] else _with_rare_words(rows, words, held)
+    scored = whole.select("doc_id", F.xxhash64("doc_id", "text", "target").alias("row"), "text", "target", "rare").mapInArrow(
+        _score(model), _SCORED)
+
+    # Equal rows have one number: their gains are added up together and dealt out again.
+    own = {"target": F.greatest("times", F.lit(0)), "background": F.greatest(-F.col("times"), F.lit(0))}
+    n = {"target": F.col("n_target"), "background": F.col("n") - F.col("n_target")}
+    gains = [F.sum(F.abs("times") * F.log1p(F.col(f"factor_{m}").cast("double") * (n[m] - own[m]))).alias(f"gain_{m}") for m in n]
+    found = scored.join(far, "key", "left").groupBy("doc_id", "row").agg(
+        F.count("n_tokens").alias("copies"), *(F.max(c).alias(c) for c in ("n_tokens", "loss_target", "loss_background")), *gains)
+    mean = {m: (F.col(f"loss_{m}") - F.coalesce(F.col(f"gain_{m}") / F.col("copies"), F.lit(0.0)))
+            / F.greatest("n_tokens", F.lit(1)) for m in n}
+    scores = found.select("doc_id", "n_tokens", mean["target"].alias("target_loss"), mean["background"].alias("background_loss"),
+                          (mean["background"] - mean["target"]).alias("score"),
+                          F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    return scores.drop("copy")
