@@ -126,6 +126,7 @@ class PairModel:
 _SCORED = ("doc_id long, row long, key long, n_tokens long, loss_target double, loss_background double, times int, "
            "factor_target float, factor_background float")
 _NAMES = [c.split()[0] for c in _SCORED.split(", ")]
+_BLOCK = 4096  # copies of a row that are dealt out at once
 
 
 def _score(model):
@@ -232,5 +233,6 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
             / F.greatest("n_tokens", F.lit(1)) for m in n}
     scores = found.select("doc_id", "n_tokens", mean["target"].alias("target_loss"), mean["background"].alias("background_loss"),
                           (mean["background"] - mean["target"]).alias("score"),
-                          F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
-    return scores.drop("copy")
+                          "copies", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / _BLOCK))).alias("block"))
+    left = F.least(F.col("copies") - F.col("block") * _BLOCK, F.lit(_BLOCK))
+    return scores.select("*", F.explode(F.sequence(F.lit(1).cast("long"), left.cast("long")))).drop("copies", "block", "col")
