@@ -31,25 +31,75 @@ def _pairs(words: np.ndarray) -> np.ndarray:
     return run_hashes(words.view(np.uint64), 2).view(np.int64)
 
 
-def _counts(keys: list[np.ndarray], target: np.ndarray, pair: bool) -> pa.RecordBatch:
-    """Distinct keys of a batch with their counts, in all documents and in target documents."""
+def packed(numbers: np.ndarray) -> bytes:
+    """Unsigned 64-bit numbers in as many bytes each as the largest needs, lowest bytes first."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpacked(body: bytes, count: int) -> np.ndarray:
+    out = np.zeros((count, 8), np.uint8)
+    out[:, : len(body) // count] = np.frombuffer(body, np.uint8).reshape(-1, count).T
+    return out.view("<u8").ravel()
+
+
+_RUN = "shard int, pair boolean, size int, gaps binary, n binary, n_target binary"
+
+
+def _runs(keys: list[np.ndarray], target: np.ndarray, pair: bool, shards: int) -> pa.RecordBatch:
+    """Distinct keys of a batch with their counts, in all documents and in target documents: a run of ascending keys for
+    each of the ranges that the shards hold. Keys that ascend are near each other, so gaps need fewer bytes."""
     none = np.empty(0, np.int64)
-    distinct, everywhere = np.unique(np.concatenate([none, *keys]), return_counts=True)
+    distinct, n = np.unique(np.concatenate([none, *keys]).view(np.uint64), return_counts=True)
     inside = np.zeros(len(distinct), np.int64)
-    found, times = np.unique(np.concatenate([none, *(k for k, t in zip(keys, target, strict=True) if t)]), return_counts=True)
+    of_target = np.concatenate([none, *(k for k, t in zip(keys, target, strict=True) if t)]).view(np.uint64)
+    found, times = np.unique(of_target, return_counts=True)
     inside[np.searchsorted(distinct, found)] = times
+    starts = np.array([(i << 64) // shards for i in range(shards)], np.uint64)
+    edges = [*np.searchsorted(distinct, starts).tolist(), len(distinct)]
+    full = [(i, a, b) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
+    gaps = [np.diff(distinct[a:b], prepend=np.uint64(0)) for _, a, b in full]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(distinct), pair)), pa.array(distinct), pa.array(everywhere.astype(np.int64)), pa.array(inside)],
-        ["pair", "key", "n", "n_target"])
+        [pa.array([i for i, _, _ in full], pa.int32()), pa.array([pair] * len(full), pa.bool_()),
+         pa.array([b - a for _, a, b in full], pa.int32()), pa.array([g[:1].tobytes() + packed(g[1:]) for g in gaps], pa.binary()),
+         pa.array([packed(n[a:b]) for _, a, b in full], pa.binary()), pa.array([packed(inside[a:b]) for _, a, b in full], pa.binary())],
+        ["shard", "pair", "size", "gaps", "n", "n_target"])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(shards: int):
     """Counts of the words, then of the pairs, of each batch."""
-    for batch in batches:
-        words = [_coded(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-        target = batch.column("target").to_numpy(zero_copy_only=False)
-        yield _counts(words, target, False)
-        yield _counts([_pairs(w) for w in words], target, True)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [_coded(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            target = batch.column("target").to_numpy(zero_copy_only=False)
+            yield _runs(words, target, False, shards)
+            yield _runs([_pairs(w) for w in words], target, True, shards)
+
+    return task
+
+
+def _keys_of(gaps: bytes, size: int) -> np.ndarray:
+    rest = unpacked(gaps[8:], size - 1) if size > 1 else np.empty(0, np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(gaps[:8], np.uint64), rest]), dtype=np.uint64)
+
+
+def _merged(runs: pa.Table) -> pa.Table:
+    """Counts of a shard's words, and of its pairs that were seen more than once."""
+    found = []
+    for pair in (False, True):
+        rows = runs.filter(pa.array([p == pair for p in runs["pair"].to_pylist()], pa.bool_())).to_pylist()
+        if not rows:
+            continue
+        keys = np.concatenate([_keys_of(r["gaps"], r["size"]) for r in rows])
+        order = np.argsort(keys, kind="stable")  # of runs in order
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        n, inside = (np.add.reduceat(np.concatenate([unpacked(r[c], r["size"]) for r in rows])[order].astype(np.int64), first)
+                     for c in ("n", "n_target"))
+        kept = (n > 1) | (not pair)
+        found.append([np.full(int(kept.sum()), pair), keys[first][kept].view(np.int64), n[kept], inside[kept]])
+    return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["pair", "key", "n", "n_target"])
 
 
 @dataclass(frozen=True)
@@ -123,7 +173,8 @@ class PairModel:
         return len(words), loss - gain.sum(axis=1), (keys[far], times[far], factor[:, at[far]])
 
 
-_SCORED = ("doc_id long, row long, key long, n_tokens long, loss_target double, loss_background double, times int, "
+# What is alike in the rows of one text comes first: that compresses.
+_SCORED = ("n_tokens long, loss_target double, loss_background double, times int, doc_id long, row long, key long, "
            "factor_target float, factor_background float")
 _NAMES = [c.split()[0] for c in _SCORED.split(", ")]
 _BLOCK = 4096  # copies of a row that are dealt out at once
@@ -150,11 +201,11 @@ def _score(model):
             doc_id, row, none, at = batch.column("doc_id"), batch.column("row"), pa.nulls, pa.array(from_row)
             k, m = len(n), len(keys)
             yield pa.RecordBatch.from_arrays(
-                [doc_id, row, row, pa.array(np.array(n, np.int64)), pa.array(loss[0]), pa.array(loss[1]),
-                 none(k, pa.int32()), none(k, pa.float32()), none(k, pa.float32())], _NAMES)
+                [pa.array(np.array(n, np.int64)), pa.array(loss[0]), pa.array(loss[1]), none(k, pa.int32()), doc_id, row, row,
+                 none(k, pa.float32()), none(k, pa.float32())], _NAMES)
             yield pa.RecordBatch.from_arrays(
-                [doc_id.take(at), row.take(at), pa.array(keys), none(m, pa.int64()), none(m, pa.float64()), none(m, pa.float64()),
-                 pa.array(times), *(pa.array(f.astype(np.float32)) for f in factors)], _NAMES)
+                [none(m, pa.int64()), none(m, pa.float64()), none(m, pa.float64()), pa.array(times), doc_id.take(at), row.take(at),
+                 pa.array(keys), *(pa.array(f.astype(np.float32)) for f in factors)], _NAMES)
 
     return task
 
@@ -184,7 +235,7 @@ def _no_words() -> Column:
 
 def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "doc_id", text_col: str = "text",
                              max_words: int = 2_000_000, max_pairs: int = 2_000_000, weight: float = 0.7,
-                             filter_bits: int = 1 << 26) -> DataFrame:
+                             filter_bits: int = 1 << 27, shard_bytes: int = 8 << 20) -> DataFrame:
     """Loss of every text under the target and the background model, and their difference.
 
     Returns one row per input row: doc_id, n_tokens, target_loss, background_loss (nats a word) and score, the second
@@ -196,17 +247,18 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
     All words and pairs are counted and used. At most `max_words` words and `max_pairs` pairs, the most frequent of each,
     are held in memory; they decide where a count is looked up, not what it is. Of the other pairs those are looked up
     that pass a filter of `filter_bits` (a power of 2) with all pairs seen twice; the others add nothing. Words and pairs
-    are told apart by 64-bit hashes. `weight`, of the pairs, is below 1. A row is known by its id and a hash of its text,
+    are told apart by 64-bit hashes. `weight`, of the pairs, is below 1. Counts are added up in shards, ranges of hashes,
+    one for every `shard_bytes` of text; a batch sends each key once, however often it has it. A row is known by its id and a hash of its text,
     so a map task that runs again after a lost executor names its rows as before.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(target_col), F.lit(False)).alias("target"))
     sums = F.sum("n").alias("n"), F.sum("n_target").alias("n_target")
-    counts = rows.select("text", "target").mapInArrow(_count, "pair boolean, key long, n long, n_target long")
-    # Batches are counted already, so adding up again before the shuffle would find little to add. A pair seen once is
-    # only in the text that is left out.
-    counts = materialize(counts.repartition("key").groupBy("pair", "key").agg(*sums).filter("n > 1 or not pair"))
+    shards = 1 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes
+    runs = rows.select("text", "target").mapInArrow(_count(shards), _RUN)
+    # A pair seen once is only in the text that is left out.
+    counts = materialize(runs.groupBy("shard").applyInArrow(_merged, "pair boolean, key long, n long, n_target long"))
     words, pairs = (counts.filter(F.col("pair") == p).select("key", "n", "n_target") for p in (False, True))
     said = words.agg(F.count("*").alias("distinct"), F.count_if(F.col("n") > 1).alias("shared"), *sums).first()
     inside, everywhere = said["n_target"] or 0, said["n"] or 0

@@ -114,10 +114,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_lm_scoring")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents labelled as good are the target."""
+    """Documents labelled as good are the target. Up to two million labelled ids go to the texts, so texts needn't move."""
     good = table(spark, sf_dir, "labels", "doc_id", "quality").filter("quality = 1").select("doc_id").distinct()
-    docs = table(spark, sf_dir, "documents", "doc_id", "text").join(
-        good.withColumn("target", F.lit(True)), "doc_id", "left")
+    marks = good.withColumn("target", F.lit(True))
+    if good.count() <= 2_000_000:
+        marks = F.broadcast(marks)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").join(marks, "doc_id", "left")
     return cross_entropy_difference(docs, "target")
 
 

@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tasklens.llm.language import fit_languages, identify_languages
-from tasklens.llm.lm_score import cross_entropy_difference
+from tasklens.llm.lm_score import _merged, _runs, cross_entropy_difference
 from tasklens.llm.rules import accepted, lasso_logistic, quality_scores
 from tasklens.llm.string_kernel import Landmarks, Sentences, fit_toxicity, toxicity_scores
 from tests.llm.conftest import LONG
@@ -184,11 +185,26 @@ def test_losses_do_not_depend_on_what_is_in_memory(frame):
     want = sorted(map(tuple, cross_entropy_difference(docs, "target").collect()), key=str)
     assert len(want) == 64
     for words, pairs, bits in ((0, 0, 1 << 26), (5, 20, 1 << 15), (0, 1000, 1 << 15)):
-        found = cross_entropy_difference(docs, "target", max_words=words, max_pairs=pairs, filter_bits=bits).collect()
+        found = cross_entropy_difference(docs, "target", max_words=words, max_pairs=pairs, filter_bits=bits,
+                                         shard_bytes=bits >> 7).collect()
         for a, b in zip(sorted(map(tuple, found), key=str), want, strict=True):
             assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:])
 
 
+def test_runs_of_keys_give_the_counts_back():
+    r = np.random.default_rng(5)
+    for shards in (1, 7, 64):
+        batches = [[r.integers(-(2 ** 63), 2 ** 63, 40) for _ in range(5)] + [np.array([3, 3, -1, 2 ** 63 - 1, -(2 ** 63)])] for _ in range(3)]
+        target = np.array([True, False, False, True, False, True])
+        runs = pa.Table.from_batches([_runs(b, target, p, shards) for b in batches for p in (False, True)])
+        for shard in set(runs["shard"].to_pylist()):
+            part = _merged(runs.filter(pa.array([x == shard for x in runs["shard"].to_pylist()])))
+            for pair, key, n, inside in zip(*(part[c].to_pylist() for c in ("pair", "key", "n", "n_target")), strict=True):
+                want = [sum(int((d == key).sum()) for b in batches for d, t in zip(b, target, strict=True) if t or every) for every in (1, 0)]
+                assert [n, inside] == want and (n > 1 or not pair) and (key % 2 ** 64) * shards >> 64 == shard
+        assert runs.num_rows <= 6 * shards
+
+
 def test_languages_do_not_depend_on_what_is_in_memory(spark, frame):
     r = random.Random(9)
     word = lambda a: "".join(r.choice(a) for _ in range(r.randrange(2, 7)))
