@@ -9,35 +9,43 @@ from pyspark.sql import functions as F
 from tasklens.llm.staging import materialize
 
 
-def best_boundaries(edges: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
-    """Upper ends of at most `buckets` runs of a length histogram that minimise the padded total, by dynamic programming.
+def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
+    """Upper ends of at most `buckets` runs of a histogram of ascending lengths that minimise the padded total.
 
-    best[j] is the least total for the first j edges; with one more bucket it is the least over i < j of best[i] plus
-    edges[j - 1] for each of the documents between.
+    least[j] is the least total for the first j lengths. With one more bucket it is the least over i < j of least[i] plus
+    lengths[j - 1] for each of the documents between: lines in lengths[j - 1], whose slopes fall as i grows, so the lower
+    hull of the lines seen so far is walked once. Whole numbers; time and memory are buckets times lengths.
     """
-    if not len(edges):
-        return []
-    upto = np.concatenate([[0], np.cumsum(counts)]).astype(float)
-    best, choices = np.full(len(edges) + 1, np.inf), []
-    best[0] = 0.0
-    for _ in range(min(buckets, len(edges))):
-        cost = best[:-1, None] + edges[None].astype(float) * (upto[None, 1:] - upto[:-1, None])
-        cost[np.tril_indices(len(edges), -1)] = np.inf
-        choices.append(cost.argmin(axis=0))
-        best = np.concatenate([[0.0], cost.min(axis=0)])
-    cuts, j = [], len(edges)
+    ends, upto = [int(n) for n in lengths], [0, *np.cumsum(counts).tolist()]
+    least, choices = [0, *(None for _ in ends)], []
+    for _ in range(min(buckets, len(ends))):
+        hull, at, totals, choice = [], 0, [0], []
+        for j, end in enumerate(ends, 1):
+            if least[j - 1] is not None:
+                line = (-upto[j - 1], least[j - 1], j - 1)
+                while len(hull) > 1 and _never_lowest(hull[-2], hull[-1], line):
+                    hull.pop()
+                hull.append(line)
+            at = min(at, len(hull) - 1)
+            while at + 1 < len(hull) and hull[at + 1][0] * end + hull[at + 1][1] <= hull[at][0] * end + hull[at][1]:
+                at += 1
+            slope, start, i = hull[at]
+            totals.append(start + (slope + upto[j]) * end)
+            choice.append(i)
+        least = totals
+        choices.append(choice)
+    cuts, j = [], len(ends)
     for choice in reversed(choices):
         if j == 0:
             break
-        cuts.append(int(edges[j - 1]))
-        j = int(choice[j - 1])
+        cuts.append(ends[j - 1])
+        j = choice[j - 1]
     return cuts[::-1]
 
 
-def histogram_edge(length):
-    """Length rounded up to a histogram edge: exact to 256, then within one part in 128, so edges are few."""
-    step = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(F.greatest(length, F.lit(1)))) - 7, F.lit(0)))
-    return (F.ceil(length / step) * step).cast("long")
+def _never_lowest(a: tuple, b: tuple, c: tuple) -> bool:
+    """Whether line b, whose slope is between those of a and c, is nowhere below both."""
+    return (c[1] - a[1]) * (a[0] - b[0]) <= (b[1] - a[1]) * (a[0] - c[0])
 
 
 def pack(docs: DataFrame, buckets: int = 8, token_budget: int = 65_536, rows_a_shard: int = 100_000,
@@ -47,24 +55,29 @@ def pack(docs: DataFrame, buckets: int = 8, token_budget: int = 65_536, rows_a_s
     Boundaries minimise the padding of all documents over the global length histogram. A bucket's documents are padded
     to its boundary; a batch has as many of them as fit into `token_budget`, at least one, so a text above the budget is
     a batch of its own. Returns one row per input row: doc_id, n_tokens, bucket (from 0), padded_to, batch (from 0 in
-    the bucket). Within a bucket, rows follow a hash of the id, so ties and repeated rows fall together.
+    the bucket). Within a bucket, rows follow a hash of id and text, so repeated rows fall together.
+
+    The driver sees the exact histogram. Documents of d different lengths have at least d * d / 2 words, so it has at
+    most the square root of twice the corpus's words: 7 million lengths for 100 TB.
 
     A null, empty or wordless text has no tokens and a null bucket, padded_to and batch. Null ids are packed like
     others; other columns are ignored; no rows give no rows.
     """
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^ \t-\r]+"))
-    lengths = materialize(docs.select(F.col(id_col).alias("doc_id"), words.cast("long").alias("n_tokens")))
-    full = lengths.filter("n_tokens > 0").withColumn("edge", histogram_edge(F.col("n_tokens")))
-    found = full.groupBy("edge").count().orderBy("edge").collect()
-    cuts = best_boundaries(np.array([r["edge"] for r in found]), np.array([r["count"] for r in found]), buckets)
+    lengths = materialize(docs.select(F.col(id_col).alias("doc_id"), words.cast("long").alias("n_tokens"),
+                                      F.xxhash64(id_col, text_col).alias("h")))
+    full = lengths.filter("n_tokens > 0")
+    found = full.groupBy("n_tokens").count().toArrow().sort_by("n_tokens")
+    counts = found["count"].to_numpy()
+    cuts = best_boundaries(found["n_tokens"].to_numpy(), counts, buckets)
     none = lengths.filter("n_tokens = 0").select(
         "doc_id", "n_tokens", *(F.lit(None).cast(t).alias(n) for n, t in (("bucket", "int"), ("padded_to", "long"), ("batch", "long"))))
     if not cuts:
         return none
     ends = F.array(*(F.lit(c).cast("long") for c in cuts))
-    bucket = F.size(F.filter(ends, lambda end: end < F.col("edge")))
-    shards = max(1, sum(r["count"] for r in found) // rows_a_shard)
-    placed = full.select("doc_id", "n_tokens", bucket.alias("bucket"), F.xxhash64("doc_id").alias("h")).withColumn(
+    bucket = F.size(F.filter(ends, lambda end: end < F.col("n_tokens")))
+    shards = max(1, int(counts.sum()) // rows_a_shard)
+    placed = full.select("doc_id", "n_tokens", bucket.alias("bucket"), "h").withColumn(
         "shard", F.pmod("h", F.lit(shards)))
     sizes = placed.groupBy("bucket", "shard").count()
     before = sizes.select("bucket", "shard", (F.sum("count").over(
