@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasklens.llm.hashing import run_hashes, word_hashes
-from tasklens.llm.language import most_frequent
+from tasklens.llm.language import _slices, most_frequent
 from tasklens.llm.phrase_trie import slot_filter
 from tasklens.llm.staging import materialize, received, send
 
@@ -70,7 +70,7 @@ def _count(shards: int):
     """Counts of the words, then of the pairs, of each batch."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, 1 << 25)):
             words = [_coded(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             target = batch.column("target").to_numpy(zero_copy_only=False)
             yield _runs(words, target, False, shards)
@@ -112,7 +112,8 @@ class Counts:
     @classmethod
     def of(cls, keys: np.ndarray, n: np.ndarray, n_target: np.ndarray) -> Counts:
         order = np.argsort(keys)
-        return cls(keys[order], np.stack([n_target, n - n_target])[:, order])
+        kind = np.int32 if n.max(initial=0) < 1 << 31 else np.int64
+        return cls(keys[order], np.stack([n_target, n - n_target]).astype(kind)[:, order])
 
     @classmethod
     def most_frequent(cls, counts: DataFrame, most: int) -> Counts:
@@ -186,7 +187,7 @@ def _score(model):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = received(model)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             rare = batch.column("rare")
             begin, fields = rare.offsets.to_numpy(), [rare.values.field(c).to_numpy() for c in ("key", "n", "n_target")]
             texts, targets = batch.column("text").cast(pa.binary()).to_pylist(), batch.column("target").to_pylist()
