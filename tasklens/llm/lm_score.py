@@ -70,7 +70,7 @@ def _count(shards: int):
     """Counts of the words, then of the pairs, of each batch."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in _slices(whole, 1 << 25)):
+        for batch in (part for whole in batches for part in _slices(whole, 1 << 23)):
             words = [_coded(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             target = batch.column("target").to_numpy(zero_copy_only=False)
             yield _runs(words, target, False, shards)
@@ -236,7 +236,7 @@ def _no_words() -> Column:
 
 def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "doc_id", text_col: str = "text",
                              max_words: int = 2_000_000, max_pairs: int = 2_000_000, weight: float = 0.7,
-                             filter_bits: int = 1 << 27, shard_bytes: int = 8 << 20) -> DataFrame:
+                             filter_bits: int = 1 << 27, shard_bytes: int = 4 << 20) -> DataFrame:
     """Loss of every text under the target and the background model, and their difference.
 
     Returns one row per input row: doc_id, n_tokens, target_loss, background_loss (nats a word) and score, the second
