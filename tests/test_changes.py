@@ -10,6 +10,8 @@ from tasklens.sources import read_deltas, read_jsonl, read_replica, write_jsonl,
 from tasklens.streaming import Store, compact, current_replica, purge_account, start_merge, stream_cycles, stream_stats
 from tasklens.streaming.commits import VersionTaken
 from tasklens.streaming.replica_stream import TABLES, merge_batch, stream_checkpoints
+from workload import source_queries
+from workload.tables import Tables
 
 
 def poll(checkpoint, update=(), delete=(), empty=False, bean=True, projects=None, groups=None):
@@ -446,3 +448,36 @@ def test_completion_inference(spark):
     assert title("2024-01-01 10:05:59", 15) == "🏗️ in 10 minutes"
     assert title("2024-01-01 10:15:00", 15) == "🟢 now"
     assert title("2024-01-01 10:05:59", None) == "load"
+
+
+def events_of(spark, path, count):
+    """Tables with so many events."""
+    kinds = "element_at(array('click', 'view', 'error', 'purchase', 'signup'), cast(id % 5 as int) + 1)"
+    spark.range(count).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) as ts", "id % 40 as user_id",
+        f"{kinds} as event_type", "1.0D as value", "concat('{\"k\": ', id % 100, '}') as props").write.parquet(f"{path}/events.parquet")
+    return Tables(spark, str(path))
+
+
+@pytest.mark.parametrize("name", ["polls", "repeated_polls"])
+def test_a_larger_archive_has_larger_files(spark, tmp_path, name):
+    tables, files = {}, {}
+    for count in (5_000, 100_000):
+        tables[count] = events_of(spark, tmp_path / str(count), count)
+        path = source_queries._write_polls(tables[count], getattr(tables[count], name))
+        files[count] = len(spark.read.json(path).inputFiles())
+        assert read_deltas(spark, path, lines=True).select("poll_id").distinct().count() == count
+    assert 3 <= files[5_000] <= 16  # several batches of a stream
+    assert files[100_000] <= 32
+
+
+def test_late_changes_are_counted_at_once(spark, one_task, tmp_path, monkeypatch):
+    """Changes in order, late ones and what they undo share one pass over the changes."""
+    store, calls, real = Store(spark, str(tmp_path)), [], merge._sliced
+    rows = [("a", 1, "t", False), ("a", 2, "t", True), ("b", 1, "u", False), ("b", 3, "u", True), ("a", 4, "v", False)]
+    merge_batch(store, polls_of(spark, [rows[i] for i in (1, 3, 4)]), NOW)
+    monkeypatch.setattr(merge, "_sliced", lambda df: calls.append(1) or real(df))
+    merge_batch(store, polls_of(spark, [rows[i] for i in (0, 2)] + [("a", 5, "v", True), ("c", 1, "w", False)]), NOW)
+    assert len(calls) == 1
+    found = {(r["account_id"], r["check_point"]): r["deletes_count"] for r in stream_stats(spark, str(tmp_path)).collect()}
+    assert found == {("a", 1): 0, ("a", 2): 1, ("a", 4): 0, ("a", 5): 1, ("b", 1): 0, ("b", 3): 1, ("c", 1): 0}

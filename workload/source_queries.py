@@ -141,10 +141,16 @@ def shape_habit_projects(t: Tables):
     return slim(t.raw_habit_projects, ["access"]).select("id", "name")
 
 
+# An archive has so many files at most, and small ones hold so many polls.
+_POLL_FILES, _POLLS_A_FILE = 16, 2000
+
+
 def _write_polls(t: Tables, polls: DataFrame | None = None) -> str:
-    """Polls as JSON lines, in as many files as there are times so many polls."""
+    """Polls as JSON lines. Files grow with the archive, as every batch of a stream has a cost of its own."""
     path = scratch_dir(t.spark)
-    (t.polls if polls is None else polls).write.option("maxRecordsPerFile", 2000).json(path)
+    polls = t.polls if polls is None else polls
+    most = max(_POLLS_A_FILE, -(-polls.count() // _POLL_FILES))
+    polls.coalesce(_POLL_FILES).write.option("maxRecordsPerFile", most).json(path)
     return path
 
 
