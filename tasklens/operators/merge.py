@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -158,10 +159,12 @@ def with_deletes(polls: DataFrame, found: DataFrame) -> DataFrame:
     return joined.withColumn("deletes_count", deletes).select(*STATS_COLUMNS, "poll_id")
 
 
-def found_deletes(ops: DataFrame) -> DataFrame:
-    """Per poll: how many of its deletes follow an upsert of their task: account_id, poll_id, deletes_count."""
-    found = _previous_phase(ops).filter((F.col("phase") == DELETE) & (F.col("previous_phase") == UPSERT))
-    return found.groupBy("account_id", "poll_id").agg(F.count("*").alias("deletes_count"))
+def found_deletes(ops: DataFrame, sign: str | None = None) -> DataFrame:
+    """Per poll: how many of its deletes follow an upsert of their task: account_id, poll_id, deletes_count. With a column
+    `sign` of 1 and -1, changes of either sign are looked at apart, and finds count with their sign."""
+    task = ["account_id", "task_id", *([sign] if sign else [])]
+    found = _previous_phase(ops, task).filter((F.col("phase") == DELETE) & (F.col("previous_phase") == UPSERT))
+    return found.groupBy("account_id", "poll_id").agg((F.sum(sign) if sign else F.count("*")).alias("deletes_count"))
 
 
 def _sliced(rows: DataFrame) -> DataFrame:
@@ -179,17 +182,17 @@ def _sliced(rows: DataFrame) -> DataFrame:
     return placed.withColumn("_slice", F.when(F.col("check_point").isNull(), F.lit(-1.0)).otherwise(F.col("_slice"))).drop("_point")
 
 
-def _previous_phase(ops: DataFrame) -> DataFrame:
+def _previous_phase(ops: DataFrame, task: Sequence[str] = ("account_id", "task_id")) -> DataFrame:
     """The phase of the change before each change of a task: within ranges of checkpoints, then over their edges."""
     sliced = _sliced(ops)
     order = [F.asc_nulls_first(c) for c in ORDER]
-    inside = W.partitionBy("account_id", "task_id", "_slice").orderBy(*order)
+    inside = W.partitionBy(*task, "_slice").orderBy(*order)
     marked = sliced.withColumn("_inside", F.lag("phase").over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
     # Last change of every range, carried to the next range of the same task.
-    last = sliced.groupBy("account_id", "task_id", "_slice").agg(F.max_by("phase", F.struct(*ORDER)).alias("_last"))
-    across = W.partitionBy("account_id", "task_id").orderBy("_slice")
+    last = sliced.groupBy(*task, "_slice").agg(F.max_by("phase", F.struct(*ORDER)).alias("_last"))
+    across = W.partitionBy(*task).orderBy("_slice")
     carried = last.withColumn("_carried", F.lag("_last").over(across)).drop("_last")
-    joined = marked.join(carried, ["account_id", "task_id", "_slice"])
+    joined = marked.join(carried, [*task, "_slice"])
     return joined.withColumn("previous_phase", F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside")))
 
 

@@ -100,17 +100,22 @@ def merge_batch(store: Store, polls: DataFrame, merged_at: dt.datetime, fanout:
                 bucket_bytes: int = BUCKET_BYTES) -> Version:
     """Everything a batch of numbered polls adds, as one new version."""
     version = store.latest()
-    polls = _not_purged(polls, version.purged).persist()
+    held: list[DataFrame] = []
+
+    def kept(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return held[-1]
+
     try:
-        new: list[Part] = []
+        polls, new = kept(_not_purged(polls, version.purged)), []
 
         def put(df: DataFrame, table: str) -> None:
             new.extend(store.write(df, table, version.buckets))
 
         ops = task_ops(polls)
         put(latest_task_ops(ops), "task_changes")
-        keys = ops.select(*OP_COLUMNS)
-        put(_found_changes(store, version, keys, {p.bucket for p in new}), "found")
+        keys = kept(ops.select(*OP_COLUMNS))
+        put(_found_changes(store, version, keys, {p.bucket for p in new}, kept), "found")
         put(keys, "task_ops")
         for entity in LIST_ENTITIES:
             sent = polls.filter(F.col(entity).isNotNull())
@@ -119,7 +124,8 @@ def merge_batch(store: Store, polls: DataFrame, merged_at: dt.datetime, fanout:
         times = polls.select("account_id", "poll_id", "polled_at", F.lit(merged_at).cast("timestamp").alias("finished_at"))
         put(poll_counts(polls).join(times, ["account_id", "poll_id"]), "polls")
     finally:
-        polls.unpersist()
+        for df in reversed(held):
+            df.unpersist()
     merged = _folded(store, version.swapped((), new), fanout)
     return store.commit(_with_buckets(store, merged, bucket_bytes))
 
@@ -133,27 +139,25 @@ def _not_purged(polls: DataFrame, purged: dict[str, int]) -> DataFrame:
     return kept.filter(F.col("purged_to").isNull() | (F.col("check_point") > F.col("purged_to"))).drop("purged_to")
 
 
-def _found_changes(store: Store, version: Version, ops: DataFrame, buckets: set[int]) -> DataFrame:
-    """What the changes add to the deletes that found a row, per poll.
+def _found_changes(store: Store, version: Version, ops: DataFrame, buckets: set[int], kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What the changes add to the deletes that found a row, per poll. `kept` holds rows until the batch is merged.
 
     A task whose changes all come after its stored ones needs its last stored change only. Late changes can make or undo
     finds of polls before, so the history of such tasks is counted again, and the difference is kept.
     """
     task = ["account_id", "task_id"]
-    touched = ops.select(*task).distinct()
-    stored = store.read(version.of("task_changes", buckets), TABLES["task_changes"]).select(*OP_COLUMNS)
-    last = latest_task_ops(stored.join(touched, task, "left_semi"))
     first = ops.groupBy(*task).agg(F.min(F.struct(*ORDER)).alias("first"))
-    late = first.join(last, task).filter(F.col("first") <= F.struct(*ORDER)).select(*task)
-    if late.isEmpty():
+    stored = store.read(version.of("task_changes", buckets), TABLES["task_changes"]).select(*OP_COLUMNS)
+    touched = kept(latest_task_ops(stored.join(first, task)))
+    late = touched.filter(F.col("first") <= F.struct(*ORDER)).select(*task)
+    last = touched.drop("first")
+    if not late.count():
         return found_deletes(ops.unionByName(last))
-    history = store.read(version.of("task_ops", buckets), TABLES["task_ops"]).join(late, task, "left_semi").distinct()
-    again = history.unionByName(ops.join(late, task, "left_semi")).distinct()
-    in_order = ops.unionByName(last).join(late, task, "left_anti")
-    before = found_deletes(history).withColumn("deletes_count", -F.col("deletes_count"))
-    total = found_deletes(in_order).unionByName(found_deletes(again)).unionByName(before)
-    total = total.groupBy("account_id", "poll_id").agg(F.sum("deletes_count").alias("deletes_count"))
-    return total.filter("deletes_count <> 0")
+    history = store.read(version.of("task_ops", buckets), TABLES["task_ops"]).join(late, task, "left_semi")
+    again = history.withColumn("sign", F.explode(F.array(F.lit(-1), F.lit(1)))).unionByName(
+        ops.join(late, task, "left_semi").withColumn("sign", F.lit(1))).distinct()
+    in_order = ops.unionByName(last).join(late, task, "left_anti").withColumn("sign", F.lit(1))
+    return found_deletes(in_order.unionByName(again), "sign").filter("deletes_count <> 0")
 
 
 def _fold(store: Store, version: Version, parts: list[Part], buckets: int, level: int) -> list[Part]:
