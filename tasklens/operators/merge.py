@@ -184,14 +184,15 @@ def _sliced(rows: DataFrame) -> DataFrame:
 
 def _previous_phase(ops: DataFrame, task: Sequence[str] = ("account_id", "task_id")) -> DataFrame:
     """The phase of the change before each change of a task: within ranges of checkpoints, then over their edges."""
-    sliced = _sliced(ops)
+    # The join asks this of one side only; asked of both, they are the same rows and come out of one shuffle.
+    sliced = _sliced(ops).filter("_slice is not null")
     order = [F.asc_nulls_first(c) for c in ORDER]
     inside = W.partitionBy(*task, "_slice").orderBy(*order)
     marked = sliced.withColumn("_inside", F.lag("phase").over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
     # Last change of every range, carried to the next range of the same task.
-    last = sliced.groupBy(*task, "_slice").agg(F.max_by("phase", F.struct(*ORDER)).alias("_last"))
+    last = sliced.withColumn("_next", F.lead("phase").over(inside)).filter("_next is null")
     across = W.partitionBy(*task).orderBy("_slice")
-    carried = last.withColumn("_carried", F.lag("_last").over(across)).drop("_last")
+    carried = last.select(*task, "_slice", F.lag("phase").over(across).alias("_carried"))
     joined = marked.join(carried, [*task, "_slice"])
     return joined.withColumn("previous_phase", F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside")))
 

@@ -481,3 +481,12 @@ def test_late_changes_are_counted_at_once(spark, one_task, tmp_path, monkeypatch
     assert len(calls) == 1
     found = {(r["account_id"], r["check_point"]): r["deletes_count"] for r in stream_stats(spark, str(tmp_path)).collect()}
     assert found == {("a", 1): 0, ("a", 2): 1, ("a", 4): 0, ("a", 5): 1, ("b", 1): 0, ("b", 3): 1, ("c", 1): 0}
+
+
+def test_statistics_read_the_changes_once(spark, tmp_path):
+    """Of an archive, changes and counts are a scan each."""
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps(p | {"account_id": a}) for a, p in POLLS))
+    stats = merge.batch_stats(read_deltas(spark, str(tmp_path), lines=True))
+    stats.collect()
+    plan = stats._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert sum("FileScan json" in line and "syncTaskBean" in line for line in plan.splitlines()) == 2
