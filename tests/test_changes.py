@@ -490,3 +490,14 @@ def test_statistics_read_the_changes_once(spark, tmp_path):
     stats.collect()
     plan = stats._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert sum("FileScan json" in line and "syncTaskBean" in line for line in plan.splitlines()) == 2
+
+
+def test_jsonl_is_compressed(spark, tmp_path):
+    rows = spark.range(5_000).selectExpr("cast(id as string) as id", "'a name' as name", "id as sortOrder", "id % 2 = 0 as closed")
+    write_jsonl(rows, str(tmp_path / "p"))
+    written = [f for f in (tmp_path / "p").iterdir() if f.name.startswith("part-")]
+    assert all(f.name.endswith(".json.gz") for f in written) and sum(f.stat().st_size for f in written) < 5_000 * 20
+    got = read_jsonl(spark, str(tmp_path / "p"), schemas.PROJECTS).select("id", "name", "sortOrder", "closed")
+    assert sorted(got.collect()) == sorted(rows.collect())
+    write_jsonl(rows, str(tmp_path / "p"), "none")
+    assert all(f.name.endswith(".json") for f in (tmp_path / "p").iterdir() if f.name.startswith("part-"))
