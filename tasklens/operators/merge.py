@@ -142,21 +142,22 @@ def batch_stats(deltas: DataFrame, replica: DataFrame | None = None) -> DataFram
 STATS_COLUMNS = ("account_id", "check_point", "updates_count", "deletes_count", "projects_count", "groups_count", "state_updated")
 
 
-def poll_counts(deltas: DataFrame) -> DataFrame:
-    """Per poll: what can be counted from the poll alone."""
+def poll_counts(deltas: DataFrame, *kept: Column) -> DataFrame:
+    """Per poll: what can be counted from the poll alone, and the columns kept."""
     return deltas.select(
         "account_id", "check_point", "poll_id", F.size("updates").cast("bigint").alias("updates_count"),
         F.when(F.col("projects").isNotNull(), F.size("projects")).cast("bigint").alias("projects_count"),
         F.when(F.col("groups").isNotNull(), F.size("groups")).cast("bigint").alias("groups_count"),
-        F.col("state_changed").alias("state_updated"),
+        F.col("state_changed").alias("state_updated"), *kept,
     )
 
 
-def with_deletes(polls: DataFrame, found: DataFrame) -> DataFrame:
-    """Statistics of polls. A poll's id is its key, so polls of one account and checkpoint stay apart and spread."""
+def with_deletes(polls: DataFrame, found: DataFrame, *kept: str) -> DataFrame:
+    """Statistics of polls, and the columns kept. A poll's id is its key, so polls of one account and checkpoint stay apart
+    and spread."""
     joined = polls.join(found, ["account_id", "poll_id"], "left")
     deletes = F.coalesce("deletes_count", F.lit(0).cast("bigint"))
-    return joined.withColumn("deletes_count", deletes).select(*STATS_COLUMNS, "poll_id")
+    return joined.withColumn("deletes_count", deletes).select(*STATS_COLUMNS, "poll_id", *kept)
 
 
 def found_deletes(ops: DataFrame, sign: str | None = None) -> DataFrame:
@@ -167,12 +168,12 @@ def found_deletes(ops: DataFrame, sign: str | None = None) -> DataFrame:
     return found.groupBy("account_id", "poll_id").agg((F.sum(sign) if sign else F.count("*")).alias("deletes_count"))
 
 
-def _sliced(rows: DataFrame) -> DataFrame:
+def _sliced(rows: DataFrame, points: DataFrame | None = None) -> DataFrame:
     """Add _slice: the range of checkpoints a row lies in. Ranges hold about equally many rows, one per shuffle partition,
     so the rows of one key within a range are never more than a task's share, whatever part of all rows the key has.
-    Rows without a checkpoint come before all others."""
+    Rows without a checkpoint come before all others. `points` are rows of about the same checkpoints, if some are at hand."""
     ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx("check_point", [i / ranges for i in range(1, ranges)] or [0.5], 10_000)).first()[0]
+    cuts = (rows if points is None else points).agg(F.percentile_approx("check_point", [i / ranges for i in range(1, ranges)] or [0.5], 10_000)).first()[0]
     splits = [float("-inf"), *sorted({float(c) for c in cuts or ()}), float("inf")]
     placed = rows.withColumn("_point", F.col("check_point").cast("double"))
     if len(splits) > 2:
@@ -184,23 +185,20 @@ def _sliced(rows: DataFrame) -> DataFrame:
 
 def _previous_phase(ops: DataFrame, task: Sequence[str] = ("account_id", "task_id")) -> DataFrame:
     """The phase of the change before each change of a task: within ranges of checkpoints, then over their edges."""
-    # The join asks this of one side only; asked of both, they are the same rows and come out of one shuffle.
-    sliced = _sliced(ops).filter("_slice is not null")
-    order = [F.asc_nulls_first(c) for c in ORDER]
-    inside = W.partitionBy(*task, "_slice").orderBy(*order)
-    marked = sliced.withColumn("_inside", F.lag("phase").over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
-    # Last change of every range, carried to the next range of the same task.
-    last = sliced.withColumn("_next", F.lead("phase").over(inside)).filter("_next is null")
-    across = W.partitionBy(*task).orderBy("_slice")
-    carried = last.select(*task, "_slice", F.lag("phase").over(across).alias("_carried"))
-    joined = marked.join(carried, [*task, "_slice"])
-    return joined.withColumn("previous_phase", F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside")))
-
-
-def cycle_log(polls: DataFrame) -> DataFrame:
+    inside = W.partitionBy(*task, "_slice").orderBy(*[F.asc_nulls_first(c) for c in ORDER])
+    marked = _sliced(ops).withColumns({"previous_phase": F.lag("phase").over(inside), "_row": F.row_number().over(inside),
+                                       "_last": F.lead("phase").over(inside).isNull()})
+    # Before the first change of a range comes the last one of the task's range before. Both parts come out of one shuffle.
+    across = W.partitionBy(*task).orderBy("_slice", "_row")
+    edges = marked.filter("_row = 1 or _last").withColumn("previous_phase", F.lag("phase").over(across))
+    return marked.filter("_row > 1").unionByName(edges.filter("_row = 1"))
+
+
+def cycle_log(polls: DataFrame, points: DataFrame | None = None) -> DataFrame:
     """Polls with statistics and times as cycles: id, account_id, started_at, finished_at, status, source_checkpoint (of
-    the last poll before it that changed state, 0 without one), response_checkpoint and the counts."""
-    sliced = _sliced(polls)
+    the last poll before it that changed state, 0 without one), response_checkpoint and the counts. `points` have about
+    the checkpoints of the polls, and are cheaper to read: stored polls, before they are joined."""
+    sliced = _sliced(polls, points)
     changed = F.when(F.col("state_updated"), F.col("check_point"))
     earlier = W.partitionBy("account_id", "_slice").orderBy("check_point", "poll_id").rowsBetween(W.unboundedPreceding, -1)
     marked = sliced.withColumn("_inside", F.max(changed).over(earlier))

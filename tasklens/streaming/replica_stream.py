@@ -16,12 +16,15 @@ deletions are stored as well. A file that comes again changes nothing, as a poll
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.util import inheritable_thread_target
 
 from tasklens import schemas
 from tasklens.operators.keyed import latest_by, lookup_join
@@ -33,6 +36,7 @@ from tasklens.operators.merge import (
     checkpoint_status,
     cycle_log,
     found_deletes,
+    latest_lists,
     latest_task_ops,
     list_rows,
     newest_lists,
@@ -107,29 +111,37 @@ def merge_batch(store: Store, polls: DataFrame, merged_at: dt.datetime, fanout:
         return held[-1]
 
     try:
-        polls, new = kept(_not_purged(polls, version.purged)), []
-
-        def put(df: DataFrame, table: str) -> None:
-            new.extend(store.write(df, table, version.buckets))
-
+        polls = kept(_not_purged(polls, version.purged))
         ops = task_ops(polls)
-        put(latest_task_ops(ops), "task_changes")
         keys = kept(ops.select(*OP_COLUMNS))
-        put(_found_changes(store, version, keys, {p.bucket for p in new}, kept), "found")
-        put(keys, "task_ops")
-        for entity in LIST_ENTITIES:
-            sent = polls.filter(F.col(entity).isNotNull())
-            put(newest_lists(sent.select("account_id", "check_point", "poll_id", F.col(entity).alias("items"))), f"{entity}_lists")
-        put(account_states(polls), "accounts")
-        times = polls.select("account_id", "poll_id", "polled_at", F.lit(merged_at).cast("timestamp").alias("finished_at"))
-        put(poll_counts(polls).join(times, ["account_id", "poll_id"]), "polls")
+        # A number per bucket. This also fills what is held, before all tables ask for it.
+        buckets = {r[0] for r in keys.select(bucket_of(version.buckets)).distinct().collect()}
+        times = F.col("polled_at"), F.lit(merged_at).cast("timestamp").alias("finished_at")
+        rows: dict[str, Callable[[], DataFrame]] = {
+            "found": lambda: _found_changes(store, version, keys, buckets, kept),
+            "task_changes": lambda: latest_task_ops(ops),
+            "polls": lambda: poll_counts(polls, *times),
+            "task_ops": lambda: keys,
+            **{f"{entity}_lists": partial(latest_lists, polls, entity) for entity in LIST_ENTITIES},
+            "accounts": lambda: account_states(polls),
+        }
+        new = _side_by_side(store.spark, [
+            lambda made=made, table=table: store.write(made(), table, version.buckets) for table, made in rows.items()])
     finally:
         for df in reversed(held):
             df.unpersist()
-    merged = _folded(store, version.swapped((), new), fanout)
+    merged = _folded(store, version.swapped((), (part for parts in new for part in parts)), fanout)
     return store.commit(_with_buckets(store, merged, bucket_bytes))
 
 
+def _side_by_side[T](spark: SparkSession, steps: Sequence[Callable[[], T]]) -> list[T]:
+    """Results of steps that don't need each other. Their jobs run at the same time: each has many short stages, which
+    leave most cores idle. All have ended when this returns or raises."""
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [step.result() for step in running]
+
+
 def _not_purged(polls: DataFrame, purged: dict[str, int]) -> DataFrame:
     """Polls but those that a purge has covered. One row per account ever purged, as a version lists them."""
     if not purged:
@@ -151,7 +163,7 @@ def _found_changes(store: Store, version: Version, ops: DataFrame, buckets: set[
     touched = kept(latest_task_ops(stored.join(first, task)))
     late = touched.filter(F.col("first") <= F.struct(*ORDER)).select(*task)
     last = touched.drop("first")
-    if not late.count():
+    if late.isEmpty():
         return found_deletes(ops.unionByName(last))
     history = store.read(version.of("task_ops", buckets), TABLES["task_ops"]).join(late, task, "left_semi")
     again = history.withColumn("sign", F.explode(F.array(F.lit(-1), F.lit(1)))).unionByName(
@@ -169,18 +181,23 @@ def _fold(store: Store, version: Version, parts: list[Part], buckets: int, level
 
 def _folded(store: Store, version: Version, fanout: int) -> Version:
     """Buckets with `fanout` newer folders of a state are folded to one; as many folders of a log of one level are joined."""
-    for table in TABLES:
-        for level in range(1 + max((p.level for p in version.of(table)), default=0)):
-            by_bucket: dict[int, list[Part]] = {}
-            for part in version.of(table):
-                if part.level == level:
-                    by_bucket.setdefault(part.bucket, []).append(part)
-            full = {b for b, parts in by_bucket.items() if len(parts) >= fanout}
-            if not full or (table in FOLDS and level):
-                continue
-            old = [p for p in version.of(table, full) if table in FOLDS or p.level == level]
-            version = version.swapped(old, _fold(store, version, old, version.buckets, level + 1))
-    return version
+    tables = _side_by_side(store.spark, [partial(_table_folded, store, version, table, fanout) for table in TABLES])
+    return version.swapped(version.parts, (part for parts in tables for part in parts))
+
+
+def _table_folded(store: Store, version: Version, table: str, fanout: int) -> list[Part]:
+    """The parts of one table after that."""
+    for level in range(1 + max((p.level for p in version.of(table)), default=0)):
+        by_bucket: dict[int, list[Part]] = {}
+        for part in version.of(table):
+            if part.level == level:
+                by_bucket.setdefault(part.bucket, []).append(part)
+        full = {b for b, parts in by_bucket.items() if len(parts) >= fanout}
+        if not full or (table in FOLDS and level):
+            continue
+        old = [p for p in version.of(table, full) if table in FOLDS or p.level == level]
+        version = version.swapped(old, _fold(store, version, old, version.buckets, level + 1))
+    return version.of(table)
 
 
 def _with_buckets(store: Store, version: Version, bucket_bytes: int) -> Version:
@@ -202,10 +219,13 @@ def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str, version: Ver
     accounts = batch.filter("state_changed").select("account_id").distinct()
     if accounts.isEmpty():
         return
-    for entity in schemas.REPLICA_KEY:
+
+    def emit(entity: str) -> None:
         changed = current_replica(spark, replica_dir, entity, accounts=accounts, version=version)
         write_replica(changed, emit_dir, entity, accounts=accounts)
 
+    _side_by_side(spark, [partial(emit, entity) for entity in schemas.REPLICA_KEY])
+
 
 def current_replica(spark: SparkSession, replica_dir: str, entity: str, merged_at: dt.datetime | str | None = None,
                     accounts: DataFrame | None = None, version: Version | None = None) -> DataFrame:
@@ -237,8 +257,7 @@ def _polls(spark: SparkSession, replica_dir: str, version: Version | None, accou
     polls = latest_by(polls, ["account_id", "poll_id"], [F.asc("finished_at")])
     found = _read(spark, replica_dir, "found", version, accounts)
     found = found.groupBy("account_id", "poll_id").agg(F.sum("deletes_count").alias("deletes_count"))
-    times = polls.select("account_id", "poll_id", "polled_at", "finished_at")
-    return with_deletes(polls.drop("polled_at", "finished_at"), found).join(times, ["account_id", "poll_id"])
+    return with_deletes(polls, found, "polled_at", "finished_at")
 
 
 def stream_stats(spark: SparkSession, replica_dir: str, version: Version | None = None) -> DataFrame:
@@ -250,7 +269,8 @@ def stream_cycles(spark: SparkSession, replica_dir: str, accounts: Iterable[str]
                   version: Version | None = None) -> DataFrame:
     """The cycle log; with `accounts`, theirs alone, out of their buckets."""
     named = None if accounts is None else spark.createDataFrame([(a,) for a in accounts], "account_id string")
-    return cycle_log(_polls(spark, replica_dir, version, named))
+    version = version or Store(spark, replica_dir).latest()
+    return cycle_log(_polls(spark, replica_dir, version, named), _read(spark, replica_dir, "polls", version, named))
 
 
 def stream_checkpoints(spark: SparkSession, replica_dir: str, version: Version | None = None) -> DataFrame:

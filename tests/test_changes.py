@@ -1,8 +1,10 @@
 import datetime as dt
 import json
 import random
+import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from tasklens import schemas
 from tasklens.operators import history, merge
@@ -501,3 +503,31 @@ def test_jsonl_is_compressed(spark, tmp_path):
     assert sorted(got.collect()) == sorted(rows.collect())
     write_jsonl(rows, str(tmp_path / "p"), "none")
     assert all(f.name.endswith(".json") for f in (tmp_path / "p").iterdir() if f.name.startswith("part-"))
+
+
+def test_tables_of_a_batch_are_written_side_by_side(spark, one_task, tmp_path, monkeypatch):
+    """Every write of a batch waits for the others to begin."""
+    store, write, together = Store(spark, str(tmp_path)), Store.write, threading.Barrier(len(TABLES))
+
+    def meeting(self, df, table, buckets, level=0):
+        if not level:
+            together.wait(60)
+        return write(self, df, table, buckets, level)
+
+    monkeypatch.setattr(Store, "write", meeting)
+    for n in range(2):
+        beans = polls_of(spark, [("a", n, "t", n == 1)]).withColumns({"projects": F.array(F.lit("{}")), "groups": F.array(F.lit("{}"))})
+        merge_batch(store, beans, NOW, fanout=2)
+    assert {len(store.latest().of(t)) for t in TABLES} == {1}  # folded
+    assert {r["check_point"]: r["deletes_count"] for r in stream_stats(spark, str(tmp_path)).collect()} == {0: 0, 1: 1}
+
+
+def test_changes_are_not_joined_to_themselves(spark, one_task, tmp_path):
+    """Finds come out of windows alone, and statistics out of one join."""
+    rows = [("a", 10 * i + d, f"t{i % 3}", d == 1) for i in range(30) for d in range(2)]
+    found = merge.found_deletes(merge.task_ops(polls_of(spark, rows)))
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.agg({"deletes_count": "sum"}).first()[0] == 30
+    merge_batch(Store(spark, str(tmp_path)), polls_of(spark, rows), NOW)
+    stats = stream_stats(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert stats.count("Join ") == 1
