@@ -8,6 +8,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tasklens import schemas
 
+ACCOUNTS_A_TASK = 32
+
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType, corrupt_column: str | None = None) -> DataFrame:
     """Newline-delimited JSON with a given schema. Unreadable lines give NULLs, and their text when a column is named."""
@@ -39,7 +41,8 @@ def write_replica(df: DataFrame, path: str, entity: str, account_id: str | None
     reading drops, so that the folder of an account that lost its last row is replaced as well.
 
     Rows are rebalanced by account, which keeps the number of files low; adaptive execution splits an account that is
-    too large for one task.
+    too large for one task. But a file costs the same however few rows it has: of many named accounts, tasks get ranges
+    of account and key with equally many rows, ACCOUNTS_A_TASK accounts each or as many as the shuffle partitions leave.
     """
     schema = schemas.REPLICA[entity]
     rows = df
@@ -47,9 +50,15 @@ def write_replica(df: DataFrame, path: str, entity: str, account_id: str | None
         rows = df.filter(F.col("account_id") == account_id)
         accounts = df.sparkSession.range(1).select(F.lit(account_id).alias("account_id"))
     rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    ranges = 1
     if accounts is not None:
         rows = rows.unionByName(accounts.select("account_id"), allowMissingColumns=True)
-    rows = rows.hint("rebalance", F.col("account_id"))
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = 1 if account_id is not None else min(partitions, -(-accounts.count() // ACCOUNTS_A_TASK))
+    if ranges > 1:
+        rows = rows.repartitionByRange(ranges, "account_id", schemas.REPLICA_KEY[entity])
+    else:
+        rows = rows.hint("rebalance", F.col("account_id"))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

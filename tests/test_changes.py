@@ -531,3 +531,22 @@ def test_changes_are_not_joined_to_themselves(spark, one_task, tmp_path):
     merge_batch(Store(spark, str(tmp_path)), polls_of(spark, rows), NOW)
     stats = stream_stats(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert stats.count("Join ") == 1
+
+
+def test_many_accounts_are_written_by_many_tasks(spark, tmp_path):
+    """A small snapshot of many accounts is no single task; a large account is split; few accounts stay a file each."""
+    def written(path, count):
+        rows = spark.range(count + 3_000).selectExpr("cast(id as string) as task_id", "cast(if(id < 3000, 0, id - 3000) as string) as account_id")
+        rows = rows.select(*[(rows[f.name] if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                             for f in schemas.REPLICA["tasks"].fields])
+        write_replica(rows, path, "tasks", accounts=rows.select("account_id").distinct())
+        assert read_replica(spark, path, "tasks").select("task_id", "account_id").distinct().count() == count + 3_000
+        folders = {f.name: [p.name[:10] for p in f.glob("part-*")] for f in (tmp_path / path).glob("tasks/account_id=*")}
+        assert len(folders) == count
+        return folders
+
+    many = written(str(tmp_path / "many"), 200)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len({p for parts in many.values() for p in parts}) == tasks and len(many["account_id=0"]) > 1
+    assert sum(map(len, many.values())) < 200 + tasks
+    assert {len(parts) for parts in written(str(tmp_path / "few"), 5).values()} == {1}
