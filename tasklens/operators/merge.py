@@ -184,10 +184,12 @@ def _sliced(rows: DataFrame, points: DataFrame | None = None) -> DataFrame:
 
 
 def _previous_phase(ops: DataFrame, task: Sequence[str] = ("account_id", "task_id")) -> DataFrame:
-    """The phase of the change before each change of a task: within ranges of checkpoints, then over their edges."""
+    """The phase of the change before each change of a task, of those with account and task: within ranges of checkpoints,
+    then over their edges."""
     inside = W.partitionBy(*task, "_slice").orderBy(*[F.asc_nulls_first(c) for c in ORDER])
-    marked = _sliced(ops).withColumns({"previous_phase": F.lag("phase").over(inside), "_row": F.row_number().over(inside),
-                                       "_last": F.lead("phase").over(inside).isNull()})
+    marked = _sliced(ops).dropna(subset=[*task, "_slice"]).withColumns({
+        "previous_phase": F.lag("phase").over(inside), "_row": F.row_number().over(inside),
+        "_last": F.lead("phase").over(inside).isNull()})
     # Before the first change of a range comes the last one of the task's range before. Both parts come out of one shuffle.
     across = W.partitionBy(*task).orderBy("_slice", "_row")
     edges = marked.filter("_row = 1 or _last").withColumn("previous_phase", F.lag("phase").over(across))

@@ -120,7 +120,7 @@ def merge_batch(store: Store, polls: DataFrame, merged_at: dt.datetime, fanout:
         rows: dict[str, Callable[[], DataFrame]] = {
             "found": lambda: _found_changes(store, version, keys, buckets, kept),
             "task_changes": lambda: latest_task_ops(ops),
-            "polls": lambda: poll_counts(polls, *times),
+            "polls": lambda: poll_counts(polls.filter("account_id is not null"), *times),
             "task_ops": lambda: keys,
             **{f"{entity}_lists": partial(latest_lists, polls, entity) for entity in LIST_ENTITIES},
             "accounts": lambda: account_states(polls),
