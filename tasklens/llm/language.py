@@ -57,11 +57,6 @@ def _frequent(counts: DataFrame, most: int) -> Column:
     return F.lit(False) if least is None else level >= least
 
 
-def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """Rows whose n is at least a limit that leaves `most` rows or fewer."""
-    return counts.filter(_frequent(counts, most))
-
-
 def _gram_hashes(points: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k code points from each place."""
     count = max(0, len(points) - k + 1)

@@ -1,6 +1,7 @@
 """Language identification, toxicity, quality rules and language-model scores: held-out accuracy and odd rows."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tasklens.llm.language import fit_languages, identify_languages
-from tasklens.llm.lm_score import _merged, _runs, cross_entropy_difference
+from tasklens.llm.lm_score import PairModel, _answered, _count, _merged, _runs, cross_entropy_difference, unpacked
 from tasklens.llm.rules import accepted, lasso_logistic, quality_scores
 from tasklens.llm.string_kernel import Landmarks, Sentences, fit_toxicity, toxicity_scores
 from tests.llm.conftest import LONG
@@ -205,6 +206,45 @@ def test_runs_of_keys_give_the_counts_back():
         assert runs.num_rows <= 6 * shards
 
 
+def test_scoring_shuffles_texts_once_and_no_row_for_a_pair(frame):
+    r = random.Random(8)
+    rows = [(i, " ".join(r.choice("abcdefghijkl") for _ in range(30))) for i in range(40)]
+    docs = frame(rows).withColumn("target", F.col("doc_id") % 3 == 0)
+    scored = cross_entropy_difference(docs, "target", max_words=0, max_pairs=0, shard_bytes=128)
+    assert len(scored.collect()) == 40
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("ReusedExchange") == 1
+
+
+def test_answers_are_counts_in_the_order_of_a_batch_s_keys():
+    r = random.Random(6)
+    batches = [pa.table({"text": [" ".join(r.choice("abcdefghij") for _ in range(r.randrange(9))) for _ in range(n)] + [None, "X x"],
+                         "target": [r.random() < 0.5 for _ in range(n + 2)]}) for n in (0, 3, 20)]
+    shards = 7
+    runs = pa.concat_tables(_count(shards)((pa.scalar(i),), b) for i, b in enumerate(batches))
+    at = lambda table, c, v: table.filter(pa.array([x == v for x in table[c].to_pylist()]))
+    answers = pa.concat_tables(_answered(at(runs, "shard", i)) for i in range(shards))
+    texts = [((t or "").lower().split(), m) for b in batches for t, m in zip(b["text"].to_pylist(), b["target"].to_pylist(), strict=True)]
+    for pair in (False, True):
+        keys = [(k, m) for w, m in texts for k in (zip(w, w[1:], strict=False) if pair else w)]
+        n, inside = Counter(k for k, _ in keys), Counter(k for k, m in keys if m)
+        for i, b in enumerate(batches):
+            own = {k for t in b["text"].to_pylist() for w in [(t or "").lower().split()] for k in (zip(w, w[1:], strict=False) if pair else w)}
+            found = [a for a in at(answers, "batch", i).to_pylist() if a["pair"] == pair and a["size"]]
+            got = [(int(x), int(y)) for a in found for x, y in zip(unpacked(a["n"], a["size"]), unpacked(a["n_target"], a["size"]), strict=True)]
+            seen = [(0, 0) if pair and n[k] == 1 else (n[k], inside[k]) for k in own]
+            assert sorted(got) == sorted(seen) and sum(len(a["n"]) + len(a["n_target"]) for a in found) == 2 * len(own)
+    words = Counter(w for t, _ in texts for w in t)
+    for i, b in enumerate(batches):
+        own, mine = {w for t in b["text"].to_pylist() for w in (t or "").lower().split()}, at(answers, "batch", i)
+        pairs = sum(a["size"] for a in mine.to_pylist() if a["pair"])
+        model = PairModel.of(len(own), pairs, mine, 0.7)
+        inside = sum(len(t) for t, m in texts if m)
+        assert [model.distinct, *model.total.ravel()] == [len(words) + 1, inside, words.total() - inside]
+        with pytest.raises(ValueError, match="changes"):
+            PairModel.of(len(own) + 1, pairs, mine, 0.7)
+
+
 def test_languages_do_not_depend_on_what_is_in_memory(spark, frame):
     r = random.Random(9)
     word = lambda a: "".join(r.choice(a) for _ in range(r.randrange(2, 7)))
