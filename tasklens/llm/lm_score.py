@@ -202,7 +202,7 @@ def _score(weight: float):
 
 def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "doc_id", text_col: str = "text",
                              max_words: int = 2_000_000, max_pairs: int = 2_000_000, weight: float = 0.7,
-                             filter_bits: int = 1 << 27, shard_bytes: int = 4 << 20) -> DataFrame:
+                             filter_bits: int = 1 << 27, shard_bytes: int = 8 << 20) -> DataFrame:
     """Loss of every text under the target and the background model, and their difference.
 
     Returns one row per input row: doc_id, n_tokens, target_loss, background_loss (nats a word) and score, the second
@@ -213,17 +213,18 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
 
     All words and pairs are counted and used; they are told apart by 64-bit hashes. `weight`, of the pairs, is below 1. Counts
     are added up in shards, ranges of hashes, one for every `shard_bytes` of text. Texts are dealt out, by a hash of the row
-    and of the partition it is read in, to a batch for every two shards, or for each shuffle partition if these are more: a
-    batch sends a shard each key once, and gets back counts in the order of the keys, so keys travel one way. Texts are
-    shuffled once, for counting and scoring. No task holds a model of the corpus: `max_words`, `max_pairs` and `filter_bits`,
-    which set what tasks held, are taken for the sake of callers and change nothing.
+    and of the partition it is read in, to as many batches, or as many as shuffles have partitions if these are more. A batch
+    sends a shard each key once, and gets back counts in the order of the keys, so keys travel one way. Texts are shuffled
+    once, for counting and scoring. No task holds a model of the corpus: `max_words`, `max_pairs` and `filter_bits`, which set
+    what tasks held, are taken for the sake of callers and change nothing.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(target_col), F.lit(False)).alias("target"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = max(1 + size // (2 * shard_bytes), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shards = 1 + size // shard_bytes
+    batches = max(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     row = F.xxhash64("doc_id", "text", "target", F.spark_partition_id())
     dealt = rows.withColumn("batch", F.pmod(row, F.lit(batches).cast("long")))
-    runs = dealt.groupBy("batch").applyInArrow(_count(1 + size // shard_bytes), _RUN)
+    runs = dealt.groupBy("batch").applyInArrow(_count(shards), _RUN)
     answers = runs.groupBy("shard").applyInArrow(_answered, _ANSWER)
     return dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_score(weight), _SCORE)
