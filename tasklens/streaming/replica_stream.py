@@ -1,7 +1,7 @@
 """Replica kept up to date by a stream of change payloads.
 
 A micro-batch writes what it adds to every table as new folders, and then one version file that names them (see
-commits.py). Until then readers see the version before, all tables of it; a batch that dies half-way leaves folders that
+sources/commits.py). Until then readers see the version before, all tables of it; a batch that dies half-way leaves folders that
 no version names, and its repetition writes its own.
 
 Tables are kept in levels. The newest state per key (`task_changes`, the lists, `accounts`) is a folded folder per bucket
@@ -19,7 +19,6 @@ import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +45,8 @@ from tasklens.operators.merge import (
     task_ops,
     with_deletes,
 )
-from tasklens.sources import number_polls, read_deltas, write_replica
-from tasklens.streaming.commits import Part, Store, Version, bucket_of
+from tasklens.sources import drop_account, number_polls, read_deltas, write_replica
+from tasklens.sources.commits import Part, Store, Version, bucket_of
 
 LIST_ENTITIES = ("projects", "groups")
 _OPS = "account_id string, task_id string, check_point bigint, poll_id string, phase int, position int"
@@ -216,15 +215,17 @@ def _with_buckets(store: Store, version: Version, bucket_bytes: int) -> Version:
 def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str, version: Version | None = None) -> None:
     """Snapshot of the accounts whose state the batch changed; an idle batch writes nothing."""
     spark = batch.sparkSession
-    accounts = batch.filter("state_changed").select("account_id").distinct()
-    if accounts.isEmpty():
-        return
+    accounts = batch.filter("state_changed").select("account_id").distinct().persist()
 
     def emit(entity: str) -> None:
         changed = current_replica(spark, replica_dir, entity, accounts=accounts, version=version)
-        write_replica(changed, emit_dir, entity, accounts=accounts)
+        write_replica(changed, emit_dir, entity, accounts=accounts, shared=True)
 
-    _side_by_side(spark, [partial(emit, entity) for entity in schemas.REPLICA_KEY])
+    try:
+        if not accounts.isEmpty():
+            _side_by_side(spark, [partial(emit, entity) for entity in schemas.REPLICA_KEY])
+    finally:
+        accounts.unpersist()
 
 
 def current_replica(spark: SparkSession, replica_dir: str, entity: str, merged_at: dt.datetime | str | None = None,
@@ -312,7 +313,6 @@ def purge_account(spark: SparkSession, replica_dir: str, account_id: str, emit_d
     purged = version.purged | {account_id: max(last, version.purged.get(account_id, last))}
     version = store.commit(Version(version.number, version.buckets, version.parts, purged))
     if emit_dir:
-        emitted = Store(spark, emit_dir)
         for entity in schemas.REPLICA_KEY:
-            emitted.drop(entity, lambda name: unquote(name) == f"account_id={account_id}")
+            drop_account(spark, emit_dir, entity, account_id)
     return version

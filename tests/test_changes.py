@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from tasklens import schemas
 from tasklens.operators import history, merge
-from tasklens.sources import read_deltas, read_jsonl, read_replica, write_jsonl, write_replica
+from tasklens.sources import drop_account, read_deltas, read_jsonl, read_replica, write_jsonl, write_replica
+from tasklens.sources.snapshots import shared_store, write_shared
 from tasklens.streaming import Store, compact, current_replica, purge_account, start_merge, stream_cycles, stream_stats
 from tasklens.streaming.commits import VersionTaken
-from tasklens.streaming.replica_stream import TABLES, merge_batch, stream_checkpoints
+from tasklens.streaming.replica_stream import TABLES, emit_changed, merge_batch, stream_checkpoints
 from workload import source_queries
 from workload.tables import Tables
 
@@ -551,3 +552,76 @@ def test_many_accounts_are_written_by_many_tasks(spark, tmp_path):
     assert len({p for parts in many.values() for p in parts}) == tasks and len(many["account_id=0"]) > 1
     assert sum(map(len, many.values())) < 200 + tasks
     assert {len(parts) for parts in written(str(tmp_path / "few"), 5).values()} == {1}
+
+
+def test_an_emit_has_few_files(spark, one_task, tmp_path):
+    """A batch emits a file per entity, not one per account; accounts it leaves alone keep their rows."""
+    store, emitted = Store(spark, str(tmp_path / "replica")), str(tmp_path / "emitted")
+
+    def emit(rows, changed=True):
+        batch = polls_of(spark, rows).withColumn("state_changed", F.lit(changed))
+        version = merge_batch(store, batch, NOW)
+        emit_changed(batch, store.root, emitted, version)
+        return len(list((tmp_path / "emitted").rglob("part-*.parquet")))
+
+    accounts = [f"acc {i}" for i in range(60)]
+    assert emit([(a, 1, "t", False) for a in accounts]) == len(schemas.REPLICA)
+    assert emit([("acc 0", 2, "t", True), ("acc 1", 2, "u", False)]) == 2 * len(schemas.REPLICA)
+    assert emit([("acc 2", 3, "t", False)], changed=False) == 2 * len(schemas.REPLICA)
+    want = {(a, "t"): "1" for a in accounts[1:]} | {("acc 1", "u"): "2"}
+    assert as_dict(read_replica(spark, emitted, "tasks"), "task_id", "title") == want
+    purge_account(spark, store.root, "acc 1", emitted)
+    left = {k: v for k, v in want.items() if k[0] != "acc 1"}
+    assert as_dict(read_replica(spark, emitted, "tasks"), "task_id", "title") == left
+    files = spark.read.option("recursiveFileLookup", True).schema(schemas.TASKS_V3).parquet(f"{emitted}/tasks/_shared/rows")
+    assert files.filter("account_id = 'acc 1'").isEmpty() and not files.isEmpty()
+
+
+def test_shared_snapshot(spark, one_task, tmp_path, monkeypatch):
+    """Of every account the newest write counts, also when folders are folded, buckets double, and one was written before."""
+    schema, path = schemas.GROUPS_V3, str(tmp_path)
+    store = shared_store(spark, f"{path}/groups")
+
+    def rows(groups):
+        df = spark.createDataFrame([(g, a, n) for (a, g), n in groups.items()], "group_id string, account_id string, name string")
+        return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def seen():
+        return as_dict(read_replica(spark, path, "groups"), "group_id", "name")
+
+    want = {("old", "g"): "o", ("a", "g"): "o", ("é /b", "g"): "o", (None, "g"): "o"}
+    write_replica(rows(want), path, "groups")
+    columns = read_replica(spark, path, "groups").columns
+    names = ["a", "é /b", None, *map(str, range(8))]
+    for n in range(7):
+        some = [a for i, a in enumerate(names) if (i + n) % 3]
+        new = {(a, f"g{i}"): f"{n}" for a in some if (len(a or "") + n) % 4 for i in range(2)}
+        named = spark.createDataFrame([(a,) for a in some], "account_id string")
+        if n < 2:
+            write_replica(rows(new), path, "groups", accounts=named, shared=True)
+        else:
+            write_shared(rows(new).unionByName(named, allowMissingColumns=True), store, schema, fanout=3, bucket_bytes=2200)
+        want = {k: v for k, v in want.items() if k[0] not in some} | new
+        assert seen() == want
+    version = store.latest()
+    assert version.buckets > 1 and len(version.parts) <= 3 * version.buckets
+    folders = {p.path for n in store.versions() for p in store.version(n).parts}
+    assert {f"rows/{f.parent.parent.name}/{f.parent.name}" for f in tmp_path.rglob("part-*.parquet") if "_shared" in f.parts} == folders
+
+    # Someone else is faster once: both writes count.
+    commit = Store.commit
+
+    def late(self, version):
+        monkeypatch.setattr(Store, "commit", commit)
+        write_replica(rows({("a", "g"): "first", ("c", "g"): "first"}), path, "groups")
+        return commit(self, version)
+
+    monkeypatch.setattr(Store, "commit", late)
+    write_replica(rows({("a", "h"): "second", ("b", "h"): "not asked for"}), path, "groups", account_id="a")
+    want = {k: v for k, v in want.items() if k[0] != "a"} | {("c", "g"): "first", ("a", "h"): "second"}
+    assert seen() == want
+    for gone in ("a", "é /b", "old", "nobody"):
+        drop_account(spark, path, "groups", gone)
+        want = {k: v for k, v in want.items() if k[0] != gone}
+        assert seen() == want
+    assert read_replica(spark, path, "groups").columns == columns
