@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +53,8 @@ def drop_account(spark: SparkSession, path: str, entity: str, account_id: str) -
 
 
 def write_replica(df: DataFrame, path: str, entity: str, account_id: str | None = None,
-                  accounts: DataFrame | None = None, shared: bool = False) -> None:
+                  accounts: DataFrame | None = None, shared: bool = False,
+                  after: Callable[[], object] = lambda: None) -> None:
     """Replica snapshot, one folder per account; only the folders of the accounts written are replaced.
 
     account_id writes one account. `accounts` names all accounts to replace: each gets one extra row without a key, which
@@ -60,7 +62,8 @@ def write_replica(df: DataFrame, path: str, entity: str, account_id: str | None
 
     With `shared`, accounts have files in common (see snapshots.py), which read_replica alone can tell apart: that is the
     form for many accounts written again and again. A snapshot that has such files gets all later rows in them; folders
-    of accounts written before stay, as the oldest rows.
+    of accounts written before stay, as the oldest rows. Nothing is replaced before `after` has returned, but shared files
+    are written by then.
 
     Rows are rebalanced by account, which keeps the number of files low; adaptive execution splits an account that is
     too large for one task. But a file costs the same however few rows it has: of many named accounts, tasks get ranges
@@ -76,8 +79,9 @@ def write_replica(df: DataFrame, path: str, entity: str, account_id: str | None
         rows = rows.unionByName(accounts.select("account_id"), allowMissingColumns=True)
     store = shared_store(df.sparkSession, f"{path}/{entity}") if hasattr(df.sparkSession, "_jsc") else None
     if store and (shared or store.versions()):
-        write_shared(rows, store, schema)
+        write_shared(rows, store, schema, after)
         return
+    after()
     ranges = 1
     if accounts is not None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -30,9 +30,21 @@ def shared_store(spark: SparkSession, folder: str) -> Store:
     return Store(spark, f"{folder}/_shared")
 
 
-def write_shared(rows: DataFrame, store: Store, schema: StructType, fanout: int = FANOUT, bucket_bytes: int = BUCKET_BYTES) -> None:
-    """Replace the accounts that have rows; the others keep theirs."""
-    _changed(store, lambda version: version.swapped((), _write(rows, store, version.buckets)))
+def write_shared(rows: DataFrame, store: Store, schema: StructType, after: Callable[[], object] = lambda: None,
+                 fanout: int = FANOUT, bucket_bytes: int = BUCKET_BYTES) -> None:
+    """Replace the accounts that have rows; the others keep theirs. Files are written at once and count when `after` has
+    returned; they go if it fails."""
+
+    def added(version: Version) -> Version:
+        parts = _write(rows, store, version.buckets)
+        try:
+            after()
+        except BaseException:
+            store.remove({p.path for p in parts}, set())
+            raise
+        return version.swapped((), parts)
+
+    _changed(store, added)
     _changed(store, lambda version: _folded(store, version, schema, fanout, bucket_bytes))
     store.expire(KEPT_VERSIONS)
 

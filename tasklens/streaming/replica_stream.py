@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +49,8 @@ from tasklens.sources import drop_account, number_polls, read_deltas, write_repl
 from tasklens.sources.commits import Part, Store, Version, bucket_of
 
 LIST_ENTITIES = ("projects", "groups")
+# The table that has the state of an entity.
+STATE = {"tasks": "task_changes", **{entity: f"{entity}_lists" for entity in LIST_ENTITIES}}
 _OPS = "account_id string, task_id string, check_point bigint, poll_id string, phase int, position int"
 _LIST = "account_id string, check_point bigint, poll_id string, items array<string>"
 TABLES = {
@@ -87,9 +89,11 @@ def start_merge(spark: SparkSession, in_dir: str, replica_dir: str, checkpoint_d
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # parsed once for all parts and the emit
         try:
-            version = merge_batch(Store(batch.sparkSession, replica_dir), number_polls(batch), clock())
+            store, numbered = Store(batch.sparkSession, replica_dir), number_polls(batch)
             if emit_dir:
-                emit_changed(batch, replica_dir, emit_dir, version)
+                merge_and_emit(store, numbered, clock(), batch, emit_dir)
+            else:
+                merge_batch(store, numbered, clock())
         finally:
             batch.unpersist()
 
@@ -99,10 +103,40 @@ def start_merge(spark: SparkSession, in_dir: str, replica_dir: str, checkpoint_d
     return writer.trigger(processingTime=trigger).start()
 
 
+def merge_and_emit(store: Store, polls: DataFrame, merged_at: dt.datetime, batch: DataFrame, emit_dir: str) -> Version:
+    """Merge a batch and emit what it changed. The files of an entity are written when its table is, beside the tables that
+    take longer, and count when the version is there."""
+    there: Future[Version] = Future()
+    emits: list[Future[None]] = []
+    entities = {table: entity for entity, table in STATE.items()}
+    with ThreadPoolExecutor(len(STATE)) as pool:
+
+        def wrote(table: str, version: Version) -> None:
+            if table in entities:
+                emit = partial(emit_changed, batch, store.root, emit_dir, version, [entities[table]], there.result)
+                emits.append(pool.submit(inheritable_thread_target(store.spark)(emit)))
+
+        try:
+            there.set_result(merge_batch(store, polls, merged_at, wrote=wrote))
+        except BaseException as error:
+            there.set_exception(error)  # nothing is emitted
+            raise
+    for emit in emits:
+        emit.result()
+    return there.result()
+
+
 def merge_batch(store: Store, polls: DataFrame, merged_at: dt.datetime, fanout: int = FANOUT,
-                bucket_bytes: int = BUCKET_BYTES) -> Version:
-    """Everything a batch of numbered polls adds, as one new version."""
+                bucket_bytes: int = BUCKET_BYTES, wrote: Callable[[str, Version], None] = lambda table, version: None) -> Version:
+    """Everything a batch of numbered polls adds, as one new version. `wrote` is told of every table as soon as it is
+    written, with a version to come that has its new rows."""
     version = store.latest()
+
+    def written(table: str, made: Callable[[], DataFrame]) -> list[Part]:
+        parts = store.write(made(), table, version.buckets)
+        wrote(table, version.swapped((), parts))
+        return parts
+
     held: list[DataFrame] = []
 
     def kept(df: DataFrame) -> DataFrame:
@@ -124,8 +158,7 @@ def merge_batch(store: Store, polls: DataFrame, merged_at: dt.datetime, fanout:
             **{f"{entity}_lists": partial(latest_lists, polls, entity) for entity in LIST_ENTITIES},
             "accounts": lambda: account_states(polls),
         }
-        new = _side_by_side(store.spark, [
-            lambda made=made, table=table: store.write(made(), table, version.buckets) for table, made in rows.items()])
+        new = _side_by_side(store.spark, [partial(written, table, made) for table, made in rows.items()])
     finally:
         for df in reversed(held):
             df.unpersist()
@@ -212,18 +245,20 @@ def _with_buckets(store: Store, version: Version, bucket_bytes: int) -> Version:
     return Version(version.number, wanted, version.parts, version.purged)
 
 
-def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str, version: Version | None = None) -> None:
-    """Snapshot of the accounts whose state the batch changed; an idle batch writes nothing."""
+def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str, version: Version | None = None,
+                 entities: Iterable[str] = tuple(STATE), after: Callable[[], object] = lambda: None) -> None:
+    """Snapshot of the accounts whose state the batch changed; an idle batch writes nothing. What is there is not replaced
+    before `after` has returned."""
     spark = batch.sparkSession
     accounts = batch.filter("state_changed").select("account_id").distinct().persist()
 
     def emit(entity: str) -> None:
         changed = current_replica(spark, replica_dir, entity, accounts=accounts, version=version)
-        write_replica(changed, emit_dir, entity, accounts=accounts, shared=True)
+        write_replica(changed, emit_dir, entity, accounts=accounts, shared=True, after=after)
 
     try:
         if not accounts.isEmpty():
-            _side_by_side(spark, [partial(emit, entity) for entity in schemas.REPLICA_KEY])
+            _side_by_side(spark, [partial(emit, entity) for entity in entities])
     finally:
         accounts.unpersist()
 
@@ -231,8 +266,7 @@ def emit_changed(batch: DataFrame, replica_dir: str, emit_dir: str, version: Ver
 def current_replica(spark: SparkSession, replica_dir: str, entity: str, merged_at: dt.datetime | str | None = None,
                     accounts: DataFrame | None = None, version: Version | None = None) -> DataFrame:
     """Rows of one entity as of a version, the newest if none is named; with `accounts`, only their buckets are read."""
-    table = "task_changes" if entity == "tasks" else f"{entity}_lists"
-    rows = _read(spark, replica_dir, table, version, accounts)
+    rows = _read(spark, replica_dir, STATE[entity], version, accounts)
     if entity == "tasks":
         rows = latest_task_ops(rows).filter(F.col("phase") == UPSERT)
     else:

@@ -12,7 +12,8 @@ from tasklens.sources import drop_account, read_deltas, read_jsonl, read_replica
 from tasklens.sources.snapshots import shared_store, write_shared
 from tasklens.streaming import Store, compact, current_replica, purge_account, start_merge, stream_cycles, stream_stats
 from tasklens.streaming.commits import VersionTaken
-from tasklens.streaming.replica_stream import TABLES, emit_changed, merge_batch, stream_checkpoints
+from tasklens.streaming import replica_stream
+from tasklens.streaming.replica_stream import TABLES, emit_changed, merge_and_emit, merge_batch, stream_checkpoints
 from workload import source_queries
 from workload.tables import Tables
 
@@ -577,6 +578,45 @@ def test_an_emit_has_few_files(spark, one_task, tmp_path):
     assert files.filter("account_id = 'acc 1'").isEmpty() and not files.isEmpty()
 
 
+def test_emits_are_written_beside_a_batch(spark, one_task, tmp_path, monkeypatch):
+    """Finds wait for the emitted files, which count when the version is there and go if the batch fails."""
+    store, emitted, commit, write = Store(spark, str(tmp_path / "replica")), str(tmp_path / "emitted"), Store.commit, Store.write
+    written, found = threading.Semaphore(0), replica_stream._found_changes
+
+    def run(rows):
+        batch = polls_of(spark, rows).withColumns({"projects": F.array(F.lit("{}")), "groups": F.array(F.lit("{}"))})
+        merge_and_emit(store, batch, NOW, batch, emitted)
+
+    def waiting(*args):
+        assert all(written.acquire(timeout=60) for _ in schemas.REPLICA)
+        return found(*args)
+
+    def writing(self, df, table, *args, **kwargs):
+        parts = write(self, df, table, *args, **kwargs)
+        if table == "rows":
+            written.release()
+        return parts
+
+    def failing(self, version):
+        if self.root == store.root:
+            raise OSError("lost")
+        return commit(self, version)
+
+    monkeypatch.setattr(replica_stream, "_found_changes", waiting)
+    monkeypatch.setattr(Store, "write", writing)
+    run([("a", 1, "t", False), ("b", 1, "u", False)])
+    seen, files = as_dict(read_replica(spark, emitted, "tasks"), "task_id", "title"), set((tmp_path / "emitted").rglob("part-*.parquet"))
+    assert seen == {("a", "t"): "1", ("b", "u"): "1"}
+    monkeypatch.setattr(Store, "commit", failing)
+    with pytest.raises(OSError):
+        run([("a", 2, "t", True), ("b", 2, "v", False)])
+    assert as_dict(read_replica(spark, emitted, "tasks"), "task_id", "title") == seen
+    assert set((tmp_path / "emitted").rglob("part-*.parquet")) == files
+    monkeypatch.setattr(Store, "commit", commit)
+    run([("a", 2, "t", True), ("b", 2, "v", False)])
+    assert as_dict(read_replica(spark, emitted, "tasks"), "task_id", "title") == {("b", "u"): "1", ("b", "v"): "2"}
+
+
 def test_shared_snapshot(spark, one_task, tmp_path, monkeypatch):
     """Of every account the newest write counts, also when folders are folded, buckets double, and one was written before."""
     schema, path = schemas.GROUPS_V3, str(tmp_path)
