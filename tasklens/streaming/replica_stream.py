@@ -339,14 +339,17 @@ def purge_account(spark: SparkSession, replica_dir: str, account_id: str, emit_d
     last = known.agg(F.max("newest.check_point")).first()[0]
     if last is None:
         return version
-    for table in TABLES:
-        if old := version.of(table, [bucket]):
-            rows = purge(store.read(old, TABLES[table]), account_id)
-            level = max(p.level for p in old) or 1
-            version = version.swapped(old, store.write(FOLDS.get(table, lambda df: df)(rows), table, version.buckets, level))
+    old = {table: parts for table in TABLES if (parts := version.of(table, [bucket]))}
+
+    def left(table: str) -> list[Part]:
+        rows = purge(store.read(old[table], TABLES[table]), account_id)
+        level = max(p.level for p in old[table]) or 1
+        return store.write(FOLDS.get(table, lambda df: df)(rows), table, version.buckets, level)
+
+    new = _side_by_side(spark, [partial(left, table) for table in old])
+    version = version.swapped((p for parts in old.values() for p in parts), (p for parts in new for p in parts))
     purged = version.purged | {account_id: max(last, version.purged.get(account_id, last))}
     version = store.commit(Version(version.number, version.buckets, version.parts, purged))
     if emit_dir:
-        for entity in schemas.REPLICA_KEY:
-            drop_account(spark, emit_dir, entity, account_id)
+        _side_by_side(spark, [partial(drop_account, spark, emit_dir, entity, account_id) for entity in schemas.REPLICA_KEY])
     return version

@@ -665,3 +665,18 @@ def test_shared_snapshot(spark, one_task, tmp_path, monkeypatch):
         want = {k: v for k, v in want.items() if k[0] != gone}
         assert seen() == want
     assert read_replica(spark, path, "groups").columns == columns
+
+
+def test_a_purge_writes_tables_side_by_side(spark, one_task, tmp_path, monkeypatch):
+    """Every table of the account's bucket waits for the others to begin; the other account keeps its rows."""
+    store, write = Store(spark, str(tmp_path)), Store.write
+    rows = [(a, n, "t", n == 1) for a in "ab" for n in range(2)] + [("b", 2, "u", False)]
+    merge_batch(store, polls_of(spark, rows).withColumns({"projects": F.array(F.lit("{}")), "groups": F.array(F.lit("{}"))}), NOW)
+    assert {p.table for p in store.latest().parts} == set(TABLES)
+    together = threading.Barrier(len(TABLES))
+    monkeypatch.setattr(Store, "write", lambda *args, **kwargs: together.wait(60) is None or write(*args, **kwargs))
+    version = purge_account(spark, store.root, "a")
+    assert version.purged == {"a": 1} and {p.table for p in version.parts} == set(TABLES)
+    for table, ddl in TABLES.items():
+        assert {r[0] for r in store.read(version.of(table), ddl).select("account_id").collect()} == {"b"}
+    assert as_dict(current_replica(spark, str(tmp_path), "tasks"), "task_id", "title") == {("b", "u"): "2"}
