@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,18 +50,16 @@ def write_shared(rows: DataFrame, store: Store, schema: StructType, after: Calla
 
 def read_shared(store: Store, parts: list[Part], schema: StructType, older: DataFrame | None = None) -> DataFrame:
     """Of every account the rows of its newest write; rows older than all writes can be given."""
-    # An account lies in one bucket, so its writes are in the order of the bucket's folders.
-    layers: list[list[Part]] = []
-    nth: Counter[int] = Counter()
-    for part in parts:
-        if nth[part.bucket] == len(layers):
-            layers.append([])
-        layers[nth[part.bucket]].append(part)
-        nth[part.bucket] += 1
-    writes = [*([] if older is None else [older]), *(store.read(layer, schema) for layer in layers)]
-    if len(writes) < 2:
-        return writes[0] if writes else store.read([], schema)
-    rows = reduce(DataFrame.unionByName, [df.withColumn("_write", F.lit(n)) for n, df in enumerate(writes)])
+    if older is not None and not parts:
+        return older
+    rows = store.read(parts, schema)
+    if older is None and len({p.bucket for p in parts}) == len(parts):
+        return rows
+    # An account lies in one bucket, and the folders of a bucket are in the order of the writes.
+    nth = {name: n for n, name in enumerate(dict.fromkeys(p.path.split("/")[1] for p in parts))}
+    name = F.regexp_extract("_metadata.file_path", r"([^/]+)/account_bucket=[^/]*/[^/]*$", 1)
+    rows = rows.withColumn("_write", F.create_map(*(F.lit(x) for pair in nth.items() for x in pair))[name])
+    rows = rows if older is None else older.withColumn("_write", F.lit(-1)).unionByName(rows)
     newest = rows.groupBy(F.col("account_id").alias("_account")).agg(F.max("_write").alias("_newest"))
     kept = F.col("account_id").eqNullSafe(F.col("_account")) & (F.col("_write") == F.col("_newest"))
     return rows.join(newest, kept, "left_semi").drop("_write")
