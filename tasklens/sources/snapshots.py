@@ -56,10 +56,10 @@ def read_shared(store: Store, parts: list[Part], schema: StructType, older: Data
     if older is None and len({p.bucket for p in parts}) == len(parts):
         return rows
     # An account lies in one bucket, and the folders of a bucket are in the order of the writes.
-    nth = {name: n for n, name in enumerate(dict.fromkeys(p.path.split("/")[1] for p in parts))}
-    name = F.regexp_extract("_metadata.file_path", r"([^/]+)/account_bucket=[^/]*/[^/]*$", 1)
-    rows = rows.withColumn("_write", F.create_map(*(F.lit(x) for pair in nth.items() for x in pair))[name])
-    rows = rows if older is None else older.withColumn("_write", F.lit(-1)).unionByName(rows)
+    writes = dict.fromkeys(p.path.split("/")[1] for p in parts)
+    name = F.substring_index(F.substring_index("_metadata.file_path", "/", -3), "/", 1)
+    rows = rows.withColumn("_write", F.array_position(F.array(*map(F.lit, writes)), name))
+    rows = rows if older is None else older.withColumn("_write", F.lit(0).cast("bigint")).unionByName(rows)
     newest = rows.groupBy(F.col("account_id").alias("_account")).agg(F.max("_write").alias("_newest"))
     kept = F.col("account_id").eqNullSafe(F.col("_account")) & (F.col("_write") == F.col("_newest"))
     return rows.join(newest, kept, "left_semi").drop("_write")
